@@ -112,24 +112,17 @@ def _row_level_counts(rows: DataFrame, checks: Sequence[tuple[int, Check]]) -> D
 
 
 def _unique_counts(rows: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFrame:
-    pairs = F.array(
-        *[F.struct(F.lit(i).alias("no"), F.col(c.column).cast("string").alias("value")) for i, c in checks]
-    )
+    pairs = ", ".join(f"named_struct('no', {i}, 'value', CAST(`{c.column}` AS STRING))" for i, c in checks)
     per_value = (
-        rows.select(F.inline(pairs))
-        .where(F.col("value").isNotNull())
-        .groupBy("no", "value")
-        .agg(F.count("*").alias("n"))
-    )
-    counts = per_value.agg(
-        *[F.count_if((F.col("no") == i) & (F.col("n") > 1)).alias(f"c{i}") for i, _ in checks]
+        rows.selectExpr(f"inline(array({pairs}))").where("value IS NOT NULL").groupBy("no", "value").agg(F.expr("count(*) AS n"))
     )
+    counts = per_value.agg(*[F.expr(f"count_if(no = {i} AND n > 1) AS c{i}") for i, _ in checks])
     return _rows_from_columns(counts, [i for i, _ in checks])
 
 
 def _rows_from_columns(counts: DataFrame, numbers: Sequence[int]) -> DataFrame:
-    pairs = F.array(*[F.struct(F.lit(i).alias("no"), F.col(f"c{i}").alias("failures")) for i in numbers])
-    return counts.select(F.inline(pairs))
+    pairs = ", ".join(f"named_struct('no', {i}, 'failures', c{i})" for i in numbers)
+    return counts.selectExpr(f"inline(array({pairs}))")
 
 
 def _accepted_values_count(rows: DataFrame, number: int, check: Check) -> DataFrame:
@@ -186,25 +179,37 @@ def run_checks(
     failures fail and more than ``warn_above`` warn.
     """
     counts = failure_counts(rows, checks, parents or {})
-    declared = F.array(
-        *[
-            F.struct(
-                F.lit(c.name(table_name)).alias("check_name"),
-                F.lit(schema_name).alias("schema_name"),
-                F.lit(table_name).alias("table_name"),
-                F.lit(c.column).alias("column_name"),
-                F.lit(c.test_type).alias("test_type"),
-                F.lit(c.severity).alias("severity"),
-                F.lit(c.warn_above).cast("bigint").alias("warn_above"),
-                F.lit(c.error_above).cast("bigint").alias("error_above"),
-            )
-            for c in checks
-        ]
+    # One SQL literal instead of a Column object per field: building those would take
+    # longer than checking a small table.
+    declared = ", ".join(
+        f"named_struct('check_name', {_text(c.name(table_name))}, 'schema_name', {_text(schema_name)}, "
+        f"'table_name', {_text(table_name)}, 'column_name', {_text(c.column)}, "
+        f"'test_type', {_text(c.test_type)}, 'severity', {_text(c.severity)}, "
+        f"'warn_above', {c.warn_above}L, 'error_above', {c.error_above}L)"
+        for c in checks
     )
-    described = counts.select(F.get(declared, F.col("no")).alias("check"), "failures").select("check.*", "failures")
-    failed = (F.col("severity") == "error") & (F.col("failures") > F.col("error_above"))
-    status = F.when(failed, "fail").when(F.col("failures") > F.col("warn_above"), "warn").otherwise("pass")
-    return described.withColumn("status", status).drop("warn_above", "error_above")
+    described = counts.selectExpr(f"get(array({declared}), no) AS check", "failures").select("check.*", "failures")
+    status = F.expr(
+        "CASE WHEN severity = 'error' AND failures > error_above THEN 'fail' "
+        "WHEN failures > warn_above THEN 'warn' ELSE 'pass' END"
+    )
+    return described.select(*_RESULT_COLUMNS, status.alias("status"))
+
+
+_RESULT_COLUMNS = (
+    "check_name",
+    "schema_name",
+    "table_name",
+    "column_name",
+    "test_type",
+    "severity",
+    "failures",
+)
+
+
+def _text(value: str) -> str:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def failing_rows(rows: DataFrame, check: Check, parents: Mapping[str, DataFrame] | None = None) -> DataFrame:

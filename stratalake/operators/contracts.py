@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratalake.sources.small import small_table
+
 Contract = Sequence[tuple[str, str]]  # (column, type)
 
 DIFF = "column_name string, problem string, expected_type string, actual_type string"
@@ -44,7 +46,7 @@ def contract_problems(schema: T.StructType, contract: Contract) -> list[tuple[st
 
 def contract_diff(rows: DataFrame, contract: Contract) -> DataFrame:
     """The problems as rows; empty when the contract holds. Only schemas are compared."""
-    return rows.sparkSession.createDataFrame(contract_problems(rows.schema, contract), DIFF)
+    return small_table(rows.sparkSession, contract_problems(rows.schema, contract), DIFF)
 
 
 def enforce(rows: DataFrame, contract: Contract) -> DataFrame:

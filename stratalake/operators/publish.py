@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import time
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
-from pyspark.sql import Row
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from stratalake.operators.checks import Check, failing_rows, run_checks
-from stratalake.operators.contracts import Contract, ContractViolation, enforce
+from stratalake.operators.contracts import Contract, enforce
+from stratalake.sources.small import small_table
 from stratalake.sources.warehouse import Warehouse
 
 HISTORY_LAYER = "observability"
@@ -54,56 +53,61 @@ class PublishReport:
     results: list[Row] = field(default_factory=list)
 
     def as_row(self) -> tuple:
-        count = lambda status: sum(r.status == status for r in self.results)
-        return (
-            self.table_name,
-            self.outcome,
-            self.row_count,
-            len(self.results),
-            count("pass"),
-            count("warn"),
-            count("fail"),
-        )
-
-
-def new_invocation() -> str:
-    return uuid.uuid4().hex
+        by_status = [sum(r.status == s for r in self.results) for s in ("pass", "warn", "fail")]
+        return (self.table_name, self.outcome, self.row_count, len(self.results), *by_status)
 
 
 def _now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
-
-
-def record_results(warehouse: Warehouse, invocation_id: str, results: Sequence[Row]) -> None:
-    detected = _now()
-    rows = [
-        (
-            detected,
-            invocation_id,
-            r.status,
-            r.schema_name,
-            r.table_name,
-            r.column_name,
-            r.check_name,
-            r.test_type,
-            r.severity,
-            r.failures,
-            f"{r.failures} failures",
-            f"{r.check_name}",
-            r.table_name,
+    return datetime.now(timezone.utc)
+
+
+class History:
+    """Check and run results of one invocation, appended to the history tables by ``flush``."""
+
+    def __init__(self, warehouse: Warehouse, invocation_id: str | None = None):
+        self.warehouse = warehouse
+        self.invocation_id = invocation_id or uuid.uuid4().hex
+        self._results: list[tuple] = []
+        self._runs: list[tuple] = []
+
+    def add_results(self, results: Sequence[Row]) -> None:
+        detected = _now()
+        for r in results:
+            self._results.append(
+                (
+                    detected,
+                    self.invocation_id,
+                    r.status,
+                    r.schema_name,
+                    r.table_name,
+                    r.column_name,
+                    r.check_name,
+                    r.test_type,
+                    r.severity,
+                    r.failures,
+                    f"{r.failures} failures",
+                    r.check_name,
+                    r.table_name,
+                )
+            )
+
+    def add_run(self, name: str, status: str, started: datetime, rows: int | None) -> None:
+        ended = _now()
+        seconds = (ended - started).total_seconds()
+        self._runs.append(
+            (self.invocation_id, name, "model", "table", status, seconds, rows, started, ended)
         )
-        for r in results
-    ]
-    history = warehouse.spark.createDataFrame(rows, QUALITY_RESULTS).coalesce(1)
-    warehouse.append(history, HISTORY_LAYER, "quality_results")
-
 
-def record_run(
-    warehouse: Warehouse, invocation_id: str, name: str, status: str, started: datetime, seconds: float, rows: int | None
-) -> None:
-    row = (invocation_id, name, "model", "table", status, seconds, rows, started, _now())
-    history = warehouse.spark.createDataFrame([row], RUN_RESULTS).coalesce(1)
-    warehouse.append(history, HISTORY_LAYER, "run_results")
+    def flush(self) -> None:
+        pending = (
+            ("quality_results", self._results, QUALITY_RESULTS),
+            ("run_results", self._runs, RUN_RESULTS),
+        )
+        for name, rows, schema in pending:
+            if rows:
+                history = small_table(self.warehouse.spark, rows, schema).coalesce(1)
+                self.warehouse.append(history, HISTORY_LAYER, name)
+                rows.clear()
 
 
 def write_audit_publish(
@@ -116,7 +120,7 @@ def write_audit_publish(
     checks: Sequence[Check] = (),
     parents: Mapping[str, DataFrame] | None = None,
     partition_by: Sequence[str] = (),
-    invocation_id: str | None = None,
+    history: History | None = None,
     store_failures: bool = False,
 ) -> PublishReport:
     """Check the contract, write a hidden generation, check its rows, then publish it.
@@ -124,33 +128,31 @@ def write_audit_publish(
     The rows are computed once: the checks read the written generation, and publishing
     repoints the public name without moving data. On a failed check of severity ``error``
     the public name keeps its old rows and :class:`GateClosed` is raised. What comes back
-    to the driver is one row per check.
+    to the driver is one row per check. Without a ``history`` the results are recorded at
+    once as an invocation of their own.
     """
-    invocation_id = invocation_id or new_invocation()
-    started, clock = _now(), time.monotonic()
-
-    def finish(status: str, row_count: int | None) -> None:
-        record_run(warehouse, invocation_id, name, status, started, time.monotonic() - clock, row_count)
-
+    own_history = history is None
+    history = history or History(warehouse)
+    started = _now()
+    status, row_count = "error", None
     try:
         if contract is not None:
             rows = enforce(rows, contract)
         generation = warehouse.write_generation(rows, layer, name, version, partition_by)
-    except ContractViolation:
-        finish("error", None)
-        raise
-    written = warehouse.spark.table(generation)
-    row_count = written.count()  # answered from the Parquet footers
-    results = run_checks(written, layer, name, checks, parents).collect() if checks else []
-    if results:
-        record_results(warehouse, invocation_id, results)
-    if store_failures:
-        _store_failures(warehouse, written, name, checks, parents, results)
-    if any(r.status == "fail" for r in results):
-        finish("error", row_count)
-        raise GateClosed(PublishReport(name, "blocked", row_count, results))
-    warehouse.publish(generation, layer, name, version)
-    finish("success", row_count)
+        written = warehouse.spark.table(generation)
+        row_count = written.count()  # answered from the Parquet footers
+        results = run_checks(written, layer, name, checks, parents).collect() if checks else []
+        history.add_results(results)
+        if store_failures:
+            _store_failures(warehouse, written, name, checks, parents, results)
+        if any(r.status == "fail" for r in results):
+            raise GateClosed(PublishReport(name, "blocked", row_count, results))
+        warehouse.publish(generation, layer, name, version)
+        status = "success"
+    finally:
+        history.add_run(name, status, started, row_count)
+        if own_history:
+            history.flush()
     return PublishReport(name, "published", row_count, results)
 
 

@@ -6,20 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.plans.spec import EXPOSURES, LAYERS, UPSTREAM
+from stratalake.sources.small import small_table
 
 
 def lineage_edges(spark: SparkSession) -> DataFrame:
     edges = [(up, down) for down, ups in UPSTREAM.items() for up in ups]
-    return spark.createDataFrame(edges, "upstream string, downstream string")
+    return small_table(spark, edges, "upstream string, downstream string")
 
 
 def exposures(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(EXPOSURES, "exposure string, kind string, model string, version int")
+    return small_table(spark, EXPOSURES, "exposure string, kind string, model string, version int")
 
 
 def declared_models(spark: SparkSession) -> DataFrame:
     rows = [(name, name, LAYERS[name]) for name in UPSTREAM]
-    return spark.createDataFrame(rows, "unique_id string, name string, schema_name string")
+    return small_table(spark, rows, "unique_id string, name string, schema_name string")
 
 
 def unused_models(models: DataFrame, edges: DataFrame, consumers: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from stratalake.plans.spec import CHECKS, CONTRACTS, LAYERS
 from stratalake.sources import sample_tables, synthetic
 from stratalake.sources.envelope import discover_schema, to_envelope
 from stratalake.sources.seed import seed_if_empty as seed_table
+from stratalake.sources.small import small_table
 from stratalake.sources.warehouse import Warehouse
 from stratalake.streaming import deduplicate, raw_stream, upsert_stream
 
@@ -27,6 +28,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
+STREAMS = ("raw_users", "raw_products", "raw_purchases")
+
 
 def utc_wall_clock(rows: DataFrame) -> DataFrame:
     """Timestamps as zone-less UTC, so a result reads the same in any session zone."""
@@ -63,46 +66,59 @@ def trial_folder(spark: SparkSession) -> str:
 
 
 class Sample:
-    """The sample tables seen as each layer; everything is lazy."""
+    """The sample tables seen as each layer; everything is lazy and described once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
-    def records(self) -> dict[str, DataFrame]:
-        return {
-            "raw_users": sample_tables.user_records(self.spark, self.sf_dir),
-            "raw_products": sample_tables.product_records(self.spark, self.sf_dir),
-            "raw_purchases": sample_tables.purchase_records(self.spark, self.sf_dir),
-        }
+    @functools.cache
+    def records(self, stream: str) -> DataFrame:
+        reader = {
+            "raw_users": sample_tables.user_records,
+            "raw_products": sample_tables.product_records,
+            "raw_purchases": sample_tables.purchase_records,
+        }[stream]
+        return reader(self.spark, self.sf_dir)
+
+    @functools.cache
+    def raw(self, stream: str) -> DataFrame:
+        return to_envelope(self.records(stream), as_of())
 
-    def raw(self) -> dict[str, DataFrame]:
-        return {name: to_envelope(rows, as_of()) for name, rows in self.records().items()}
+    def raw_tables(self) -> dict[str, DataFrame]:
+        return {stream: self.raw(stream) for stream in STREAMS}
 
+    @functools.cache
     def users(self) -> DataFrame:
-        return staging.typed(self.records()["raw_users"], staging.USER_FIELDS, as_of())
+        return staging.typed(self.records("raw_users"), staging.USER_FIELDS, as_of())
 
+    @functools.cache
     def products(self) -> DataFrame:
-        return staging.typed(self.records()["raw_products"], staging.PRODUCT_FIELDS, as_of())
+        return staging.typed(self.records("raw_products"), staging.PRODUCT_FIELDS, as_of())
 
+    @functools.cache
     def purchases(self) -> DataFrame:
-        return staging.typed(self.records()["raw_purchases"], staging.PURCHASE_FIELDS, as_of())
+        return staging.typed(self.records("raw_purchases"), staging.PURCHASE_FIELDS, as_of())
 
+    @functools.cache
     def dim_users(self) -> DataFrame:
         return marts.dim_users(self.users(), self.purchases(), self.products())
 
+    @functools.cache
     def dim_products(self) -> DataFrame:
         return marts.dim_products(self.products(), self.purchases())
 
+    @functools.cache
     def fct(self) -> DataFrame:
         return marts.fct_purchases(self.purchases(), self.products())
 
+    @functools.cache
     def gold(self) -> DataFrame:
         return gold.gold_user_purchases(self.dim_users(), self.fct(), as_of())
 
-    def tables(self) -> dict[str, DataFrame]:
+    def checked_tables(self) -> dict[str, DataFrame]:
         """Every table the declared checks look at."""
         return {
-            **self.raw(),
+            **self.raw_tables(),
             "stg_users": self.users(),
             "stg_products": self.products(),
             "stg_purchases": self.purchases(),
@@ -134,12 +150,12 @@ class Sample:
 @query
 def raw_envelope(spark, sf_dir):
     """Products as raw envelope rows: JSON payload, content id, emission time."""
-    return Sample(spark, sf_dir).raw()["raw_products"]
+    return Sample(spark, sf_dir).raw("raw_products")
 
 
 @query
 def raw_scan_counts(spark, sf_dir):
-    return analytics.table_counts(Sample(spark, sf_dir).raw())
+    return analytics.table_counts(Sample(spark, sf_dir).raw_tables())
 
 
 @query
@@ -147,7 +163,7 @@ def discover_raw_schema(spark, sf_dir):
     """Fields of the three streams with type, presence and null counts."""
     streams = [
         discover_schema(rows).select(F.lit(name).alias("stream"), "*")
-        for name, rows in Sample(spark, sf_dir).raw().items()
+        for name, rows in Sample(spark, sf_dir).raw_tables().items()
     ]
     found = functools.reduce(DataFrame.unionByName, streams)
     # Precision follows the digits seen; the family is what the streams have in common.
@@ -158,7 +174,7 @@ def discover_raw_schema(spark, sf_dir):
 @query
 def seed_if_empty(spark, sf_dir):
     """Seeding twice writes once."""
-    rows = Sample(spark, sf_dir).raw()["raw_products"]
+    rows = Sample(spark, sf_dir).raw("raw_products")
     warehouse = trial_warehouse(spark)
     for _ in range(2):
         seed_table(warehouse, rows, "raw", "raw_products")
@@ -169,10 +185,9 @@ def seed_if_empty(spark, sf_dir):
 def full_refresh_overwrite(spark, sf_dir):
     """Every stream replaced by a full refresh; the second load leaves no trace of the first."""
     warehouse = trial_warehouse(spark)
-    tables = {}
-    for name, rows in Sample(spark, sf_dir).raw().items():
-        warehouse.overwrite(rows.withColumn("data", F.lit(None).cast("string")), "raw", name)
-        tables[name] = warehouse.overwrite(rows, "raw", name)
+    streams = Sample(spark, sf_dir).raw_tables()
+    build.load_raw(warehouse, {n: rows.withColumn("data", F.lit(None).cast("string")) for n, rows in streams.items()})
+    tables = build.load_raw(warehouse, streams)
     counts = [
         rows.agg(F.count("*").alias("row_count"), F.count("data").alias("payloads")).select(
             F.lit(name).alias("table_name"), "row_count", "payloads"
@@ -199,23 +214,23 @@ def synthetic_ecommerce(spark, sf_dir):
 
 @query
 def stg_users(spark, sf_dir):
-    return staging.stg_users(Sample(spark, sf_dir).raw()["raw_users"])
+    return staging.stg_users(Sample(spark, sf_dir).raw("raw_users"))
 
 
 @query
 def stg_products(spark, sf_dir):
-    return staging.stg_products(Sample(spark, sf_dir).raw()["raw_products"])
+    return staging.stg_products(Sample(spark, sf_dir).raw("raw_products"))
 
 
 @query
 def stg_purchases(spark, sf_dir):
-    return staging.stg_purchases(Sample(spark, sf_dir).raw()["raw_purchases"])
+    return staging.stg_purchases(Sample(spark, sf_dir).raw("raw_purchases"))
 
 
 @query
 def stg_purchases_quarantine(spark, sf_dir):
     """Payloads with unusable values: what is kept, and which fields were rejected."""
-    records = Sample(spark, sf_dir).records()["raw_purchases"]
+    records = Sample(spark, sf_dir).records("raw_purchases")
     damaged = records.withColumns(
         {
             "user_id": F.when(F.col("user_id") < 0, "unknown").otherwise(F.col("user_id").cast("string")),
@@ -269,10 +284,9 @@ def gold_order_lines(spark, sf_dir):
 def full_build(spark, sf_dir):
     """Raw JSON to gold with every contract, check and gate on the way; the published gold table."""
     sample = Sample(spark, sf_dir)
-    records = sample.records()
     lines = sample.order_lines().drop("loaded_at").withColumnRenamed("purchase_id", "id")
-    raw = {name: to_envelope(rows, as_of()) for name, rows in {**records, "raw_purchases": lines}.items()}
     warehouse = trial_warehouse(spark)
+    raw = build.load_raw(warehouse, {**sample.raw_tables(), "raw_purchases": to_envelope(lines, as_of())})
     build.build(warehouse, raw, as_of())
     return warehouse.ref("gold", "gold_user_purchases")
 
@@ -389,7 +403,7 @@ def rfm_features(spark, sf_dir):
 
 def _checked(spark, sf_dir, test_type):
     """All declared checks of one kind, over the tables that declare them."""
-    tables = Sample(spark, sf_dir).tables()
+    tables = Sample(spark, sf_dir).checked_tables()
     parts = [
         checks.run_checks(tables[name], LAYERS[name], name, chosen, tables)
         for name, declared in CHECKS.items()
@@ -426,7 +440,7 @@ def check_relationships(spark, sf_dir):
 @query
 def check_expression(spark, sf_dir):
     """The declared conditions, and one that many products break."""
-    tables = Sample(spark, sf_dir).tables()
+    tables = Sample(spark, sf_dir).checked_tables()
     parts = [
         checks.run_checks(tables[name], LAYERS[name], name, chosen)
         for name, declared in CHECKS.items()
@@ -488,7 +502,7 @@ def check_failing_rows(spark, sf_dir):
 @query
 def check_suite(spark, sf_dir):
     """All declared checks over all tables."""
-    tables = Sample(spark, sf_dir).tables()
+    tables = Sample(spark, sf_dir).checked_tables()
     parts = [
         checks.run_checks(tables[name], LAYERS[name], name, declared, tables) for name, declared in CHECKS.items()
     ]
@@ -498,7 +512,7 @@ def check_suite(spark, sf_dir):
 @query
 def source_freshness(spark, sf_dir):
     """Streams 6, 18 and 30 hours old, and one that is empty."""
-    raw = Sample(spark, sf_dir).raw()
+    raw = Sample(spark, sf_dir).raw_tables()
     hours = {"raw_users": 6, "raw_products": 18, "raw_purchases": 30}
     aged = {n: r.withColumn("emitted_at", F.col("emitted_at") - F.make_dt_interval(F.lit(0), F.lit(hours[n]))) for n, r in raw.items()}
     aged["raw_empty"] = raw["raw_users"].where(F.col("data").isNull())
@@ -535,7 +549,7 @@ def wap_report(spark, sf_dir):
         )
     except GateClosed as closed:
         reports.append(closed.report)
-    return spark.createDataFrame([r.as_row() for r in reports], REPORT)
+    return small_table(spark, [r.as_row() for r in reports], REPORT)
 
 
 # --- observability ---------------------------------------------------------------------
@@ -782,7 +796,7 @@ def distribution_anomaly(spark, sf_dir):
 def stream_dedup(spark, sf_dir):
     """Purchases delivered twice as a stream of files: deduplicated, staged and upserted by day."""
     folder = trial_folder(spark)
-    raw = Sample(spark, sf_dir).raw()["raw_purchases"]
+    raw = Sample(spark, sf_dir).raw("raw_purchases")
     for _ in range(2):
         raw.write.mode("append").parquet(f"{folder}/arrivals")
     arrivals = deduplicate(raw_stream(spark, f"{folder}/arrivals"), ["record_id"], "emitted_at", "1 hour")
