@@ -58,11 +58,18 @@ def upsert_partitions(
     """Upsert into a partitioned table, rewriting only the partitions the delta touches.
 
     A key must always fall into the same partition. Repeating a delta gives the same
-    table, so a retried load is harmless.
+    table, so a retried load is harmless. The touched partition values (a calendar's worth
+    for daily partitions) are fetched first: as literals they prune the scan of the table,
+    which a join against the delta would not do.
     """
-    existing = _existing(delta.sparkSession, path, delta)
-    touched = delta.select(partition).distinct()
-    affected = existing.join(touched, partition, "left_semi")
+    touched = [row[0] for row in delta.select(partition).distinct().collect()]
+    if not touched:
+        return
+    value = F.col(partition)
+    wanted = value.isin([v for v in touched if v is not None])
+    if None in touched:
+        wanted = wanted | value.isNull()
+    affected = _existing(delta.sparkSession, path, delta).where(wanted)
     overwrite_partitions(upsert(affected, delta, keys, newest_first), path, [partition])
 
 

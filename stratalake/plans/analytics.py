@@ -167,22 +167,17 @@ def segmentation_features(gold: DataFrame, as_of: Column) -> DataFrame:
         "avg_purchase_value",
         "return_rate_pct",
     )
-    cuts = features.agg(
-        *[
-            F.expr(f"approx_percentile({c}, array(0.25, 0.5, 0.75), 10000)").alias(c)
-            for c in ("recency_days", "frequency", "monetary")
-        ]
-    )
+    scored = ("recency_days", "frequency", "monetary")
+    quartiles = [F.expr(f"approx_percentile({c}, array(0.25, 0.5, 0.75), 10000)").alias(c) for c in scored]
+    cuts = features.agg(F.struct(*quartiles)).scalar()  # one subquery for all three
 
     def steps_above(column: str) -> Column:
-        thresholds = cuts.select(column).scalar()
-        value = F.col(column)
-        above = [F.when(value > F.get(thresholds, F.lit(i)), 1).otherwise(0) for i in range(3)]
+        above = [(F.col(column) > cuts[column][i]).cast("int") for i in range(3)]
         return above[0] + above[1] + above[2]
 
     return features.withColumns(
         {
-            "recency_score": F.when(F.col("recency_days").isNotNull(), 4 - steps_above("recency_days")),
+            "recency_score": 4 - steps_above("recency_days"),
             "frequency_score": 1 + steps_above("frequency"),
             "monetary_score": 1 + steps_above("monetary"),
         }

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 
 from stratalake.operators.checks import run_checks
 from stratalake.operators.publish import GateClosed, History, PublishReport, write_audit_publish
+from stratalake.operators.unit_tests import require
 from stratalake.plans import gold, marts, staging
-from stratalake.plans.spec import CHECKS, CONTRACTS, LAYERS, UPSTREAM, VERSIONS
+from stratalake.plans.spec import CHECKS, CONTRACTS, LAYERS, UNIT_TESTS, UPSTREAM, VERSIONS
 from stratalake.sources.warehouse import Warehouse
 
 # Tables that can be built side by side; a table comes after those it reads or refers to.
@@ -56,11 +57,11 @@ def _together(step: Callable[[str], PublishReport], names: Sequence[str]) -> lis
     return [p.result() for p in pending]
 
 
-def load_raw(warehouse: Warehouse, streams: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Full refresh: every stream's raw table replaced, all streams at the same time."""
-    with ThreadPoolExecutor(max_workers=max(1, len(streams))) as pool:
-        tables = pool.map(lambda name: warehouse.overwrite(streams[name], LAYERS[name], name), streams)
-        return dict(zip(streams, tables))
+def write_together(warehouse: Warehouse, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Replace several tables at the same time, as the full refresh of all raw streams does."""
+    with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
+        written = pool.map(lambda name: warehouse.overwrite(tables[name], LAYERS[name], name), tables)
+        return dict(zip(tables, written))
 
 
 def build(
@@ -71,10 +72,12 @@ def build(
 ) -> list[PublishReport]:
     """Build all models step by step; a closed gate keeps every later step from starting.
 
+    A model's unit tests come first, then its contract, its rows, and their checks.
     The tables of one step do not depend on each other, so their jobs run side by side
     and share the cluster. Staging is written, not left as a view: three marts and the
     checks read it, and each would parse the JSON again.
     """
+    spark = warehouse.spark
     history = History(warehouse, invocation_id)
     tables = dict(raw)
 
@@ -103,6 +106,8 @@ def build(
     try:
         reports = _together(check_raw, list(raw))
         for names in STEPS:
+            for name in names:
+                require(spark, UNIT_TESTS.get(name, ()), lambda ref, name=name: model_rows(name, ref, as_of))
             reports += _together(make, names)
             for name in names:
                 tables[name] = warehouse.ref(LAYERS[name], name, VERSIONS.get(name))

@@ -10,6 +10,7 @@ from stratalake.operators.checks import (
     relationships,
     unique,
 )
+from stratalake.operators.unit_tests import UnitTest
 
 # Columns and types of the contracted models.
 CONTRACTS: dict[str, list[tuple[str, str]]] = {
@@ -148,6 +149,52 @@ CHECKS: dict[str, list[Check]] = {
     ],
 }
 
+
+
+def _gold_test(name: str, user: dict, purchases: list[dict], expect: dict) -> UnitTest:
+    return UnitTest(
+        name,
+        {
+            "dim_users": (CONTRACTS["dim_users"], [{"user_id": 1, **user}]),
+            "fct_purchases": (CONTRACTS["fct_purchases"], [{"user_id": 1, **p} for p in purchases]),
+        },
+        [{"user_id": 1, **expect}],
+    )
+
+
+# Given and expected values of the gold model's unit tests.
+UNIT_TESTS: dict[str, list[UnitTest]] = {
+    "gold_user_purchases": [
+        _gold_test(
+            "return_rate_calculation",
+            {"total_purchases": 10, "total_spent": "500.00", "total_returns": 3},
+            [{"purchase_id": 1, "product_make": "TestMake", "product_model": "TestModel", "product_price": "50.00", "purchased_at": "2024-06-01"}],
+            {"return_rate_pct": "30.0"},
+        ),
+        _gold_test(
+            "avg_purchase_value",
+            {"total_purchases": 3, "total_spent": "250.00", "total_returns": 0},
+            [{"purchase_id": 1, "product_make": "TestMake", "product_model": "TestModel", "product_price": "83.33", "purchased_at": "2024-06-01"}],
+            {"avg_purchase_value": "83.33"},
+        ),
+        _gold_test(
+            "user_with_no_returns",
+            {"total_purchases": 5, "total_spent": "200.00", "total_returns": 0},
+            [{"purchase_id": 1, "product_make": "TestMake", "product_model": "TestModel", "product_price": "40.00", "purchased_at": "2024-05-01"}],
+            {"return_rate_pct": "0.0"},
+        ),
+        _gold_test(
+            "last_purchased_product",
+            {"total_purchases": 2, "total_spent": "300.00", "total_returns": 0},
+            [
+                {"purchase_id": 1, "product_make": "OldMake", "product_model": "OldModel", "product_price": "100.00", "purchased_at": "2024-01-15"},
+                {"purchase_id": 2, "product_make": "NewMake", "product_model": "NewModel", "product_price": "200.00", "purchased_at": "2024-06-01"},
+            ],
+            {"last_purchased_product": "NewMake NewModel", "last_purchased_price": "200.00"},
+        ),
+    ],
+}
+
 LAYERS: dict[str, str] = {
     "raw_users": "raw",
     "raw_products": "raw",

@@ -40,7 +40,9 @@ def upsert_stream(
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()  # read by several jobs; recomputed if an executor is lost
         upsert_partitions(batch, path, keys, newest_first, partition)
+        batch.unpersist()
 
     return (
         rows.writeStream.foreachBatch(load)

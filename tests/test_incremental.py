@@ -1,0 +1,130 @@
+import uuid
+from datetime import date
+
+import pytest
+from conftest import rows, ts
+from pyspark.sql import functions as F
+
+from stratalake import shared_root
+from stratalake.operators import anomaly, compare, incremental, snapshots
+
+
+def folder(spark):
+    return f"{shared_root(spark)}/{uuid.uuid4().hex}"
+
+
+def events(spark, *values):
+    return spark.createDataFrame([(i, ts(at), v) for i, at, v in values], "id int, at timestamp, value string")
+
+
+def test_high_water(spark):
+    source = events(spark, (1, "2024-01-01", "a"), (2, "2024-01-02", "b"), (3, "2024-01-03", "c"))
+    assert incremental.rows_after_high_water(source, source.where("id <= 2"), "at").select("id").first().id == 3
+    assert incremental.rows_after_high_water(source, source.where("id > 9"), "at").count() == 3
+    plan = incremental.rows_after_high_water(source, source.where("id <= 2"), "at")._jdf.queryExecution().toString()
+    assert "2024-01-02" in plan and "subquery" not in plan.lower()
+
+
+def test_upsert_takes_the_newest_delta_row(spark):
+    target = events(spark, (1, "2024-01-01", "old"), (2, "2024-01-01", "keep"))
+    delta = events(spark, (1, "2024-01-02", "mid"), (1, "2024-01-03", "new"), (3, "2024-01-01", "add"))
+    merged = incremental.upsert(target, delta, ["id"], [F.col("at").desc()])
+    assert rows(merged.select("id", "value")) == [(1, "new"), (2, "keep"), (3, "add")]
+    assert rows(incremental.upsert(merged, delta, ["id"], [F.col("at").desc()])) == rows(merged)
+
+
+def test_delete_insert_keeps_every_delta_row(spark):
+    target = events(spark, (1, "2024-01-01", "x"), (1, "2024-01-01", "y"), (2, "2024-01-01", "keep"))
+    delta = events(spark, (1, "2024-01-02", "a"), (1, "2024-01-02", "b"))
+    assert rows(incremental.delete_insert(target, delta, ["id"]).select("id", "value")) == [(1, "a"), (1, "b"), (2, "keep")]
+
+
+def test_upsert_rewrites_touched_partitions_only(spark):
+    path = folder(spark)
+    by_day = lambda frame: frame.withColumn("day", F.to_date("at"))
+    newest = [F.col("at").desc()]
+    first = by_day(events(spark, (1, "2024-01-01", "a"), (2, "2024-01-02", "b"), (3, None, "undated")))
+    incremental.upsert_partitions(first, path, ["id"], newest, "day")
+    before = {r.f for r in spark.read.parquet(path).where("day = '2024-01-01'").select(F.input_file_name().alias("f")).collect()}
+    delta = by_day(events(spark, (2, "2024-01-02 01:00:00", "B"), (4, "2024-01-02", "d"), (3, None, "still undated")))
+    for _ in range(2):
+        incremental.upsert_partitions(delta, path, ["id"], newest, "day")
+    table = spark.read.parquet(path)
+    assert rows(table.select("id", "value")) == [(1, "a"), (2, "B"), (3, "still undated"), (4, "d")]
+    assert {r.f for r in table.where("day = '2024-01-01'").select(F.input_file_name().alias("f")).collect()} == before
+
+
+def test_microbatch_lookback(spark):
+    path = folder(spark)
+    on_time = events(spark, (1, "2024-01-01", "a"), (2, "2024-01-02", "b"), (3, "2024-01-03", "c"))
+    incremental.microbatch(on_time, path, "at", date(2024, 1, 1), date(2024, 1, 3), lookback=0)
+    late = on_time.union(events(spark, (9, "2024-01-01", "too late"), (8, "2024-01-02", "late")))
+    incremental.microbatch(late, path, "at", date(2024, 1, 3), date(2024, 1, 4), lookback=1)
+    assert rows(spark.read.parquet(path).select("id")) == [(1,), (2,), (3,), (8,)]
+
+
+def test_schema_policies(spark):
+    target = spark.createDataFrame([(1, "a")], "id int, old string")
+    incoming = spark.createDataFrame([(2, 5)], "id int, new int")
+    assert incremental.evolve_schema(target, incoming, "ignore").columns == ["id", "old"]
+    appended = incremental.evolve_schema(target, incoming, "append_new_columns")
+    assert appended.columns == ["id", "old", "new"] and rows(appended) == [(1, "a", None), (2, None, 5)]
+    assert incremental.evolve_schema(target, incoming, "sync_all_columns").columns == ["id", "new"]
+    with pytest.raises(incremental.SchemaChanged):
+        incremental.evolve_schema(target, incoming)
+    assert incremental.evolve_schema(target, target).count() == 2
+    assert incremental.versioned_projection(appended, exclude=["old"]).columns == ["id", "new"]
+
+
+def people(spark, *values):
+    return spark.createDataFrame([(i, city, ts(at)) for i, city, at in values], "id int, city string, updated_at timestamp")
+
+
+def at(text):
+    return F.lit(text).cast("timestamp")
+
+
+def test_snapshot_by_timestamp(spark):
+    history = snapshots.first_snapshot(people(spark, (1, "Rome", "2024-01-01"), (2, "Oslo", "2024-01-01")), ["id"], F.col("updated_at"))
+    later = people(spark, (1, "Paris", "2024-02-01"), (2, "Lima", "2024-01-01"), (3, "Bern", "2024-02-05"))
+    second = snapshots.snapshot(history, later, ["id"], at("2024-03-01"), updated_at="updated_at")
+    assert rows(second.select("id", "city", "valid_from", "valid_to")) == [
+        (1, "Paris", ts("2024-02-01"), None),
+        (1, "Rome", ts("2024-01-01"), ts("2024-02-01")),
+        (2, "Oslo", ts("2024-01-01"), None),  # no newer timestamp, so no new version
+        (3, "Bern", ts("2024-02-05"), None),
+    ]
+    third = snapshots.snapshot(second, later, ["id"], at("2024-04-01"), updated_at="updated_at")
+    assert rows(third) == rows(second)
+    assert third.select("scd_id").distinct().count() == 4
+
+
+def test_snapshot_by_columns_with_deletes_and_nulls(spark):
+    history = snapshots.first_snapshot(people(spark, (1, None, "2024-01-01"), (2, "Oslo", "2024-01-01"), (3, None, "2024-01-01")), ["id"], at("2024-01-01"))
+    later = people(spark, (1, None, "2024-02-01"), (3, "Bern", "2024-01-01"))
+    result = snapshots.snapshot(history, later, ["id"], at("2024-03-01"), check_columns=["city"], close_deleted=True)
+    assert rows(result.select("id", "city", "valid_from", "valid_to")) == [
+        (1, None, ts("2024-01-01"), None),
+        (2, "Oslo", ts("2024-01-01"), ts("2024-03-01")),
+        (3, "Bern", ts("2024-03-01"), None),
+        (3, None, ts("2024-01-01"), ts("2024-03-01")),
+    ]
+
+
+def test_compare(spark):
+    a = spark.createDataFrame([(1, "x", 1), (2, "y", None), (3, "z", 3), (5, "d", 1), (5, "d", 2)], "id int, name string, n int")
+    b = spark.createDataFrame([(1, "x", 1), (2, "y", 2), (4, "w", 4), (5, "d", 1)], "id int, name string, n int")
+    assert rows(compare.compare_relations(a, b, ["id"])) == [("changed", 1), ("duplicate_key", 1), ("identical", 1), ("only_in_a", 1), ("only_in_b", 1)]
+    assert rows(compare.compare_columns(a, b, ["id"])) == [("n", 1, 1), ("name", 2, 0)]
+    assert rows(compare.row_differences(a, b)) == [(3, 2)]
+    assert rows(compare.row_differences(a, a)) == [(0, 0)]
+
+
+def test_anomaly(spark):
+    counts = [10, 11, 9, 10, 11, 9, 10, 11, 60, 10]
+    daily = spark.createDataFrame([(date(2024, 1, i + 1), n) for i, n in enumerate(counts)], "day date, row_count bigint")
+    found = {r.day.day: r for r in anomaly.anomalies(daily, "row_count").collect()}
+    assert [d for d, r in found.items() if r.is_anomaly] == [9]
+    assert found[7].z_score is None and found[8].z_score is not None
+    flat = daily.withColumn("row_count", F.lit(5))
+    assert all(r.z_score is None for r in anomaly.anomalies(flat, "row_count").collect())
