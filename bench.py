@@ -19,7 +19,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from verification.queries import QUERIES  # noqa: E402
 
 HEADLINE = [
-    "full_build",
     "gold_order_lines",
     "gold_user_purchases",
     "stg_users",
@@ -40,6 +39,7 @@ HEADLINE = [
     "scd2_snapshot",
     "compare_relations",
     "stream_dedup",
+    "full_build",
 ]
 
 

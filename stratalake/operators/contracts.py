@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.sources.small import small_table
@@ -57,4 +56,4 @@ def enforce(rows: DataFrame, contract: Contract) -> DataFrame:
     problems = contract_problems(rows.schema, contract)
     if problems:
         raise ContractViolation("; ".join(f"{c}: {p} (expected {e}, got {a})" for c, p, e, a in problems))
-    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in declared_schema(contract)])
+    return rows.selectExpr(*[f"CAST(`{name}` AS {dtype}) AS `{name}`" for name, dtype in contract])

@@ -23,9 +23,9 @@ def rows_after_high_water(source: DataFrame, target: DataFrame, cursor: str) ->
 
 def upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str], newest_first: Sequence[Column]) -> DataFrame:
     """Target rows with those of the delta replaced or added, newest delta row per key."""
-    newest = latest_per_key(delta, keys, newest_first)
-    untouched = target.join(newest.select(*keys), list(keys), "left_anti")
-    return untouched.unionByName(newest)
+    replaced = delta.select(*keys).distinct()
+    untouched = target.join(replaced, list(keys), "left_anti")
+    return untouched.unionByName(latest_per_key(delta, keys, newest_first))
 
 
 def delete_insert(target: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -7,7 +7,6 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stratalake.operators.contracts import Contract, declared_schema
 from stratalake.sources.small import small_table
@@ -31,7 +30,8 @@ def given_rows(spark: SparkSession, contract: Contract, rows: Sequence[Mapping])
     schema = declared_schema(contract)
     text = ", ".join(f"`{f.name}` string" for f in schema)
     values = [tuple(None if r.get(f.name) is None else str(r[f.name]) for f in schema) for r in rows]
-    return small_table(spark, values, text).select(*[F.col(f.name).cast(f.dataType) for f in schema])
+    casts = [f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema]
+    return small_table(spark, values, text).selectExpr(*casts)
 
 
 def differences(spark: SparkSession, test: UnitTest, model: Callable[[Mapping[str, DataFrame]], DataFrame]) -> list:

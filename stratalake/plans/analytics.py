@@ -79,18 +79,12 @@ def value_vs_return_rate(gold: DataFrame) -> DataFrame:
 def purchase_timeline(gold: DataFrame) -> DataFrame:
     """Customers whose first or last purchase fell on each day."""
 
-    def per_day(column: str, activity: str) -> DataFrame:
-        day = F.to_date(column)
-        return (
-            gold.where(F.col(column).isNotNull())
-            .groupBy(day.alias("day"))
-            .agg(F.count("*").alias("customers"))
-            .select(F.lit(activity).alias("activity"), "day", "customers")
-        )
-
+    days = "stack(2, 'first', to_date(first_purchase_at), 'last', to_date(last_purchase_at)) AS (activity, day)"
     return (
-        per_day("first_purchase_at", "first")
-        .unionByName(per_day("last_purchase_at", "last"))
+        gold.selectExpr(days)
+        .where("day IS NOT NULL")
+        .groupBy("activity", "day")
+        .agg(F.count("*").alias("customers"))
         .orderBy("activity", "day")
     )
 
@@ -168,11 +162,11 @@ def segmentation_features(gold: DataFrame, as_of: Column) -> DataFrame:
         "return_rate_pct",
     )
     scored = ("recency_days", "frequency", "monetary")
-    quartiles = [F.expr(f"approx_percentile({c}, array(0.25, 0.5, 0.75), 10000)").alias(c) for c in scored]
-    cuts = features.agg(F.struct(*quartiles)).scalar()  # one subquery for all three
+    quartiles = [F.expr(f"approx_percentile({c}, array(0.25, 0.5, 0.75), 10000) AS {c}") for c in scored]
+    cuts = features.agg(*quartiles).first()  # nine numbers
 
     def steps_above(column: str) -> Column:
-        above = [(F.col(column) > cuts[column][i]).cast("int") for i in range(3)]
+        above = [(F.col(column) > F.lit(cut)).cast("int") for cut in cuts[column] or (None,) * 3]
         return above[0] + above[1] + above[2]
 
     return features.withColumns(

@@ -77,7 +77,6 @@ def build(
     and share the cluster. Staging is written, not left as a view: three marts and the
     checks read it, and each would parse the JSON again.
     """
-    spark = warehouse.spark
     history = History(warehouse, invocation_id)
     tables = dict(raw)
 
@@ -103,14 +102,20 @@ def build(
             history=history,
         )
 
+    def unit_test(name: str) -> None:
+        require(warehouse.spark, UNIT_TESTS.get(name, ()), lambda ref: model_rows(name, ref, as_of))
+
+    beside = ThreadPoolExecutor(max_workers=1)  # unit tests need no data, so they run early
+    unit_tests = {name: beside.submit(unit_test, name) for name in UPSTREAM}
     try:
         reports = _together(check_raw, list(raw))
         for names in STEPS:
             for name in names:
-                require(spark, UNIT_TESTS.get(name, ()), lambda ref, name=name: model_rows(name, ref, as_of))
+                unit_tests[name].result()
             reports += _together(make, names)
             for name in names:
                 tables[name] = warehouse.ref(LAYERS[name], name, VERSIONS.get(name))
     finally:
+        beside.shutdown(cancel_futures=True)
         history.flush()
     return reports

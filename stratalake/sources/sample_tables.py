@@ -106,7 +106,7 @@ def order_line_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-        .agg(F.min("l_returnflag").alias("flag"), F.min("l_shipdate").alias("shipped"))
+        .agg(F.bool_and(F.col("l_returnflag") == "R").alias("returned"), F.min("l_shipdate").alias("shipped"))
     )
     orders = table(spark, sf_dir, "orders")
     line_key = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1000000 + F.col("l_partkey")
@@ -116,7 +116,7 @@ def order_line_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").alias("product_id"),
         F.col("o_orderdate").cast("timestamp").alias("purchased_at"),
         F.col("o_orderdate").cast("timestamp").alias("added_to_cart_at"),
-        F.when(F.col("flag") == "R", F.col("shipped").cast("timestamp")).alias("returned_at"),
+        F.when(F.col("returned"), F.col("shipped").cast("timestamp")).alias("returned_at"),
         emitted_at().alias("loaded_at"),
     )
 
