@@ -16,7 +16,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 RESULT = (
@@ -247,3 +247,16 @@ def freshness(
         .otherwise("pass")
     )
     return reduce(DataFrame.unionByName, rows).withColumn("age_seconds", age).withColumn("status", status)
+
+
+class StaleSource(RuntimeError):
+    """A source is older than its error threshold."""
+
+
+def require_fresh(report: DataFrame) -> list[Row]:
+    """The rows of a :func:`freshness` report, or :class:`StaleSource` if one is an error."""
+    rows = report.collect()
+    stale = [f"{r.source_name} ({r.age_seconds} s)" for r in rows if r.status == "error"]
+    if stale:
+        raise StaleSource(", ".join(stale))
+    return rows

@@ -7,10 +7,17 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame
 
-from stratalake.operators.checks import run_checks
-from stratalake.operators.publish import GateClosed, History, PublishReport, write_audit_publish
+from stratalake.operators.checks import freshness, require_fresh, run_checks
+from stratalake.operators.publish import (
+    HISTORY_LAYER,
+    GateClosed,
+    History,
+    PublishReport,
+    write_audit_publish,
+)
 from stratalake.operators.unit_tests import require
 from stratalake.plans import gold, marts, staging
+from stratalake.plans.lineage import declared_models
 from stratalake.plans.spec import CHECKS, CONTRACTS, LAYERS, UNIT_TESTS, UPSTREAM, VERSIONS
 from stratalake.sources.warehouse import Warehouse
 
@@ -69,9 +76,11 @@ def build(
     raw: Mapping[str, DataFrame],
     as_of: Column | None = None,
     invocation_id: str | None = None,
+    fresh_as_of: Column | None = None,
 ) -> list[PublishReport]:
     """Build all models step by step; a closed gate keeps every later step from starting.
 
+    With ``fresh_as_of`` a stale source stops the build before anything is written.
     A model's unit tests come first, then its contract, its rows, and their checks.
     The tables of one step do not depend on each other, so their jobs run side by side
     and share the cluster. Staging is written, not left as a view: three marts and the
@@ -105,8 +114,11 @@ def build(
     def unit_test(name: str) -> None:
         require(warehouse.spark, UNIT_TESTS.get(name, ()), lambda ref: model_rows(name, ref, as_of))
 
-    beside = ThreadPoolExecutor(max_workers=1)  # unit tests need no data, so they run early
+    if fresh_as_of is not None:
+        require_fresh(freshness(raw, "emitted_at", fresh_as_of))
+    beside = ThreadPoolExecutor(max_workers=1)  # needs no data, so it runs next to the first steps
     unit_tests = {name: beside.submit(unit_test, name) for name in UPSTREAM}
+    registry = beside.submit(warehouse.overwrite, declared_models(warehouse.spark), HISTORY_LAYER, "models")
     try:
         reports = _together(check_raw, list(raw))
         for names in STEPS:
@@ -115,6 +127,7 @@ def build(
             reports += _together(make, names)
             for name in names:
                 tables[name] = warehouse.ref(LAYERS[name], name, VERSIONS.get(name))
+        registry.result()
     finally:
         beside.shutdown(cancel_futures=True)
         history.flush()

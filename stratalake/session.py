@@ -17,6 +17,9 @@ SETTINGS = {
     # coalescing of small ones and splitting of large rebalanced ones before a write.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Parquet files are several times smaller than their rows in memory; a table is judged
+    # small enough to broadcast by the larger figure.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Streaming state lives on disk with changes written to the checkpoint, not on the heap.
     "spark.sql.streaming.stateStore.providerClass": (

@@ -10,13 +10,18 @@ from __future__ import annotations
 
 import time
 import uuid
+import warnings
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
 from stratalake.session import shared_root
 
 
+_DEPRECATED = "deprecation_date"
+
+
 class Warehouse:
     """Databases (one per layer) under the shared folder.
 
@@ -66,10 +71,19 @@ class Warehouse:
         writer.saveAsTable(generation)
         return generation
 
-    def publish(self, generation: str, layer: str, name: str, version: int | None = None, latest: bool = True) -> None:
+    def publish(
+        self,
+        generation: str,
+        layer: str,
+        name: str,
+        version: int | None = None,
+        latest: bool = True,
+        deprecated_on: date | None = None,
+    ) -> None:
         """Point the public name, and for the latest version the bare name, at a generation."""
         public = self.relation(layer, name, version)
-        self.spark.sql(f"CREATE OR REPLACE VIEW {public} AS SELECT * FROM {generation}")
+        properties = f"TBLPROPERTIES ('{_DEPRECATED}' = '{deprecated_on}')" if deprecated_on else ""
+        self.spark.sql(f"CREATE OR REPLACE VIEW {public} {properties} AS SELECT * FROM {generation}")
         if version is not None and latest:
             self.spark.sql(f"CREATE OR REPLACE VIEW {self.relation(layer, name)} AS SELECT * FROM {public}")
 
@@ -81,10 +95,11 @@ class Warehouse:
         version: int | None = None,
         partition_by: Sequence[str] = (),
         latest: bool = True,
+        deprecated_on: date | None = None,
     ) -> DataFrame:
         """Replace a table's rows (the rows may be computed from the table itself)."""
         generation = self.write_generation(rows, layer, name, version, partition_by)
-        self.publish(generation, layer, name, version, latest)
+        self.publish(generation, layer, name, version, latest, deprecated_on)
         return self.ref(layer, name, version)
 
     def append(self, rows: DataFrame, layer: str, name: str) -> None:
@@ -92,7 +107,15 @@ class Warehouse:
         rows.write.format("parquet").mode("append").saveAsTable(self.relation(layer, name))
 
     def ref(self, layer: str, name: str, version: int | None = None) -> DataFrame:
-        return self.spark.table(self.relation(layer, name, version))
+        """A table by its public name; a version with a deprecation date warns its readers."""
+        relation = self.relation(layer, name, version)
+        if version is not None and (retired := self.deprecated_on(layer, name, version)):
+            warnings.warn(f"{relation} is deprecated as of {retired}", DeprecationWarning, stacklevel=2)
+        return self.spark.table(relation)
+
+    def deprecated_on(self, layer: str, name: str, version: int) -> str | None:
+        properties = self.spark.sql(f"SHOW TBLPROPERTIES {self.relation(layer, name, version)}").collect()
+        return next((p.value for p in properties if p.key == _DEPRECATED), None)
 
     def exists(self, layer: str, name: str, version: int | None = None) -> bool:
         return self.spark.catalog.tableExists(self.relation(layer, name, version))

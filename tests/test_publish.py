@@ -1,3 +1,5 @@
+from datetime import date
+
 import pytest
 from conftest import rows
 from pyspark.errors import PySparkException
@@ -80,6 +82,9 @@ def test_versions(spark, warehouse):
     assert (warehouse.ref("gold", "g").first().id, warehouse.ref("gold", "g", 1).first().id) == (2, 1)
     warehouse.overwrite(numbers(spark, (9, None)), "gold", "g", version=1, latest=False)
     assert (warehouse.ref("gold", "g").first().id, warehouse.ref("gold", "g", 1).first().id) == (2, 9)
+    with pytest.warns(DeprecationWarning, match="2025-06-30"):
+        warehouse.overwrite(first, "gold", "g", version=1, latest=False, deprecated_on=date(2025, 6, 30))
+    assert warehouse.deprecated_on("gold", "g", 2) is None
 
 
 def test_a_table_can_be_replaced_by_rows_computed_from_itself(spark, warehouse):

@@ -3,10 +3,12 @@
 import pytest
 from pyspark.sql import functions as F
 
+from stratalake.operators.checks import StaleSource
 from stratalake.operators.publish import HISTORY_LAYER
 from stratalake.plans import observability
 from stratalake.plans.build import all_models, build, write_together
 from stratalake.plans.lineage import declared_models, exposures, lineage_edges, unused_models
+from stratalake.plans.views import register_observability
 from stratalake.sources.seed import seed_if_empty, seed_records
 
 GOLD = [
@@ -61,9 +63,32 @@ def test_gated_build_and_its_history(spark, warehouse):
     assert observability.latest_failures(results).isEmpty()
     coverage = {r.model_name: r.test_count for r in observability.test_coverage(declared_models(spark), results).collect()}
     assert coverage["dim_users"] == 9 and coverage["gold_user_purchases"] == 10
-    cards = observability.kpi_cards(results, declared_models(spark), runs).first()
+    cards = observability.kpi_cards(results, warehouse.ref(HISTORY_LAYER, "models"), runs).first()
     assert (cards.total_tests, str(cards.pass_rate_pct), cards.model_count) == (54, "100.0", 7)
 
+    # The same tables through SQL, by the names reports use.
+    assert len(register_observability(warehouse)) == 6
+    newest = "SELECT total_tests, pass_rate_pct FROM v_test_pass_rate_trend ORDER BY run_date DESC LIMIT 1"
+    assert [(r[0], str(r[1])) for r in spark.sql(newest).collect()] == [(54, "100.0")]
+    by_model = (
+        "SELECT layer, model, sum(test_count) AS n FROM v_test_results_by_model WHERE invocation_id = "
+        "(SELECT invocation_id FROM v_test_pass_rate_trend ORDER BY run_date DESC LIMIT 1) GROUP BY layer, model"
+    )
+    assert {r.model: r.n for r in spark.sql(by_model).collect()}["stg_users"] == 7
+    assert spark.sql("SELECT max(completed_at) FROM v_invocation_history").first()[0] == cards.last_run
+    gold = warehouse.relation("gold", "gold_user_purchases", 1)
+    top = spark.sql(f"SELECT full_name FROM {gold} ORDER BY total_spent DESC LIMIT 3").collect()
+    assert [r.full_name for r in top] == ["Diana Müller", "Ethan Park", "Alice Johnson"]
+    recent = f"SELECT count(*) FROM {gold} WHERE last_purchase_at > TIMESTAMP '2024-08-10' - INTERVAL '30 days'"
+    assert spark.sql(recent).first()[0] == 5
+
+
+def test_stale_sources_stop_the_build(spark, warehouse):
+    raw = seed_records(spark)
+    with pytest.raises(StaleSource, match="raw_users"):
+        build(warehouse, raw, fresh_as_of=F.current_timestamp() + F.make_dt_interval(F.lit(2)))
+    assert not warehouse.exists("staging", "stg_users")
+
 
 @pytest.mark.parametrize("stream", ["raw_users", "raw_products", "raw_purchases"])
 def test_seeding_is_idempotent(spark, warehouse, stream):
