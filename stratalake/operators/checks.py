@@ -178,7 +178,26 @@ def run_checks(
     A check of severity ``warn`` never fails; otherwise more than ``error_above``
     failures fail and more than ``warn_above`` warn.
     """
-    counts = failure_counts(rows, checks, parents or {})
+    return _described(failure_counts(rows, checks, parents or {}), schema_name, table_name, checks)
+
+
+def audit(
+    rows: DataFrame,
+    schema_name: str,
+    table_name: str,
+    checks: Sequence[Check],
+    parents: Mapping[str, DataFrame] | None = None,
+) -> tuple[int, list[Row]]:
+    """The row count and the results of :func:`run_checks`, computed side by side."""
+    counts = rows.agg(F.expr("-1 AS no"), F.expr("count(*) AS failures"))
+    if checks:
+        counts = counts.unionByName(failure_counts(rows, checks, parents or {}))
+    found = _described(counts, schema_name, table_name, checks).collect()
+    total = next(r.failures for r in found if r.check_name is None)
+    return total, [r for r in found if r.check_name is not None]
+
+
+def _described(counts: DataFrame, schema_name: str, table_name: str, checks: Sequence[Check]) -> DataFrame:
     # One SQL literal instead of a Column object per field: building those would take
     # longer than checking a small table.
     declared = ", ".join(
@@ -186,7 +205,7 @@ def run_checks(
         f"'table_name', {_text(table_name)}, 'column_name', {_text(c.column)}, "
         f"'test_type', {_text(c.test_type)}, 'severity', {_text(c.severity)}, "
         f"'warn_above', {c.warn_above}L, 'error_above', {c.error_above}L)"
-        for c in checks
+        for c in [*checks, Check("", "")]  # one more, so that the array always has its type
     )
     described = counts.selectExpr(f"get(array({declared}), no) AS check", "failures").select("check.*", "failures")
     status = F.expr(

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from stratalake.operators.checks import Check, failing_rows, run_checks
+from stratalake.operators.checks import Check, audit, failing_rows
 from stratalake.operators.contracts import Contract, enforce
 from stratalake.sources.small import small_table
 from stratalake.sources.warehouse import Warehouse
@@ -118,7 +118,7 @@ def write_audit_publish(
     version: int | None = None,
     contract: Contract | None = None,
     checks: Sequence[Check] = (),
-    parents: Mapping[str, DataFrame] | None = None,
+    parents: Mapping[str, DataFrame] | Callable[[], Mapping[str, DataFrame]] | None = None,
     partition_by: Sequence[str] = (),
     history: History | None = None,
     store_failures: bool = False,
@@ -128,7 +128,8 @@ def write_audit_publish(
     The rows are computed once: the checks read the written generation, and publishing
     repoints the public name without moving data. On a failed check of severity ``error``
     the public name keeps its old rows and :class:`GateClosed` is raised. What comes back
-    to the driver is one row per check. Without a ``history`` the results are recorded at
+    to the driver is one row per check. ``parents`` may be a function: it is called after
+    the rows are written, when tables they refer to may just have been published. Without a ``history`` the results are recorded at
     once as an invocation of their own.
     """
     own_history = history is None
@@ -140,11 +141,10 @@ def write_audit_publish(
             rows = enforce(rows, contract)
         generation = warehouse.write_generation(rows, layer, name, version, partition_by)
         written = warehouse.spark.table(generation)
-        row_count = written.count()  # answered from the Parquet footers
-        results = run_checks(written, layer, name, checks, parents).collect() if checks else []
+        row_count, results = audit(written, layer, name, checks, parents() if callable(parents) else parents)
         history.add_results(results)
         if store_failures:
-            _store_failures(warehouse, written, name, checks, parents, results)
+            _store_failures(warehouse, written, name, checks, parents() if callable(parents) else parents, results)
         if any(r.status == "fail" for r in results):
             raise GateClosed(PublishReport(name, "blocked", row_count, results))
         warehouse.publish(generation, layer, name, version)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterable, Mapping
+from concurrent.futures import Future, ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame
 
-from stratalake.operators.checks import freshness, require_fresh, run_checks
+from stratalake.operators.checks import audit, freshness, require_fresh
 from stratalake.operators.publish import (
     HISTORY_LAYER,
     GateClosed,
@@ -21,14 +21,6 @@ from stratalake.plans.lineage import declared_models
 from stratalake.plans.spec import CHECKS, CONTRACTS, LAYERS, UNIT_TESTS, UPSTREAM, VERSIONS
 from stratalake.sources.warehouse import Warehouse
 
-# Tables that can be built side by side; a table comes after those it reads or refers to.
-STEPS = (
-    ("stg_users", "stg_products"),
-    ("stg_purchases",),
-    ("dim_users", "dim_products", "fct_purchases"),
-    ("gold_user_purchases",),
-)
-
 
 def model_rows(name: str, ref: Mapping[str, DataFrame], as_of: Column | None = None) -> DataFrame:
     """A model's rows from its upstream tables."""
@@ -57,13 +49,6 @@ def all_models(raw: Mapping[str, DataFrame], as_of: Column | None = None) -> dic
     return tables
 
 
-def _together(step: Callable[[str], PublishReport], names: Sequence[str]) -> list[PublishReport]:
-    """One step for several tables at the same time; all end before any error is raised."""
-    with ThreadPoolExecutor(max_workers=max(1, len(names))) as pool:
-        pending = [pool.submit(step, name) for name in names]
-    return [p.result() for p in pending]
-
-
 def write_together(warehouse: Warehouse, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Replace several tables at the same time, as the full refresh of all raw streams does."""
     with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
@@ -78,57 +63,53 @@ def build(
     invocation_id: str | None = None,
     fresh_as_of: Column | None = None,
 ) -> list[PublishReport]:
-    """Build all models step by step; a closed gate keeps every later step from starting.
+    """Check the raw tables and build every model; a closed gate blocks what depends on it.
 
-    With ``fresh_as_of`` a stale source stops the build before anything is written.
-    A model's unit tests come first, then its contract, its rows, and their checks.
-    The tables of one step do not depend on each other, so their jobs run side by side
-    and share the cluster. Staging is written, not left as a view: three marts and the
-    checks read it, and each would parse the JSON again.
+    With ``fresh_as_of`` a stale source stops the build before anything is written. A
+    model starts once the tables it reads are published: its unit tests first, then its
+    contract, its rows, and their checks. Models that do not wait for each other run side
+    by side and share the cluster. Staging is written, not left as a view: three marts and
+    the checks read it, and each would parse the JSON again.
     """
     history = History(warehouse, invocation_id)
-    tables = dict(raw)
+    if fresh_as_of is not None:
+        require_fresh(freshness(raw, "emitted_at", fresh_as_of))
+    done: dict[str, Future] = {}
 
-    def check_raw(name: str) -> PublishReport:
-        results = run_checks(raw[name], LAYERS[name], name, CHECKS[name]).collect()
+    def check_raw(name: str) -> tuple[PublishReport, DataFrame]:
+        row_count, results = audit(raw[name], LAYERS[name], name, CHECKS[name])
         history.add_results(results)
-        report = PublishReport(name, "checked", raw[name].count(), results)
         if any(r.status == "fail" for r in results):
-            report.outcome = "blocked"
-            raise GateClosed(report)
-        return report
+            raise GateClosed(PublishReport(name, "blocked", row_count, results))
+        return PublishReport(name, "checked", row_count, results), raw[name]
 
-    def make(name: str) -> PublishReport:
-        return write_audit_publish(
+    def published(names: Iterable[str]) -> dict[str, DataFrame]:
+        """The named tables, as soon as all of them are there."""
+        return {name: done[name].result()[1] for name in names}
+
+    def make(name: str) -> tuple[PublishReport, DataFrame]:
+        require(warehouse.spark, UNIT_TESTS.get(name, ()), lambda ref: model_rows(name, ref, as_of))
+        layer, version = LAYERS[name], VERSIONS.get(name)
+        report = write_audit_publish(
             warehouse,
-            model_rows(name, tables, as_of),
-            LAYERS[name],
+            model_rows(name, published(UPSTREAM[name]), as_of),
+            layer,
             name,
-            VERSIONS.get(name),
+            version,
             CONTRACTS.get(name),
             CHECKS[name],
-            tables,
+            lambda: published(c.parent for c in CHECKS[name] if c.parent),
             history=history,
         )
-
-    def unit_test(name: str) -> None:
-        require(warehouse.spark, UNIT_TESTS.get(name, ()), lambda ref: model_rows(name, ref, as_of))
-
-    if fresh_as_of is not None:
-        require_fresh(freshness(raw, "emitted_at", fresh_as_of))
-    beside = ThreadPoolExecutor(max_workers=1)  # needs no data, so it runs next to the first steps
-    unit_tests = {name: beside.submit(unit_test, name) for name in UPSTREAM}
-    registry = beside.submit(warehouse.overwrite, declared_models(warehouse.spark), HISTORY_LAYER, "models")
-    try:
-        reports = _together(check_raw, list(raw))
-        for names in STEPS:
-            for name in names:
-                unit_tests[name].result()
-            reports += _together(make, names)
-            for name in names:
-                tables[name] = warehouse.ref(LAYERS[name], name, VERSIONS.get(name))
-        registry.result()
-    finally:
-        beside.shutdown(cancel_futures=True)
-        history.flush()
-    return reports
+        return report, warehouse.ref(layer, name, version)
+
+    # A thread per table, so that waiting for other tables never holds one up.
+    with ThreadPoolExecutor(max_workers=len(raw) + len(UPSTREAM) + 1) as pool:
+        models = pool.submit(warehouse.overwrite, declared_models(warehouse.spark), HISTORY_LAYER, "models")
+        for name in raw:
+            done[name] = pool.submit(check_raw, name)
+        for name in UPSTREAM:
+            done[name] = pool.submit(make, name)
+    history.flush()
+    models.result()
+    return [future.result()[0] for future in done.values()]
