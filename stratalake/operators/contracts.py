@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.sources.small import small_table
 
 Contract = Sequence[tuple[str, str]]  # (column, type)
 
-DIFF = "column_name string, problem string, expected_type string, actual_type string"
+DIFF = "column_name string, problem string, expected_type string, actual_type string, affected_rows bigint"
 
 
 class ContractViolation(ValueError):
@@ -44,8 +45,34 @@ def contract_problems(schema: T.StructType, contract: Contract) -> list[tuple[st
 
 
 def contract_diff(rows: DataFrame, contract: Contract) -> DataFrame:
-    """The problems as rows; empty when the contract holds. Only schemas are compared."""
-    return small_table(rows.sparkSession, contract_problems(rows.schema, contract), DIFF)
+    """The problems as rows, with how many rows each affects; empty when the contract holds.
+
+    Wrong names and types affect every row. Where the type is right, one pass counts the
+    values beyond the declared precision, which :func:`enforce` would raise on.
+    """
+    wrong = contract_problems(rows.schema, contract)
+    named_wrong = {column for column, *_ in wrong}
+    actual = {f.name: f.dataType.simpleString() for f in rows.schema}
+    decimals = [f for f in declared_schema(contract) if f.name not in named_wrong and isinstance(f.dataType, T.DecimalType)]
+    counts = [F.expr("count(*) AS total")] + [
+        F.expr(f"count_if(`{f.name}` IS NOT NULL AND try_cast(`{f.name}` AS {f.dataType.simpleString()}) IS NULL) AS over{i}")
+        for i, f in enumerate(decimals)
+    ]
+    problems = [(*problem, "total") for problem in wrong] + [
+        (f.name, "overflow", f.dataType.simpleString(), actual[f.name], f"over{i}") for i, f in enumerate(decimals)
+    ]
+    if not problems:
+        return small_table(rows.sparkSession, [], DIFF)
+    entries = ", ".join(
+        f"named_struct('column_name', {_text(c)}, 'problem', {_text(p)}, 'expected_type', {_text(e)}, "
+        f"'actual_type', {_text(a)}, 'affected_rows', {n})"
+        for c, p, e, a, n in problems
+    )
+    return rows.agg(*counts).selectExpr(f"inline(array({entries}))").where("problem <> 'overflow' OR affected_rows > 0")
+
+
+def _text(value: str | None) -> str:
+    return "CAST(NULL AS STRING)" if value is None else f"'{value}'"
 
 
 def enforce(rows: DataFrame, contract: Contract) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.operators.dedup import latest_per_key
@@ -45,11 +46,14 @@ def overwrite_partitions(rows: DataFrame, path: str, partition_by: Sequence[str]
     )
 
 
-def _existing(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+def _existing(path: str, like: DataFrame) -> DataFrame:
     """The table at ``path``, or no rows when it has not been written yet."""
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    exists = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
-    return spark.read.schema(like.schema).parquet(path) if exists else like.where(F.lit(False))
+    try:
+        return like.sparkSession.read.schema(like.schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return like.where(F.lit(False))
 
 
 def upsert_partitions(
@@ -69,7 +73,7 @@ def upsert_partitions(
     wanted = value.isin([v for v in touched if v is not None])
     if None in touched:
         wanted = wanted | value.isNull()
-    affected = _existing(delta.sparkSession, path, delta).where(wanted)
+    affected = _existing(path, delta).where(wanted)
     overwrite_partitions(upsert(affected, delta, keys, newest_first), path, [partition])
 
 

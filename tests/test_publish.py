@@ -28,7 +28,15 @@ def money(text):
 def test_contract_problems(spark):
     frame = spark.createDataFrame([(1, "x", 2)], "id int, name string, extra int")
     found = rows(contract_diff(frame, [("id", "bigint"), ("name", "string"), ("gone", "date")]))
-    assert found == [("extra", "unexpected", None, "int"), ("gone", "missing", "date", None), ("id", "type_mismatch", "bigint", "int")]
+    assert found == [
+        ("extra", "unexpected", None, "int", 1),
+        ("gone", "missing", "date", None, 1),
+        ("id", "type_mismatch", "bigint", "int", 1),
+    ]
+    held = contract_diff(numbers(spark, (1, money("1.0")), (2, None)), CONTRACT)
+    assert held.isEmpty() and held.columns == contract_diff(frame, CONTRACT).columns
+    wide = contract_diff(numbers(spark, (1, money("12345.0")), (2, money("9999.95")), (3, money("9999.94")), (4, None)), CONTRACT)
+    assert rows(wide) == [("amount", "overflow", "decimal(5,1)", "decimal(12,4)", 2)]
 
 
 def test_contract_orders_columns_and_settles_precision(spark):

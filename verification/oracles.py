@@ -498,9 +498,15 @@ SELECT 'raw_users' AS source_name, MAX({AS_OF} - INTERVAL 6 HOUR) AS max_loaded_
 UNION ALL SELECT 'raw_products', MAX({AS_OF} - INTERVAL 18 HOUR), 64800, 'warn' FROM part
 UNION ALL SELECT 'raw_purchases', MAX({AS_OF} - INTERVAL 30 HOUR), 108000, 'error' FROM events WHERE event_type = 'purchase'
 UNION ALL SELECT 'raw_empty', NULL, NULL, 'error'"""
-ORACLES["contract_diff"] = """
-SELECT * FROM (VALUES ('occupation', 'missing', 'string', NULL), ('age', 'type_mismatch', 'int', 'string'),
-  ('job', 'unexpected', NULL, 'string')) v(column_name, problem, expected_type, actual_type)"""
+ORACLES["contract_diff"] = sql(
+    [*STAGING, DIM_USERS],
+    """
+SELECT column_name, problem, expected_type, actual_type, COUNT(*) AS affected_rows FROM dim_users,
+  (VALUES ('occupation', 'missing', 'string', NULL), ('age', 'type_mismatch', 'int', 'string'),
+          ('job', 'unexpected', NULL, 'string'), ('total_spent', 'overflow', 'decimal(6,2)', 'decimal(12,2)'))
+  v(column_name, problem, expected_type, actual_type)
+WHERE problem <> 'overflow' OR total_spent >= 10000 GROUP BY ALL""",
+)
 ORACLES["wap_report"] = sql(
     [STG_USERS, STG_PRODUCTS, STG_PURCHASES],
     """

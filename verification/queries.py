@@ -525,14 +525,15 @@ def source_freshness(spark, sf_dir):
 
 @query
 def contract_diff(spark, sf_dir):
-    """The user dimension with a renamed, an extra and a retyped column against its contract."""
+    """The user dimension with a renamed and a retyped column, against a contract too narrow for its sums."""
     drifted = (
         Sample(spark, sf_dir)
         .dim_users()
         .withColumnRenamed("occupation", "job")
         .withColumn("age", F.col("age").cast("string"))
     )
-    return contracts.contract_diff(drifted, CONTRACTS["dim_users"])
+    narrow = [(c, "decimal(6,2)" if c == "total_spent" else t) for c, t in CONTRACTS["dim_users"]]
+    return contracts.contract_diff(drifted, narrow)
 
 
 @query
