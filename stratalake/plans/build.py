@@ -31,7 +31,7 @@ def model_rows(name: str, ref: Mapping[str, DataFrame], as_of: Column | None = N
     if name == "stg_purchases":
         return staging.stg_purchases(ref["raw_purchases"])
     if name == "dim_users":
-        return marts.dim_users(ref["stg_users"], ref["stg_purchases"], ref["stg_products"])
+        return marts.dim_users_from_fact(ref["stg_users"], ref["fct_purchases"])
     if name == "dim_products":
         return marts.dim_products(ref["stg_products"], ref["stg_purchases"])
     if name == "fct_purchases":

@@ -35,27 +35,33 @@ def dim_products(products: DataFrame, purchases: DataFrame) -> DataFrame:
     )
 
 
-def user_activity(purchases: DataFrame, products: DataFrame) -> DataFrame:
+def user_activity(priced: DataFrame) -> DataFrame:
     """Per user: purchases, spend, returns, first and last purchase time.
 
-    A purchase of an unknown product counts as a purchase but adds nothing to the spend.
+    A purchase without a price (of an unknown product) counts but adds nothing to the spend.
     """
-    return (
-        purchases.select("user_id", "product_id", "purchased_at", "returned_at")
-        .join(products.select("product_id", "price"), "product_id", "left")
-        .groupBy("user_id")
-        .agg(
-            F.count("*").alias("purchases"),
-            F.sum("price").alias("spent"),
-            F.count("returned_at").alias("returns"),
-            F.min("purchased_at").alias("first_purchase_at"),
-            F.max("purchased_at").alias("last_purchase_at"),
-        )
+    return priced.groupBy("user_id").agg(
+        F.count("*").alias("purchases"),
+        F.sum("product_price").alias("spent"),
+        F.count("returned_at").alias("returns"),
+        F.min("purchased_at").alias("first_purchase_at"),
+        F.max("purchased_at").alias("last_purchase_at"),
     )
 
 
 def dim_users(users: DataFrame, purchases: DataFrame, products: DataFrame) -> DataFrame:
-    return users.join(user_activity(purchases, products), "user_id", "left").select(
+    prices = products.select("product_id", F.col("price").alias("product_price"))
+    priced = purchases.select("user_id", "product_id", "purchased_at", "returned_at").join(prices, "product_id", "left")
+    return dim_users_from_fact(users, priced)
+
+
+def dim_users_from_fact(users: DataFrame, priced: DataFrame) -> DataFrame:
+    """The user dimension when the purchase fact exists already.
+
+    The fact carries each purchase's price, so purchases are not joined with products, and
+    possibly shuffled for it, a second time.
+    """
+    return users.join(user_activity(priced), "user_id", "left").select(
         "user_id",
         "full_name",
         "email",

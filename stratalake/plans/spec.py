@@ -216,9 +216,9 @@ UPSTREAM: dict[str, list[str]] = {
     "stg_users": ["raw_users"],
     "stg_products": ["raw_products"],
     "stg_purchases": ["raw_purchases"],
-    "dim_users": ["stg_users", "stg_purchases", "stg_products"],
     "dim_products": ["stg_products", "stg_purchases"],
     "fct_purchases": ["stg_purchases", "stg_products"],
+    "dim_users": ["stg_users", "fct_purchases"],
     "gold_user_purchases": ["dim_users", "fct_purchases"],
 }
 

@@ -28,6 +28,10 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+# One shuffle partition per this much input, up to a number the shuffle service still copes with.
+INPUT_PER_PARTITION = 1 << 30
+MOST_PARTITIONS = 50_000
+
 _local_root: str | None = None
 
 
@@ -38,6 +42,21 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Set the number of shuffle partitions for an input of this size, and return it.
+
+    Partitions are sized before the data is known to be skewed or filtered: adaptive
+    execution merges small ones afterwards but cannot make more of them. Large inputs are
+    also read in larger splits, since every map task writes to every partition.
+    """
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(MOST_PARTITIONS, max(current, -(-input_bytes // INPUT_PER_PARTITION)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    if input_bytes > 10 << 40:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "512m")
+    return wanted
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it.
 

@@ -8,11 +8,10 @@ audited table moves no data.
 
 from __future__ import annotations
 
-import time
 import uuid
 import warnings
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +19,7 @@ from stratalake.session import shared_root
 
 
 _DEPRECATED = "deprecation_date"
+_GENERATION = "generation"
 
 
 class Warehouse:
@@ -61,7 +61,7 @@ class Warehouse:
         a task and a large one is split over several, so file sizes stay even.
         """
         suffix = "" if version is None else f"_v{version}"
-        stamp = f"{time.strftime('%Y%m%d%H%M%S', time.gmtime())}_{uuid.uuid4().hex[:8]}"
+        stamp = f"{datetime.now(timezone.utc):%Y%m%d%H%M%S%f}_{uuid.uuid4().hex[:8]}"
         generation = f"`{self.database(layer)}`.`{name}{suffix}__{stamp}`"
         if partition_by:
             rows = rows.hint("rebalance", *partition_by)
@@ -82,8 +82,11 @@ class Warehouse:
     ) -> None:
         """Point the public name, and for the latest version the bare name, at a generation."""
         public = self.relation(layer, name, version)
-        properties = f"TBLPROPERTIES ('{_DEPRECATED}' = '{deprecated_on}')" if deprecated_on else ""
-        self.spark.sql(f"CREATE OR REPLACE VIEW {public} {properties} AS SELECT * FROM {generation}")
+        properties = {_GENERATION: generation.replace("`", "")}
+        if deprecated_on:
+            properties[_DEPRECATED] = str(deprecated_on)
+        listed = ", ".join(f"'{key}' = '{value}'" for key, value in properties.items())
+        self.spark.sql(f"CREATE OR REPLACE VIEW {public} TBLPROPERTIES ({listed}) AS SELECT * FROM {generation}")
         if version is not None and latest:
             self.spark.sql(f"CREATE OR REPLACE VIEW {self.relation(layer, name)} AS SELECT * FROM {public}")
 
@@ -114,8 +117,11 @@ class Warehouse:
         return self.spark.table(relation)
 
     def deprecated_on(self, layer: str, name: str, version: int) -> str | None:
-        properties = self.spark.sql(f"SHOW TBLPROPERTIES {self.relation(layer, name, version)}").collect()
-        return next((p.value for p in properties if p.key == _DEPRECATED), None)
+        return self._properties(layer, name, version).get(_DEPRECATED)
+
+    def _properties(self, layer: str, name: str, version: int | None) -> dict[str, str]:
+        listed = self.spark.sql(f"SHOW TBLPROPERTIES {self.relation(layer, name, version)}").collect()
+        return {p.key: p.value for p in listed}
 
     def exists(self, layer: str, name: str, version: int | None = None) -> bool:
         return self.spark.catalog.tableExists(self.relation(layer, name, version))
@@ -126,15 +132,17 @@ class Warehouse:
         return self.spark.table(name)
 
     def drop_old_generations(self, layer: str, name: str, version: int | None = None, keep: int = 1) -> int:
-        """Drop all but the newest ``keep`` generations; returns how many were dropped.
+        """Drop all but the published and the newest ``keep`` generations; returns how many.
 
-        Run it when no reader still uses them.
+        Run it when no reader still uses them and no build is under way.
         """
         suffix = "" if version is None else f"_v{version}"
         database = self.database(layer)
         prefix = f"{name}{suffix}__"
+        published = self._properties(layer, name, version)[_GENERATION].split(".")[-1]
         tables = [r.tableName for r in self.spark.sql(f"SHOW TABLES IN `{database}`").collect()]
-        old = sorted(t for t in tables if t.startswith(prefix))[:-keep]
+        generations = sorted(t for t in tables if t.startswith(prefix))
+        old = [t for t in generations[: len(generations) - keep] if t != published]
         for table in old:
             self.spark.sql(f"DROP TABLE `{database}`.`{table}`")
         return len(old)

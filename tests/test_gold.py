@@ -115,6 +115,8 @@ def test_rounding_is_half_away_from_zero(spark, spent, count, returns, avg, rate
 def test_measures_add_up(spark):
     u, p = users(spark, 1, 2, 3), products(spark, (10, "3.00"), (11, "4.00"), (12, "5.00"))
     q = purchases(spark, *[(i, i % 4, 9 + i % 5, "2024-06-01", None) for i in range(100)])
+    direct, from_fact = marts.dim_users(u, q, p), marts.dim_users_from_fact(u, marts.fct_purchases(q, p))
+    assert sorted(map(str, direct.collect())) == sorted(map(str, from_fact.collect()))
     known_products, known_users = {10, 11, 12}, {1, 2, 3}
     bought = q.collect()
     sold = marts.dim_products(p, q).agg(F.sum("times_sold")).first()[0]

@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from stratalake import shared_root
+from stratalake import shared_root, size_shuffles
 from stratalake.operators import checks
 from stratalake.operators.contracts import ContractViolation, contract_diff, enforce
 from stratalake.operators.publish import HISTORY_LAYER, GateClosed, write_audit_publish
@@ -101,6 +101,7 @@ def test_a_table_can_be_replaced_by_rows_computed_from_itself(spark, warehouse):
     replaced = warehouse.overwrite(table.where("id = 2").union(table.where("id = 2")), "marts", "t")
     assert sorted(r.id for r in replaced.collect()) == [2, 2]
     assert sorted(r.id for r in table.collect()) == [1, 2]  # an open reader keeps its rows
+    warehouse.write_generation(table, "marts", "t")  # never published, as after a closed gate
     assert warehouse.drop_old_generations("marts", "t") == 1
     assert warehouse.ref("marts", "t").count() == 2
 
@@ -116,3 +117,15 @@ def test_partitioned_write_and_layer_names(spark, warehouse):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_shuffles_are_sized_by_the_input(spark):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")}
+    try:
+        assert size_shuffles(spark, 1000) == 4
+        assert size_shuffles(spark, 2 << 40) == 2048
+        assert size_shuffles(spark, 100 << 40) == 50_000
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "512m"
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
