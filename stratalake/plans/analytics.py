@@ -120,7 +120,7 @@ def product_monthly_sales(fct: DataFrame) -> DataFrame:
             F.sum("product_price").alias("revenue"),
             returned.alias("returns"),
         )
-        .withColumn("return_rate_pct", percent_of(F.col("returns"), F.col("units"), 1))
+        .withColumn("return_rate_pct", percent_of(F.col("returns"), F.col("units"), 1).cast("decimal(5,1)"))
         .orderBy("month", "product_id")
     )
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from stratalake.functions import percent_of
 
 RUN_OK = ("success", "pass")
+PERCENT = "decimal(5,1)"
 
 
 def _counts(ok: Column) -> list[Column]:
@@ -30,7 +31,7 @@ def pass_rate_trend(results: DataFrame) -> DataFrame:
     return (
         _per_invocation(results)
         .drop("last_detected_at")
-        .withColumn("pass_rate_pct", percent_of(F.col("passed"), F.col("total_tests"), 1))
+        .withColumn("pass_rate_pct", percent_of(F.col("passed"), F.col("total_tests"), 1).cast(PERCENT))
         .orderBy(F.col("run_date").desc(), "invocation_id")
     )
 
@@ -74,7 +75,7 @@ def invocation_history(runs: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("total"),
             *_counts(ok),
-            F.round(mean, 2).alias("avg_execution_time_s"),
+            F.round(mean, 2).cast("decimal(14,2)").alias("avg_execution_time_s"),
             F.min("execute_started_at").alias("started_at"),
             F.max("execute_completed_at").alias("completed_at"),
         )
@@ -128,7 +129,7 @@ def kpi_cards(results: DataFrame, models: DataFrame, runs: DataFrame) -> DataFra
     """Tests and pass rate of the newest run, number of models, end of the last run."""
     return latest_invocation(results).select(
         "total_tests",
-        percent_of(F.col("passed"), F.col("total_tests"), 1).alias("pass_rate_pct"),
+        percent_of(F.col("passed"), F.col("total_tests"), 1).cast(PERCENT).alias("pass_rate_pct"),
         models.agg(F.count("*")).scalar().alias("model_count"),
         runs.agg(F.max("execute_completed_at")).scalar().alias("last_run"),
     )
