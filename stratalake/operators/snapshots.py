@@ -36,16 +36,35 @@ def snapshot(
     version's, valid from it; with ``check_columns`` when any of them differs (NULLs being
     equal), valid from ``as_of``. ``close_deleted`` ends versions whose key is gone.
 
-    Closed versions pass through untouched. Open versions and the source, both unique per
-    key, meet in one full outer join, and each joined row yields its one or two versions.
+    Closed versions pass through untouched.
+    """
+    open_versions = history.where(F.col("valid_to").isNull())
+    following = next_versions(open_versions, source, keys, as_of, updated_at, check_columns, close_deleted)
+    return history.where(F.col("valid_to").isNotNull()).unionByName(following)
+
+
+def next_versions(
+    open_versions: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    as_of: Column,
+    updated_at: str | None = None,
+    check_columns: Sequence[str] | None = None,
+    close_deleted: bool = False,
+) -> DataFrame:
+    """What becomes of the open versions: still open, newly closed, and newly opened ones.
+
+    A large history can keep its closed versions in a place of their own and append the
+    newly closed ones to it, so that only open versions are ever rewritten. Open versions
+    and the source, both unique per key, meet in one full outer join, and each joined row
+    yields its one or two versions.
     """
     if (updated_at is None) == (check_columns is None):
         raise ValueError("give either updated_at or check_columns")
     columns = source.columns
     opened_at = F.col(f"new.{updated_at}") if updated_at else as_of
 
-    closed = history.where(F.col("valid_to").isNotNull())
-    old = history.where(F.col("valid_to").isNull()).select(
+    old = open_versions.select(
         *[F.col(k).alias(f"old_key_{i}") for i, k in enumerate(keys)], F.struct(*columns, *PERIOD).alias("old")
     )
     new = source.select(
@@ -76,4 +95,4 @@ def snapshot(
             F.when(in_new & (~in_old | changed), version("new", opened_at, still_open, new_id)),
         )
     )
-    return closed.unionByName(joined.select(F.inline(versions)))
+    return joined.select(F.inline(versions))

@@ -17,6 +17,10 @@ SETTINGS = {
     # coalescing of small ones and splitting of large rebalanced ones before a write.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a join partition once it is three times the median and larger than one task's
+    # share (64 MB), rather than five times and 256 MB.
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64m",
     # Parquet files are several times smaller than their rows in memory; a table is judged
     # small enough to broadcast by the larger figure.
     "spark.sql.sources.fileCompressionFactor": "4.0",
