@@ -21,3 +21,8 @@ def percent_of(part: Column, whole: Column, scale: int = 1) -> Column:
     """``100 * part / whole`` rounded half away from zero; NULL when the whole is 0."""
     divisor = F.nullif(whole.cast(WHOLE), F.lit(0).cast(WHOLE))
     return F.round(part.cast(WHOLE) * F.lit(100) / divisor, scale)
+
+
+def cents_to_money(cents: Column, dtype: str = "decimal(10,2)") -> Column:
+    """Whole cents as an amount with two decimals; an amount beyond ``dtype`` raises."""
+    return (cents.cast(WHOLE) * F.lit("0.01").cast("decimal(3,2)")).cast(dtype)

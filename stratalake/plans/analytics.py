@@ -147,7 +147,7 @@ def weekly_retention(fct: DataFrame) -> DataFrame:
 
 
 def segmentation_features(gold: DataFrame, as_of: Column) -> DataFrame:
-    """Recency, frequency, money and returns per customer with quartile scores.
+    """Demographics, recency, frequency, money and returns per customer with quartile scores.
 
     Cut points come from ``approx_percentile`` (a mergeable sketch, relative error 1e-4)
     as one row of thresholds instead of a global ranking, which would sort every customer
@@ -155,6 +155,8 @@ def segmentation_features(gold: DataFrame, as_of: Column) -> DataFrame:
     """
     features = gold.select(
         "user_id",
+        "age",
+        "country_code",
         F.datediff(F.to_date(as_of), F.to_date("last_purchase_at")).alias("recency_days"),
         F.col("total_purchases").alias("frequency"),
         F.col("total_spent").alias("monetary"),

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratalake.functions import cents_to_money
 from stratalake.sources.envelope import to_envelope
 
 MAKES = ["Aster", "Borealis", "Cinder", "Dune", "Ember", "Fjord", "Gale", "Harbor"]
@@ -68,7 +69,7 @@ def products(ids: DataFrame, seed: int = 42) -> DataFrame:
         _pick(0, MAKES).alias("make"),
         F.concat(F.lit("Model "), _number(2, 500).cast("string")).alias("model"),
         (F.lit(2000) + _number(3, 25)).cast("int").alias("year"),
-        (cents.cast("decimal(10,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(10,2)").alias("price"),
+        cents_to_money(cents).alias("price"),
         F.lit("2024-01-01 00:00:00").cast("timestamp").alias("created_at"),
     )
 

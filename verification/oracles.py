@@ -345,7 +345,7 @@ ORACLES["rfm_features"] = sql(
         *TO_GOLD,
         """
 features AS (
-  SELECT user_id, CAST(DATE '2024-02-01' - CAST(last_purchase_at AS DATE) AS INTEGER) AS recency_days,
+  SELECT user_id, age, country_code, CAST(DATE '2024-02-01' - CAST(last_purchase_at AS DATE) AS INTEGER) AS recency_days,
          total_purchases AS frequency, total_spent AS monetary, avg_purchase_value, return_rate_pct FROM gold
 ), cuts AS (
   SELECT quantile_disc(recency_days, [0.25, 0.5, 0.75]) AS r, quantile_disc(frequency, [0.25, 0.5, 0.75]) AS f,
@@ -689,4 +689,14 @@ SELECT {comma}day, {metric}, z_score, COALESCE(abs(z_score) > {sigmas}, FALSE) A
 
 ORACLES["volume_anomaly"] = _anomaly("", "row_count", "COUNT(*)", 1.5)
 ORACLES["distribution_anomaly"] = _anomaly("event_type", "large_values", "COUNT(*) FILTER (WHERE value >= 100)", 2.0)
+ORACLES["freshness_anomaly"] = _anomaly(
+    "", "silent_seconds", "86400 - CAST(floor(epoch_us(MAX(ts)) // 1000000) AS BIGINT) % 86400", 1.5
+)
+ORACLES["dedup_staging_money"] = f"""
+SELECT o_orderkey, CAST((CAST(round(o_totalprice * 100) AS BIGINT) + 1) * CAST('0.01' AS DECIMAL(3,2)) AS DECIMAL(10,2)) AS amount,
+       {AS_OF} AS loaded_at FROM orders"""
+ORACLES["surrogate_keys"] = sql(
+    [STG_USERS],
+    "SELECT user_id, sha256('=' || CAST(user_id AS VARCHAR) || '|' || COALESCE('=' || gender, '~')) AS user_key FROM stg_users",
+)
 ORACLES["stream_dedup"] = sql([STG_PURCHASES], "SELECT *, CAST(added_to_cart_at AS DATE) AS event_day FROM stg_purchases")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake import configure, shared_root
+from stratalake.functions import cents_to_money, surrogate_key
 from stratalake.operators import anomaly, checks, compare, contracts, incremental, snapshots
 from stratalake.operators.dedup import latest_per_key
 from stratalake.operators.publish import REPORT, GateClosed, write_audit_publish
@@ -797,6 +798,33 @@ def distribution_anomaly(spark, sf_dir):
     return anomaly.anomalies(daily, "large_values", by=["event_type"], sigmas=2.0)
 
 
+@query
+def freshness_anomaly(spark, sf_dir):
+    """Seconds from each day's last event to midnight against the 14 days before."""
+    silence = F.unix_timestamp(F.date_add(F.to_date(F.max("ts")), 1)) - F.unix_timestamp(F.max("ts").cast("timestamp"))
+    daily = anomaly.daily_metrics(Sample(spark, sf_dir).table("events"), "ts", {"silent_seconds": silence})
+    return anomaly.anomalies(daily, "silent_seconds", sigmas=1.5)
+
+
+@query
+def dedup_staging_money(spark, sf_dir):
+    """Orders delivered twice in cents: the later delivery, as amounts."""
+    orders = Sample(spark, sf_dir).table("orders").select(
+        "o_orderkey", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents")
+    )
+    first = orders.withColumn("loaded_at", as_of("2024-01-01 00:00:00"))
+    corrected = orders.select("o_orderkey", (F.col("cents") + 1).alias("cents"), as_of().alias("loaded_at"))
+    latest = latest_per_key(first.unionByName(corrected), ["o_orderkey"], [F.col("loaded_at").desc()])
+    return latest.select("o_orderkey", cents_to_money(F.col("cents")).alias("amount"), "loaded_at")
+
+
+@query
+def surrogate_keys(spark, sf_dir):
+    """A key made of two columns, one of them with NULLs."""
+    users = Sample(spark, sf_dir).users()
+    return users.select("user_id", surrogate_key(["user_id", "gender"]).alias("user_key"))
+
+
 @query
 def stream_dedup(spark, sf_dir):
     """Purchases delivered twice as a stream of files: deduplicated, staged and upserted by day."""
