@@ -128,9 +128,9 @@ def write_audit_publish(
     The rows are computed once: the checks read the written generation, and publishing
     repoints the public name without moving data. On a failed check of severity ``error``
     the public name keeps its old rows and :class:`GateClosed` is raised. What comes back
-    to the driver is one row per check. ``parents`` may be a function: it is called after
-    the rows are written, when tables they refer to may just have been published. Without a ``history`` the results are recorded at
-    once as an invocation of their own.
+    to the driver is one row per check. ``parents`` may be a function: it is called once
+    the rows are written, when the tables they refer to may just have been published.
+    Without a ``history`` the results are recorded at once as an invocation of their own.
     """
     own_history = history is None
     history = history or History(warehouse)
@@ -141,10 +141,11 @@ def write_audit_publish(
             rows = enforce(rows, contract)
         generation = warehouse.write_generation(rows, layer, name, version, partition_by)
         written = warehouse.spark.table(generation)
-        row_count, results = audit(written, layer, name, checks, parents() if callable(parents) else parents)
+        parents = parents() if callable(parents) else parents
+        row_count, results = audit(written, layer, name, checks, parents)
         history.add_results(results)
         if store_failures:
-            _store_failures(warehouse, written, name, checks, parents() if callable(parents) else parents, results)
+            _store_failures(warehouse, written, name, checks, parents, results)
         if any(r.status == "fail" for r in results):
             raise GateClosed(PublishReport(name, "blocked", row_count, results))
         warehouse.publish(generation, layer, name, version)

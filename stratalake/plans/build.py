@@ -42,7 +42,10 @@ def model_rows(name: str, ref: Mapping[str, DataFrame], as_of: Column | None = N
 
 
 def all_models(raw: Mapping[str, DataFrame], as_of: Column | None = None) -> dict[str, DataFrame]:
-    """Every model as a lazy DataFrame over the raw tables, nothing written."""
+    """Every model as a lazy DataFrame over the raw tables, nothing written.
+
+    For small inputs and trials: each model parses the JSON of its inputs again.
+    """
     tables = dict(raw)
     for name in UPSTREAM:
         tables[name] = model_rows(name, tables, as_of)
