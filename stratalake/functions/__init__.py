@@ -1,16 +1,15 @@
 """Column expressions shared by the layers."""
 
-from stratalake.functions.json_fields import json_field, json_text, try_json_field
+from stratalake.functions.json_fields import json_texts, text_struct
 from stratalake.functions.numeric import cents_to_money, half_up_ratio, percent_of, zero_if_null
 from stratalake.functions.keys import surrogate_key
 
 __all__ = [
     "cents_to_money",
     "half_up_ratio",
-    "json_field",
-    "json_text",
+    "json_texts",
     "percent_of",
     "surrogate_key",
-    "try_json_field",
+    "text_struct",
     "zero_if_null",
 ]

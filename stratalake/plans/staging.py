@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.functions import json_field, json_text, try_json_field
+from stratalake.functions import json_texts
 
 Field = tuple[str, str, str]  # column, path in the payload, type
 
@@ -49,12 +49,16 @@ PURCHASE_FIELDS: list[Field] = [
 ]
 
 
+def _texts(raw: DataFrame, fields: Sequence[Field], document: Column) -> DataFrame:
+    """``text``, a struct with each field's text, next to the raw columns."""
+    parsed = raw.select("data", document.alias("doc"), F.col("emitted_at").alias("loaded_at"))
+    return parsed.select("data", "doc", "loaded_at", json_texts("doc", [path for _, path, _ in fields]).alias("text"))
+
+
 def stage(raw: DataFrame, fields: Sequence[Field]) -> DataFrame:
     """Typed columns of the payload plus ``loaded_at``; a bad payload or value raises."""
-    parsed = raw.select(F.parse_json("data").alias("doc"), F.col("emitted_at").alias("loaded_at"))
-    return parsed.select(
-        *[json_field("doc", path, dtype).alias(name) for name, path, dtype in fields],
-        "loaded_at",
+    return _texts(raw, fields, F.parse_json("data")).selectExpr(
+        *[f"CAST(text.{path} AS {dtype}) AS `{name}`" for name, path, dtype in fields], "loaded_at"
     )
 
 
@@ -64,20 +68,15 @@ def stage_with_errors(raw: DataFrame, fields: Sequence[Field]) -> DataFrame:
     Rows with an empty ``errors`` array are what :func:`stage` would give; the others
     belong in quarantine together with their ``data``.
     """
-    parsed = raw.select(
-        "data", F.try_parse_json("data").alias("doc"), F.col("emitted_at").alias("loaded_at")
-    )
-    malformed = F.col("data").isNotNull() & F.col("doc").isNull()
-    problems = [F.when(malformed, F.lit("data"))]
+    problems = ["CASE WHEN data IS NOT NULL AND doc IS NULL THEN 'data' END"]
     for name, path, dtype in fields:
         if dtype != "string":
-            text = json_text("doc", path)
-            problems.append(F.when(text.isNotNull() & text.try_cast(dtype).isNull(), F.lit(name)))
-    return parsed.select(
-        *[try_json_field("doc", path, dtype).alias(name) for name, path, dtype in fields],
+            problems.append(f"CASE WHEN text.{path} IS NOT NULL AND try_cast(text.{path} AS {dtype}) IS NULL THEN '{name}' END")
+    return _texts(raw, fields, F.try_parse_json("data")).selectExpr(
+        *[f"try_cast(text.{path} AS {dtype}) AS `{name}`" for name, path, dtype in fields],
         "loaded_at",
         "data",
-        F.array_compact(F.array(*problems)).alias("errors"),
+        f"array_compact(array({', '.join(problems)})) AS errors",
     )
 
 
@@ -93,9 +92,7 @@ def stg_purchases(raw_purchases: DataFrame) -> DataFrame:
     return stage(raw_purchases, PURCHASE_FIELDS)
 
 
-def typed(records: DataFrame, fields: Sequence[Field], loaded_at) -> DataFrame:
+def typed(records: DataFrame, fields: Sequence[Field], loaded_at: Column) -> DataFrame:
     """Staging rows from records that are typed already, without the JSON step."""
-    return records.select(
-        *[F.col(path).cast(dtype).alias(name) for name, path, dtype in fields],
-        loaded_at.alias("loaded_at"),
-    )
+    columns = [F.expr(f"CAST({path} AS {dtype}) AS `{name}`") for name, path, dtype in fields]
+    return records.select(*columns, loaded_at.alias("loaded_at"))

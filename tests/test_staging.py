@@ -6,7 +6,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from stratalake.functions import surrogate_key
+from stratalake.functions import surrogate_key, text_struct
 from stratalake.plans import staging
 from stratalake.sources import synthetic
 from stratalake.sources.envelope import discover_schema, read_envelope, to_envelope, with_envelope_defaults
@@ -48,6 +48,23 @@ def test_nested_fields_of_a_scalar_are_null(spark):
     assert (row.user_id, row.city, row.postal_code) == (1, None, None)
 
 
+@pytest.mark.parametrize("payload", ["[1, 2]", "3", '"text"', None])
+def test_a_payload_that_is_no_object_has_no_fields(spark, payload):
+    row = staging.stg_products(raw(spark, payload)).first()
+    assert tuple(row)[:-1] == (None,) * 6 and row.loaded_at == ts("2024-02-01 00:00:00")
+
+
+def test_values_of_other_kinds_are_kept_as_text(spark):
+    row = staging.stg_products(raw(spark, '{"make": {"a": [1, "x"]}, "model": true}')).first()
+    assert (row.make, row.model) == ('{"a":[1,"x"]}', "true")
+
+
+def test_paths_make_one_struct_type():
+    assert text_struct(["id", "a.b", "a.c.d", "z"]) == "struct<`id`: string, `a`: struct<`b`: string, `c`: struct<`d`: string>>, `z`: string>"
+    with pytest.raises(ValueError, match="both"):
+        text_struct(["a", "a.b"])
+
+
 @pytest.mark.parametrize(
     "payload",
     ['{"id": "abc"}', '{"id": 1, "year": 2024.6}', '{"id": 1, "price": 123456789.00}', '{"id": 1, "created_at": "soon"}', '{"id": '],
