@@ -5,7 +5,9 @@ from pathlib import Path
 import pytest
 from oracle_check import compare, connect
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from verification.oracles import ORACLES
+from verification.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -17,13 +19,13 @@ def connection():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, connection, name):
-    assert compare(connection, spark, SF_DIR, queries()[name], oracle_sql()[name]) == ""
+    assert compare(connection, spark, SF_DIR, QUERIES[name], ORACLES[name]) == ""
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
