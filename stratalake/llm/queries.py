@@ -9,13 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake import configure
-from stratalake.llm import decontamination, simhash
+from stratalake.llm import decontamination, lattice_lm, simhash
 from stratalake.llm.common import table
+from stratalake.llm.piece_model import read_model
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
+#: Folder of public vocabularies; read on the driver, never copied.
+TOKENIZERS = "/opt/tokenizers"
+
+
+def crc_of_id(modulus: int) -> str:
+    return f"crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % {modulus}"
+
 
 def query(function: Query) -> Query:
     @functools.wraps(function)
@@ -43,3 +51,12 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query
+def op2_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = read_model(f"{TOKENIZERS}/piece_bpe_32k.model")
+    scored = lattice_lm.score(table(spark, sf_dir, "documents"), model, f"{crc_of_id(10)} != 0")
+    return scored.select(
+        "doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
