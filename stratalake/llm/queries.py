@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake import configure
-from stratalake.llm import decontamination, lattice_lm, simhash
+from stratalake.llm import decontamination, importance, lattice_lm, quality_rules, simhash
 from stratalake.llm.common import table
 from stratalake.llm.piece_model import read_model
 
@@ -60,3 +60,15 @@ def op2_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+@query
+def op7_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("doc_id", *base, "base_failed", "kept", "score")
