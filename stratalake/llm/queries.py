@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake import configure
-from stratalake.llm import decontamination, importance, lattice_lm, quality_rules, simhash
+from stratalake.llm import decontamination, importance, language, lattice_lm, quality_rules, simhash
 from stratalake.llm.common import table
 from stratalake.llm.piece_model import read_model
 
@@ -72,3 +72,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return judged.select("doc_id", *base, "base_failed", "kept", "score")
+
+
+@query
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = language.fit(documents, f"coalesce({crc_of_id(3)} != 1, true)")
+    found = language.identify(documents, model)
+    held_out = F.expr(f"coalesce({crc_of_id(3)} = 1, false)")
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
