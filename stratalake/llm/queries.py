@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake import configure
-from stratalake.llm import decontamination, importance, language, lattice_lm, quality_rules, simhash
+from stratalake.llm import decontamination, importance, language, lattice_lm, pieces, quality_rules, simhash
 from stratalake.llm.common import table
 from stratalake.llm.piece_model import read_model
 
@@ -81,3 +81,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language.identify(documents, model)
     held_out = F.expr(f"coalesce({crc_of_id(3)} = 1, false)")
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = pieces.encode(documents, f"{TOKENIZERS}/piece_bpe_32k.model")
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "parity", "round_trip")
