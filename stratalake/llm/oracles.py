@@ -1,5 +1,7 @@
 """DuckDB SQL, written separately, for the queries that SQL can express."""
 
+from stratalake.llm.licenses import templates
+
 ORACLES: dict[str, str] = {}
 
 ORACLES["op1_decontaminate"] = r"""
@@ -26,3 +28,50 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_it
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN pos USING (r) LEFT JOIN its USING (r)
 """
+
+_TEMPLATES = ", ".join(f"({k}, '{a}', '{t}')" for k, (a, t) in enumerate(templates()))
+
+ORACLES["op6_licenses"] = rf"""
+WITH f AS (
+  SELECT doc_id, text,
+         coalesce(source, 'none') || '/' || (doc_id // 64) || CASE
+           WHEN doc_id % 64 = 0 THEN '/LICENSE'
+           WHEN doc_id % 8 = 0 THEN '/' || (doc_id // 8 % 8) || '/LICENSE.txt'
+           ELSE '/' || (doc_id // 8 % 8) || '/' || doc_id || '.txt' END AS path
+  FROM documents),
+tt AS (
+  SELECT k, lic, term, count(*) AS tf
+  FROM (SELECT k, lic, unnest(regexp_extract_all(lower(t), '[a-z0-9]+')) AS term FROM (VALUES {_TEMPLATES}) v(k, lic, t))
+  GROUP BY ALL),
+n AS (SELECT count(*) AS n FROM f),
+seen AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM f),
+df AS (SELECT term, count(*) AS df FROM seen GROUP BY term),
+idf AS (SELECT term, ln((1.0 + n) / (1.0 + coalesce(df, 0))) + 1.0 AS idf
+        FROM (SELECT DISTINCT term FROM tt) LEFT JOIN df USING (term), n),
+tu AS (SELECT k, lic, term, tf * idf AS w FROM tt JOIN idf USING (term)),
+tn AS (SELECT k, sqrt(sum(w * w)) AS norm FROM tu GROUP BY k),
+cand AS (
+  SELECT DISTINCT path, c FROM (
+    SELECT path, unnest(string_split(text, chr(10))) AS c FROM f
+    UNION ALL SELECT path, text FROM f WHERE doc_id % 8 = 0)),
+ct AS (SELECT path, c, term, count(*) AS tf
+       FROM (SELECT path, c, unnest(regexp_extract_all(lower(c), '[a-z0-9]+')) AS term FROM cand) GROUP BY ALL),
+cw AS (SELECT path, c, term, tf * coalesce(idf, ln(1.0 + n) + 1.0) AS w FROM ct LEFT JOIN idf USING (term), n),
+cn AS (SELECT path, c, sqrt(sum(w * w)) AS norm FROM cw GROUP BY ALL),
+dots AS (SELECT path, c, k, lic, sum(cw.w * tu.w) AS dot FROM cw JOIN tu USING (term) GROUP BY ALL),
+scored AS (SELECT path, lic, round(dot / (cn.norm * tn.norm), 6) AS score FROM dots JOIN cn USING (path, c) JOIN tn USING (k)),
+own AS (
+  SELECT path, lic, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY path ORDER BY score DESC, lic) AS r FROM scored WHERE score >= 0.8)
+  WHERE r = 1),
+granted AS (
+  SELECT above, lic FROM (
+    SELECT *, row_number() OVER (PARTITION BY above ORDER BY score DESC, lic) AS r FROM (
+      SELECT regexp_replace(path, '/[^/]*$', '') AS above, lic, score FROM own WHERE path LIKE '%/LICENSE%'))
+  WHERE r = 1)
+SELECT f.doc_id, f.path, coalesce(own.lic, a.lic, b.lic) AS license, own.score AS score,
+       CASE WHEN own.lic IS NULL THEN coalesce(a.above, b.above) END AS inherited_from
+FROM f LEFT JOIN own USING (path)
+LEFT JOIN granted a ON a.above = regexp_replace(f.path, '/[^/]*$', '')
+LEFT JOIN granted b ON b.above = regexp_replace(regexp_replace(f.path, '/[^/]*$', ''), '/[^/]*$', '')
+"""

@@ -9,7 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake import configure
-from stratalake.llm import chat, decontamination, importance, language, lattice_lm, pieces, quality_rules, simhash
+from stratalake.llm import (
+    chat,
+    decontamination,
+    importance,
+    language,
+    lattice_lm,
+    licenses,
+    pieces,
+    quality_rules,
+    sharding,
+    simhash,
+)
 from stratalake.llm.common import table
 from stratalake.llm.piece_model import read_model
 
@@ -103,3 +114,26 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = f"{TOKENIZERS}/byte_bpe_50k.json"
     formatted = chat.format_turns(conversations.unionByName(trial), vocabulary)
     return chat.read_back(formatted, vocabulary)
+
+
+@query
+def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.place(table(spark, sf_dir, "documents").select("doc_id"), "doc_id")
+
+
+def with_paths(documents: DataFrame) -> DataFrame:
+    """Documents as files: by source, blocks of 64 and of 8 ids; the first of a block is its licence file."""
+    top = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.expr("CAST(doc_id DIV 64 AS STRING)"))
+    inner = F.concat_ws("/", top, F.expr("CAST(doc_id DIV 8 % 8 AS STRING)"))
+    return documents.withColumn(
+        "path",
+        F.when(F.col("doc_id") % 64 == 0, F.concat(top, F.lit("/LICENSE")))
+        .when(F.col("doc_id") % 8 == 0, F.concat(inner, F.lit("/LICENSE.txt")))
+        .otherwise(F.concat(inner, F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))),
+    )
+
+
+@query
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = with_paths(table(spark, sf_dir, "documents")).select("doc_id", "path", "text")
+    return licenses.scan(files).select("doc_id", "path", "license", "score", "inherited_from")
