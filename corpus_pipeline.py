@@ -11,10 +11,43 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from stratalake import configure, shared_root
-from stratalake.llm import decontamination
+from stratalake.llm import decontamination, importance, language, pieces, simhash
 from stratalake.llm.common import table
+from stratalake.llm.queries import TOKENIZERS, crc_of_id
 
-STAGES = []
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that the importance resampling against trusted documents draws."""
+    return importance.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows with a predicted language; learnt from two thirds of the stage's own rows."""
+    return language.keep_identified(docs, language.fit(docs, f"coalesce({crc_of_id(3)} != 1, true)"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of every group of near-duplicates."""
+    return simhash.keep_one(docs)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows without a benchmark window."""
+    return decontamination.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row with its subword ids, checked by decoding and against the original library."""
+    return pieces.encode(docs, f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("language ID", known_language),
+    ("SimHash near-dedup", near_duplicates),
+    ("benchmark decontamination", decontaminated),
+    ("SentencePiece encoding", encoded),
+]
 
 #: Its stages hash, train and encode: not expressible in SQL, tested against brute force instead.
 ORACLE_SQL = None

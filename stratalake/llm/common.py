@@ -38,3 +38,25 @@ def small(frame: DataFrame, rows: int, bound: int) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def row_key(documents: DataFrame) -> Column:
+    """A row by its id and text: rows that agree in both are repetitions of one another.
+
+    Ordered by id, those without one last.
+    """
+    text_hash = F.xxhash64(F.col("text"), F.length("text"))
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), text_hash.alias("text_hash"))
+
+
+#: Column that row keys travel in beside the columns of a table.
+KEY = "__row_key"
+
+
+def with_marks(documents: DataFrame, marks: DataFrame, bound: int = 500_000) -> DataFrame:
+    """``documents`` with the other columns of ``marks`` (one row per ``KEY``), NULL where there are none.
+
+    ``marks`` are counted first: up to ``bound`` they are broadcast, beyond it both sides are shuffled.
+    """
+    marks = saved(marks)
+    return documents.withColumn(KEY, row_key(documents)).join(small(marks, marks.count(), bound), KEY, "left").drop(KEY)

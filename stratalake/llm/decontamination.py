@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import ascii_lower, saved, small
+from stratalake.llm.common import KEY, ascii_lower, row_key, saved, small, with_marks
 
 #: Words of items and documents after lower-casing A-Z: digits, a-z and everything beyond ASCII.
 ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -171,3 +171,11 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
             F.coalesce("item_ids", F.expr("CAST(array() AS ARRAY<STRING>)")).alias("item_ids"),
         )
     )
+
+
+def keep_clean(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``documents`` in which no benchmark window occurs, with all their columns."""
+    keyed = documents.select(row_key(documents).alias("doc_id"), "text")
+    found = contamination(keyed, benchmark, window).where("n_hit > 0")
+    marks = found.select(F.col("doc_id").alias(KEY)).distinct().withColumn("__found", F.lit(True))
+    return with_marks(documents, marks).where("__found IS NULL").drop("__found")

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalake.llm.common import saved
+from stratalake.llm.common import KEY, row_key, saved, with_marks
 from stratalake.llm.components import components
 
 SHINGLE = 3
@@ -194,3 +194,25 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, radius: int =
     named = rooted.groupBy("root").agg(F.min("lowest").alias("component_id"))
     groups = rooted.select("fp", "root").join(named, "root")
     return rows.join(groups, "fp").select("doc_id", "fp", "root", "component_id")
+
+
+def keep_one(documents: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """One row of every group of near-duplicates, with all its columns: the one with the smallest id.
+
+    Rows without an id stay only where no row of the group has one. Of repeated rows (same id and
+    text) one stays.
+    """
+    keyed = documents.select(row_key(documents).alias("doc_id"), "text")
+    found = near_duplicates(keyed, shingle, radius)
+    marks = saved(
+        found.groupBy(F.col("doc_id").alias(KEY))
+        .agg(F.max(F.col("doc_id") == F.col("component_id")).alias("__stays"), F.count("*").alias("n"))
+        .where("NOT __stays OR n > 1")
+        .select(KEY, "__stays")
+    )
+    marked = with_marks(documents, marks)
+    kept = marked.where("__stays IS NULL").drop("__stays")
+    if marks.where("__stays").isEmpty():
+        return kept
+    repeated = marked.where("__stays").drop("__stays").withColumn(KEY, row_key(documents))
+    return kept.unionByName(repeated.dropDuplicates([KEY]).drop(KEY))
