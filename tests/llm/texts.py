@@ -1,0 +1,73 @@
+"""Small tables and plain re-implementations that the operators are compared with."""
+
+import random
+import re
+import zlib
+
+from pyspark.sql import types as T
+
+#: Columns whose names the operators use inside; none may matter.
+CLASHING = ["row", "words", "n", "key", "score", "ids", "shingle", "start", "root", "fp", "bucket", "window", "c", "slot"]
+
+
+def lower(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def space_words(text):
+    return [w for w in re.split(r"[\x20\x09-\x0D]+", text or "") if w]
+
+
+def item_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text))
+
+
+def crc(doc_id, modulus):
+    return zlib.crc32(str(doc_id).encode()) % modulus
+
+
+def words(rng, n, vocabulary=60):
+    return " ".join(f"w{rng.randrange(vocabulary)}" for _ in range(n))
+
+
+def documents(spark, rows, extra=CLASHING):
+    """Documents from ``(doc_id, text)`` or ``(doc_id, text, lang)``, with columns of clashing names."""
+    schema = T.StructType(
+        [
+            T.StructField("doc_id", T.LongType()),
+            T.StructField("text", T.StringType()),
+            T.StructField("lang", T.StringType()),
+            T.StructField("source", T.StringType()),
+        ]
+        + [T.StructField(name, T.StringType()) for name in extra]
+    )
+    full = [(*row, *[None] * (3 - len(row)), f"src{k % 3}", *["x"] * len(extra)) for k, row in enumerate(rows)]
+    return spark.createDataFrame(full, schema)
+
+
+def awkward(seed=0):
+    """NULLs, empty and blank texts, a very long one, ties, copies, repeated rows, a missing id."""
+    rng = random.Random(seed)
+    long = words(rng, 30_000, 5000)
+    near = words(rng, 200)
+    return [
+        (1, None, None),
+        (2, "", "en"),
+        (3, " \t\n\v\f\r ", "en"),
+        (4, long, "en"),
+        (5, long, "de"),
+        (6, near, "en"),
+        (7, near + " tail", "en"),
+        (8, "one", "fr"),
+        (9, "one two", "fr"),
+        (10, "ÉTÉ Über ﬁn 日本 ▁x\u0000y İ ǅ", "fr"),
+        (11, "a" * 5000, "en"),
+        (12, "!!! ??? 123", None),
+        (13, words(rng, 50), "en"),
+        (13, words(rng, 50), "en"),
+        (14, "same text here and there", "es"),
+        (14, "same text here and there", "es"),
+        (None, "no id at all", "en"),
+        (None, None, None),
+        (15, "### User: \\### </turn> \\\\", "en"),
+    ]
