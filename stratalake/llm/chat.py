@@ -28,12 +28,12 @@ TRAINED = "assistant"
 #: Reserved ids after the vocabulary's last, in this order.
 RESERVED = (*ROLES, "other", "named", "end")
 
-_CONTROL = re.compile(r"\\|###|</turn>")
-_ESCAPED = re.compile(r"\\(\\|###|</turn>)")
+_CONTROL = re.compile(r"\\|#(?=##)|(?<=##)#|(?<=#)#(?=#)|</turn>")
+_ESCAPED = re.compile(r"\\(\\|#|</turn>)")
 
 
 def escape(text: str) -> str:
-    """The text with a backslash before every control string and backslash."""
+    """The text with a backslash before every backslash, end mark, and ``#`` of three or more in a row."""
     return _CONTROL.sub(lambda m: "\\" + m.group(), text)
 
 
