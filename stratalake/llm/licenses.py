@@ -184,19 +184,19 @@ def scan(files: DataFrame, threshold: float = THRESHOLD, given: list[tuple[str,
         .select("folder", "a.depth", "a.above")
         .join(granted, "above")
         .groupBy("folder")
-        .agg(F.max_by(F.struct("above", "granted"), "depth").alias("n"))
-        .select("folder", F.col("n.above").alias("above"), F.col("n.granted").alias("granted"))
+        .agg(F.max_by(F.struct("above", "granted"), "depth").alias("__nearest"))
+        .withColumnRenamed("folder", "__folder")
     )
     rest = [F.col(f"`{c}`") for c in files.columns if c not in ("path", "text", "license", "score", "inherited_from")]
     return (
-        keyed.select("path", *rest, _folder(F.col("path")).alias("folder"))
-        .join(own, "path", "left")
-        .join(nearest, "folder", "left")
+        keyed.select("path", *rest, _folder(F.col("path")).alias("__folder"))
+        .join(own.select("path", F.struct("license", "score").alias("__own")), "path", "left")
+        .join(nearest, "__folder", "left")
         .select(
             "path",
             *rest,
-            F.coalesce("license", "granted").alias("license"),
-            "score",
-            F.when(F.col("license").isNull(), F.col("above")).alias("inherited_from"),
+            F.coalesce("__own.license", "__nearest.granted").alias("license"),
+            F.col("__own.score").alias("score"),
+            F.when(F.col("__own").isNull(), F.col("__nearest.above")).alias("inherited_from"),
         )
     )
