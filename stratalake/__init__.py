@@ -1,5 +1,5 @@
 """Layered (raw -> staging -> marts -> gold) analytics on PySpark."""
 
-from stratalake.session import configure, shared_root, size_shuffles
+from stratalake.session import configure, estimated_bytes, shared_root, size_shuffles
 
-__all__ = ["configure", "shared_root", "size_shuffles"]
+__all__ = ["configure", "estimated_bytes", "shared_root", "size_shuffles"]

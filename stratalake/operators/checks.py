@@ -1,10 +1,10 @@
 """Data-quality checks.
 
-All checks of a table become one DataFrame with a row per check. Row-level checks share
-one aggregate pass over the table; uniqueness of all columns shares one shuffle; accepted
-values and foreign keys are reduced to their distinct values before anything is compared.
-A column in which one value holds a third of the rows is therefore one partial-aggregate
-row per task by the time it is shuffled.
+All checks of a table become one DataFrame with a row per check, from two passes over the
+table: one aggregate for the row count and all row-level checks, and one shuffle of the
+values, with counts, of every column whose values are compared: unique ones, foreign keys
+and those with accepted values. A value that holds a third of the rows is one
+partial-aggregate row per task by the time it is shuffled.
 
 NULL conventions: NULLs break only ``not_null``. ``unique`` counts repeated values,
 ``accepted_values`` offending values, all others offending rows.
@@ -12,6 +12,7 @@ NULL conventions: NULLs break only ``not_null``. ``unique`` counts repeated valu
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -40,7 +41,14 @@ class Check:
     error_above: int = 0
 
     def name(self, table: str) -> str:
-        return f"{self.test_type}_{table}_{self.column}"
+        """Unique among a table's checks: arguments and options other than the defaults add their hash."""
+        arguments = [*map(str, self.values), self.parent, self.parent_column, self.expression]
+        options = (self.severity, self.warn_above, self.error_above)
+        if options != ("error", 0, 0):
+            arguments += map(str, options)
+        text = "|".join(a for a in arguments if a)
+        suffix = f"_{hashlib.md5(text.encode()).hexdigest()[:8]}" if text else ""
+        return f"{self.test_type}_{table}_{self.column}{suffix}"
 
 
 def not_null(column: str, **options) -> Check:
@@ -97,7 +105,11 @@ def violation(check: Check) -> Column:
 ROW_LEVEL = ("not_null", "expression_is_true", "between", "matches", "not_null_proportion")
 
 
-def _row_level_counts(rows: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFrame:
+# The row count travels as a check of this number.
+TOTAL = -1
+
+
+def _row_level_counts(rows: DataFrame, checks: Sequence[tuple[int, Check]], with_total: bool) -> DataFrame:
     total = F.count("*")
 
     def failures(check: Check) -> Column:
@@ -107,31 +119,58 @@ def _row_level_counts(rows: DataFrame, checks: Sequence[tuple[int, Check]]) -> D
             return F.when(enough, F.lit(0).cast("bigint")).otherwise(bad)
         return bad
 
-    counts = rows.agg(*[failures(check).alias(f"c{i}") for i, check in checks])
-    return _rows_from_columns(counts, [i for i, _ in checks])
+    counts = [(i, failures(check)) for i, check in checks]
+    return _rows_from_columns(rows, counts + [(TOTAL, total)] * with_total)
 
 
-def _unique_counts(rows: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFrame:
-    if len(checks) == 1:  # shuffled as it is, not as text
-        (i, check), column = checks[0], checks[0][1].column
-        per_value = rows.where(F.col(column).isNotNull()).groupBy(column).agg(F.expr("count(*) AS n"))
-        return per_value.agg(F.expr(f"{i} AS no"), F.expr("count_if(n > 1) AS failures"))
-    pairs = ", ".join(f"named_struct('no', {i}, 'value', CAST(`{c.column}` AS STRING))" for i, c in checks)
-    per_value = (
-        rows.selectExpr(f"inline(array({pairs}))").where("value IS NOT NULL").groupBy("no", "value").agg(F.expr("count(*) AS n"))
-    )
-    counts = per_value.agg(*[F.expr(f"count_if(no = {i} AND n > 1) AS c{i}") for i, _ in checks])
-    return _rows_from_columns(counts, [i for i, _ in checks])
+def _rows_from_columns(rows: DataFrame, counts: Sequence[tuple[int, Column]]) -> DataFrame:
+    """One aggregate over ``rows`` with a row for each of its numbered columns."""
+    row = rows.agg(*[column.alias(f"c{k}") for k, (_, column) in enumerate(counts)])
+    pairs = ", ".join(f"named_struct('no', {i}, 'failures', c{k})" for k, (i, _) in enumerate(counts))
+    return row.selectExpr(f"inline(array({pairs}))")
 
 
-def _rows_from_columns(counts: DataFrame, numbers: Sequence[int]) -> DataFrame:
-    pairs = ", ".join(f"named_struct('no', {i}, 'failures', c{i})" for i in numbers)
-    return counts.selectExpr(f"inline(array({pairs}))")
+def _value_counts(
+    rows: DataFrame, checks: Sequence[tuple[int, Check]], parents: Mapping[str, DataFrame]
+) -> DataFrame:
+    """Checks that compare values: each column's values are counted in their own type, in one shuffle.
 
+    A value travels in the slot of its type beside the number of its check. Keys of the
+    parents, distinct, meet the counted values, so the join never sees a value twice.
+    """
+    kind = {i: rows.schema[c.column].dataType.simpleString() for i, c in checks}
+    slots = {t: f"v{k}" for k, t in enumerate(dict.fromkeys(kind.values()))}
+
+    def entry(i: int, value: Column) -> list[Column]:
+        placed = {s: value if t == kind[i] else F.lit(None).cast(t) for t, s in slots.items()}
+        return [F.lit(i).alias("no"), *[v.alias(s) for s, v in placed.items()]]
+
+    order = ["no", *slots.values()]
+    entries = [F.struct(*entry(i, F.col(c.column))) for i, c in checks]
+    values = rows.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    counted = (
+        values.where(reduce(Column.__or__, [F.col(s).isNotNull() for s in slots.values()]))
+        .groupBy(*order)
+        .agg(F.count("*").alias("n"))
+    )
+    relations = [(i, c) for i, c in checks if c.test_type == "relationships"]
+    if relations:
+        keys = [
+            parents[c.parent].select(*entry(i, F.col(c.parent_column).try_cast(kind[i]))) for i, c in relations
+        ]
+        known = reduce(DataFrame.union, keys).distinct().select(*[F.col(c).alias(f"p_{c}") for c in order])
+        same = [F.col("no") == F.col("p_no"), *[F.col(s).eqNullSafe(F.col(f"p_{s}")) for s in slots.values()]]
+        counted = counted.join(known, same, "left")
+
+    def failures(i: int, check: Check) -> Column:
+        own = F.col("no") == i
+        if check.test_type == "unique":
+            return F.count_if(own & (F.col("n") > 1))
+        if check.test_type == "accepted_values":
+            return F.count_if(own & ~F.col(slots[kind[i]]).isin(*check.values))
+        return F.coalesce(F.sum(F.when(own & F.col("p_no").isNull(), F.col("n"))), F.lit(0).cast("bigint"))
 
-def _accepted_values_count(rows: DataFrame, number: int, check: Check) -> DataFrame:
-    offending = rows.select(check.column).where(violation(check)).distinct()
-    return offending.agg(F.lit(number).alias("no"), F.count("*").alias("failures")).select("no", "failures")
+    return _rows_from_columns(counted, [(i, failures(i, c)) for i, c in checks])
 
 
 def orphans(rows: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
@@ -144,29 +183,18 @@ def orphans(rows: DataFrame, column: str, parent: DataFrame, parent_column: str)
     return per_value.join(keys, F.col("value") == F.col("parent_key"), "left_anti")
 
 
-def _relationship_count(rows: DataFrame, number: int, check: Check, parent: DataFrame) -> DataFrame:
-    missing = orphans(rows, check.column, parent, check.parent_column)
-    total = F.coalesce(F.sum("n"), F.lit(0).cast("bigint"))
-    return missing.agg(total.alias("failures")).select(F.lit(number).alias("no"), "failures")
-
-
 def failure_counts(
-    rows: DataFrame, checks: Sequence[Check], parents: Mapping[str, DataFrame]
+    rows: DataFrame, checks: Sequence[Check], parents: Mapping[str, DataFrame], with_total: bool = False
 ) -> DataFrame:
-    """``(no, failures)`` with one row per check, ``no`` being its position."""
+    """``(no, failures)`` with one row per check, ``no`` being its position; ``TOTAL`` for the row count."""
     numbered = list(enumerate(checks))
-    parts = []
     row_level = [(i, c) for i, c in numbered if c.test_type in ROW_LEVEL]
-    if row_level:
-        parts.append(_row_level_counts(rows, row_level))
-    uniques = [(i, c) for i, c in numbered if c.test_type == "unique"]
-    if uniques:
-        parts.append(_unique_counts(rows, uniques))
-    for i, check in numbered:
-        if check.test_type == "accepted_values":
-            parts.append(_accepted_values_count(rows, i, check))
-        elif check.test_type == "relationships":
-            parts.append(_relationship_count(rows, i, check, parents[check.parent]))
+    by_value = [(i, c) for i, c in numbered if c.test_type not in ROW_LEVEL]
+    parts = []
+    if row_level or with_total:
+        parts.append(_row_level_counts(rows, row_level, with_total))
+    if by_value:
+        parts.append(_value_counts(rows, by_value, parents))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -193,9 +221,7 @@ def audit(
     parents: Mapping[str, DataFrame] | None = None,
 ) -> tuple[int, list[Row]]:
     """The row count and the results of :func:`run_checks`, computed side by side."""
-    counts = rows.agg(F.expr("-1 AS no"), F.expr("count(*) AS failures"))
-    if checks:
-        counts = counts.unionByName(failure_counts(rows, checks, parents or {}))
+    counts = failure_counts(rows, checks, parents or {}, with_total=True)
     found = _described(counts, schema_name, table_name, checks).collect()
     total = next(r.failures for r in found if r.check_name is None)
     return total, [r for r in found if r.check_name is not None]

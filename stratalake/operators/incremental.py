@@ -5,11 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, timedelta
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratalake.operators.dedup import latest_per_key
+from stratalake.sources.partitioned import PartitionedTable
+
+
+def _one_of(column: str, values: Sequence) -> Column:
+    """Whether a column is one of some literals, NULL among them."""
+    found = F.col(column).isin([v for v in values if v is not None])
+    return found | F.col(column).isNull() if None in values else found
 
 
 def rows_after_high_water(source: DataFrame, target: DataFrame, cursor: str) -> DataFrame:
@@ -23,10 +30,15 @@ def rows_after_high_water(source: DataFrame, target: DataFrame, cursor: str) ->
 
 
 def upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str], newest_first: Sequence[Column]) -> DataFrame:
-    """Target rows with those of the delta replaced or added, newest delta row per key."""
-    replaced = delta.select(*keys).distinct()
-    untouched = target.join(replaced, list(keys), "left_anti")
-    return untouched.unionByName(latest_per_key(delta, keys, newest_first))
+    """The newest row per key of target and delta together.
+
+    A delta row older than what the target has changes nothing, and rows that are equally
+    new are told apart by their content: the result does not depend on how rows were
+    divided into deltas, in which order these came, or whether one came twice.
+    """
+    both = target.unionByName(delta)
+    content = F.xxhash64(*[F.col(f"`{c}`") for c in both.columns]).desc()
+    return latest_per_key(both, keys, [*newest_first, content])
 
 
 def delete_insert(target: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -35,46 +47,33 @@ def delete_insert(target: DataFrame, delta: DataFrame, keys: Sequence[str]) -> D
     return target.join(replaced, list(keys), "left_anti").unionByName(delta)
 
 
-def overwrite_partitions(rows: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+def overwrite_partitions(rows: DataFrame, path: str, partition: str) -> None:
     """Replace only the partitions that occur in ``rows``; the others stay as they are."""
-    (
-        rows.hint("rebalance", *partition_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+    PartitionedTable(rows.sparkSession, path, partition).replace(rows)
 
 
-def _existing(path: str, like: DataFrame) -> DataFrame:
-    """The table at ``path``, or no rows when it has not been written yet."""
-    try:
-        return like.sparkSession.read.schema(like.schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return like.where(F.lit(False))
+def read_partitions(spark: SparkSession, path: str, partition: str, schema: T.StructType) -> DataFrame:
+    """The rows of a partitioned table as its last load left them."""
+    return PartitionedTable(spark, path, partition).read(schema)
 
 
 def upsert_partitions(
     delta: DataFrame, path: str, keys: Sequence[str], newest_first: Sequence[Column], partition: str
 ) -> None:
-    """Upsert into a partitioned table, rewriting only the partitions the delta touches.
+    """Upsert into a partitioned table, rewriting only the partitions the delta's keys are in.
 
-    A key must always fall into the same partition. Repeating a delta gives the same
-    table, so a retried load is harmless. The touched partition values (a calendar's worth
-    for daily partitions) are fetched first: as literals they prune the scan of the table,
-    which a join against the delta would not do.
+    A key may move: the partitions that hold the delta's keys now are looked up (keys and
+    partition are all that is read) and rewritten together with those it goes to. The
+    values of touched partitions (a calendar's worth for daily partitions) are fetched
+    first: as literals they prune the scan, which a join against the delta would not do.
     """
-    touched = [row[0] for row in delta.select(partition).distinct().collect()]
-    if not touched:
-        return
-    value = F.col(partition)
-    wanted = value.isin([v for v in touched if v is not None])
-    if None in touched:
-        wanted = wanted | value.isNull()
-    affected = _existing(path, delta).where(wanted)
-    overwrite_partitions(upsert(affected, delta, keys, newest_first), path, [partition])
+    table = PartitionedTable(delta.sparkSession, path, partition)
+    existing = table.read(delta.schema)
+    goes_to = delta.select(partition)
+    is_in = existing.select(*keys, partition).join(delta.select(*keys).distinct(), list(keys), "left_semi").select(partition)
+    touched = [row[0] for row in goes_to.union(is_in).distinct().collect()]
+    affected = existing.where(_one_of(partition, touched))
+    table.replace(upsert(affected, delta, keys, newest_first), touched)
 
 
 def day_slice(source: DataFrame, event_time: str, start: date, end: date, lookback: int = 0) -> DataFrame:
@@ -84,34 +83,68 @@ def day_slice(source: DataFrame, event_time: str, start: date, end: date, lookba
 
 
 def microbatch(
-    source: DataFrame, path: str, event_time: str, start: date, end: date, lookback: int = 3, day: str = "event_day"
+    source: DataFrame,
+    path: str,
+    event_time: str,
+    start: date,
+    end: date,
+    lookback: int = 3,
+    day: str = "event_day",
+    unique_key: Sequence[str] = (),
+    newest_first: Sequence[Column] = (),
+    isolate: bool = False,
 ) -> None:
     """Recompute the daily partitions ``[start - lookback, end)`` from the source.
 
-    The lookback picks up rows that arrived after their day was first loaded. All days of
-    the range are one Spark job; any other day keeps its files. A day whose source rows
-    have all disappeared keeps its previous rows.
+    The lookback picks up rows that arrived after their day was first loaded; a day
+    without source rows becomes empty, and days outside the range keep their files. With
+    ``unique_key`` only the newest row of each key is kept, and rows of these keys on
+    other days are taken out. All days of the range are one job and appear together;
+    ``isolate`` loads each for itself, so that a failing day leaves those before it loaded.
     """
-    rows = day_slice(source, event_time, start, end, lookback)
-    overwrite_partitions(rows.withColumn(day, F.to_date(event_time)), path, [day])
+    days = [start - timedelta(days=lookback) + timedelta(days=k) for k in range((end - start).days + lookback)]
+    for batch in [[d] for d in days] if isolate else [days]:
+        rows = day_slice(source, event_time, batch[0], batch[-1] + timedelta(days=1)).withColumn(day, F.to_date(event_time))
+        _load_days(rows, path, day, batch, unique_key, newest_first)
+
+
+def _load_days(
+    rows: DataFrame, path: str, day: str, days: Sequence[date], unique_key: Sequence[str], newest_first: Sequence[Column]
+) -> None:
+    table = PartitionedTable(rows.sparkSession, path, day)
+    if not unique_key:
+        return table.replace(rows, days)
+    content = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]).desc()
+    rows = latest_per_key(rows, unique_key, [*newest_first, content])
+    elsewhere = table.read(rows.schema).where(~F.coalesce(_one_of(day, days), F.lit(False)))
+    keys = rows.select(*unique_key).distinct()
+    moved = [r[0] for r in elsewhere.join(keys, list(unique_key), "left_semi").select(day).distinct().collect()]
+    others = elsewhere.where(_one_of(day, moved)).join(keys, list(unique_key), "left_anti")
+    return table.replace(rows.unionByName(others), [*days, *moved])
 
 
 class SchemaChanged(ValueError):
     """The incoming columns differ and the policy is to fail."""
 
 
-def evolve_schema(target: DataFrame, incoming: DataFrame, on_schema_change: str = "fail") -> DataFrame:
+def evolve_schema(
+    target: DataFrame, incoming: DataFrame, on_schema_change: str = "fail", widen: Sequence[str] = ()
+) -> DataFrame:
     """Target rows followed by incoming rows under one schema.
 
     ``ignore`` keeps the target's columns, ``append_new_columns`` adds the new ones (NULL
     in old rows), ``sync_all_columns`` also drops those no longer delivered, and ``fail``
-    raises :class:`SchemaChanged` on any difference.
+    raises :class:`SchemaChanged` on any difference. A column whose type has changed
+    raises under every policy, unless ``widen`` names it: then both sides are cast to the
+    incoming type.
     """
-    added = [c for c in incoming.columns if c not in target.columns]
-    removed = [c for c in target.columns if c not in incoming.columns]
+    old, new = ({f.name: f.dataType for f in frame.schema} for frame in (target, incoming))
+    retyped = [c for c in old if c in new and old[c] != new[c] and c not in widen]
+    added, removed = [c for c in new if c not in old], [c for c in old if c not in new]
+    if retyped or on_schema_change == "fail" and (added or removed):
+        raise SchemaChanged(f"added {added}, removed {removed}, of another type {retyped}")
+    target = target.withColumns({c: F.col(f"`{c}`").cast(new[c]) for c in widen if c in old and c in new})
     if on_schema_change == "fail":
-        if added or removed:
-            raise SchemaChanged(f"added {added}, removed {removed}")
         return target.unionByName(incoming)
     if on_schema_change == "ignore":
         return target.unionByName(incoming.drop(*added), allowMissingColumns=True)

@@ -19,6 +19,7 @@ from stratalake.operators.unit_tests import require
 from stratalake.plans import gold, marts, staging
 from stratalake.plans.lineage import declared_models
 from stratalake.plans.spec import CHECKS, CONTRACTS, LAYERS, UNIT_TESTS, UPSTREAM, VERSIONS
+from stratalake.session import estimated_bytes, size_shuffles
 from stratalake.sources.warehouse import Warehouse
 
 
@@ -65,6 +66,7 @@ def build(
     as_of: Column | None = None,
     invocation_id: str | None = None,
     fresh_as_of: Column | None = None,
+    input_bytes: int | None = None,
 ) -> list[PublishReport]:
     """Check the raw tables and build every model; a closed gate blocks what depends on it.
 
@@ -72,8 +74,10 @@ def build(
     model starts once the tables it reads are published: its unit tests first, then its
     contract, its rows, and their checks. Models that do not wait for each other run side
     by side and share the cluster. Staging is written, not left as a view: three marts and
-    the checks read it, and each would parse the JSON again.
+    the checks read it, and each would parse the JSON again. Shuffles are sized for
+    ``input_bytes``, by default what the optimizer knows of the raw tables.
     """
+    size_shuffles(warehouse.spark, estimated_bytes(*raw.values()) if input_bytes is None else input_bytes)
     history = History(warehouse, invocation_id)
     if fresh_as_of is not None:
         require_fresh(freshness(raw, "emitted_at", fresh_as_of))

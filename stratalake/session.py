@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     # Timestamps are instants; rendering and text casts happen in UTC.
@@ -32,11 +30,8 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
-# One shuffle partition per this much input, up to a number the shuffle service still copes with.
-INPUT_PER_PARTITION = 1 << 30
-MOST_PARTITIONS = 50_000
-
-_local_root: str | None = None
+# One shuffle partition per this much input.
+INPUT_PER_PARTITION = 512 << 20
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -46,34 +41,35 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def estimated_bytes(*frames: DataFrame) -> int:
+    """Bytes of what the frames read, by the optimizer's statistics of their sources.
+
+    Sources of unknown size (the optimizer takes them for the largest possible) add nothing.
+    """
+    sizes = []
+    for frame in frames:
+        leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
+        sizes += [int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size())]
+    return sum(size for size in sizes if size < 1 << 60)
+
+
 def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     """Set the number of shuffle partitions for an input of this size, and return it.
 
     Partitions are sized before the data is known to be skewed or filtered: adaptive
-    execution merges small ones afterwards but cannot make more of them. Large inputs are
-    also read in larger splits, since every map task writes to every partition.
+    execution merges small ones afterwards but cannot make more of them. The number only
+    ever rises, in proportion to the input.
     """
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(MOST_PARTITIONS, max(current, -(-input_bytes // INPUT_PER_PARTITION)))
+    wanted = max(current, -(-input_bytes // INPUT_PER_PARTITION))
     spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    if input_bytes > 10 << 40:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "512m")
     return wanted
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the cluster names it.
+    """Folder every executor can reach: the one the cluster names, else one in the warehouse.
 
-    Only a local session without ``spark.checkpoint.dir`` gets a folder of its own;
-    anywhere else a missing setting is an error, since a machine-local path would
-    lose data with the machine.
+    Both are shared by contract; a machine-local folder would lose data with the machine.
     """
-    global _local_root
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="stratalake-")
-    return _local_root
+    return root.rstrip("/") if root else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"

@@ -6,7 +6,7 @@ rules inject them: every rule is a plain expression over the row, applied to all
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 EMITTED_AT = "2024-02-01 00:00:00"
@@ -98,25 +98,30 @@ def purchase_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _records(events, PURCHASES)
 
 
+#: Lines that one (order, line number) may have in the key.
+LINES_PER_NUMBER = 1024
+
+
 def order_line_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The larger purchase fact: one purchase per order line.
 
-    Lines repeat in the sample data, so the grouping makes the key unique.
+    Line numbers repeat within an order, so each line is numbered among its likes, by all
+    columns. Lines are dealt by order, which serves both the numbering and the join.
     """
-    lines = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-        .agg(F.bool_and(F.col("l_returnflag") == "R").alias("returned"), F.min("l_shipdate").alias("shipped"))
-    )
+    lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
-    line_key = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1000000 + F.col("l_partkey")
-    return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
-        (line_key * 10000 + F.col("l_suppkey")).alias("purchase_id"),
+    rest = [c for c in lines.columns if c not in ("l_orderkey", "l_linenumber")]
+    nth = F.row_number().over(Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*rest))
+    numbered = lines.repartition("l_orderkey").withColumn("nth", nth)
+    key = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * LINES_PER_NUMBER + F.col("nth")
+    too_many = F.raise_error(F.lit(f"more than {LINES_PER_NUMBER} lines of one number in an order")).cast("bigint")
+    return numbered.join(orders, numbered.l_orderkey == orders.o_orderkey).select(
+        F.when(F.col("nth") <= LINES_PER_NUMBER, key).otherwise(too_many).alias("purchase_id"),
         F.col("o_custkey").alias("user_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("o_orderdate").cast("timestamp").alias("purchased_at"),
         F.col("o_orderdate").cast("timestamp").alias("added_to_cart_at"),
-        F.when(F.col("returned"), F.col("shipped").cast("timestamp")).alias("returned_at"),
+        F.when(F.col("l_returnflag") == "R", F.col("l_shipdate").cast("timestamp")).alias("returned_at"),
         emitted_at().alias("loaded_at"),
     )
 

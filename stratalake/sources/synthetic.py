@@ -1,7 +1,7 @@
 """A deterministic generator of users, products and purchases.
 
-Each record is a function of its id and the seed only (one MD5 per record, cut into
-fields), so any partitioning, retry or parallelism gives the same rows.
+Each record is a function of its id and the seed only (one MD5 per field), so any
+partitioning, retry or parallelism gives the same rows.
 """
 
 from __future__ import annotations
@@ -15,6 +15,13 @@ from stratalake.sources.envelope import to_envelope
 MAKES = ["Aster", "Borealis", "Cinder", "Dune", "Ember", "Fjord", "Gale", "Harbor"]
 OCCUPATIONS = ["Engineer", "Teacher", "Nurse", "Designer", "Analyst"]
 COUNTRIES = ["US", "CA", "GB", "DE", "JP", "BR"]
+GENDERS = ["Male", "Female", "Fluid", "Other"]
+TITLES = ["Mr.", "Ms.", "Dr."]
+NATIONALITIES = ["American", "Canadian", "British", "German", "Japanese", "Brazilian"]
+LANGUAGES = ["English", "German", "Japanese", "Portuguese"]
+DEGREES = ["Bachelor", "Master", "PhD"]
+BLOOD_TYPES = ["O+", "A+", "B+", "AB+", "O-", "A-", "B-", "AB-"]
+STREETS = ["Birch Rd", "Canal St", "Hill Ave", "Lake Dr", "Mill Ln"]
 
 
 def ids(spark: SparkSession, count: int, parallelism: int = 4, records_per_slice: int | None = None) -> DataFrame:
@@ -24,67 +31,76 @@ def ids(spark: SparkSession, count: int, parallelism: int = 4, records_per_slice
     return spark.range(0, count, 1, parallelism)
 
 
-def _digest(stream: str, seed: int) -> Column:
-    return F.md5(F.concat(F.lit(f"{stream}:{seed}:"), F.col("id").cast("string")))
+def _number(stream: str, seed: int, field: str, below: int) -> Column:
+    """A number in ``[0, below)`` from 60 bits of an MD5 over the field's name and the record's id."""
+    digest = F.md5(F.concat(F.lit(f"{stream}:{seed}:{field}:"), F.col("id").cast("string")))
+    return F.pmod(F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint"), F.lit(below).cast("bigint"))
 
 
-def _number(field: int, below: int) -> Column:
-    """A number in ``[0, below)`` from the 6 hex digits at ``field`` of the digest."""
-    digits = F.substring("digest", 1 + 6 * field, 6)
-    return F.pmod(F.conv(digits, 16, 10).cast("bigint"), F.lit(below))
+def _pick(stream: str, seed: int, field: str, choices: list[str]) -> Column:
+    number = _number(stream, seed, field, len(choices))
+    return F.element_at(F.array(*[F.lit(c) for c in choices]), (number + 1).cast("int"))
 
 
-def _pick(field: int, choices: list[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(c) for c in choices]), (_number(field, len(choices)) + 1).cast("int"))
-
-
-def _time(field: int) -> Column:
+def _time(stream: str, seed: int, field: str) -> Column:
     start = F.lit("2024-01-01 00:00:00").cast("timestamp")
-    return start + F.make_dt_interval(F.lit(0), F.lit(0), _number(field, 200 * 1440).cast("int"))
+    return start + F.make_dt_interval(F.lit(0), F.lit(0), _number(stream, seed, field, 200 * 1440).cast("int"))
 
 
 def users(ids: DataFrame, seed: int = 42) -> DataFrame:
+    number = lambda field, below: _number("users", seed, field, below)
+    pick = lambda field, choices: _pick("users", seed, field, choices)
     address = F.struct(
-        F.concat(F.lit("City "), _number(1, 100).cast("string")).alias("city"),
-        F.concat(F.lit("State "), _number(1, 10).cast("string")).alias("state"),
-        _pick(2, COUNTRIES).alias("country_code"),
+        F.concat(F.lit("City "), number("city", 100).cast("string")).alias("city"),
+        F.concat(F.lit("State "), number("state", 10).cast("string")).alias("state"),
+        pick("country", COUNTRIES).alias("country_code"),
+        (F.lit(10000) + number("postal", 90000)).cast("string").alias("postal_code"),
+        pick("street", STREETS).alias("street_name"),
+        (F.lit(1) + number("house", 999)).cast("string").alias("street_number"),
     )
-    return ids.withColumn("digest", _digest("users", seed)).select(
+    created = _time("users", seed, "created")
+    return ids.select(
         "id",
         F.concat(F.lit("User "), F.col("id").cast("string")).alias("name"),
         F.concat(F.lit("user"), F.col("id").cast("string"), F.lit("@example.com")).alias("email"),
-        _pick(0, ["Male", "Female", "Fluid", "Other"]).alias("gender"),
-        _pick(3, OCCUPATIONS).alias("occupation"),
-        (F.lit(18) + _number(4, 60)).cast("int").alias("age"),
+        pick("gender", GENDERS).alias("gender"),
+        pick("title", TITLES).alias("title"),
+        pick("occupation", OCCUPATIONS).alias("occupation"),
+        pick("nationality", NATIONALITIES).alias("nationality"),
+        pick("language", LANGUAGES).alias("language"),
+        pick("degree", DEGREES).alias("academic_degree"),
+        (F.lit(18) + number("age", 60)).cast("int").alias("age"),
+        pick("blood", BLOOD_TYPES).alias("blood_type"),
         address.alias("address"),
-        _time(0).alias("created_at"),
-        _time(0).alias("updated_at"),
+        created.alias("created_at"),
+        created.alias("updated_at"),
     )
 
 
 def products(ids: DataFrame, seed: int = 42) -> DataFrame:
-    cents = _number(1, 8000000) + 100000
-    return ids.withColumn("digest", _digest("products", seed)).select(
+    number = lambda field, below: _number("products", seed, field, below)
+    return ids.select(
         "id",
-        _pick(0, MAKES).alias("make"),
-        F.concat(F.lit("Model "), _number(2, 500).cast("string")).alias("model"),
-        (F.lit(2000) + _number(3, 25)).cast("int").alias("year"),
-        cents_to_money(cents).alias("price"),
+        _pick("products", seed, "make", MAKES).alias("make"),
+        F.concat(F.lit("Model "), number("model", 500).cast("string")).alias("model"),
+        (F.lit(2000) + number("year", 25)).cast("int").alias("year"),
+        cents_to_money(number("price", 8000000) + 100000).alias("price"),
         F.lit("2024-01-01 00:00:00").cast("timestamp").alias("created_at"),
     )
 
 
 def purchases(ids: DataFrame, n_users: int, n_products: int, seed: int = 42) -> DataFrame:
     """One purchase in ten is returned, ten days later."""
-    bought = _time(2)
+    number = lambda field, below: _number("purchases", seed, field, below)
+    bought = _time("purchases", seed, "bought")
     ten_days = F.make_dt_interval(F.lit(10))
-    return ids.withColumn("digest", _digest("purchases", seed)).select(
+    return ids.select(
         "id",
-        _number(0, n_users).alias("user_id"),
-        _number(1, n_products).alias("product_id"),
+        number("user", n_users).alias("user_id"),
+        number("product", n_products).alias("product_id"),
         bought.alias("purchased_at"),
         (bought - F.make_dt_interval(F.lit(1))).alias("added_to_cart_at"),
-        F.when(_number(3, 10) == 0, bought + ten_days).alias("returned_at"),
+        F.when(number("returned", 10) == 0, bought + ten_days).alias("returned_at"),
     )
 
 
@@ -95,9 +111,9 @@ def synthetic_raw(
     parallelism: int = 4,
     records_per_slice: int | None = None,
     emitted_at: Column | None = None,
+    n_products: int = 100,
 ) -> dict[str, DataFrame]:
-    """Raw envelope streams for ``count`` users, ``count`` purchases and 100 products."""
-    n_products = 100
+    """Raw envelope streams for ``count`` users, ``count`` purchases and ``n_products`` products."""
     rows = lambda n: ids(spark, n, parallelism, records_per_slice)
     return {
         "raw_users": to_envelope(users(rows(count), seed), emitted_at),

@@ -35,14 +35,17 @@ def upsert_stream(
     """Upsert every micro-batch into the partitioned table at ``path``.
 
     Only the partitions a batch touches are rewritten, so late rows update their own day.
-    A batch replayed after a failure gives the same table. Processes what is there, then
+    The table is the same however rows fall into batches, and a batch replayed after a
+    failure changes nothing; ``read_partitions`` reads it. Processes what is there, then
     stops; the checkpoint lets the next start go on from it.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
         batch.persist()  # read by several jobs; recomputed if an executor is lost
-        upsert_partitions(batch, path, keys, newest_first, partition)
-        batch.unpersist()
+        try:
+            upsert_partitions(batch, path, keys, newest_first, partition)
+        finally:
+            batch.unpersist()
 
     return (
         rows.writeStream.foreachBatch(load)

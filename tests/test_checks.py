@@ -109,3 +109,44 @@ def test_freshness_boundaries(spark):
     sources["empty"] = sources["fresh"].where(F.lit(False))
     found = {r.source_name: r.status for r in checks.freshness(sources, "at", F.lit("2024-02-02 00:00:00").cast("timestamp")).collect()}
     assert found == {"fresh": "pass", "old": "warn", "edge": "warn", "stale": "error", "empty": "error"}
+
+
+def test_unique_is_the_same_alone_and_among_others(spark):
+    zeros = spark.createDataFrame([(0.0, "a", 1), (-0.0, "b", 1), (2.0, "2.0", 2)], "x double, y string, z int")
+    alone = run(zeros, checks.unique("x"))
+    among = run(zeros, checks.unique("x"), checks.unique("y"), checks.unique("z"))
+    assert alone["unique", "x"] == among["unique", "x"] == (1, "fail")
+    assert among["unique", "y"] == (0, "pass") and among["unique", "z"] == (1, "fail")
+
+
+def test_names_tell_arguments_and_options_apart():
+    declared = [
+        checks.expression_is_true("age", ">= 0"),
+        checks.expression_is_true("age", "< 150"),
+        checks.not_null("age"),
+        checks.not_null("age", severity="warn"),
+        checks.accepted_values("age", [1]),
+        checks.accepted_values("age", [2]),
+    ]
+    assert len({c.name("u") for c in declared}) == len(declared)
+    assert checks.not_null("age").name("u") == "not_null_u_age"
+
+
+def test_two_passes_over_the_table(spark, tmp_path):
+    """One scan counts rows and row-level failures, one counts values; parents are scanned for their keys."""
+    spark.range(100).selectExpr("id", "id % 7 AS k", "cast(id AS string) AS s").write.parquet(f"{tmp_path}/t")
+    spark.range(5).write.parquet(f"{tmp_path}/p")
+    table, parent = spark.read.parquet(f"{tmp_path}/t"), spark.read.parquet(f"{tmp_path}/p")
+    declared = [
+        checks.not_null("id"),
+        checks.expression_is_true("k", ">= 0"),
+        checks.unique("id"),
+        checks.unique("s"),
+        checks.relationships("k", "p", "id"),
+        checks.accepted_values("k", [0, 1]),
+    ]
+    counted = checks.failure_counts(table, declared, {"p": parent}, with_total=True)
+    found = {r.no: r.failures for r in counted.collect()}
+    assert found == {checks.TOTAL: 100, 0: 0, 1: 0, 2: 0, 3: 0, 4: 28, 5: 5}
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 3 and plan.count("Join") == 1

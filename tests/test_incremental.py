@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stratalake import shared_root
 from stratalake.operators import anomaly, compare, incremental, snapshots
+from stratalake.sources.partitioned import PartitionedTable
 
 
 def folder(spark):
@@ -45,13 +46,64 @@ def test_upsert_rewrites_touched_partitions_only(spark):
     newest = [F.col("at").desc()]
     first = by_day(events(spark, (1, "2024-01-01", "a"), (2, "2024-01-02", "b"), (3, None, "undated")))
     incremental.upsert_partitions(first, path, ["id"], newest, "day")
-    before = {r.f for r in spark.read.parquet(path).where("day = '2024-01-01'").select(F.input_file_name().alias("f")).collect()}
+    read = lambda: incremental.read_partitions(spark, path, "day", first.schema)
+    file_of = F.input_file_name().alias("f")
+    before = {r.f for r in read().where("day = '2024-01-01'").select(file_of).collect()}
     delta = by_day(events(spark, (2, "2024-01-02 01:00:00", "B"), (4, "2024-01-02", "d"), (3, None, "still undated")))
     for _ in range(2):
         incremental.upsert_partitions(delta, path, ["id"], newest, "day")
-    table = spark.read.parquet(path)
-    assert rows(table.select("id", "value")) == [(1, "a"), (2, "B"), (3, "still undated"), (4, "d")]
-    assert {r.f for r in table.where("day = '2024-01-01'").select(F.input_file_name().alias("f")).collect()} == before
+    table = read()
+    assert rows(table.select("id", "value")) == [(1, "a"), (2, "B"), (3, "undated"), (4, "d")]
+    assert {r.f for r in table.where("day = '2024-01-01'").select(file_of).collect()} == before
+
+
+def test_an_older_row_never_wins(spark):
+    newest = [F.col("at").desc()]
+    target = events(spark, (1, "2024-01-05", "new"))
+    assert rows(incremental.upsert(target, events(spark, (1, "2024-01-02", "late")), ["id"], newest).select("value")) == [("new",)]
+    tie = events(spark, (1, "2024-01-05", "tie"))
+    there_and_back = [incremental.upsert(a, b, ["id"], newest).first().value for a, b in ((target, tie), (tie, target))]
+    assert there_and_back[0] == there_and_back[1]
+
+
+def test_a_key_that_moves_is_there_once(spark):
+    path, newest = folder(spark), [F.col("at").desc()]
+    by_day = lambda *values: events(spark, *values).withColumn("day", F.to_date("at"))
+    first = by_day((1, None, "undated"), (2, "2024-01-02", "b"))
+    incremental.upsert_partitions(first, path, ["id"], newest, "day")
+    incremental.upsert_partitions(by_day((1, "2024-01-03", "dated"), (2, "2024-01-04", "moved")), path, ["id"], newest, "day")
+    table = incremental.read_partitions(spark, path, "day", first.schema)
+    assert rows(table.select("id", "value")) == [(1, "dated"), (2, "moved")]
+
+
+def test_a_load_that_dies_leaves_the_table(spark, monkeypatch):
+    path, newest = folder(spark), [F.col("at").desc()]
+    first = events(spark, (1, "2024-01-01", "a"), (2, "2024-01-01", "b")).withColumn("day", F.to_date("at"))
+    incremental.upsert_partitions(first, path, ["id"], newest, "day")
+    delta = first.where("id = 1").withColumn("value", F.lit("A")).withColumn("at", F.col("at") + F.make_dt_interval(F.lit(0), F.lit(1)))
+
+    def dies(*_):
+        raise RuntimeError("killed before the swap")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(PartitionedTable, "_commit", dies)
+        with pytest.raises(RuntimeError, match="killed"):
+            incremental.upsert_partitions(delta, path, ["id"], newest, "day")
+    table = PartitionedTable(spark, path, "day")
+    assert rows(table.read(first.schema).select("id", "value")) == [(1, "a"), (2, "b")]
+    incremental.upsert_partitions(delta, path, ["id"], newest, "day")  # the replay
+    assert rows(table.read(first.schema).select("id", "value")) == [(1, "A"), (2, "b")]
+    assert table.drop_superseded() == 2  # the first load and the one that died
+    assert table.read(first.schema).count() == 2
+
+
+def test_partitions_of_any_name(spark):
+    path = folder(spark)
+    frame = spark.createDataFrame([(1, "a/b=c"), (2, None), (3, "x y%"), (4, "001")], "id int, part string")
+    incremental.overwrite_partitions(frame, path, "part")
+    incremental.overwrite_partitions(frame.where("id in (2, 3)").withColumn("id", F.col("id") * 10), path, "part")
+    assert rows(incremental.read_partitions(spark, path, "part", frame.schema)) == [(1, "a/b=c"), (20, None), (30, "x y%"), (4, "001")]
+    assert incremental.read_partitions(spark, folder(spark), "part", frame.schema).isEmpty()
 
 
 def test_microbatch_lookback(spark):
@@ -60,7 +112,33 @@ def test_microbatch_lookback(spark):
     incremental.microbatch(on_time, path, "at", date(2024, 1, 1), date(2024, 1, 3), lookback=0)
     late = on_time.union(events(spark, (9, "2024-01-01", "too late"), (8, "2024-01-02", "late")))
     incremental.microbatch(late, path, "at", date(2024, 1, 3), date(2024, 1, 4), lookback=1)
-    assert rows(spark.read.parquet(path).select("id")) == [(1,), (2,), (3,), (8,)]
+    schema = on_time.withColumn("event_day", F.to_date("at")).schema
+    read = lambda: rows(incremental.read_partitions(spark, path, "event_day", schema).select("id"))
+    assert read() == [(1,), (2,), (3,), (8,)]
+    # A day whose rows are gone becomes empty, alone or with others.
+    gone = late.where("id not in (2, 8)")
+    incremental.microbatch(gone, path, "at", date(2024, 1, 3), date(2024, 1, 4), lookback=1)
+    assert read() == [(1,), (3,)]
+
+
+def test_microbatch_keeps_one_row_per_key(spark):
+    path, newest = folder(spark), [F.col("at").desc()]
+    source = events(spark, (1, "2024-01-01", "a"), (1, "2024-01-02", "b"), (2, "2024-01-01", "c"), (1, "2024-01-04", "d"))
+    options = {"lookback": 0, "unique_key": ["id"], "newest_first": newest}
+    incremental.microbatch(source, path, "at", date(2024, 1, 1), date(2024, 1, 3), **options)
+    incremental.microbatch(source, path, "at", date(2024, 1, 3), date(2024, 1, 5), isolate=True, **options)
+    schema = source.withColumn("event_day", F.to_date("at")).schema
+    assert rows(incremental.read_partitions(spark, path, "event_day", schema).select("id", "value")) == [(1, "d"), (2, "c")]
+
+
+def test_isolated_batches_keep_what_came_before(spark):
+    path = folder(spark)
+    source = events(spark, (1, "2024-01-01", "1"), (2, "2024-01-02", "x"), (3, "2024-01-03", "3"))
+    broken = source.withColumn("value", F.col("value").cast("int"))
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        incremental.microbatch(broken, path, "at", date(2024, 1, 1), date(2024, 1, 4), lookback=0, isolate=True)
+    schema = broken.withColumn("event_day", F.to_date("at")).schema
+    assert rows(incremental.read_partitions(spark, path, "event_day", schema).select("id")) == [(1,)]
 
 
 def test_schema_policies(spark):
@@ -73,6 +151,11 @@ def test_schema_policies(spark):
     with pytest.raises(incremental.SchemaChanged):
         incremental.evolve_schema(target, incoming)
     assert incremental.evolve_schema(target, target).count() == 2
+    retyped = spark.createDataFrame([("7", "b")], "id string, old string")
+    for policy in ("fail", "ignore", "append_new_columns", "sync_all_columns"):
+        with pytest.raises(incremental.SchemaChanged, match="another type"):
+            incremental.evolve_schema(target, retyped, policy)
+        assert rows(incremental.evolve_schema(target, retyped, policy, widen=["id"])) == [("1", "a"), ("7", "b")]
     assert incremental.versioned_projection(appended, exclude=["old"]).columns == ["id", "new"]
 
 

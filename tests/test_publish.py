@@ -5,11 +5,11 @@ from conftest import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from stratalake import shared_root, size_shuffles
+from stratalake import estimated_bytes, shared_root, size_shuffles
 from stratalake.operators import checks
 from stratalake.operators.contracts import ContractViolation, contract_diff, enforce
 from stratalake.operators.publish import HISTORY_LAYER, GateClosed, write_audit_publish
-from stratalake.plans.build import build
+from stratalake.plans.build import build, write_together
 from stratalake.sources.seed import seed_records
 
 CONTRACT = [("id", "bigint"), ("amount", "decimal(5,1)")]
@@ -120,12 +120,27 @@ def test_shared_folder_comes_from_the_session(spark):
 
 
 def test_shuffles_are_sized_by_the_input(spark):
-    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         assert size_shuffles(spark, 1000) == 4
-        assert size_shuffles(spark, 2 << 40) == 2048
-        assert size_shuffles(spark, 100 << 40) == 50_000
-        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "512m"
+        assert size_shuffles(spark, 2 << 40) == 4096
+        assert size_shuffles(spark, 100 << 40) == 204_800  # in proportion, without a ceiling
     finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_input_is_what_the_sources_hold(spark, tmp_path):
+    spark.range(1000).write.parquet(f"{tmp_path}/a")
+    one = spark.read.parquet(f"{tmp_path}/a")
+    assert 0 < estimated_bytes(one) == estimated_bytes(one.groupBy("id").count())
+    assert estimated_bytes(one.join(one.withColumnRenamed("id", "b"))) == 2 * estimated_bytes(one)
+
+
+def test_build_sizes_its_shuffles(spark, warehouse):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        raw = write_together(warehouse, seed_records(spark))
+        build(warehouse, raw, input_bytes=3 << 30)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "6"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -6,6 +6,8 @@ doubles. Each ``WITH`` part below is one layer; a query takes the layers it need
 
 from __future__ import annotations
 
+import hashlib
+
 AS_OF = "TIMESTAMP '2024-02-01 00:00:00'"
 
 STG_USERS = f"""
@@ -48,13 +50,13 @@ stg_purchases AS (
 
 ORDER_LINE_PURCHASES = f"""
 stg_purchases AS (
-  SELECT ((l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey) * 10000 + l_suppkey AS purchase_id,
+  SELECT (l_orderkey * 8 + l_linenumber) * 1024 + row_number() OVER (
+           PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount,
+           l_tax, l_returnflag, l_linestatus, l_shipdate) AS purchase_id,
          o_custkey AS user_id, l_partkey AS product_id, o_orderdate AS purchased_at,
          o_orderdate AS added_to_cart_at,
-         CASE WHEN flag = 'R' THEN shipped END AS returned_at, {AS_OF} AS loaded_at
-  FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, MIN(l_returnflag) AS flag, MIN(l_shipdate) AS shipped
-        FROM lineitem GROUP BY l_orderkey, l_linenumber, l_partkey, l_suppkey)
-  JOIN orders ON l_orderkey = o_orderkey
+         CASE WHEN l_returnflag = 'R' THEN l_shipdate END AS returned_at, {AS_OF} AS loaded_at
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 )"""
 
 DIM_PRODUCTS = """
@@ -178,10 +180,10 @@ def sql(parts: list[str], select: str) -> str:
     return f"WITH {','.join(parts)}\n{select}" if parts else select
 
 
-def dig(stream: str, key: str, field: int, below: int) -> str:
-    """The generator's number: six hex digits of the record's MD5, modulo ``below``."""
-    text = f"md5('{stream}:42:' || CAST({key} AS VARCHAR))"
-    return f"(CAST('0x' || substr({text}, {1 + 6 * field}, 6) AS BIGINT) % {below})"
+def dig(stream: str, key: str, field: str, below: int) -> str:
+    """The generator's number: 15 hex digits of an MD5 over field and key, modulo ``below``."""
+    text = f"md5('{stream}:42:{field}:' || CAST({key} AS VARCHAR))"
+    return f"(CAST('0x' || substr({text}, 1, 15) AS BIGINT) % {below})"
 
 
 def pick(number: str, choices: list[str]) -> str:
@@ -233,19 +235,43 @@ SELECT 'raw_users' AS table_name, COUNT(*) AS row_count, COUNT(*) AS payloads FR
 UNION ALL SELECT 'raw_products', COUNT(*), COUNT(*) FROM part
 UNION ALL SELECT 'raw_purchases', COUNT(*), COUNT(*) FROM events WHERE event_type = 'purchase'"""
 
-_bought = f"(TIMESTAMP '2024-01-01 00:00:00' + to_minutes({dig('purchases', 'c_custkey', 2, 288000)}))"
+def _profile(field: str, choices: list[str]) -> str:
+    return pick(dig("users", "c_custkey", field, len(choices)), choices)
+
+
+_bought = f"(TIMESTAMP '2024-01-01 00:00:00' + to_minutes({dig('purchases', 'c_custkey', 'bought', 288000)}))"
+_created = f"(TIMESTAMP '2024-01-01 00:00:00' + to_minutes({dig('users', 'c_custkey', 'created', 288000)}))"
 ORACLES["synthetic_ecommerce"] = f"""
-SELECT c_custkey AS id,
-       {pick(dig('users', 'c_custkey', 0, 4), ['Male', 'Female', 'Fluid', 'Other'])} AS gender,
-       {pick(dig('users', 'c_custkey', 3, 5), ['Engineer', 'Teacher', 'Nurse', 'Designer', 'Analyst'])} AS occupation,
-       CAST(18 + {dig('users', 'c_custkey', 4, 60)} AS INTEGER) AS age,
-       {pick(dig('users', 'c_custkey', 2, 6), ['US', 'CA', 'GB', 'DE', 'JP', 'BR'])} AS country_code,
-       {dig('purchases', 'c_custkey', 0, 1000)} AS user_id,
-       {dig('purchases', 'c_custkey', 1, 100)} AS product_id,
-       {_bought} AS purchased_at,
-       CASE WHEN {dig('purchases', 'c_custkey', 3, 10)} = 0 THEN {_bought} + INTERVAL 10 DAY END AS returned_at
+SELECT c_custkey AS id, 'User ' || c_custkey AS name, 'user' || c_custkey || '@example.com' AS email,
+       {_profile('gender', ['Male', 'Female', 'Fluid', 'Other'])} AS gender,
+       {_profile('title', ['Mr.', 'Ms.', 'Dr.'])} AS title,
+       {_profile('occupation', ['Engineer', 'Teacher', 'Nurse', 'Designer', 'Analyst'])} AS occupation,
+       {_profile('nationality', ['American', 'Canadian', 'British', 'German', 'Japanese', 'Brazilian'])} AS nationality,
+       {_profile('language', ['English', 'German', 'Japanese', 'Portuguese'])} AS language,
+       {_profile('degree', ['Bachelor', 'Master', 'PhD'])} AS academic_degree,
+       CAST(18 + {dig('users', 'c_custkey', 'age', 60)} AS INTEGER) AS age,
+       {_profile('blood', ['O+', 'A+', 'B+', 'AB+', 'O-', 'A-', 'B-', 'AB-'])} AS blood_type,
+       'City ' || {dig('users', 'c_custkey', 'city', 100)} AS city,
+       'State ' || {dig('users', 'c_custkey', 'state', 10)} AS state,
+       {_profile('country', ['US', 'CA', 'GB', 'DE', 'JP', 'BR'])} AS country_code,
+       CAST(10000 + {dig('users', 'c_custkey', 'postal', 90000)} AS VARCHAR) AS postal_code,
+       {_profile('street', ['Birch Rd', 'Canal St', 'Hill Ave', 'Lake Dr', 'Mill Ln'])} AS street_name,
+       CAST(1 + {dig('users', 'c_custkey', 'house', 999)} AS VARCHAR) AS street_number,
+       {_created} AS created_at, {_created} AS updated_at,
+       {dig('purchases', 'c_custkey', 'user', 100_000_000)} AS user_id,
+       {dig('purchases', 'c_custkey', 'product', 5000)} AS product_id,
+       {_bought} AS purchased_at, {_bought} - INTERVAL 1 DAY AS added_to_cart_at,
+       CASE WHEN {dig('purchases', 'c_custkey', 'returned', 10)} = 0 THEN {_bought} + INTERVAL 10 DAY END AS returned_at
 FROM customer"""
 
+_makes = ["Aster", "Borealis", "Cinder", "Dune", "Ember", "Fjord", "Gale", "Harbor"]
+ORACLES["synthetic_products"] = f"""
+SELECT id, {pick(dig('products', 'id', 'make', 8), _makes)} AS make, 'Model ' || {dig('products', 'id', 'model', 500)} AS model,
+       CAST(2000 + {dig('products', 'id', 'year', 25)} AS INTEGER) AS year,
+       CAST(({dig('products', 'id', 'price', 8000000)} + 100000) * CAST('0.01' AS DECIMAL(3,2)) AS DECIMAL(10,2)) AS price,
+       TIMESTAMP '2024-01-01 00:00:00' AS created_at
+FROM (SELECT CAST(row_number() OVER () - 1 AS BIGINT) AS id FROM part)"""
+
 ORACLES["stg_users"] = sql([STG_USERS], "SELECT * FROM stg_users")
 ORACLES["stg_products"] = sql([STG_PRODUCTS], "SELECT * FROM stg_products")
 ORACLES["stg_purchases"] = sql([STG_PURCHASES], "SELECT * FROM stg_purchases")
@@ -374,9 +400,10 @@ _RELATIONS = {
 }
 
 
-def _check(test_type: str, table: str, column: str, failures: str) -> str:
+def _check(test_type: str, table: str, column: str, failures: str, arguments: str = "") -> str:
+    suffix = f"_{hashlib.md5(arguments.encode()).hexdigest()[:8]}" if arguments else ""
     return f"""
-SELECT '{test_type}_{table}_{column}' AS check_name, '{_SCHEMAS[table]}' AS schema_name, '{table}' AS table_name,
+SELECT '{test_type}_{table}_{column}{suffix}' AS check_name, '{_SCHEMAS[table]}' AS schema_name, '{table}' AS table_name,
        '{column}' AS column_name, '{test_type}' AS test_type, 'error' AS severity, failures,
        CASE WHEN failures > 0 THEN 'fail' ELSE 'pass' END AS status FROM ({failures})"""
 
@@ -398,13 +425,14 @@ def _relationship(table: str, column: str, parent: str) -> str:
         f"SELECT COUNT(*) AS failures FROM {relation} c WHERE c.{column} IS NOT NULL "
         f"AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{column} = c.{column})"
     )
-    return _check("relationships", table, column, orphans)
+    return _check("relationships", table, column, orphans, f"{parent}|{column}")
 
 
 def _expression(table: str, column: str, condition: str) -> str:
     relation = _RELATIONS.get(table, table)
     return _check(
-        "expression_is_true", table, column, f"SELECT COUNT(*) AS failures FROM {relation} WHERE NOT ({column} {condition})"
+        "expression_is_true", table, column, f"SELECT COUNT(*) AS failures FROM {relation} WHERE NOT ({column} {condition})",
+        f"{column} {condition}",
     )
 
 
@@ -412,6 +440,7 @@ def _accepted(column: str, values: str) -> str:
     return _check(
         "accepted_values", "stg_users", column,
         f"SELECT COUNT(DISTINCT {column}) AS failures FROM stg_users WHERE {column} NOT IN ({values})",
+        values.replace("'", "").replace(", ", "|"),
     )
 
 
@@ -465,6 +494,7 @@ def _share(column: str, at_least: float) -> str:
     return _check(
         "not_null_proportion", "stg_users", column,
         f"SELECT CASE WHEN COUNT({column}) >= {at_least} * COUNT(*) THEN 0 ELSE COUNT(*) - COUNT({column}) END AS failures FROM stg_users",
+        str(at_least),
     )
 
 
@@ -472,23 +502,30 @@ ORACLES["check_extended"] = sql(
     [STG_USERS, STG_PURCHASES],
     " UNION ALL ".join(
         [
-            _check("between", "stg_users", "age", "SELECT COUNT(*) AS failures FROM stg_users WHERE age < 20 OR age > 70"),
+            _check("between", "stg_users", "age", "SELECT COUNT(*) AS failures FROM stg_users WHERE age < 20 OR age > 70", "20|70"),
             _check("matches", "stg_users", "email",
-                   "SELECT COUNT(*) AS failures FROM stg_users WHERE NOT regexp_matches(email, '^user[0-9]+@example[.]com$')"),
+                   "SELECT COUNT(*) AS failures FROM stg_users WHERE NOT regexp_matches(email, '^user[0-9]+@example[.]com$')",
+                   "^user[0-9]+@example[.]com$"),
             _check("matches", "stg_users", "blood_type",
-                   "SELECT COUNT(*) AS failures FROM stg_users WHERE NOT regexp_matches(blood_type, '^O')"),
+                   "SELECT COUNT(*) AS failures FROM stg_users WHERE NOT regexp_matches(blood_type, '^O')", "^O"),
             _share("gender", 0.75),
             _share("title", 0.9),
             _expression("stg_purchases", "returned_at", "<= TIMESTAMP '2024-02-01 00:00:00'"),
         ]
     ),
 )
-ORACLES["check_severity"] = sql(
-    [STG_PURCHASES],
-    """
-SELECT 'purchased_at' AS column_name, severity, (SELECT COUNT(*) FROM stg_purchases WHERE purchased_at IS NULL) AS failures, status
-FROM (VALUES ('error', 'fail'), ('warn', 'warn'), ('error', 'warn'), ('error', 'pass')) v(severity, status)""",
-)
+_OPTIONS = [("error", 0, 0, "fail"), ("warn", 0, 0, "warn"), ("error", 10, 1000000000, "warn"), ("error", 1000000000, 1000000000, "pass")]
+
+
+def _severity(severity: str, warn: int, error: int, status: str) -> str:
+    options = "" if (severity, warn, error) == ("error", 0, 0) else f"{severity}|{warn}|{error}"
+    suffix = f"_{hashlib.md5(options.encode()).hexdigest()[:8]}" if options else ""
+    return f"""
+SELECT 'not_null_fct_purchases_purchased_at{suffix}' AS check_name, 'purchased_at' AS column_name, '{severity}' AS severity,
+       COUNT(*) AS failures, '{status}' AS status FROM stg_purchases WHERE purchased_at IS NULL"""
+
+
+ORACLES["check_severity"] = sql([STG_PURCHASES], " UNION ALL ".join(_severity(*o) for o in _OPTIONS))
 ORACLES["check_failing_rows"] = sql(
     [STG_PRODUCTS, STG_PURCHASES],
     "SELECT * FROM stg_purchases WHERE product_id NOT IN (SELECT product_id FROM stg_products)",
@@ -599,18 +636,12 @@ QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS FIRST, ev
 ORACLES["incr_high_water"] = """
 SELECT o_orderkey, o_custkey, o_orderdate FROM orders
 WHERE o_orderdate > (SELECT MAX(o_orderdate) FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01 00:00:00')"""
-ORACLES["incr_upsert"] = sql(
-    [DELTA],
-    """
-SELECT user_id, event_id, ts, event_type FROM (
-  SELECT *, 0 AS fresh FROM states UNION ALL SELECT *, 1 FROM later WHERE event_type = 'purchase')
-QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY fresh DESC, ts DESC, event_id DESC) = 1""",
-)
+ORACLES["incr_upsert"] = """
+SELECT user_id, event_id, ts, event_type FROM events
+QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
+ORACLES["incr_upsert_late"] = f"SELECT *, CAST(ts AS DATE) AS event_day FROM ({ORACLES['incr_upsert']})"
 ORACLES["incr_delete_insert"] = sql(
-    [DELTA],
-    """
-SELECT * FROM states WHERE user_id NOT IN (SELECT user_id FROM later WHERE event_type = 'error')
-UNION ALL SELECT * FROM later WHERE event_type = 'error'""",
+    [DELTA], "SELECT * FROM states WHERE user_id NOT IN (SELECT user_id FROM later) UNION ALL SELECT * FROM later"
 )
 ORACLES["incr_append"] = "SELECT event_id, ts, user_id FROM events"
 ORACLES["incr_insert_overwrite"] = """
@@ -620,6 +651,22 @@ ORACLES["microbatch_daily"] = """
 SELECT CAST(ts AS DATE) AS event_day, COUNT(*) AS row_count FROM events
 WHERE ts < TIMESTAMP '2024-01-25 00:00:00' AND (ts >= TIMESTAMP '2024-01-14 00:00:00' OR event_type <> 'signup')
 GROUP BY 1"""
+ORACLES["microbatch_unique_key"] = """
+WITH early AS (
+  SELECT event_id, ts, user_id FROM events WHERE event_id % 2 = 0 AND ts < TIMESTAMP '2024-01-13 00:00:00'
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
+), reloaded AS (
+  SELECT event_id, ts, user_id FROM events
+  WHERE ts >= TIMESTAMP '2024-01-13 00:00:00' AND ts < TIMESTAMP '2024-01-17 00:00:00' AND CAST(ts AS DATE) <> DATE '2024-01-15'
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
+), between_loads AS (
+  SELECT DISTINCT user_id FROM events
+  WHERE event_id % 2 = 0 AND ts >= TIMESTAMP '2024-01-13 00:00:00' AND ts < TIMESTAMP '2024-01-17 00:00:00'
+)
+SELECT *, CAST(ts AS DATE) AS event_day FROM reloaded
+UNION ALL
+SELECT *, CAST(ts AS DATE) FROM early
+WHERE user_id NOT IN (SELECT user_id FROM reloaded) AND user_id NOT IN (SELECT user_id FROM between_loads)"""
 ORACLES["schema_evolve"] = """
 SELECT policy, columns, COUNT(*) AS row_count,
        CASE WHEN policy <> 'sync_all_columns' THEN COUNT(*) FILTER (WHERE c_mktsegment <> 'BUILDING') END AS c_mktsegment_filled,

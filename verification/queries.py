@@ -204,16 +204,21 @@ def full_refresh_overwrite(spark, sf_dir):
 
 @query
 def synthetic_ecommerce(spark, sf_dir):
-    """Generated profiles and purchases, one for each sample customer."""
+    """Generated profiles and purchases, one for each sample customer, out of 100 million users."""
     customers = Sample(spark, sf_dir).table("customer")
     ids = customers.select(F.col("c_custkey").alias("id"))
-    generated = synthetic.users(ids).select("id", "gender", "occupation", "age", "address.country_code")
-    bought = synthetic.purchases(ids, n_users=1000, n_products=100).select(
-        "id", "user_id", "product_id", "purchased_at", "returned_at"
-    )
+    generated = synthetic.users(ids).select("*", "address.*").drop("address")
+    bought = synthetic.purchases(ids, n_users=100_000_000, n_products=5000)
     return generated.join(bought, "id")
 
 
+@query
+def synthetic_products(spark, sf_dir):
+    """As many generated products as the sample has parts, a thousand to a task."""
+    count = Sample(spark, sf_dir).table("part").count()
+    return synthetic.products(synthetic.ids(spark, count, records_per_slice=1000))
+
+
 # --- staging ---------------------------------------------------------------------------
 
 
@@ -498,7 +503,7 @@ def check_severity(spark, sf_dir):
     ]
     declared = [checks.not_null("purchased_at", **o) for o in options]
     numbered = checks.run_checks(fct, "marts", "fct_purchases", declared)
-    return numbered.select("column_name", "severity", "failures", "status")
+    return numbered.select("check_name", "column_name", "severity", "failures", "status")
 
 
 @query
@@ -670,13 +675,26 @@ def _event_delta(spark, sf_dir):
 @query
 def incr_upsert(spark, sf_dir):
     target, delta, newest = _event_delta(spark, sf_dir)
-    return incremental.upsert(target, delta.where("event_type = 'purchase'"), ["user_id"], newest)
+    return incremental.upsert(target, delta, ["user_id"], newest)
+
+
+@query
+def incr_upsert_late(spark, sf_dir):
+    """The newest event per user, upserted by day in three loads that come in the wrong order."""
+    path = trial_folder(spark)
+    events = Sample(spark, sf_dir).table("events").select("user_id", "event_id", "ts", "event_type")
+    rows = events.withColumn("event_day", F.to_date("ts"))
+    newest = [F.col("ts").desc(), F.col("event_id").desc()]
+    for part in (2, 0, 1):
+        delta = latest_per_key(rows.where(f"event_id % 3 = {part}"), ["user_id"], newest)
+        incremental.upsert_partitions(delta, path, ["user_id"], newest, "event_day")
+    return incremental.read_partitions(spark, path, "event_day", rows.schema)
 
 
 @query
 def incr_delete_insert(spark, sf_dir):
     target, delta, _ = _event_delta(spark, sf_dir)
-    return incremental.delete_insert(target, delta.where("event_type = 'error'"), ["user_id"])
+    return incremental.delete_insert(target, delta, ["user_id"])
 
 
 @query
@@ -695,10 +713,10 @@ def incr_insert_overwrite(spark, sf_dir):
     path = trial_folder(spark)
     events = Sample(spark, sf_dir).table("events").withColumn("event_day", F.to_date("ts"))
     rows = events.select("event_id", "event_type", "value", "event_day")
-    incremental.overwrite_partitions(rows, path, ["event_day"])
+    incremental.overwrite_partitions(rows, path, "event_day")
     corrected = rows.where("event_day >= DATE '2024-01-20'").withColumn("value", F.lit(0.0))
-    incremental.overwrite_partitions(corrected, path, ["event_day"])
-    return spark.read.schema(rows.schema).parquet(path)
+    incremental.overwrite_partitions(corrected, path, "event_day")
+    return incremental.read_partitions(spark, path, "event_day", rows.schema)
 
 
 @query
@@ -709,7 +727,23 @@ def microbatch_daily(spark, sf_dir):
     early = events.where("event_type <> 'signup'")  # sign-ups arrive late
     incremental.microbatch(early, path, "ts", date(2024, 1, 1), date(2024, 1, 17), lookback=0)
     incremental.microbatch(events, path, "ts", date(2024, 1, 17), date(2024, 1, 25), lookback=3)
-    return spark.read.parquet(path).groupBy("event_day").agg(F.count("*").alias("row_count"))
+    loaded = incremental.read_partitions(spark, path, "event_day", events.withColumn("event_day", F.to_date("ts")).schema)
+    return loaded.groupBy("event_day").agg(F.count("*").alias("row_count"))
+
+
+@query
+def microbatch_unique_key(spark, sf_dir):
+    """One row per user and range; the reload finds one day gone and some users on another day."""
+    path = trial_folder(spark)
+    events = Sample(spark, sf_dir).table("events").select("event_id", "ts", "user_id")
+    newest = [F.col("ts").desc(), F.col("event_id").desc()]
+    options = {"unique_key": ["user_id"], "newest_first": newest, "lookback": 0}
+    first = events.where("event_id % 2 = 0")
+    incremental.microbatch(first, path, "ts", date(2024, 1, 1), date(2024, 1, 13), **options)
+    left = events.where("to_date(ts) <> DATE '2024-01-15'")
+    incremental.microbatch(first, path, "ts", date(2024, 1, 13), date(2024, 1, 17), isolate=True, **options)
+    incremental.microbatch(left, path, "ts", date(2024, 1, 13), date(2024, 1, 17), **options)
+    return incremental.read_partitions(spark, path, "event_day", events.withColumn("event_day", F.to_date("ts")).schema)
 
 
 @query
@@ -832,15 +866,17 @@ def surrogate_keys(spark, sf_dir):
 
 @query
 def stream_dedup(spark, sf_dir):
-    """Purchases delivered twice as a stream of files: deduplicated, staged and upserted by day."""
+    """Purchases delivered twice as a stream of files, in four batches: deduplicated, staged and upserted by day."""
     folder = trial_folder(spark)
     raw = Sample(spark, sf_dir).raw("raw_purchases")
     for _ in range(2):
         raw.write.mode("append").parquet(f"{folder}/arrivals")
-    arrivals = deduplicate(raw_stream(spark, f"{folder}/arrivals"), ["record_id"], "emitted_at", "1 hour")
+    files = len(spark.read.parquet(f"{folder}/arrivals").inputFiles())
+    stream = raw_stream(spark, f"{folder}/arrivals", max_files_per_trigger=-(-files // 4))
+    arrivals = deduplicate(stream, ["record_id"], "emitted_at", "1 hour")
     staged = staging.stg_purchases(arrivals).withColumn("event_day", F.to_date("added_to_cart_at"))
     newest = [F.col("loaded_at").desc()]
     upsert_stream(
         staged, f"{folder}/table", f"{folder}/checkpoint", ["purchase_id"], newest, "event_day"
     ).awaitTermination()
-    return spark.read.schema(staged.schema).parquet(f"{folder}/table")
+    return incremental.read_partitions(spark, f"{folder}/table", "event_day", staged.schema)
