@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -47,8 +48,11 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "2"))
+    shared = tempfile.TemporaryDirectory(prefix="bench-")  # one machine: its own folder is shared
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
+        .config("spark.checkpoint.dir", f"{shared.name}/shared")
+        .config("spark.sql.warehouse.dir", f"{shared.name}/warehouse")
         .appName("bench")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -79,6 +83,7 @@ def main() -> None:
         )
     )
     spark.stop()
+    shared.cleanup()
 
 
 if __name__ == "__main__":

@@ -8,10 +8,48 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def daily_metrics(rows: DataFrame, event_time: str, metrics: dict[str, Column], by: Sequence[str] = ()) -> DataFrame:
-    """One row per day (and per ``by``): row count and the given aggregates."""
-    return rows.groupBy(*by, F.to_date(event_time).alias("day")).agg(
+def daily_metrics(
+    rows: DataFrame, event_time: str, metrics: dict[str, Column], by: Sequence[str] = ()
+) -> DataFrame:
+    """One row per day (and per ``by``) from the first day to the last: row count and the given aggregates.
+
+    A silent day has 0 rows and, since nothing can be said about its rows, NULL metrics.
+    The calendar spans all rows, so a group that begins late or stops is silent there too.
+    """
+    counted = rows.groupBy(*by, F.to_date(event_time).alias("day")).agg(
         F.count("*").alias("row_count"), *[column.alias(name) for name, column in metrics.items()]
+    ).where("day IS NOT NULL")
+    span = counted.agg(F.min("day").alias("first"), F.max("day").alias("last"))
+    days = span.select(F.explode(F.sequence("first", "last", F.expr("INTERVAL 1 DAY"))).alias("day"))
+    calendar = counted.select(*by).distinct().join(F.broadcast(days)) if by else days  # groups by days: no data rows
+    same = [F.col(f"c.{c}").eqNullSafe(F.col(f"m.{c}")) for c in [*by, "day"]]
+    return calendar.alias("c").join(counted.alias("m"), same, "left").select(
+        *[F.col(f"c.{c}").alias(c) for c in [*by, "day"]],
+        F.coalesce("m.row_count", F.lit(0)).alias("row_count"),
+        *[F.col(f"m.{name}").alias(name) for name in metrics],
+    )
+
+
+def schema_changes(records: DataFrame, event_time: str, fields: Column) -> DataFrame:
+    """Fields that appear, vanish or change their type from one day with records to the next.
+
+    ``fields`` maps a record's field names to types. ``day, field_name, change, old_type,
+    new_type``; a day's types of one field are joined by ``|``. The first day changes nothing.
+    """
+    day = F.to_date(event_time).alias("day")
+    seen = records.select(day, F.explode(fields).alias("field_name", "type")).where("day IS NOT NULL").distinct()
+    daily = seen.groupBy("day", "field_name").agg(F.array_join(F.array_sort(F.collect_set("type")), "|").alias("types"))
+    days = records.select(day).where("day IS NOT NULL").distinct()
+    following = days.select("day", F.lead("day").over(Window.orderBy("day")).alias("next")).where("next IS NOT NULL")
+    old = daily.join(following, "day").select(F.col("next").alias("day"), "field_name", F.col("types").alias("old_type"))
+    new = daily.join(following.select(F.col("next").alias("day")), "day").withColumnRenamed("types", "new_type")
+    change = (
+        F.when(F.col("old_type").isNull(), "appeared").when(F.col("new_type").isNull(), "vanished").otherwise("retyped")
+    )
+    return (
+        old.join(new, ["day", "field_name"], "full_outer")
+        .where(~F.col("old_type").eqNullSafe(F.col("new_type")))
+        .select("day", "field_name", change.alias("change"), "old_type", "new_type")
     )
 
 

@@ -20,6 +20,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from stratalake.functions import literal
+
 RESULT = (
     "check_name string, schema_name string, table_name string, column_name string, "
     "test_type string, severity string, failures bigint, status string"
@@ -231,9 +233,9 @@ def _described(counts: DataFrame, schema_name: str, table_name: str, checks: Seq
     # One SQL literal instead of a Column object per field: building those would take
     # longer than checking a small table.
     declared = ", ".join(
-        f"named_struct('check_name', {_text(c.name(table_name))}, 'schema_name', {_text(schema_name)}, "
-        f"'table_name', {_text(table_name)}, 'column_name', {_text(c.column)}, "
-        f"'test_type', {_text(c.test_type)}, 'severity', {_text(c.severity)}, "
+        f"named_struct('check_name', {literal(c.name(table_name))}, 'schema_name', {literal(schema_name)}, "
+        f"'table_name', {literal(table_name)}, 'column_name', {literal(c.column)}, "
+        f"'test_type', {literal(c.test_type)}, 'severity', {literal(c.severity)}, "
         f"'warn_above', {c.warn_above}L, 'error_above', {c.error_above}L)"
         for c in [*checks, Check("", "")]  # one more, so that the array always has its type
     )
@@ -256,11 +258,6 @@ _RESULT_COLUMNS = (
 )
 
 
-def _text(value: str) -> str:
-    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
-    return f"'{escaped}'"
-
-
 def failing_rows(rows: DataFrame, check: Check, parents: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """The rows a check rejects, whole, to be stored next to the result."""
     if check.test_type == "unique":
@@ -299,13 +296,17 @@ def freshness(
 
 
 class StaleSource(RuntimeError):
-    """A source is older than its error threshold."""
+    """Sources are older than their error threshold; ``names`` lists them."""
+
+    def __init__(self, rows: Sequence[Row]):
+        super().__init__(", ".join(f"{r.source_name} ({r.age_seconds} s)" for r in rows))
+        self.names = [r.source_name for r in rows]
 
 
 def require_fresh(report: DataFrame) -> list[Row]:
     """The rows of a :func:`freshness` report, or :class:`StaleSource` if one is an error."""
     rows = report.collect()
-    stale = [f"{r.source_name} ({r.age_seconds} s)" for r in rows if r.status == "error"]
+    stale = [r for r in rows if r.status == "error"]
     if stale:
-        raise StaleSource(", ".join(stale))
+        raise StaleSource(stale)
     return rows

@@ -4,59 +4,74 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _per_key(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key with both sides' values; one shuffle, and no pairing of rows.
+def _hash(column: str, salt: int) -> Column:
+    """64 bits of a value; NULL hashes unlike any value."""
+    value = F.col(f"`{column}`")
+    return F.xxhash64(F.lit(salt), value.isNull(), value)
 
-    Grouping instead of joining keeps a repeated key at one row per task, where a join
-    would emit every pair of its rows.
+
+def _per_key(a: DataFrame, b: DataFrame, keys: Sequence[str], groups: dict[str, list[str]]) -> DataFrame:
+    """One row per key: its rows on each side, and for each group of columns whether both sides agree.
+
+    One shuffle of two 64-bit hashes per group, whose sums are hash-aggregated; no pairing
+    of rows. Grouping instead of joining keeps a repeated key at one row per task, where a
+    join would emit every pair of its rows. A key on both sides once agrees when the
+    hashes of its one row here and its one row there cancel out.
     """
-    columns = [c for c in a.columns if c not in keys]
-    values = F.struct(*columns) if columns else F.struct(F.lit(0).alias("_"))
-    sides = a.select(*keys, values.alias("row"), F.lit("a").alias("side")).unionByName(
-        b.select(*keys, values.alias("row"), F.lit("b").alias("side"))
-    )
-    in_a, in_b = F.col("side") == "a", F.col("side") == "b"
-    grouped = sides.groupBy(*keys).agg(
-        F.count_if(in_a).alias("n_a"),
-        F.count_if(in_b).alias("n_b"),
-        F.max(F.when(in_a, F.col("row"))).alias("row_a"),
-        F.max(F.when(in_b, F.col("row"))).alias("row_b"),
+    def side(frame: DataFrame, sign: int) -> DataFrame:
+        hashes = [
+            (F.xxhash64(F.lit(salt), *[_hash(c, salt) for c in columns]).cast("decimal(20,0)") * sign).alias(f"{group}_{salt}")
+            for group, columns in groups.items()
+            for salt in (1, 2)
+        ]
+        return frame.select(*keys, F.lit(sign).alias("sign"), *hashes)
+
+    zero = F.lit(0).cast("decimal(20,0)")
+    agree = [
+        ((F.sum(f"{g}_1") == zero) & (F.sum(f"{g}_2") == zero)).alias(f"{g}_agrees") for g in groups
+    ]
+    grouped = side(a, 1).unionByName(side(b, -1)).groupBy(*keys).agg(
+        F.count_if(F.col("sign") == 1).alias("n_a"), F.count_if(F.col("sign") == -1).alias("n_b"), *agree
     )
     status = (
         F.when((F.col("n_a") > 1) | (F.col("n_b") > 1), "duplicate_key")
         .when(F.col("n_b") == 0, "only_in_a")
         .when(F.col("n_a") == 0, "only_in_b")
-        .when(F.col("row_a").eqNullSafe(F.col("row_b")), "identical")
-        .otherwise("changed")
     )
-    return grouped.withColumn("status", status)
+    return grouped.withColumn("status", status.otherwise("both"))
+
+
+def _others(a: DataFrame, keys: Sequence[str]) -> list[str]:
+    return [c for c in a.columns if c not in keys]
 
 
 def compare_relations(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Number of keys that are identical, changed, on one side only, or repeated."""
-    return _per_key(a, b, keys).groupBy("status").agg(F.count("*").alias("keys")).orderBy("status")
+    per_key = _per_key(a, b, keys, {"row": _others(a, keys)})
+    status = F.when(F.col("status") != "both", F.col("status")).when(F.col("row_agrees"), "identical").otherwise("changed")
+    return per_key.groupBy(status.alias("status")).agg(F.count("*").alias("keys")).orderBy("status")
 
 
 def compare_columns(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per column: keys on both sides whose values agree and differ (NULLs agree)."""
-    columns = [c for c in a.columns if c not in keys]
-    both = _per_key(a, b, keys).where(F.col("status").isin("identical", "changed"))
-    agree = {c: F.col(f"row_a.{c}").eqNullSafe(F.col(f"row_b.{c}")) for c in columns}
+    columns = _others(a, keys)
+    groups = {f"c{k}": [c] for k, c in enumerate(columns)}
+    both = _per_key(a, b, keys, groups).where("status = 'both'")
     counts = both.agg(
-        *[F.count_if(ok).alias(f"{c}_matching") for c, ok in agree.items()],
-        *[F.count_if(~ok).alias(f"{c}_differing") for c, ok in agree.items()],
+        *[F.count_if(F.col(f"{g}_agrees")).alias(f"{g}_matching") for g in groups],
+        *[F.count_if(~F.col(f"{g}_agrees")).alias(f"{g}_differing") for g in groups],
     )
     rows = [
         F.struct(
-            F.lit(c).alias("column_name"),
-            F.col(f"{c}_matching").alias("matching"),
-            F.col(f"{c}_differing").alias("differing"),
+            F.lit(columns[0]).alias("column_name"),
+            F.col(f"{g}_matching").alias("matching"),
+            F.col(f"{g}_differing").alias("differing"),
         )
-        for c in columns
+        for g, columns in groups.items()
     ]
     return counts.select(F.inline(F.array(*rows)))
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratalake.functions import literal, quoted
 from stratalake.sources.small import small_table
 
 Contract = Sequence[tuple[str, str]]  # (column, type)
@@ -20,7 +21,7 @@ class ContractViolation(ValueError):
 
 
 def declared_schema(contract: Contract) -> T.StructType:
-    return T.StructType.fromDDL(", ".join(f"`{name}` {dtype}" for name, dtype in contract))
+    return T.StructType.fromDDL(", ".join(f"{quoted(name)} {dtype}" for name, dtype in contract))
 
 
 def _family(dtype: T.DataType) -> str:
@@ -55,7 +56,10 @@ def contract_diff(rows: DataFrame, contract: Contract) -> DataFrame:
     actual = {f.name: f.dataType.simpleString() for f in rows.schema}
     decimals = [f for f in declared_schema(contract) if f.name not in named_wrong and isinstance(f.dataType, T.DecimalType)]
     counts = [F.expr("count(*) AS total")] + [
-        F.expr(f"count_if(`{f.name}` IS NOT NULL AND try_cast(`{f.name}` AS {f.dataType.simpleString()}) IS NULL) AS over{i}")
+        F.expr(
+            f"count_if({quoted(f.name)} IS NOT NULL"
+            f" AND try_cast({quoted(f.name)} AS {f.dataType.simpleString()}) IS NULL) AS over{i}"
+        )
         for i, f in enumerate(decimals)
     ]
     problems = [(*problem, "total") for problem in wrong] + [
@@ -64,17 +68,13 @@ def contract_diff(rows: DataFrame, contract: Contract) -> DataFrame:
     if not problems:
         return small_table(rows.sparkSession, [], DIFF)
     entries = ", ".join(
-        f"named_struct('column_name', {_text(c)}, 'problem', {_text(p)}, 'expected_type', {_text(e)}, "
-        f"'actual_type', {_text(a)}, 'affected_rows', {n})"
+        f"named_struct('column_name', {literal(c)}, 'problem', {literal(p)}, 'expected_type', {literal(e)}, "
+        f"'actual_type', {literal(a)}, 'affected_rows', {n})"
         for c, p, e, a, n in problems
     )
     return rows.agg(*counts).selectExpr(f"inline(array({entries}))").where("problem <> 'overflow' OR affected_rows > 0")
 
 
-def _text(value: str | None) -> str:
-    return "CAST(NULL AS STRING)" if value is None else f"'{value}'"
-
-
 def enforce(rows: DataFrame, contract: Contract) -> DataFrame:
     """Rows in the declared column order and precision, or :class:`ContractViolation`.
 
@@ -83,4 +83,4 @@ def enforce(rows: DataFrame, contract: Contract) -> DataFrame:
     problems = contract_problems(rows.schema, contract)
     if problems:
         raise ContractViolation("; ".join(f"{c}: {p} (expected {e}, got {a})" for c, p, e, a in problems))
-    return rows.selectExpr(*[f"CAST(`{name}` AS {dtype}) AS `{name}`" for name, dtype in contract])
+    return rows.selectExpr(*[f"CAST({quoted(name)} AS {dtype}) AS {quoted(name)}" for name, dtype in contract])

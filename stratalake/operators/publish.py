@@ -91,12 +91,14 @@ class History:
                 )
             )
 
-    def add_run(self, name: str, status: str, started: datetime, rows: int | None) -> None:
+    def add_run(
+        self, name: str, status: str, started: datetime, rows: int | None, resource_type: str = "model"
+    ) -> None:
+        """What became of a model (success, error, skipped), a unit test, a contract or a source."""
         ended = _now()
         seconds = (ended - started).total_seconds()
-        self._runs.append(
-            (self.invocation_id, name, "model", "table", status, seconds, rows, started, ended)
-        )
+        kind = "table" if resource_type == "model" else None
+        self._runs.append((self.invocation_id, name, resource_type, kind, status, seconds, rows, started, ended))
 
     def flush(self) -> None:
         pending = (
@@ -122,6 +124,7 @@ def write_audit_publish(
     partition_by: Sequence[str] = (),
     history: History | None = None,
     store_failures: bool = False,
+    latest_version: int | None = None,
 ) -> PublishReport:
     """Check the contract, write a hidden generation, check its rows, then publish it.
 
@@ -138,7 +141,11 @@ def write_audit_publish(
     status, row_count = "error", None
     try:
         if contract is not None:
-            rows = enforce(rows, contract)
+            held = "fail"
+            try:
+                rows, held = enforce(rows, contract), "pass"
+            finally:
+                history.add_run(f"contract_{name}", held, started, None, "contract")
         generation = warehouse.write_generation(rows, layer, name, version, partition_by)
         written = warehouse.spark.table(generation)
         parents = parents() if callable(parents) else parents
@@ -148,7 +155,7 @@ def write_audit_publish(
             _store_failures(warehouse, written, name, checks, parents, results)
         if any(r.status == "fail" for r in results):
             raise GateClosed(PublishReport(name, "blocked", row_count, results))
-        warehouse.publish(generation, layer, name, version)
+        warehouse.publish(generation, layer, name, version, latest_version)
         status = "success"
     finally:
         history.add_run(name, status, started, row_count)

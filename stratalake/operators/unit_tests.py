@@ -35,25 +35,28 @@ def given_rows(spark: SparkSession, contract: Contract, rows: Sequence[Mapping])
 
 
 def differences(spark: SparkSession, test: UnitTest, model: Callable[[Mapping[str, DataFrame]], DataFrame]) -> list:
-    """Rows the model gives but the test does not expect, and the other way round."""
+    """Rows, counting repeats, that the model gives but the test does not expect, and the other way round."""
     inputs = {name: given_rows(spark, contract, rows) for name, (contract, rows) in test.given.items()}
     columns = list(test.expect[0])
     actual = model(inputs).select(*columns)
     contract = [(f.name, f.dataType.simpleString()) for f in actual.schema]
     expected = given_rows(spark, contract, test.expect)
-    found = {tuple(r) for r in actual.collect()}
-    wanted = {tuple(r) for r in expected.collect()}
-    return sorted(map(str, found ^ wanted))
+    apart = actual.exceptAll(expected).unionByName(expected.exceptAll(actual))
+    return sorted(str(tuple(r)) for r in apart.collect())
 
 
-def require(
+def run(
     spark: SparkSession, tests: Sequence[UnitTest], model: Callable[[Mapping[str, DataFrame]], DataFrame]
-) -> None:
-    """Raise :class:`UnitTestFailed` when the model breaks any of the tests."""
+) -> dict[str, list]:
+    """The differences of each test by its name; the tests run side by side."""
     if not tests:
-        return
+        return {}
     with ThreadPoolExecutor(max_workers=len(tests)) as pool:
-        results = list(pool.map(lambda test: (test.name, differences(spark, test, model)), tests))
-    broken = {name: rows for name, rows in results if rows}
+        return dict(pool.map(lambda test: (test.name, differences(spark, test, model)), tests))
+
+
+def require(results: Mapping[str, list]) -> None:
+    """Raise :class:`UnitTestFailed` when the model breaks any of the tests."""
+    broken = {name: rows for name, rows in results.items() if rows}
     if broken:
         raise UnitTestFailed(str(broken))

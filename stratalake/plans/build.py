@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from concurrent.futures import Future, ThreadPoolExecutor
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 
-from stratalake.operators.checks import audit, freshness, require_fresh
+from stratalake.operators import unit_tests
+from stratalake.operators.checks import StaleSource, audit, freshness, require_fresh
 from stratalake.operators.publish import (
     HISTORY_LAYER,
     GateClosed,
@@ -15,10 +17,9 @@ from stratalake.operators.publish import (
     PublishReport,
     write_audit_publish,
 )
-from stratalake.operators.unit_tests import require
 from stratalake.plans import gold, marts, staging
 from stratalake.plans.lineage import declared_models
-from stratalake.plans.spec import CHECKS, CONTRACTS, LAYERS, UNIT_TESTS, UPSTREAM, VERSIONS
+from stratalake.plans.spec import CHECKS, CONTRACTS, LATEST, LAYERS, UNIT_TESTS, UPSTREAM, VERSIONS
 from stratalake.session import estimated_bytes, size_shuffles
 from stratalake.sources.warehouse import Warehouse
 
@@ -70,7 +71,9 @@ def build(
 ) -> list[PublishReport]:
     """Check the raw tables and build every model; a closed gate blocks what depends on it.
 
-    With ``fresh_as_of`` a stale source stops the build before anything is written. A
+    With ``fresh_as_of`` a stale source stops the build before anything is written. The
+    history records what became of every model (those that could not be made are skipped),
+    unit test, contract, stale source and check. A
     model starts once the tables it reads are published: its unit tests first, then its
     contract, its rows, and their checks. Models that do not wait for each other run side
     by side and share the cluster. Staging is written, not left as a view: three marts and
@@ -79,8 +82,17 @@ def build(
     """
     size_shuffles(warehouse.spark, estimated_bytes(*raw.values()) if input_bytes is None else input_bytes)
     history = History(warehouse, invocation_id)
+    started = datetime.now(timezone.utc)
     if fresh_as_of is not None:
-        require_fresh(freshness(raw, "emitted_at", fresh_as_of))
+        try:
+            require_fresh(freshness(raw, "emitted_at", fresh_as_of))
+        except StaleSource as stale:
+            for name in stale.names:
+                history.add_run(name, "error", started, None, "source")
+            for name in UPSTREAM:
+                history.add_run(name, "skipped", started, None)
+            history.flush()
+            raise
     done: dict[str, Future] = {}
 
     def check_raw(name: str) -> tuple[PublishReport, DataFrame]:
@@ -95,11 +107,19 @@ def build(
         return {name: done[name].result()[1] for name in names}
 
     def make(name: str) -> tuple[PublishReport, DataFrame]:
-        require(warehouse.spark, UNIT_TESTS.get(name, ()), lambda ref: model_rows(name, ref, as_of))
+        tested = unit_tests.run(warehouse.spark, UNIT_TESTS.get(name, ()), lambda ref: model_rows(name, ref, as_of))
+        for test, apart in tested.items():
+            history.add_run(f"{name}.{test}", "fail" if apart else "pass", started, None, "unit_test")
         layer, version = LAYERS[name], VERSIONS.get(name)
+        try:
+            unit_tests.require(tested)
+            upstream = published(UPSTREAM[name])
+        except Exception:
+            history.add_run(name, "skipped", started, None)
+            raise
         report = write_audit_publish(
             warehouse,
-            model_rows(name, published(UPSTREAM[name]), as_of),
+            model_rows(name, upstream, as_of),
             layer,
             name,
             version,
@@ -107,6 +127,7 @@ def build(
             CHECKS[name],
             lambda: published(c.parent for c in CHECKS[name] if c.parent),
             history=history,
+            latest_version=LATEST.get(name),
         )
         return report, warehouse.ref(layer, name, version)
 

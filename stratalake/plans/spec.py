@@ -195,6 +195,7 @@ UNIT_TESTS: dict[str, list[UnitTest]] = {
     ],
 }
 
+# The layer of each table.
 LAYERS: dict[str, str] = {
     "raw_users": "raw",
     "raw_products": "raw",
@@ -211,7 +212,10 @@ LAYERS: dict[str, str] = {
 # Contracted models are versioned; staging and raw tables are not.
 VERSIONS: dict[str, int] = {name: 1 for name in CONTRACTS}
 
-# Model to the models it is computed from.
+# The version that a model's bare name stands for.
+LATEST: dict[str, int] = {name: 1 for name in CONTRACTS}
+
+# Model to the models it is computed from.
 UPSTREAM: dict[str, list[str]] = {
     "stg_users": ["raw_users"],
     "stg_products": ["raw_products"],
@@ -222,12 +226,12 @@ UPSTREAM: dict[str, list[str]] = {
     "gold_user_purchases": ["dim_users", "fct_purchases"],
 }
 
-# Declared consumers as (consumer, kind, model, version).
-EXPOSURES: list[tuple[str, str, str, int]] = [
+# Declared consumers as (consumer, kind, model, version); without a version, the latest.
+EXPOSURES: list[tuple[str, str, str, int | None]] = [
     ("executive_kpi_dashboard", "dashboard", "gold_user_purchases", 1),
     ("product_performance_report", "analysis", "dim_products", 1),
     ("product_performance_report", "analysis", "gold_user_purchases", 1),
     ("customer_segmentation_model", "ml", "gold_user_purchases", 1),
     ("customer_segmentation_model", "ml", "dim_users", 1),
-    ("user_purchases_dashboard", "dashboard", "gold_user_purchases", 1),
+    ("metabase_user_purchases", "dashboard", "gold_user_purchases", None),
 ]

@@ -1,7 +1,7 @@
 """Layered tables on plain Parquet in the session catalog.
 
-Every write makes a new, immutable generation table; a view carries the public name and
-is repointed once the generation is complete. Readers see the old rows or the new rows,
+Every write makes a new generation table; a view carries the public name and is repointed
+once the generation is complete. Only appends add to a generation that is public already. Readers see the old rows or the new rows,
 never a mixture; a job that dies leaves the public name untouched; and publishing an
 audited table moves no data.
 """
@@ -20,6 +20,7 @@ from stratalake.session import shared_root
 
 _DEPRECATED = "deprecation_date"
 _GENERATION = "generation"
+_VERSION = "version"
 
 
 class Warehouse:
@@ -77,18 +78,31 @@ class Warehouse:
         layer: str,
         name: str,
         version: int | None = None,
-        latest: bool = True,
+        latest_version: int | None = None,
         deprecated_on: date | None = None,
     ) -> None:
-        """Point the public name, and for the latest version the bare name, at a generation."""
+        """Point the public name at a generation, and the bare name at the latest version.
+
+        ``latest_version`` declares which one that is; undeclared it is the highest
+        published so far, whichever was written last.
+        """
         public = self.relation(layer, name, version)
         properties = {_GENERATION: generation.replace("`", "")}
         if deprecated_on:
             properties[_DEPRECATED] = str(deprecated_on)
+        self._point(public, properties, generation)
+        if version is None:
+            return
+        if latest_version is None:
+            earlier = self._properties(layer, name, None).get(_VERSION) if self.exists(layer, name) else None
+            latest_version = max(version, int(earlier or 0))
+        if self.exists(layer, name, latest_version):
+            newest = self.relation(layer, name, latest_version)
+            self._point(self.relation(layer, name), {_VERSION: str(latest_version)}, newest)
+
+    def _point(self, view: str, properties: dict[str, str], relation: str) -> None:
         listed = ", ".join(f"'{key}' = '{value}'" for key, value in properties.items())
-        self.spark.sql(f"CREATE OR REPLACE VIEW {public} TBLPROPERTIES ({listed}) AS SELECT * FROM {generation}")
-        if version is not None and latest:
-            self.spark.sql(f"CREATE OR REPLACE VIEW {self.relation(layer, name)} AS SELECT * FROM {public}")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {view} TBLPROPERTIES ({listed}) AS SELECT * FROM {relation}")
 
     def overwrite(
         self,
@@ -97,17 +111,23 @@ class Warehouse:
         name: str,
         version: int | None = None,
         partition_by: Sequence[str] = (),
-        latest: bool = True,
+        latest_version: int | None = None,
         deprecated_on: date | None = None,
     ) -> DataFrame:
         """Replace a table's rows (the rows may be computed from the table itself)."""
         generation = self.write_generation(rows, layer, name, version, partition_by)
-        self.publish(generation, layer, name, version, latest, deprecated_on)
+        self.publish(generation, layer, name, version, latest_version, deprecated_on)
         return self.ref(layer, name, version)
 
     def append(self, rows: DataFrame, layer: str, name: str) -> None:
-        """Add rows to an append-only table, creating it on first use."""
-        rows.write.format("parquet").mode("append").saveAsTable(self.relation(layer, name))
+        """Add rows to the generation behind a name; the first rows make both."""
+        if not self.exists(layer, name):
+            self.overwrite(rows, layer, name)
+            return
+        generation = self._properties(layer, name, None).get(_GENERATION)
+        if generation is None:
+            raise ValueError(f"{self.relation(layer, name)} stands for a version; append to that")
+        rows.write.format("parquet").mode("append").saveAsTable(generation)
 
     def ref(self, layer: str, name: str, version: int | None = None) -> DataFrame:
         """A table by its public name; a version with a deprecation date warns its readers."""
@@ -126,11 +146,23 @@ class Warehouse:
     def exists(self, layer: str, name: str, version: int | None = None) -> bool:
         return self.spark.catalog.tableExists(self.relation(layer, name, version))
 
+    def create_view(self, layer: str, name: str, select: str) -> str:
+        """A view in the catalog over public names: it follows every later publish."""
+        view = self.relation(layer, name)
+        self.spark.sql(f"CREATE OR REPLACE VIEW {view} AS {select}")
+        return view
+
     def as_view(self, rows: DataFrame, name: str) -> DataFrame:
         """Register rows under a session-wide name without writing them."""
         rows.createOrReplaceTempView(name)
         return self.spark.table(name)
 
+    def drop(self, layer: str | None = None) -> None:
+        """Drop a layer's database with its tables, or all this object has used; for trial builds."""
+        for name in [f"{self.namespace}{layer}"] if layer else sorted(self._known):
+            self.spark.sql(f"DROP DATABASE IF EXISTS `{name}` CASCADE")
+            self._known.discard(name)
+
     def drop_old_generations(self, layer: str, name: str, version: int | None = None, keep: int = 1) -> int:
         """Drop all but the published and the newest ``keep`` generations; returns how many.
 

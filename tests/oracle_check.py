@@ -6,6 +6,7 @@ import datetime
 import decimal
 import math
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -74,8 +75,11 @@ def main() -> int:
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     chosen = sys.argv[2:]
+    shared = tempfile.TemporaryDirectory(prefix="oracle-")  # one machine: its own folder is shared
     spark = (
         SparkSession.builder.master("local[8]")
+        .config("spark.checkpoint.dir", f"{shared.name}/shared")
+        .config("spark.sql.warehouse.dir", f"{shared.name}/warehouse")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -4,7 +4,7 @@ import pytest
 from conftest import ts
 from pyspark.sql import functions as F
 
-from stratalake.operators.unit_tests import UnitTest, UnitTestFailed, differences, require
+from stratalake.operators.unit_tests import UnitTest, UnitTestFailed, differences, require, run
 from stratalake.plans import gold, marts
 from stratalake.plans.spec import CONTRACTS, UNIT_TESTS
 
@@ -50,8 +50,16 @@ def test_declared_unit_tests(spark, test):
 def test_a_broken_expectation_stops_the_build(spark):
     good = UNIT_TESTS["gold_user_purchases"][0]
     wrong = UnitTest("wrong", good.given, [{"user_id": 1, "return_rate_pct": "31.0"}])
+    found = run(spark, [good, wrong], model)
+    assert found[good.name] == []
     with pytest.raises(UnitTestFailed, match="wrong"):
-        require(spark, [good, wrong], model)
+        require(found)
+
+
+def test_a_row_too_many_breaks_a_unit_test(spark):
+    test = UNIT_TESTS["gold_user_purchases"][0]
+    twice = lambda ref: model(ref).union(model(ref))
+    assert len(differences(spark, test, twice)) == 1
 
 
 def test_total_spent_aggregation(spark):

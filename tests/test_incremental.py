@@ -6,6 +6,7 @@ from conftest import rows, ts
 from pyspark.sql import functions as F
 
 from stratalake import shared_root
+from stratalake.functions import surrogate_key
 from stratalake.operators import anomaly, compare, incremental, snapshots
 from stratalake.sources.partitioned import PartitionedTable
 
@@ -211,3 +212,41 @@ def test_anomaly(spark):
     assert found[7].z_score is None and found[8].z_score is not None
     flat = daily.withColumn("row_count", F.lit(5))
     assert all(r.z_score is None for r in anomaly.anomalies(flat, "row_count").collect())
+
+
+def test_silent_days_are_days(spark):
+    days = [1, 2, 3, 4, 5, 6, 7, 8, 9, 13, 14]
+    busy = [(f"2024-01-{d:02d} 10:00:00", g) for d in days for g in "ab" for _ in range(10 + d % 2)] + [("2024-01-02 10:00:00", "c")]
+    records = spark.createDataFrame([(ts(at), g) for at, g in busy], "at timestamp, g string")
+    daily = anomaly.daily_metrics(records, "at", {"n_groups": F.count_distinct("g")})
+    found = {r.day.day: r for r in anomaly.anomalies(daily, "row_count").collect()}
+    assert sorted(found) == list(range(1, 15))
+    assert [d for d, r in found.items() if r.is_anomaly] == [10] and found[11].row_count == 0
+    assert {r.day.day: r.n_groups for r in daily.collect()}[12] is None
+    by_group = anomaly.daily_metrics(records, "at", {}, by=["g"])
+    assert by_group.count() == 3 * 14 and by_group.where("g = 'c'").agg(F.sum("row_count")).first()[0] == 1
+
+
+def test_schema_changes(spark):
+    values = [("2024-01-01", {"a": "int"}), ("2024-01-01", {"a": "int", "b": "text"}), ("2024-01-03", {"a": "text"}), ("2024-01-04", {"a": "text", "c": "int"})]
+    records = spark.createDataFrame([(ts(at), f) for at, f in values], "at timestamp, f map<string,string>")
+    found = anomaly.schema_changes(records, "at", F.col("f"))
+    assert rows(found.select(F.dayofmonth("day"), "field_name", "change", "old_type", "new_type")) == [
+        (3, "a", "retyped", "int", "text"),
+        (3, "b", "vanished", "text", None),
+        (4, "c", "appeared", None, "int"),
+    ]
+    assert anomaly.schema_changes(records.limit(0), "at", F.col("f")).isEmpty()
+
+
+def test_comparison_aggregates_hashes(spark):
+    a = spark.createDataFrame([(1, "x", 1.0)], "id int, name string, v double")
+    for compared in (compare.compare_relations(a, a, ["id"]), compare.compare_columns(a, a, ["id"])):
+        compared.collect()
+        assert "SortAggregate" not in compared._jdf.queryExecution().executedPlan().toString()
+
+
+def test_keys_do_not_run_together(spark):
+    pairs = [("x|=y", "z"), ("x", "y|=z"), ("1:a", ""), ("", "1:a"), (None, "~"), ("~", None), (None, None), ("", "")]
+    frame = spark.createDataFrame(pairs, "a string, b string")
+    assert frame.select(surrogate_key(["a", "b"]).alias("k")).distinct().count() == len(pairs)

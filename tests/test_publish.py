@@ -10,7 +10,7 @@ from stratalake.operators import checks
 from stratalake.operators.contracts import ContractViolation, contract_diff, enforce
 from stratalake.operators.publish import HISTORY_LAYER, GateClosed, write_audit_publish
 from stratalake.plans.build import build, write_together
-from stratalake.sources.seed import seed_records
+from stratalake.sources.seed import seed_if_empty, seed_records
 
 CONTRACT = [("id", "bigint"), ("amount", "decimal(5,1)")]
 
@@ -69,7 +69,9 @@ def test_blocked_rows_never_reach_the_public_name(spark, warehouse):
     with pytest.raises(ContractViolation):
         write_audit_publish(warehouse, bad.drop("amount"), "marts", "t", 1, CONTRACT, gate)
     runs = warehouse.ref(HISTORY_LAYER, "run_results")
-    assert sorted(r.status for r in runs.collect()) == ["error", "error", "success"]
+    by_kind = lambda kind: sorted(r.status for r in runs.collect() if r.resource_type == kind)
+    assert by_kind("model") == ["error", "error", "success"]
+    assert by_kind("contract") == ["fail", "pass", "pass"]
     assert warehouse.ref(HISTORY_LAYER, "quality_results").where("status = 'fail'").count() == 1
 
 
@@ -88,11 +90,37 @@ def test_versions(spark, warehouse):
     warehouse.overwrite(first, "gold", "g", version=1)
     warehouse.overwrite(second, "gold", "g", version=2)
     assert (warehouse.ref("gold", "g").first().id, warehouse.ref("gold", "g", 1).first().id) == (2, 1)
-    warehouse.overwrite(numbers(spark, (9, None)), "gold", "g", version=1, latest=False)
+    warehouse.overwrite(numbers(spark, (9, None)), "gold", "g", version=1)
     assert (warehouse.ref("gold", "g").first().id, warehouse.ref("gold", "g", 1).first().id) == (2, 9)
     with pytest.warns(DeprecationWarning, match="2025-06-30"):
-        warehouse.overwrite(first, "gold", "g", version=1, latest=False, deprecated_on=date(2025, 6, 30))
+        warehouse.overwrite(first, "gold", "g", version=1, deprecated_on=date(2025, 6, 30))
     assert warehouse.deprecated_on("gold", "g", 2) is None
+    # A declared latest version wins over the highest.
+    warehouse.overwrite(numbers(spark, (5, None)), "gold", "g", version=3, latest_version=2)
+    assert (warehouse.ref("gold", "g").first().id, warehouse.ref("gold", "g", 3).first().id) == (2, 5)
+    with pytest.raises(ValueError, match="stands for a version"):
+        warehouse.append(first, "gold", "g")
+
+
+def test_seed_refresh_and_append_share_a_name(spark, warehouse):
+    one, two = numbers(spark, (1, money("1.0"))), numbers(spark, (2, money("2.0")))
+    ids = lambda: sorted(r.id for r in warehouse.ref("raw", "t").collect())
+    assert seed_if_empty(warehouse, one, "raw", "t")
+    warehouse.append(two, "raw", "t")
+    assert ids() == [1, 2]
+    warehouse.overwrite(two, "raw", "t")
+    assert ids() == [2] and not seed_if_empty(warehouse, one, "raw", "t")
+    warehouse.overwrite(two.where("id > 9"), "raw", "t")
+    assert seed_if_empty(warehouse, one, "raw", "t") and ids() == [1]
+    warehouse.drop_old_generations("raw", "t")
+    assert ids() == [1]
+
+
+def test_quotes_in_contracts(spark):
+    odd = spark.createDataFrame([(1, "a")], "`it's` bigint, `back``tick` string")
+    found = contract_diff(odd, [("it's", "string"), ("a'b", "int"), ("back`tick", "string")])
+    assert {(r.column_name, r.problem) for r in found.collect()} == {("it's", "type_mismatch"), ("a'b", "missing")}
+    assert enforce(odd, [("back`tick", "string"), ("it's", "bigint")]).columns == ["back`tick", "it's"]
 
 
 def test_a_table_can_be_replaced_by_rows_computed_from_itself(spark, warehouse):

@@ -58,24 +58,37 @@ def test_gated_build_and_its_history(spark, warehouse):
     assert results.count() == 54
     trend = observability.pass_rate_trend(results).collect()
     assert [(r.total_tests, r.passed, str(r.pass_rate_pct)) for r in trend] == [(54, 54, "100.0")]
-    invocation = observability.invocation_history(runs).first()
-    assert (invocation.total, invocation.passed, invocation.failed) == (7, 7, 0)
+    kinds = {r.resource_type: (r.total, r.passed, r.failed) for r in observability.invocation_history(runs).collect()}
+    assert kinds == {"model": (7, 7, 0), "unit_test": (4, 4, 0), "contract": (4, 4, 0)}
+    assert results.select("test_unique_id").distinct().count() == 54
     assert observability.latest_failures(results).isEmpty()
     coverage = {r.model_name: r.test_count for r in observability.test_coverage(declared_models(spark), results).collect()}
     assert coverage["dim_users"] == 9 and coverage["gold_user_purchases"] == 10
     cards = observability.kpi_cards(results, warehouse.ref(HISTORY_LAYER, "models"), runs).first()
     assert (cards.total_tests, str(cards.pass_rate_pct), cards.model_count) == (54, "100.0", 7)
 
-    # The same tables through SQL, by the names reports use.
+    # The same reports through SQL, by the names dashboards use.
+    history = warehouse.database(HISTORY_LAYER)
     assert len(register_observability(warehouse)) == 6
-    newest = "SELECT total_tests, pass_rate_pct FROM v_test_pass_rate_trend ORDER BY run_date DESC LIMIT 1"
-    assert [(r[0], str(r[1])) for r in spark.sql(newest).collect()] == [(54, "100.0")]
-    by_model = (
-        "SELECT layer, model, sum(test_count) AS n FROM v_test_results_by_model WHERE invocation_id = "
-        "(SELECT invocation_id FROM v_test_pass_rate_trend ORDER BY run_date DESC LIMIT 1) GROUP BY layer, model"
-    )
-    assert {r.model: r.n for r in spark.sql(by_model).collect()}["stg_users"] == 7
-    assert spark.sql("SELECT max(completed_at) FROM v_invocation_history").first()[0] == cards.last_run
+    models = warehouse.ref(HISTORY_LAYER, "models")
+    for view, frame in {
+        "v_test_pass_rate_trend": observability.pass_rate_trend(results),
+        "v_test_results_by_model": observability.results_by_model(results),
+        "v_model_execution_times": observability.execution_times(runs),
+        "v_invocation_history": observability.invocation_history(runs),
+        "v_latest_test_failures": observability.latest_failures(results),
+        "v_test_coverage_by_model": observability.test_coverage(models, results),
+    }.items():
+        stored = spark.table(f"{history}.{view}")
+        assert stored.schema.simpleString() == frame.schema.simpleString(), view
+        assert sorted(map(str, stored.collect())) == sorted(map(str, frame.collect())), view
+    # They follow the next build, also when what they were made over is gone.
+    build(warehouse, raw, invocation_id="inv-2")
+    for table in ("models", "quality_results", "run_results"):
+        warehouse.drop_old_generations(HISTORY_LAYER, table)
+    trend = f"SELECT invocation_id, total_tests FROM {history}.v_test_pass_rate_trend ORDER BY invocation_id"
+    assert [tuple(r) for r in spark.sql(trend).collect()] == [("inv-1", 54), ("inv-2", 54)]
+    assert spark.table(f"{history}.v_test_coverage_by_model").where("test_count > 0").count() == 7
     gold = warehouse.relation("gold", "gold_user_purchases", 1)
     top = spark.sql(f"SELECT full_name FROM {gold} ORDER BY total_spent DESC LIMIT 3").collect()
     assert [r.full_name for r in top] == ["Diana Müller", "Ethan Park", "Alice Johnson"]
@@ -88,6 +101,9 @@ def test_stale_sources_stop_the_build(spark, warehouse):
     with pytest.raises(StaleSource, match="raw_users"):
         build(warehouse, raw, fresh_as_of=F.current_timestamp() + F.make_dt_interval(F.lit(2)))
     assert not warehouse.exists("staging", "stg_users")
+    runs = warehouse.ref(HISTORY_LAYER, "run_results").collect()
+    assert sorted({(r.resource_type, r.status) for r in runs}) == [("model", "skipped"), ("source", "error")]
+    assert len(runs) == 3 + 7
 
 
 @pytest.mark.parametrize("stream", ["raw_users", "raw_products", "raw_purchases"])

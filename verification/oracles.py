@@ -193,13 +193,53 @@ def pick(number: str, choices: list[str]) -> str:
 
 ORACLES: dict[str, str] = {}
 
-ORACLES["raw_envelope"] = f"""
-SELECT sha256(data) AS record_id, data, {AS_OF} AS emitted_at FROM (
-  SELECT '{{"id":' || CAST(p_partkey AS VARCHAR) || ',"make":"' || p_brand || '","model":"' || p_name
-         || '","year":' || CAST(2000 + p_size % 25 AS VARCHAR)
-         || ',"price":' || CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS VARCHAR)
-         || ',"created_at":"2023-01-01T00:00:00.000000Z"}}' AS data
-  FROM part)"""
+def _json(fields: list[tuple[str, str]]) -> str:
+    """A JSON object's text; a value is SQL for its text or NULL."""
+    parts = [f"'\"{name}\":' || coalesce({value}, 'null')" for name, value in fields]
+    return "'{' || " + " || ',' || ".join(parts) + " || '}'"
+
+
+def _text(column: str) -> str:
+    return f"'\"' || {column} || '\"'"
+
+
+def _number(column: str) -> str:
+    return f"CAST({column} AS VARCHAR)"
+
+
+def _instant(column: str) -> str:
+    return f"strftime({column}, '\"%Y-%m-%dT%H:%M:%S.%fZ\"')"
+
+
+_ADDRESS = _json(
+    [("city", _text("city")), ("state", _text("state")), ("country_code", _text("country_code")),
+     ("postal_code", _text("postal_code")), ("street_name", _text("'Market St'")),
+     ("street_number", _text("CAST(user_id % 999 AS VARCHAR)"))]
+)
+_USER_JSON = _json(
+    [("id", _number("user_id")), ("name", _text("full_name")), ("email", _text("email")), ("gender", _text("gender")),
+     ("title", _text("title")), ("occupation", _text("occupation")), ("nationality", _text("nationality")),
+     ("language", _text("language")), ("academic_degree", _text("academic_degree")), ("age", _number("age")),
+     ("blood_type", _text("blood_type")), ("address", _ADDRESS), ("created_at", _instant("created_at")),
+     ("updated_at", _instant("updated_at"))]
+)
+_PRODUCT_JSON = _json(
+    [("id", _number("product_id")), ("make", _text("make")), ("model", _text("model")), ("year", _number("year")),
+     ("price", _number("price")), ("created_at", _instant("created_at"))]
+)
+_PURCHASE_JSON = _json(
+    [("id", _number("purchase_id")), ("user_id", _number("user_id")), ("product_id", _number("product_id")),
+     ("purchased_at", _instant("purchased_at")), ("added_to_cart_at", _instant("added_to_cart_at")),
+     ("returned_at", _instant("returned_at"))]
+)
+ORACLES["raw_envelope"] = sql(
+    STAGING,
+    f"""
+SELECT stream, sha256(data) AS record_id, data, {AS_OF} AS emitted_at FROM (
+  SELECT 'raw_users' AS stream, {_USER_JSON} AS data FROM stg_users
+  UNION ALL SELECT 'raw_products', {_PRODUCT_JSON} FROM stg_products
+  UNION ALL SELECT 'raw_purchases', {_PURCHASE_JSON} FROM stg_purchases)""",
+)
 
 ORACLES["raw_scan_counts"] = """
 SELECT 'raw_users' AS table_name, COUNT(*) AS row_count FROM customer
@@ -228,7 +268,8 @@ FROM stg_purchases, (VALUES ('id','BIGINT'), ('user_id','BIGINT'), ('product_id'
 GROUP BY ALL""",
 )
 
-ORACLES["seed_if_empty"] = f"SELECT record_id, emitted_at FROM ({ORACLES['raw_envelope']})"
+ORACLES["seed_if_empty"] = ORACLES["raw_envelope"]
+ORACLES["seed_then_refresh"] = f"SELECT record_id, data, emitted_at FROM ({ORACLES['raw_envelope']}) WHERE stream = 'raw_products'"
 
 ORACLES["full_refresh_overwrite"] = """
 SELECT 'raw_users' AS table_name, COUNT(*) AS row_count, COUNT(*) AS payloads FROM customer
@@ -300,9 +341,13 @@ ORACLES["layer_showcase"] = sql(
 UNION ALL (SELECT 'marts', user_id, full_name, total_spent FROM dim_users ORDER BY user_id LIMIT 10)
 UNION ALL (SELECT 'gold', user_id, full_name, total_spent FROM gold ORDER BY user_id LIMIT 10)""",
 )
-ORACLES["versioned_latest"] = """
-SELECT 'dim_products_v1' AS relation, 9 AS columns, COUNT(*) AS row_count FROM part
-UNION ALL SELECT 'dim_products', 10, COUNT(*) FROM part"""
+ORACLES["versioned_latest"] = sql(
+    [STG_PRODUCTS, STG_PURCHASES, DIM_PRODUCTS],
+    """
+SELECT 'dim_products_v1' AS relation, 9 AS columns, COUNT(*) AS row_count FROM dim_products WHERE times_sold > 0
+UNION ALL SELECT 'dim_products', 10, COUNT(*) FROM dim_products
+UNION ALL SELECT 'dim_products, declared', 9, COUNT(*) FROM dim_products WHERE times_sold > 0""",
+)
 ORACLES["versioned_projection"] = sql(
     [STG_PRODUCTS, STG_PURCHASES, DIM_PRODUCTS],
     "SELECT product_id, make, model, year, price, times_sold, times_returned FROM dim_products",
@@ -555,6 +600,23 @@ FROM (SELECT CAST(EXISTS (SELECT 1 FROM stg_purchases WHERE user_id NOT IN (SELE
            + CAST(EXISTS (SELECT 1 FROM stg_purchases WHERE product_id NOT IN (SELECT product_id FROM stg_products)) AS BIGINT) AS bad)""",
 )
 
+_FIRST = ("raw_users", "raw_products", "raw_purchases", "stg_users", "stg_products", "stg_purchases")
+_RECORDED = [
+    *(_not_null(*c) for c in _NOT_NULL if c[0] in _FIRST), *(_unique(*c) for c in _UNIQUE if c[0] in _FIRST),
+    *(_relationship(*c) for c in _RELATIONSHIPS if c[0] in _FIRST), _GENDERS,
+]
+_UNIT_TESTS = ("return_rate_calculation", "avg_purchase_value", "user_with_no_returns", "last_purchased_product")
+ORACLES["build_history"] = sql(
+    STAGING,
+    f"""
+SELECT 'check' AS kind, check_name AS name, status, failures AS n FROM ({" UNION ALL ".join(_RECORDED)})
+UNION ALL SELECT 'model', 'stg_users', 'success', COUNT(*) FROM stg_users
+UNION ALL SELECT 'model', 'stg_products', 'success', COUNT(*) FROM stg_products
+UNION ALL SELECT 'model', 'stg_purchases', 'error', COUNT(*) FROM stg_purchases
+UNION ALL SELECT 'model', unnest(['dim_products', 'fct_purchases', 'dim_users', 'gold_user_purchases']), 'skipped', NULL
+UNION ALL SELECT 'unit_test', 'gold_user_purchases.' || unnest({list(_UNIT_TESTS)}), 'pass', NULL""",
+)
+
 # --- observability ----------------------------------------------------------------------
 
 ORACLES["obs_pass_rate_trend"] = sql([RESULTS, TREND], "SELECT * EXCLUDE (last_detected_at) FROM trend")
@@ -673,23 +735,31 @@ SELECT policy, columns, COUNT(*) AS row_count,
        CASE WHEN policy <> 'ignore' THEN COUNT(*) FILTER (WHERE c_mktsegment = 'BUILDING') END AS name_length_filled
 FROM customer, (VALUES ('ignore', 3), ('append_new_columns', 4), ('sync_all_columns', 3)) v(policy, columns)
 GROUP BY policy, columns"""
+def key(*parts: str) -> str:
+    """SHA-256 over texts, each behind its length."""
+    texts = [f"CAST({p} AS VARCHAR)" for p in parts]
+    return "sha256(" + " || ".join(f"coalesce(length({t}) || ':' || {t}, '~')" for t in texts) + ")"
+
+
 ORACLES["scd2_snapshot"] = sql(
     [STG_USERS, USER_STATES],
-    """
-SELECT b.user_id, b.city, b.updated_at AS valid_from, CASE WHEN a.updated_at > b.updated_at THEN a.updated_at END AS valid_to
+    f"""
+SELECT b.user_id, b.city, b.updated_at AS valid_from, CASE WHEN a.updated_at > b.updated_at THEN a.updated_at END AS valid_to,
+       {key('b.user_id', 'b.updated_at')} AS scd_id
 FROM before b LEFT JOIN after a ON a.user_id = b.user_id
 UNION ALL
-SELECT a.user_id, a.city, a.updated_at, NULL FROM after a LEFT JOIN before b ON a.user_id = b.user_id
+SELECT a.user_id, a.city, a.updated_at, NULL, {key('a.user_id', 'a.updated_at')} FROM after a LEFT JOIN before b ON a.user_id = b.user_id
 WHERE b.user_id IS NULL OR a.updated_at > b.updated_at""",
 )
 ORACLES["scd2_snapshot_check"] = sql(
     [STG_USERS, USER_STATES],
     f"""
 SELECT b.user_id, b.city, TIMESTAMP '2023-09-01 00:00:00' AS valid_from,
-       CASE WHEN a.user_id IS NULL OR a.city <> b.city THEN {AS_OF} END AS valid_to, 64 AS scd_id_length
+       CASE WHEN a.user_id IS NULL OR a.city <> b.city THEN {AS_OF} END AS valid_to,
+       {key('b.user_id', "TIMESTAMP '2023-09-01 00:00:00'")} AS scd_id
 FROM before b LEFT JOIN after a ON a.user_id = b.user_id
 UNION ALL
-SELECT a.user_id, a.city, {AS_OF}, NULL, 64 FROM after a LEFT JOIN before b ON a.user_id = b.user_id
+SELECT a.user_id, a.city, {AS_OF}, NULL, {key('a.user_id', AS_OF)} FROM after a LEFT JOIN before b ON a.user_id = b.user_id
 WHERE b.user_id IS NULL OR a.city <> b.city""",
 )
 ORACLES["compare_relations"] = sql(
@@ -723,18 +793,39 @@ SELECT (SELECT COUNT(*) FROM (SELECT * FROM before EXCEPT ALL SELECT * FROM afte
 )
 
 
-def _anomaly(by: str, metric: str, expression: str, sigmas: float) -> str:
+def _anomaly(by: str, metric: str, expression: str, sigmas: float, where: str = "TRUE", silent: str = "NULL") -> str:
     partition = f"PARTITION BY {by}" if by else ""
     comma = f"{by}, " if by else ""
+    groups = f"(SELECT DISTINCT {by} FROM e)" if by else "(SELECT 1 AS one)"
+    same = f"AND m.{by} = g.{by}" if by else ""
     return f"""
+WITH e AS (SELECT * FROM events WHERE {where}),
+days AS (SELECT CAST(unnest(generate_series((SELECT MIN(CAST(ts AS DATE)) FROM e), (SELECT MAX(CAST(ts AS DATE)) FROM e), INTERVAL 1 DAY)) AS DATE) AS day),
+m AS (SELECT {comma}CAST(ts AS DATE) AS day, {expression} AS {metric} FROM e GROUP BY ALL),
+filled AS (SELECT {f'g.{by}, ' if by else ''}days.day, coalesce(m.{metric}, {silent}) AS {metric}
+           FROM {groups} g CROSS JOIN days LEFT JOIN m ON m.day = days.day {same})
 SELECT {comma}day, {metric}, z_score, COALESCE(abs(z_score) > {sigmas}, FALSE) AS is_anomaly FROM (
   SELECT *, CASE WHEN COUNT({metric}) OVER w >= 7 AND stddev_samp({metric}) OVER w > 0
        THEN round(({metric} - AVG({metric}) OVER w) / stddev_samp({metric}) OVER w, 6) END AS z_score
-  FROM (SELECT {comma}CAST(ts AS DATE) AS day, {expression} AS {metric} FROM events GROUP BY ALL)
+  FROM filled
   WINDOW w AS ({partition} ORDER BY day ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING))"""
 
 
-ORACLES["volume_anomaly"] = _anomaly("", "row_count", "COUNT(*)", 1.5)
+ORACLES["volume_anomaly"] = _anomaly("", "row_count", "COUNT(*)", 1.5, "day(ts) NOT IN (20, 21)", "0")
+ORACLES["schema_anomaly"] = """
+WITH d AS (SELECT DISTINCT CAST(ts AS DATE) AS day, day(ts) AS n FROM events),
+f AS (SELECT day, 'k' AS field_name, CASE WHEN n BETWEEN 10 AND 12 THEN 'string' ELSE 'bigint' END AS type FROM d
+      UNION ALL SELECT day, 'channel', 'string' FROM d WHERE n >= 15
+      UNION ALL SELECT day, 'value', 'double' FROM d WHERE n % 7 <> 0),
+p AS (SELECT day, lag(day) OVER (ORDER BY day) AS before FROM (SELECT DISTINCT day FROM d) QUALIFY before IS NOT NULL),
+names AS (SELECT DISTINCT field_name FROM f)
+SELECT p.day, names.field_name,
+       CASE WHEN o.type IS NULL THEN 'appeared' WHEN w.type IS NULL THEN 'vanished' ELSE 'retyped' END AS change,
+       o.type AS old_type, w.type AS new_type
+FROM p CROSS JOIN names
+LEFT JOIN f o ON o.day = p.before AND o.field_name = names.field_name
+LEFT JOIN f w ON w.day = p.day AND w.field_name = names.field_name
+WHERE o.type IS DISTINCT FROM w.type"""
 ORACLES["distribution_anomaly"] = _anomaly("event_type", "large_values", "COUNT(*) FILTER (WHERE value >= 100)", 2.0)
 ORACLES["freshness_anomaly"] = _anomaly(
     "", "silent_seconds", "86400 - CAST(floor(epoch_us(MAX(ts)) // 1000000) AS BIGINT) % 86400", 1.5
@@ -744,6 +835,8 @@ SELECT o_orderkey, CAST((CAST(round(o_totalprice * 100) AS BIGINT) + 1) * CAST('
        {AS_OF} AS loaded_at FROM orders"""
 ORACLES["surrogate_keys"] = sql(
     [STG_USERS],
-    "SELECT user_id, sha256('=' || CAST(user_id AS VARCHAR) || '|' || COALESCE('=' || gender, '~')) AS user_key FROM stg_users",
+    f"""
+SELECT user_id, {key('user_id', 'gender')} AS user_key,
+       CASE WHEN user_id % 2 = 0 THEN {key("'x|=y'", "'z'")} ELSE {key("'x'", "'y|=z'")} END AS text_key FROM stg_users""",
 )
 ORACLES["stream_dedup"] = sql([STG_PURCHASES], "SELECT *, CAST(added_to_cart_at AS DATE) AS event_day FROM stg_purchases")

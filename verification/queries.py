@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,6 +63,22 @@ def trial_warehouse(spark: SparkSession) -> Warehouse:
     return Warehouse(spark, namespace=f"trial_{uuid.uuid4().hex[:10]}_")
 
 
+@contextlib.contextmanager
+def passing_warehouse(spark: SparkSession) -> Iterator[Warehouse]:
+    """A trial warehouse whose tables are dropped once a report on them is made."""
+    warehouse = trial_warehouse(spark)
+    try:
+        yield warehouse
+    finally:
+        warehouse.drop()
+
+
+def report(rows: DataFrame) -> DataFrame:
+    """A result of a few rows, computed now, so that the tables behind it can go."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return small_table(rows.sparkSession, [tuple(r) for r in rows.collect()], schema)
+
+
 def trial_folder(spark: SparkSession) -> str:
     return f"{shared_root(spark)}/trial_{uuid.uuid4().hex[:10]}"
 
@@ -116,20 +133,17 @@ class Sample:
     def gold(self) -> DataFrame:
         return gold.gold_user_purchases(self.dim_users(), self.fct(), as_of())
 
-    def checked_tables(self) -> dict[str, DataFrame]:
-        """Every table the declared checks look at; marts and gold are written once.
-
-        Each check would otherwise compute them again.
-        """
-        tables = {
-            **self.raw_tables(),
-            "stg_users": self.users(),
-            "stg_products": self.products(),
-            "stg_purchases": self.purchases(),
+    def checked_tables(self, warehouse: Warehouse) -> dict[str, DataFrame]:
+        """Every table the declared checks look at, each written once to the warehouse."""
+        staged = {"stg_users": self.users(), "stg_products": self.products(), "stg_purchases": self.purchases()}
+        tables = {**self.raw_tables(), **build.write_together(warehouse, staged)}
+        users, products, purchases = (tables[name] for name in staged)
+        first = {
+            "dim_products": marts.dim_products(products, purchases),
+            "fct_purchases": marts.fct_purchases(purchases, products),
         }
-        warehouse = trial_warehouse(self.spark)
-        marts_rows = {"dim_users": self.dim_users(), "dim_products": self.dim_products(), "fct_purchases": self.fct()}
-        tables |= build.write_together(warehouse, marts_rows)
+        tables |= build.write_together(warehouse, first)
+        tables |= build.write_together(warehouse, {"dim_users": marts.dim_users_from_fact(users, tables["fct_purchases"])})
         final = gold.gold_user_purchases(tables["dim_users"], tables["fct_purchases"], as_of())
         return tables | build.write_together(warehouse, {"gold_user_purchases": final})
 
@@ -154,8 +168,9 @@ class Sample:
 
 @query
 def raw_envelope(spark, sf_dir):
-    """Products as raw envelope rows: JSON payload, content id, emission time."""
-    return Sample(spark, sf_dir).raw("raw_products")
+    """All streams as raw envelope rows: JSON payload, content id, emission time."""
+    streams = Sample(spark, sf_dir).raw_tables().items()
+    return functools.reduce(DataFrame.unionByName, [r.select(F.lit(name).alias("stream"), "*") for name, r in streams])
 
 
 @query
@@ -178,12 +193,29 @@ def discover_raw_schema(spark, sf_dir):
 
 @query
 def seed_if_empty(spark, sf_dir):
-    """Seeding twice writes once."""
-    rows = Sample(spark, sf_dir).raw("raw_products")
+    """Seeding every stream twice writes it once."""
     warehouse = trial_warehouse(spark)
-    for _ in range(2):
-        seed_table(warehouse, rows, "raw", "raw_products")
-    return warehouse.ref("raw", "raw_products").select("record_id", "emitted_at")
+    for stream, rows in Sample(spark, sf_dir).raw_tables().items():
+        for _ in range(2):
+            seed_table(warehouse, rows, "raw", stream)
+    return functools.reduce(
+        DataFrame.unionByName,
+        [warehouse.ref("raw", stream).select(F.lit(stream).alias("stream"), "*") for stream in STREAMS],
+    )
+
+
+@query
+def seed_then_refresh(spark, sf_dir):
+    """One table seeded, refreshed, emptied, seeded again and appended to; seeding it once more adds nothing."""
+    rows, warehouse = Sample(spark, sf_dir).raw("raw_products"), trial_warehouse(spark)
+    few, rest = rows.where("record_id < '8'"), rows.where("record_id >= '8'")
+    seed_table(warehouse, few, "raw", "raw_products")
+    warehouse.overwrite(rows, "raw", "raw_products")
+    warehouse.overwrite(rows.where(F.lit(False)), "raw", "raw_products")
+    seed_table(warehouse, few, "raw", "raw_products")
+    warehouse.append(rest, "raw", "raw_products")
+    seed_table(warehouse, rows, "raw", "raw_products")
+    return warehouse.ref("raw", "raw_products")
 
 
 @query
@@ -303,6 +335,8 @@ def full_build(spark, sf_dir):
     warehouse = trial_warehouse(spark)
     raw = build.write_together(warehouse, {**sample.raw_tables(), "raw_purchases": to_envelope(lines, as_of())})
     build.build(warehouse, raw, as_of())
+    for layer in ("raw", "staging", "marts", "observability"):
+        warehouse.drop(layer)
     return warehouse.ref("gold", "gold_user_purchases")
 
 
@@ -326,18 +360,20 @@ def layer_showcase(spark, sf_dir):
 
 @query
 def versioned_latest(spark, sf_dir):
-    """Two versions of a model: the pinned one, the other one, and the bare name."""
-    sample, warehouse = Sample(spark, sf_dir), trial_warehouse(spark)
-    products = sample.dim_products()
-    warehouse.overwrite(products, "marts", "dim_products", version=1)
+    """Versions 1, 2 and 1 again: the pinned one, the bare name, and the bare name declared to be version 1."""
+    products = Sample(spark, sf_dir).dim_products()
     wider = products.withColumn("has_sales", F.col("times_sold") > 0)
-    warehouse.overwrite(wider, "marts", "dim_products", version=2)
-    pinned = warehouse.ref("marts", "dim_products", version=1)
-    latest = warehouse.ref("marts", "dim_products")
     describe = lambda name, rows: rows.agg(F.count("*").alias("row_count")).select(
         F.lit(name).alias("relation"), F.lit(len(rows.columns)).alias("columns"), "row_count"
     )
-    return describe("dim_products_v1", pinned).unionByName(describe("dim_products", latest))
+    with passing_warehouse(spark) as warehouse:
+        for version, rows in ((1, products), (2, wider), (1, products.where("times_sold > 0"))):
+            warehouse.overwrite(rows, "marts", "dim_products", version=version)
+        found = describe("dim_products_v1", warehouse.ref("marts", "dim_products", version=1))
+        found = report(found.unionByName(describe("dim_products", warehouse.ref("marts", "dim_products"))))
+        warehouse.overwrite(wider, "marts", "dim_products", version=2, latest_version=1)
+        declared = report(describe("dim_products, declared", warehouse.ref("marts", "dim_products")))
+    return found.unionByName(declared)
 
 
 @query
@@ -410,31 +446,34 @@ def weekly_kpi(spark, sf_dir):
 
 @query
 def rfm_features(spark, sf_dir):
-    return analytics.segmentation_features(Sample(spark, sf_dir).gold(), as_of())
+    customers = trial_warehouse(spark).overwrite(Sample(spark, sf_dir).gold(), "gold", "gold_user_purchases")
+    return analytics.segmentation_features(customers, as_of())
 
 
 # --- checks ----------------------------------------------------------------------------
 
 
-def _checked(spark, sf_dir, test_type):
-    """All declared checks of one kind, over the tables that declare them."""
-    tables = Sample(spark, sf_dir).checked_tables()
-    parts = [
-        checks.run_checks(tables[name], LAYERS[name], name, chosen, tables)
-        for name, declared in CHECKS.items()
-        if (chosen := [c for c in declared if c.test_type == test_type])
-    ]
-    return functools.reduce(DataFrame.unionByName, parts)
+def _checked(spark, sf_dir, keep, more=()):
+    """The declared checks that ``keep`` accepts, over the tables that declare them, and some more."""
+    with passing_warehouse(spark) as warehouse:
+        tables = Sample(spark, sf_dir).checked_tables(warehouse)
+        parts = [
+            checks.run_checks(tables[name], LAYERS[name], name, chosen, tables)
+            for name, declared in CHECKS.items()
+            if (chosen := [c for c in declared if keep(c)])
+        ]
+        parts += [checks.run_checks(tables[name], LAYERS[name], name, declared, tables) for name, declared in more]
+        return report(functools.reduce(DataFrame.unionByName, parts))
 
 
 @query
 def check_not_null(spark, sf_dir):
-    return _checked(spark, sf_dir, "not_null")
+    return _checked(spark, sf_dir, lambda c: c.test_type == "not_null")
 
 
 @query
 def check_unique(spark, sf_dir):
-    return _checked(spark, sf_dir, "unique")
+    return _checked(spark, sf_dir, lambda c: c.test_type == "unique")
 
 
 @query
@@ -449,21 +488,14 @@ def check_accepted_values(spark, sf_dir):
 
 @query
 def check_relationships(spark, sf_dir):
-    return _checked(spark, sf_dir, "relationships")
+    return _checked(spark, sf_dir, lambda c: c.test_type == "relationships")
 
 
 @query
 def check_expression(spark, sf_dir):
     """The declared conditions, and one that many products break."""
-    tables = Sample(spark, sf_dir).checked_tables()
-    parts = [
-        checks.run_checks(tables[name], LAYERS[name], name, chosen)
-        for name, declared in CHECKS.items()
-        if (chosen := [c for c in declared if c.test_type == "expression_is_true"])
-    ]
     sold = checks.expression_is_true("times_returned", "= 0")
-    parts.append(checks.run_checks(tables["dim_products"], "marts", "dim_products", [sold]))
-    return functools.reduce(DataFrame.unionByName, parts)
+    return _checked(spark, sf_dir, lambda c: c.test_type == "expression_is_true", [("dim_products", [sold])])
 
 
 @query
@@ -517,11 +549,7 @@ def check_failing_rows(spark, sf_dir):
 @query
 def check_suite(spark, sf_dir):
     """All declared checks over all tables."""
-    tables = Sample(spark, sf_dir).checked_tables()
-    parts = [
-        checks.run_checks(tables[name], LAYERS[name], name, declared, tables) for name, declared in CHECKS.items()
-    ]
-    return functools.reduce(DataFrame.unionByName, parts)
+    return _checked(spark, sf_dir, lambda c: True)
 
 
 @query
@@ -550,22 +578,39 @@ def contract_diff(spark, sf_dir):
 @query
 def wap_report(spark, sf_dir):
     """Two tables through the gate: one passes, one is stopped by dangling references."""
-    sample, warehouse = Sample(spark, sf_dir), trial_warehouse(spark)
+    sample = Sample(spark, sf_dir)
     users, products = sample.users(), sample.products()
-    reports = [
-        write_audit_publish(
-            warehouse, sample.dim_products(), "marts", "dim_products", 1,
-            CONTRACTS["dim_products"], CHECKS["dim_products"], {"stg_products": products},
+    with passing_warehouse(spark) as warehouse:
+        reports = [
+            write_audit_publish(
+                warehouse, sample.dim_products(), "marts", "dim_products", 1,
+                CONTRACTS["dim_products"], CHECKS["dim_products"], {"stg_products": products},
+            )
+        ]
+        try:
+            write_audit_publish(
+                warehouse, sample.fct(), "marts", "fct_purchases", 1,
+                CONTRACTS["fct_purchases"], CHECKS["fct_purchases"], {"stg_users": users, "stg_products": products},
+            )
+        except GateClosed as closed:
+            reports.append(closed.report)
+    return small_table(spark, [r.as_row() for r in reports], REPORT)
+
+
+@query
+def build_history(spark, sf_dir):
+    """What a build records whose gate closes at the purchases: checks, models, unit tests."""
+    with passing_warehouse(spark) as warehouse:
+        raw = build.write_together(warehouse, Sample(spark, sf_dir).raw_tables())
+        with contextlib.suppress(GateClosed):
+            build.build(warehouse, raw, as_of(), invocation_id="inv-1")
+        results = warehouse.ref("observability", "quality_results").select(
+            F.lit("check").alias("kind"), F.col("test_unique_id").alias("name"), "status", F.col("failures").alias("n")
         )
-    ]
-    try:
-        write_audit_publish(
-            warehouse, sample.fct(), "marts", "fct_purchases", 1,
-            CONTRACTS["fct_purchases"], CHECKS["fct_purchases"], {"stg_users": users, "stg_products": products},
+        runs = warehouse.ref("observability", "run_results").select(
+            F.col("resource_type").alias("kind"), "name", "status", F.col("rows_affected").alias("n")
         )
-    except GateClosed as closed:
-        reports.append(closed.report)
-    return small_table(spark, [r.as_row() for r in reports], REPORT)
+        return report(results.unionByName(runs))
 
 
 # --- observability ---------------------------------------------------------------------
@@ -791,7 +836,7 @@ def scd2_snapshot(spark, sf_dir):
     before, after = _user_states(spark, sf_dir)
     history = snapshots.first_snapshot(before, ["user_id"], F.col("updated_at"))
     result = snapshots.snapshot(history, after, ["user_id"], as_of(), updated_at="updated_at")
-    return result.select("user_id", "city", "valid_from", "valid_to")
+    return result.select("user_id", "city", "valid_from", "valid_to", "scd_id")
 
 
 @query
@@ -800,7 +845,7 @@ def scd2_snapshot_check(spark, sf_dir):
     before, after = _user_states(spark, sf_dir)
     history = snapshots.first_snapshot(before, ["user_id"], as_of("2023-09-01 00:00:00"))
     result = snapshots.snapshot(history, after, ["user_id"], as_of(), check_columns=["city"], close_deleted=True)
-    return result.select("user_id", "city", "valid_from", "valid_to", F.length("scd_id").alias("scd_id_length"))
+    return result.select("user_id", "city", "valid_from", "valid_to", "scd_id")
 
 
 @query
@@ -823,11 +868,25 @@ def compare_row_counts(spark, sf_dir):
 
 @query
 def volume_anomaly(spark, sf_dir):
-    """Daily event counts against the 14 days before."""
-    daily = anomaly.daily_metrics(Sample(spark, sf_dir).table("events"), "ts", {})
+    """Daily event counts against the 14 days before; two days are silent."""
+    events = Sample(spark, sf_dir).table("events").where("day(ts) NOT IN (20, 21)")
+    daily = anomaly.daily_metrics(events, "ts", {})
     return anomaly.anomalies(daily, "row_count", sigmas=1.5)
 
 
+@query
+def schema_anomaly(spark, sf_dir):
+    """Fields of the events' records that appear, vanish or change type from one day to the next."""
+    events = Sample(spark, sf_dir).table("events")
+    d = F.dayofmonth("ts")
+    fields = F.map_concat(
+        F.create_map(F.lit("k"), F.when(d.between(10, 12), F.lit("string")).otherwise(F.lit("bigint"))),
+        F.when(d >= 15, F.create_map(F.lit("channel"), F.lit("string"))).otherwise(F.expr("map()").cast("map<string,string>")),
+        F.when(d % 7 != 0, F.create_map(F.lit("value"), F.lit("double"))).otherwise(F.expr("map()").cast("map<string,string>")),
+    )
+    return anomaly.schema_changes(events, "ts", fields)
+
+
 @query
 def distribution_anomaly(spark, sf_dir):
     """Daily share of errors per event type group against the 14 days before."""
@@ -859,9 +918,14 @@ def dedup_staging_money(spark, sf_dir):
 
 @query
 def surrogate_keys(spark, sf_dir):
-    """A key made of two columns, one of them with NULLs."""
+    """A key made of two columns, one of them with NULLs; and one of texts that would run together."""
     users = Sample(spark, sf_dir).users()
-    return users.select("user_id", surrogate_key(["user_id", "gender"]).alias("user_key"))
+    split = F.when(F.col("user_id") % 2 == 0, F.array(F.lit("x|=y"), F.lit("z"))).otherwise(F.array(F.lit("x"), F.lit("y|=z")))
+    return users.select(
+        "user_id",
+        surrogate_key(["user_id", "gender"]).alias("user_key"),
+        surrogate_key([split[0], split[1]]).alias("text_key"),
+    )
 
 
 @query
