@@ -1,21 +1,25 @@
 """SentencePiece encoding and decoding on the tokenizers library.
 
 The model's protobuf is parsed and rebuilt: normaliser, space mark, merges or unigram scores, byte
-fallback. No piece has the space mark behind another character (checked), so a text's pieces are
-those of its chunks, each a run of space marks and what follows up to the next. Tasks therefore
-encode every different chunk once, in multithreaded batches, decode it, compare the text, and
+fallback. No piece has the space mark behind another character, and none a line feed (checked), so
+a text's pieces are those of its chunks, cut before runs of space marks and around line feeds. Tasks
+therefore encode every different chunk once, in multithreaded batches, decode it, compare the text, and
 compare the ids with the original library's; a row is in parity if all its chunks are. Left over:
 under a unigram model a text that spells out a byte piece, such as ``<0x41>``, is not in parity.
 """
 
 from __future__ import annotations
 
+import gc
 import json
 import re
+from array import array
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +28,8 @@ from stratalake.llm.piece_model import BPE, BYTE, CONTROL, SPACE, UNIGRAM, UNKNO
 
 #: Different chunks that a task remembers before it starts afresh.
 REMEMBERED = 400_000
+#: Bytes of text that are cut into chunks together.
+PORTION = 1 << 20
 #: Threads of a task's batches.
 THREADS = 2
 
@@ -63,8 +69,9 @@ def rebuild(model: PieceModel):
 
     if any(kind == USER_DEFINED for *_, kind in model.pieces):
         raise ValueError("user-defined pieces are not rebuilt")
-    if any(re.search(f"[^{SPACE}]{SPACE}", piece) for piece, _, kind in model.pieces if kind not in (CONTROL, UNKNOWN)):
-        raise ValueError("a piece goes on behind a space mark: texts can't be encoded by chunks")
+    across = re.compile(f"[^{SPACE}]{SPACE}|\n")
+    if any(across.search(piece) for piece, _, kind in model.pieces if kind not in (CONTROL, UNKNOWN)):
+        raise ValueError("a piece crosses a space mark or a line feed: texts can't be encoded by chunks")
     if model.kind == BPE:
         core = models.BPE(
             {piece: k for k, (piece, _, _) in enumerate(model.pieces)},
@@ -92,71 +99,96 @@ def rebuild(model: PieceModel):
 
 
 def chunks(marked: str) -> list[str]:
-    """A marked text cut before every run of space marks."""
-    parts = marked.split(SPACE)
-    if "" not in parts[1:]:
-        return ([parts[0]] if parts[0] else []) + [SPACE + part for part in parts[1:]]
-    return re.findall(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+", marked)
+    """A marked text cut before every run of space marks, and before and after every line feed."""
+    cut: list[str] = []
+    for number, line in enumerate(marked.split("\n")):
+        if number:
+            cut.append("\n")
+        parts = line.split(SPACE)
+        if "" in parts[1:]:
+            cut += re.findall(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+", line)
+        else:
+            if parts[0]:
+                cut.append(parts[0])
+            cut += [SPACE + part for part in parts[1:]]
+    return cut
 
 
 class Codec:
     """A rebuilt tokenizer beside the original library, in one task."""
 
-    def __init__(self, rebuilt: str, original: bytes | None, plain: bool) -> None:
+    def __init__(self, for_chunks: str, normaliser: str | None, original: bytes | None) -> None:
         from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_str(rebuilt)
-        self.plain = plain
-        spec = json.loads(rebuilt)
-        spec["normalizer"] = spec["pre_tokenizer"] = None
-        spec["decoder"]["decoders"] = [d for d in spec["decoder"]["decoders"] if d["type"] != "Strip"]
-        self.parts = Tokenizer.from_str(json.dumps(spec))
+        self.parts = Tokenizer.from_str(for_chunks)
+        self.normaliser = None if normaliser is None else Tokenizer.from_str(normaliser).normalizer
         self.original = None
         if original is not None:
             import sentencepiece
 
             self.original = sentencepiece.SentencePieceProcessor(model_proto=original)
-        self.known: dict[str, tuple[bytes, bool, bool]] = {}
+        # What ids spell piece by piece; bytes, which mean something only together, what no chunk has.
+        vocabulary = sorted(self.parts.get_vocab().items(), key=lambda item: item[1])
+        self.spelt = ["\n\n" if re.fullmatch("<0x[0-9A-F]{2}>", piece) else piece for piece, _ in vocabulary]
+        self.known: dict[str, bytes] = {}
+        # Chunks whose ids differ from the original's, and whose ids do not decode to them.
+        self.apart: set[str] = set()
+        self.lost: set[str] = set()
 
     def marked(self, text: str) -> str:
-        if self.plain:
+        if self.normaliser is None:
             return (SPACE + text.replace(" ", SPACE)) if text else ""
-        return self.whole.normalizer.normalize_str(text) if text else ""
+        return self.normaliser.normalize_str(text) if text else ""
+
+    def _original_ids(self, new: list[str]) -> list[list[int]]:
+        """The original puts a space mark before what it gets; chunks without one go behind a line feed."""
+        given = [c[1:].replace(SPACE, " ") if c[0] == SPACE else "\n" + c for c in new]
+        ids = self.original.encode(given, num_threads=THREADS)
+        mark = [self.parts.token_to_id(SPACE)]
+        return [mark if c == SPACE else i if c[0] == SPACE else i[2:] for c, i in zip(new, ids)]
 
     def learn(self, new: list[str]) -> None:
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
         ids = [e.ids for e in self.parts.encode_batch_fast(new, add_special_tokens=False)]
-        back = self.parts.decode_batch(ids, skip_special_tokens=False)
-        # The original puts the first space mark of a chunk itself; marks alone have to be given whole.
-        theirs = ids
+        self.known.update(zip(new, [array("i", i).tobytes() for i in ids]))
+        spelt = self.spelt
+        bytewise = [k for k, (c, own) in enumerate(zip(new, ids)) if "".join([spelt[i] for i in own]) != c]
+        back = self.parts.decode_batch([ids[k] for k in bytewise], skip_special_tokens=False)
+        self.lost.update([new[k] for k, text in zip(bytewise, back) if text != new[k].replace(SPACE, " ")])
         if self.original is not None:
-            theirs = self.original.encode([c[1:].replace(SPACE, " ") if c[:1] == SPACE else c for c in new], num_threads=THREADS)
-        for chunk, own, text, other in zip(new, ids, back, theirs):
-            same = own == other or chunk == SPACE and own == [self.parts.token_to_id(SPACE)]
-            self.known[chunk] = (np.array(own, np.int32).tobytes(), same, text == chunk.replace(SPACE, " "))
+            self.apart.update([c for c, own, other in zip(new, ids, self._original_ids(new)) if own != other])
 
     def encode(self, texts: list[str | None]) -> Iterator[tuple[bytes, bool, bool]]:
         """Ids as 32-bit integers, whether they match the original's, whether they decode to the text."""
         cut = [chunks(self.marked(text or "")) for text in texts]
-        wanted = set().union(*cut) if cut else set()
-        new = [c for c in wanted if c not in self.known]
+        wanted = set().union(*cut)
+        new = wanted - self.known.keys()
+        if len(self.known) + len(new) > REMEMBERED:
+            for remembered in (self.known, self.apart, self.lost):
+                remembered.clear()
+            new = wanted
         if new:
-            if len(self.known) + len(new) > REMEMBERED:
-                self.known.clear()
-                new = list(wanted)
-            self.learn(new)
+            self.learn(list(new))
+        ids_of = self.known.__getitem__
         for parts in cut:
-            found = [self.known[c] for c in parts]
-            yield b"".join([f[0] for f in found]), all([f[1] for f in found]), all([f[2] for f in found])
+            yield b"".join(map(ids_of, parts)), self.apart.isdisjoint(parts), self.lost.isdisjoint(parts)
+
 
+def _codec_parts(model_path: str, verify: bool) -> tuple[str, str | None, bytes | None]:
+    """What a task's codec is made of: the tokenizer for chunks, the normaliser unless it only marks spaces."""
+    from tokenizers import Tokenizer, models
 
-def _codec_parts(model_path: str, verify: bool) -> tuple[str, bytes | None, bool]:
     model = read_model(model_path)
-    with open(model_path, "rb") as file:
-        original = file.read() if verify else None
-    plain = model.dummy_prefix and model.escape_spaces and not (model.charsmap or model.trim_spaces)
-    return rebuild(model).to_str(), original, plain
+    original = Path(model_path).read_bytes() if verify else None
+    whole = rebuild(model)
+    normaliser = None
+    if not (model.dummy_prefix and model.escape_spaces) or model.charsmap or model.trim_spaces:
+        alone = Tokenizer(models.BPE())
+        alone.normalizer = whole.normalizer
+        normaliser = alone.to_str()
+    spec = json.loads(whole.to_str())
+    spec["normalizer"] = spec["pre_tokenizer"] = None
+    spec["decoder"]["decoders"] = [d for d in spec["decoder"]["decoders"] if d["type"] != "Strip"]
+    return json.dumps(spec), normaliser, original
 
 
 def _threads(n: int = THREADS) -> None:
@@ -166,6 +198,16 @@ def _threads(n: int = THREADS) -> None:
     os.environ["RAYON_NUM_THREADS"] = str(n)
 
 
+def _portions(batch: pa.RecordBatch, place: int) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about ``PORTION`` characters, however long its texts are."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(place).cast(pa.string())), 0).to_numpy(zero_copy_only=False)
+    number = np.cumsum(lengths + 1) // PORTION
+    edges = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), batch.num_rows]
+    for begin, end in zip(edges, edges[1:]):
+        if end > begin:
+            yield batch.slice(begin, end - begin)
+
+
 def encode(documents: DataFrame, model_path: str, verify: bool = True) -> DataFrame:
     """``documents`` with ``ids`` (array of int), ``parity`` and ``round_trip``.
 
@@ -186,9 +228,15 @@ def encode(documents: DataFrame, model_path: str, verify: bool = True) -> DataFr
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _threads()
         codec = Codec(*parts.value)
+        gc.disable()  # nothing here makes cycles, and collections would walk all remembered chunks
+        try:
+            yield from encoded(codec, batches)
+        finally:
+            gc.enable()
+
+    def encoded(codec: Codec, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
+            for batch in _portions(whole, place):
                 packed, same, back = zip(*codec.encode(batch.column(place).cast(pa.string()).to_pylist()))
                 offsets = np.concatenate(([0], np.cumsum([len(p) // 4 for p in packed]))).astype(np.int32)
                 ids = pa.ListArray.from_arrays(
@@ -203,13 +251,13 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     """``encoded`` with ``text`` made anew from ``ids``; NULL ids give NULL."""
     schema = T.StructType([f for f in encoded.schema if f.name != "text"] + [T.StructField("text", T.StringType())])
     rest = [n for n in schema.names if n != "text"]
-    parts = encoded.sparkSession.sparkContext.broadcast(_codec_parts(model_path, False))
+    shared = encoded.sparkSession.sparkContext.broadcast(rebuild(read_model(model_path)).to_str())
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from tokenizers import Tokenizer
 
         _threads()
-        tokenizer = Tokenizer.from_str(parts.value[0])
+        tokenizer = Tokenizer.from_str(shared.value)
         for batch in batches:
             ids = batch.column(batch.schema.names.index("ids")).to_pylist()
             texts = tokenizer.decode_batch([i or [] for i in ids], skip_special_tokens=False)

@@ -13,7 +13,7 @@ pytestmark = pytest.mark.skipif(not Path(MODEL).exists(), reason="no vocabulary
 
 def tricky_texts(n=400):
     rng = random.Random(8)
-    parts = [" ", "  ", "\n", "\t", "a", "the", "Straße", "日本", "▁", "\u0000", "é", "é", "🙂", "1234", "<s>", "</s>", "<unk>", "x" * 30]
+    parts = [" ", "  ", "\n", "\n\n", " \n", "\n ", "\t", "a", "the", "Straße", "日本", "▁", "\u0000", "é", "é", "🙂", "1234", "<s>", "</s>", "<unk>", "x" * 30]
     return ["".join(rng.choice(parts) for _ in range(rng.randrange(12))) for _ in range(n)]
 
 
@@ -59,6 +59,7 @@ def test_chunks_join_to_the_text():
         marked = "▁" + text.replace(" ", "▁")
         cut = chunks(marked)
         assert "".join(cut) == marked and all("▁" not in c.lstrip("▁") for c in cut)
+        assert all(c == "\n" or "\n" not in c for c in cut)
 
 
 def test_frames(spark):
@@ -75,9 +76,10 @@ def test_frames(spark):
     assert encode(documents(spark, []), MODEL).count() == 0
 
 
-def test_a_piece_across_a_space_is_refused(tmp_path):
+def test_a_piece_across_a_cut_is_refused(tmp_path):
     from dataclasses import replace
 
     model = read_model(unigram_model(tmp_path / "u.model"))
-    with pytest.raises(ValueError):
-        rebuild(replace(model, pieces=model.pieces + [("a▁b", -1.0, NORMAL)]))
+    for piece in ("a▁b", "a\nb"):
+        with pytest.raises(ValueError):
+            rebuild(replace(model, pieces=model.pieces + [(piece, -1.0, NORMAL)]))
