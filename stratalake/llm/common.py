@@ -13,6 +13,15 @@ from stratalake.session import shared_root
 SPACES = r"[\x20\x09-\x0D]+"
 
 
+def bounded(spark: SparkSession) -> SparkSession:
+    """The session, with Arrow batches of some megabytes whatever the length of texts.
+
+    By default they hold up to 64 MB, several times over in a Python task and its executor.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+    return spark
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, every other character as it is."""
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
@@ -31,11 +40,27 @@ def saved(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate rows, in whatever store it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def small(frame: DataFrame, rows: int, bound: int) -> DataFrame:
     """The frame, to be broadcast if its counted rows stay within the bound, else joined by a shuffle."""
     return F.broadcast(frame) if rows <= bound else frame
 
 
+#: Trusted documents that a target model is fitted on, at most.
+TRUSTED = 20_000
+
+
+def trusted_ids(labels: DataFrame, most: int = TRUSTED) -> DataFrame:
+    """``doc_id`` of at most ``most`` documents labelled as good, those with the smallest hashes."""
+    good = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
+    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

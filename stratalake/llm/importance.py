@@ -4,6 +4,11 @@ Two generative models of hashed n-grams, of trusted target texts and of all raw
 document the log of its importance weight; documents are drawn without replacement in proportion
 to the weights by Gumbel top-k. N-grams: words, pairs of words and word endings; a word that
 repeats its predecessor counts as one special word.
+
+A document's own n-grams are taken out of both models before it is weighed: else those that only it
+has would speak for it where it is trusted and against it elsewhere, the more the smaller the
+corpus. The weight is that of an average stretch of ``TEMPERED`` n-grams, or of the whole text if it
+is shorter, so that long texts are not drawn for their length.
 """
 
 from __future__ import annotations
@@ -17,23 +22,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalake.llm.common import saved
+from stratalake.llm.common import TRUSTED, saved, trusted_ids
 from stratalake.llm.ngrams import WordHashes, mixed
 
-BUCKETS = 1 << 16
-#: Trusted documents that the target model is fitted on, at most (those with the smallest hashes).
-TRUSTED = 20_000
+BUCKETS = 1 << 13
 #: Pseudo-count, in n-grams of the target sample; buckets with fewer say little.
-SMOOTHING = 5.0
+SMOOTHING = 20.0
 SEED = 7
+#: N-grams that a weight stands for, at most.
+TEMPERED = 100
 #: Log of the envelope of the accept-reject step that fixes how many documents are drawn: those whose
-#: weight is above its inverse count in full. Junk lies far below, short clean texts just under 0.
-ENVELOPE = 3.0
-#: N-grams counted together in a task.
-HELD = 1 << 20
+#: weight is above its inverse count in full. Junk lies far below; clean texts lie around 0, those of
+#: a language with few trusted texts in a small corpus down to -12.
+ENVELOPE = 14.0
 #: Values of the k-th key's interval that are told apart on the driver.
 LAST_KEYS = 1000
 
+_TRUSTED = "__trusted"
 _REPEATED = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -50,70 +55,71 @@ def buckets_of(hashes: WordHashes, text: bytes) -> Iterator[np.ndarray]:
             previous = words[-1:]
 
 
-def trusted_ids(labels: DataFrame, most: int = TRUSTED) -> DataFrame:
-    """``doc_id`` of at most ``most`` documents labelled as good, those with the smallest hashes."""
-    good = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+def _own_counts(hashes: WordHashes, text: bytes | None) -> np.ndarray:
+    """N-grams of a text by bucket."""
+    counts = np.zeros(BUCKETS, np.int64)
+    for grams in buckets_of(hashes, text or b""):
+        counts += np.bincount(grams, minlength=BUCKETS)
+    return counts
 
 
-def log_ratios(documents: DataFrame, trusted: DataFrame, most: int = TRUSTED) -> np.ndarray:
-    """Log of target over raw probability for each bucket; ``trusted`` has at most ``most`` ids."""
-    flagged = (
-        documents.select("doc_id", F.col("text").cast("string").alias("text"))
-        .join(F.broadcast(trusted.limit(most).withColumn("target", F.lit(True))), "doc_id", "left")
-        .select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    )
+def _flagged(documents: DataFrame, trusted: DataFrame, most: int) -> DataFrame:
+    """``documents`` with whether they are trusted; ``trusted`` has at most ``most`` ids, which bounds its broadcast."""
+    ids = F.broadcast(trusted.limit(most).withColumn(_TRUSTED, F.lit(True)))
+    flagged = documents.join(ids, "doc_id", "left")
+    return flagged.select(*[F.col(f"`{c}`") for c in documents.columns], F.coalesce(_TRUSTED, F.lit(False)).alias(_TRUSTED))
 
-    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, counts = WordHashes(), np.zeros((2, BUCKETS), np.int64)
-        held: list[list[np.ndarray]] = [[], []]
-        waiting = 0
 
-        def settle() -> None:
-            for which in (0, 1):
-                if held[which]:
-                    counts[which] += np.bincount(np.concatenate(held[which]), minlength=BUCKETS)
-                held[which].clear()
+def models(documents: DataFrame, trusted: DataFrame, most: int = TRUSTED) -> dict[str, np.ndarray]:
+    """Counts of ``raw`` and ``target`` n-grams by bucket, over all documents and over the trusted."""
 
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, counts = WordHashes(), np.zeros((2, BUCKETS), np.int64)
         for batch in batches:
-            for text, target in zip(batch.column("text").cast(pa.binary()), batch.column("target").to_pylist()):
-                for grams in buckets_of(hashes, text.as_py() or b""):
-                    held[target].append(grams)
-                    waiting += len(grams)
-                if waiting >= HELD:
-                    settle()
-                    waiting = 0
-        settle()
-        used = np.flatnonzero(counts.sum(axis=0))
-        raw, target = counts[:, used].sum(axis=0), counts[1, used]
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(raw), pa.array(target)], ["bucket", "raw", "target"])
-
+            flags = batch.column(_TRUSTED).to_pylist()
+            for text, trusted in zip(batch.column("text").cast(pa.binary()), flags):
+                own = _own_counts(hashes, text.as_py())
+                counts[0] += own
+                if trusted:
+                    counts[1] += own
+        used = np.flatnonzero(counts[0])
+        columns = [pa.array(used), pa.array(counts[0, used]), pa.array(counts[1, used])]
+        yield pa.RecordBatch.from_arrays(columns, ["bucket", "raw", "target"])
+
+    texts = documents.select("doc_id", F.col("text").cast("string").alias("text"))
     rows = (
-        flagged.mapInArrow(of_batches, "bucket long, raw long, target long")
+        _flagged(texts, trusted, most)
+        .mapInArrow(of_batches, "bucket long, raw long, target long")
         .groupBy("bucket")
         .agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
         .collect()
     )
-    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    found = {"raw": np.zeros(BUCKETS, np.int64), "target": np.zeros(BUCKETS, np.int64)}
     for row in rows:
-        raw[row.bucket], target[row.bucket] = row.raw, row.target
-    expected = raw * (target.sum() / max(1.0, raw.sum()))
-    return np.log((target + SMOOTHING) / (expected + SMOOTHING))
+        found["raw"][row.bucket], found["target"][row.bucket] = row.raw, row.target
+    return found
 
 
-def _weigh(ratios: np.ndarray, hashes: WordHashes, text: bytes | None, seed: int) -> tuple[int, float, float]:
+def _weigh(
+    model: dict[str, np.ndarray], hashes: WordHashes, text: bytes | None, trusted: bool, seed: int
+) -> tuple[int, float, float]:
     """N-grams, log weight, and log weight plus Gumbel noise that depends on the text alone."""
-    count, weight = 0, 0.0
-    for grams in buckets_of(hashes, text or b""):
-        count += len(grams)
-        weight += float(ratios[grams].sum())
+    own = _own_counts(hashes, text)
+    used = np.flatnonzero(own)
+    counts, n, weight = own[used], int(own.sum()), 0.0
+    if n:
+        raw = np.maximum(model["raw"][used] - counts, 0)
+        target = np.maximum(model["target"][used] - counts * trusted, 0)
+        share = max(0, int(model["target"].sum()) - n * trusted) / max(1, int(model["raw"].sum()) - n)
+        ratios = np.log((target + SMOOTHING) / (raw * share + SMOOTHING))
+        weight = float((counts * ratios).sum()) / n * min(n, TEMPERED)
     uniform = ((xxhash.xxh64_intdigest(text or b"", seed) >> 11) + 0.5) / (1 << 53)
-    return count, weight, weight - float(np.log(-np.log(uniform)))
+    return n, weight, weight - float(np.log(-np.log(uniform)))
 
 
-def weights(documents: DataFrame, ratios: np.ndarray, seed: int = SEED) -> DataFrame:
+def weights(documents: DataFrame, trusted: DataFrame, model: dict[str, np.ndarray], seed: int = SEED) -> DataFrame:
     """``doc_id, n_grams, log_weight, key`` of every document."""
-    model = documents.sparkSession.sparkContext.broadcast(ratios)
+    shared = documents.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType(
         [
             documents.schema["doc_id"],
@@ -126,12 +132,14 @@ def weights(documents: DataFrame, ratios: np.ndarray, seed: int = SEED) -> DataF
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            found = [_weigh(model.value, hashes, t.as_py(), seed) for t in batch.column("text").cast(pa.binary())]
+            rows = zip(batch.column("text").cast(pa.binary()), batch.column(_TRUSTED).to_pylist())
+            found = [_weigh(shared.value, hashes, text.as_py(), trusted, seed) for text, trusted in rows]
             n, weight, key = zip(*found) if found else ((), (), ())
             columns = [pa.array(n, pa.int64()), pa.array(weight, pa.float64()), pa.array(key, pa.float64())]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], schema.names)
 
-    return documents.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(of_batches, schema)
+    texts = documents.select("doc_id", F.col("text").cast("string").alias("text"))
+    return _flagged(texts, trusted, TRUSTED).mapInArrow(of_batches, schema)
 
 
 def kth_largest(rows: DataFrame, column: str, k: int) -> float | None:
@@ -185,7 +193,8 @@ def classify(documents: DataFrame, labels: DataFrame, k: int | None = None) -> D
     NULL and texts without words have weight 1 (log 0) and are drawn like any other. Without
     trusted documents every weight is 1.
     """
-    weighted = saved(weights(documents, log_ratios(documents, trusted_ids(labels))))
+    trusted = trusted_ids(labels)
+    weighted = saved(weights(documents, trusted, models(documents, trusted)))
     _, cut = resampled(weighted, k)
     return weighted.withColumn("kept", F.lit(False) if cut is None else F.col("key") >= cut)
 
@@ -193,20 +202,22 @@ def classify(documents: DataFrame, labels: DataFrame, k: int | None = None) -> D
 def keep_good(documents: DataFrame, labels: DataFrame, k: int | None = None) -> DataFrame:
     """The rows of ``documents`` that ``classify`` keeps, with all their columns.
 
-    Keys depend on the text alone, so they are computed again beside the rows instead of joined.
+    Keys are computed again beside the rows, which costs less than a join of the texts.
     """
-    ratios = log_ratios(documents, trusted_ids(labels))
-    _, cut = resampled(saved(weights(documents, ratios)), k)
+    trusted = trusted_ids(labels)
+    model = models(documents, trusted)
+    _, cut = resampled(saved(weights(documents, trusted, model)), k)
     if cut is None:
         return documents.where(F.lit(False))
-    model = documents.sparkSession.sparkContext.broadcast(ratios)
-    place = documents.columns.index("text")
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+    place, flag = documents.columns.index("text"), len(documents.columns)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            texts = batch.column(place).cast(pa.string()).cast(pa.binary())
-            kept = [_weigh(model.value, hashes, t.as_py(), SEED)[2] >= cut for t in texts]
-            yield batch.filter(pa.array(kept, pa.bool_(), size=batch.num_rows))
+            rows = zip(batch.column(place).cast(pa.string()).cast(pa.binary()), batch.column(flag).to_pylist())
+            kept = [_weigh(shared.value, hashes, text.as_py(), trusted, SEED)[2] >= cut for text, trusted in rows]
+            kept = batch.filter(pa.array(kept, pa.bool_(), size=batch.num_rows))
+            yield pa.RecordBatch.from_arrays(kept.columns[:flag], batch.schema.names[:flag])
 
-    return documents.mapInArrow(of_batches, documents.schema)
+    return _flagged(documents, trusted, TRUSTED).mapInArrow(of_batches, documents.schema)

@@ -11,16 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import saved
-from stratalake.llm.importance import trusted_ids
+from stratalake.llm.common import TRUSTED, saved, trusted_ids
 
 BUCKETS = 1 << 16
-#: Trusted documents that the target multinomial is fitted on, at most.
-TRUSTED = 20_000
 #: Pseudo-count, in n-grams of the target sample.
 SMOOTHING = 5.0
 #: Least mean log ratio, in nats per n-gram, of a text that is kept.
-THRESHOLD = -0.25
+THRESHOLD = -0.4
 LEAST_WORDS = 20
 #: Words of a window whose second occurrence is a repetition, and the share of words in such windows.
 REPEAT_WINDOW = 8
@@ -139,7 +136,7 @@ def judge(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     A text without words scores 0. Without trusted documents every ratio is 0, and the plain rules
     alone decide. The broadcast table has a row per bucket at most.
     """
-    ratios = log_ratios(documents, trusted_ids(labels, TRUSTED))
+    ratios = log_ratios(documents, trusted_ids(labels))
     counts = ["row", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     pairs = measures(documents).select(*counts, F.explode_outer(_pairs("words")).alias("p"))
     scored = (

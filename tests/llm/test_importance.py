@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from texts import awkward, documents, space_words, words
 
-from stratalake.llm.importance import BUCKETS, ENVELOPE, buckets_of, classify, keep_good, kth_largest, trusted_ids
+from stratalake.llm.importance import BUCKETS, ENVELOPE, TEMPERED, buckets_of, classify, keep_good, kth_largest, trusted_ids
 from stratalake.llm.ngrams import BLOCK, WordHashes
 
 
@@ -13,10 +13,11 @@ def labels(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
 
 
-def corpus(seed=2):
+def corpus(seed=2, n=300):
+    """Clean texts, and every fifth one with symbols, bars or repeated words."""
     rng = random.Random(seed)
     rows, quality = [], []
-    for k in range(300):
+    for k in range(n):
         if k % 5:
             text = words(rng, rng.randrange(4, 80), 300)
         else:
@@ -65,17 +66,25 @@ def test_kth_largest(spark, seed):
     assert kth_largest(frame, "x", 0) is None
 
 
+def plain_weights(rows, trusted):
+    """Log weights by counting, a text's own n-grams taken out of both models."""
+    hashes = WordHashes()
+    grams = [[int(b) for g in buckets_of(hashes, (t or "").encode()) for b in g] for _, t in rows]
+    raw = Counter(b for gs in grams for b in gs)
+    target = Counter(b for (d, _), gs in zip(rows, grams) if d in trusted for b in gs)
+    out = []
+    for (d, _), gs in zip(rows, grams):
+        own, mine = Counter(gs), d in trusted
+        share = (sum(target.values()) - len(gs) * mine) / max(1, sum(raw.values()) - len(gs))
+        logs = [np.log((target[b] - own[b] * mine + 20.0) / ((raw[b] - own[b]) * share + 20.0)) for b in gs]
+        out.append(float(np.mean(logs)) * min(len(gs), TEMPERED) if gs else 0.0)
+    return out
+
+
 def test_weights_against_counting(spark):
     rows, quality = corpus()
     got = {r.doc_id: r for r in classify(documents(spark, rows), labels(spark, quality)).collect()}
-    hashes, raw, target = WordHashes(), Counter(), Counter()
-    grams = {d: np.concatenate([*buckets_of(hashes, t.encode())]).tolist() for d, t in rows}
-    for d, q, _ in quality:
-        raw.update(grams[d])
-        target.update(grams[d] if q else [])
-    ratio = sum(target.values()) / sum(raw.values())
-    for d, t in rows:
-        want = sum(np.log((target[b] + 5.0) / (raw[b] * ratio + 5.0)) for b in grams[d])
+    for (d, t), want in zip(rows, plain_weights(rows, {d for d, q, _ in quality if q})):
         assert got[d].log_weight == pytest.approx(want) and got[d].n_grams == 3 * len(space_words(t))
     share = sum(min(1.0, np.exp(r.log_weight + ENVELOPE)) for r in got.values())
     assert sum(r.kept for r in got.values()) == round(share)
@@ -84,6 +93,17 @@ def test_weights_against_counting(spark):
         assert got[d].kept == bool(q)
 
 
+@pytest.mark.parametrize("n", [150, 600])
+def test_clean_texts_without_a_label_stay(spark, n):
+    """Whether a clean text is in the trusted sample makes no difference, however small the corpus."""
+    rows, quality = corpus(7, n)
+    some = [(d, q, t) for d, q, t in quality if d % 3 == 0]
+    kept = {r.doc_id for r in classify(documents(spark, rows), labels(spark, some)).where("kept").collect()}
+    good = {d for d, q, _ in quality if q}
+    assert good <= kept
+    assert len(kept - good) <= 0.02 * n
+
+
 def test_top_k_and_kept_rows(spark):
     rows, quality = corpus(3)
     docs, marks = documents(spark, rows), labels(spark, quality)

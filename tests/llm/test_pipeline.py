@@ -1,19 +1,17 @@
 """The pipeline's rows against a plain version of its stages, on the smallest sample and on awkward rows."""
 
 import math
-from collections import Counter
 from pathlib import Path
 
-import numpy as np
 import pytest
 import xxhash
 from test_decontamination import brute as brute_contamination
+from test_importance import plain_weights
 from test_simhash import brute_fingerprint, groups
 from texts import awkward, documents
 
 import corpus_pipeline
-from stratalake.llm.importance import ENVELOPE, SEED, buckets_of, trusted_ids
-from stratalake.llm.ngrams import WordHashes
+from stratalake.llm.importance import ENVELOPE, SEED, trusted_ids
 
 SF_DIR = "/root/testdata/sf0.001"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -21,12 +19,7 @@ pytestmark = pytest.mark.skipif(not (Path(SF_DIR).exists() and Path(MODEL).exist
 
 
 def drawn(rows, trusted):
-    hashes = WordHashes()
-    grams = [np.concatenate([*buckets_of(hashes, (t or "").encode()), np.zeros(0, int)]).astype(int).tolist() for _, t in rows]
-    raw = Counter(g for gs in grams for g in gs)
-    target = Counter(g for (d, _), gs in zip(rows, grams) if d in trusted for g in gs)
-    ratio = sum(target.values()) / max(1, sum(raw.values()))
-    weights = [sum(math.log((target[g] + 5.0) / (raw[g] * ratio + 5.0)) for g in gs) for gs in grams]
+    weights = plain_weights(rows, trusted)
     uniform = [((xxhash.xxh64_intdigest((t or "").encode(), SEED) >> 11) + 0.5) / (1 << 53) for _, t in rows]
     keys = [w - math.log(-math.log(u)) for w, u in zip(weights, uniform)]
     k = round(sum(min(1.0, math.exp(min(0.0, w + ENVELOPE))) for w in weights))
