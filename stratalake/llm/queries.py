@@ -21,7 +21,7 @@ from stratalake.llm import (
     sharding,
     simhash,
 )
-from stratalake.llm.common import table
+from stratalake.llm.common import bounded, table
 from stratalake.llm.piece_model import read_model
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,7 +39,7 @@ def crc_of_id(modulus: int) -> str:
 def query(function: Query) -> Query:
     @functools.wraps(function)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return function(configure(spark), sf_dir)
+        return function(bounded(configure(spark)), sf_dir)
 
     QUERIES[function.__name__] = run
     return run
