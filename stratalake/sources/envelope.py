@@ -49,15 +49,30 @@ def read_envelope(
 
 
 def discover_schema(raw: DataFrame) -> DataFrame:
-    """One row per top-level payload field: merged type, rows carrying it, null values.
+    """One row per payload field: merged type, rows carrying it, null values.
 
-    Each row is exploded into its own few fields; per-field types merge in a partial and
-    a final aggregate, so only field names are shuffled.
+    Fields of nested objects follow as ``object.field``; what lies deeper is in the type of
+    these. Each row is exploded into its own few fields in one pass; per-field types merge
+    in a partial and a final aggregate, so only field names are shuffled.
     """
+    tvf = raw.sparkSession.tvf
     documents = raw.where(F.col("data").isNotNull()).select(F.parse_json("data").alias("doc"))
-    fields = documents.lateralJoin(raw.sparkSession.tvf.variant_explode(F.col("doc").outer()))
-    return fields.groupBy(F.col("key").alias("field_name")).agg(
-        F.schema_of_variant_agg("value").alias("field_type"),
-        F.count("*").alias("records"),
-        F.count_if(F.is_variant_null("value")).alias("null_values"),
+    fields = documents.lateralJoin(tvf.variant_explode(F.col("doc").outer())).select(
+        F.col("key").alias("field"), F.col("value").alias("content")
+    )
+    nested = fields.lateralJoin(tvf.variant_explode_outer(F.col("content").outer()))
+    first = F.coalesce(F.col("pos") == 0, F.lit(True))  # the field itself counts once
+    inner = F.struct(F.concat_ws(".", "field", "key").alias("field_name"), F.col("value"))
+    entries = F.array(
+        F.when(first, F.struct(F.col("field").alias("field_name"), F.col("content").alias("value"))),
+        F.when(F.col("key").isNotNull(), inner),
+    )
+    return (
+        nested.select(F.explode(F.array_compact(entries)).alias("e"))
+        .groupBy(F.col("e.field_name").alias("field_name"))
+        .agg(
+            F.schema_of_variant_agg("e.value").alias("field_type"),
+            F.count("*").alias("records"),
+            F.count_if(F.is_variant_null("e.value")).alias("null_values"),
+        )
     )

@@ -253,10 +253,15 @@ SELECT 'raw_users' AS stream, f.field_name, f.field_type, COUNT(*) AS records,
        COUNT(*) FILTER (WHERE (f.field_name = 'gender' AND gender IS NULL) OR (f.field_name = 'title' AND title IS NULL)) AS null_values
 FROM stg_users, (VALUES ('id','BIGINT'), ('name','STRING'), ('email','STRING'), ('gender','STRING'), ('title','STRING'),
   ('occupation','STRING'), ('nationality','STRING'), ('language','STRING'), ('academic_degree','STRING'), ('age','BIGINT'),
-  ('blood_type','STRING'), ('address','OBJECT'), ('created_at','STRING'), ('updated_at','STRING')) f(field_name, field_type)
+  ('blood_type','STRING'), ('address','OBJECT<city: STRING, country_code: STRING, postal_code: STRING, state: STRING, street_name: STRING, street_number: STRING>'),
+  ('address.city','STRING'), ('address.state','STRING'), ('address.country_code','STRING'), ('address.postal_code','STRING'),
+  ('address.street_name','STRING'), ('address.street_number','STRING'), ('created_at','STRING'), ('updated_at','STRING')) f(field_name, field_type)
 GROUP BY ALL
 UNION ALL
-SELECT 'raw_products', f.field_name, f.field_type, COUNT(*), 0
+SELECT 'raw_products', f.field_name, CASE WHEN f.field_name = 'price' THEN (
+         SELECT 'DECIMAL(' || (MAX(length(split_part(price::VARCHAR, '.', 1))) + MAX(length(rtrim(split_part(price::VARCHAR, '.', 2), '0'))))
+                || ',' || MAX(length(rtrim(split_part(price::VARCHAR, '.', 2), '0'))) || ')' FROM stg_products)
+       ELSE f.field_type END, COUNT(*), 0
 FROM stg_products, (VALUES ('id','BIGINT'), ('make','STRING'), ('model','STRING'), ('year','BIGINT'), ('price','DECIMAL'),
   ('created_at','STRING')) f(field_name, field_type)
 GROUP BY ALL
@@ -678,6 +683,7 @@ ORACLES["dash_recent_failures"] = sql(
 SELECT test_name, table_name, column_name, test_type, severity, failures, detected_at FROM results
 WHERE status <> 'pass' ORDER BY detected_at DESC NULLS FIRST, test_name, table_name, column_name LIMIT 50""",
 )
+ORACLES["view_reports"] = ORACLES["obs_pass_rate_trend"]
 ORACLES["slowest_models"] = sql(
     [RUNS],
     """

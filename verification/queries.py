@@ -19,6 +19,7 @@ from stratalake.operators.dedup import latest_per_key
 from stratalake.operators.publish import REPORT, GateClosed, write_audit_publish
 from stratalake.plans import analytics, build, gold, lineage, marts, observability, staging
 from stratalake.plans.spec import CHECKS, CONTRACTS, LAYERS
+from stratalake.plans.views import register_observability
 from stratalake.sources import sample_tables, synthetic
 from stratalake.sources.envelope import discover_schema, to_envelope
 from stratalake.sources.seed import seed_if_empty as seed_table
@@ -185,10 +186,7 @@ def discover_raw_schema(spark, sf_dir):
         discover_schema(rows).select(F.lit(name).alias("stream"), "*")
         for name, rows in Sample(spark, sf_dir).raw_tables().items()
     ]
-    found = functools.reduce(DataFrame.unionByName, streams)
-    # Precision follows the digits seen; the family is what the streams have in common.
-    family = F.regexp_replace(F.regexp_replace("field_type", r"^DECIMAL.*", "DECIMAL"), r"^OBJECT.*", "OBJECT")
-    return found.withColumn("field_type", family)
+    return functools.reduce(DataFrame.unionByName, streams)
 
 
 @query
@@ -673,6 +671,20 @@ def dash_recent_failures(spark, sf_dir):
     return observability.recent_failures(Sample(spark, sf_dir).results())
 
 
+@query
+def view_reports(spark, sf_dir):
+    """The catalog views over a history that grows after they were made, read by SQL."""
+    sample, warehouse = Sample(spark, sf_dir), trial_warehouse(spark)
+    results = sample.results()
+    warehouse.overwrite(sample.models(), "observability", "models")
+    warehouse.overwrite(sample.runs(), "observability", "run_results")
+    warehouse.overwrite(results.where("test_type = 'error'"), "observability", "quality_results")
+    register_observability(warehouse)
+    warehouse.append(results.where("test_type <> 'error'"), "observability", "quality_results")
+    history = warehouse.database("observability")
+    return spark.sql(f"SELECT * FROM `{history}`.v_test_pass_rate_trend")
+
+
 @query
 def slowest_models(spark, sf_dir):
     return observability.slowest_models(Sample(spark, sf_dir).runs())
