@@ -102,7 +102,7 @@ def test_foreign_envelope_columns(spark):
 
 def test_schema_discovery_merges_types(spark):
     found = {r.field_name: (r.field_type, r.records, r.null_values) for r in discover_schema(raw(spark, '{"a": 1, "b": null}', '{"a": 2, "b": "x"}', '{"c": {"d": true}}')).collect()}
-    assert found == {"a": ("BIGINT", 2, 0), "b": ("STRING", 2, 1), "c": ("OBJECT<d: BOOLEAN>", 1, 0)}
+    assert found == {"a": ("BIGINT", 2, 0), "b": ("STRING", 2, 1), "c": ("OBJECT<d: BOOLEAN>", 1, 0), "c.d": ("BOOLEAN", 1, 0)}
 
 
 def test_generated_rows_do_not_depend_on_partitioning(spark):
