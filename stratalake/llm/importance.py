@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -177,8 +177,8 @@ def resampled(weighted: DataFrame, k: int | None = None) -> tuple[DataFrame, flo
     """The k documents with the largest keys, and the key they reach.
 
     ``k`` None: the number that accepting each document with probability
-    ``min(1, exp(ENVELOPE) * weight)`` would keep on average, which follows the corpus. Documents that tie with the last, such as repeated
-    rows, are drawn with it.
+    ``min(1, exp(ENVELOPE) * weight)`` would keep on average, which follows the corpus. Documents
+    that tie with the last, such as repeated rows, are drawn with it.
     """
     if k is None:
         share = F.round(F.lit(1e6) * F.exp(F.least(F.col("log_weight") + ENVELOPE, F.lit(0.0)))).cast("long")

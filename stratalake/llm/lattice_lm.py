@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from stratalake.llm.common import saved
-from stratalake.llm.piece_model import BYTE, NORMAL, SPACE, UNIGRAM, PieceModel
+from stratalake.llm.piece_model import NORMAL, SPACE, UNIGRAM, PieceModel
 
 #: Words looked up in a broadcast table, at most.
 HOT_WORDS = 100_000

@@ -39,7 +39,12 @@ NAMES = [
     ("Unlicense", "the Unlicense"),
 ]
 # Notices that name a licence, and the opening words of some licence files.
-NOTICES = ["Licensed under {}.", "Released under {}.", "This work is licensed under {}.", "This file is part of a program under {}."]
+NOTICES = [
+    "Licensed under {}.",
+    "Released under {}.",
+    "This work is licensed under {}.",
+    "This file is part of a program under {}.",
+]
 OPENINGS = [
     (
         "MIT",
@@ -72,7 +77,12 @@ def terms_of(text: Column) -> Column:
 
 def _template_terms(files: DataFrame, given: list[tuple[str, str]]) -> DataFrame:
     """``template, license, term, tf`` from literals."""
-    listed = F.array(*[F.struct(F.lit(k).alias("template"), F.lit(a).alias("license"), F.lit(t).alias("t")) for k, (a, t) in enumerate(given)])
+    listed = F.array(
+        *[
+            F.struct(F.lit(k).alias("template"), F.lit(a).alias("license"), F.lit(t).alias("t"))
+            for k, (a, t) in enumerate(given)
+        ]
+    )
     rows = files.sparkSession.range(1).select(F.explode(listed).alias("x")).select("x.*")
     return (
         rows.select("template", "license", F.explode(terms_of(F.col("t"))).alias("term"))
@@ -178,7 +188,10 @@ def scan(files: DataFrame, threshold: float = THRESHOLD, given: list[tuple[str,
     )
     folders = keyed.select(_folder(F.col("path")).alias("folder")).distinct()
     parts = F.split("folder", "/")
-    above = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda k: F.struct(k.alias("depth"), F.array_join(F.slice(parts, F.lit(1), k), "/").alias("above")))
+    above = F.transform(
+        F.sequence(F.lit(0), F.size(parts)),
+        lambda k: F.struct(k.alias("depth"), F.array_join(F.slice(parts, F.lit(1), k), "/").alias("above")),
+    )
     nearest = (
         folders.select("folder", F.explode(above).alias("a"))
         .select("folder", "a.depth", "a.above")
