@@ -21,15 +21,16 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.llm.piece_model import BPE, BYTE, CONTROL, SPACE, UNIGRAM, UNKNOWN, USER_DEFINED, PieceModel, read_model
 
-#: Different chunks that a task remembers before it starts afresh.
-REMEMBERED = 400_000
+#: Different chunks that a task remembers, twice: lately met ones and earlier ones (some 200 bytes each).
+REMEMBERED = 200_000
 #: Bytes of text that are cut into chunks together.
 PORTION = 1 << 20
+#: Chunks encoded in one batch.
+BATCH = 8192
 #: Threads of a task's batches.
 THREADS = 2
 
@@ -117,9 +118,12 @@ def chunks(marked: str) -> list[str]:
 class Codec:
     """A rebuilt tokenizer beside the original library, in one task."""
 
-    def __init__(self, for_chunks: str, normaliser: str | None, original: bytes | None) -> None:
+    def __init__(
+        self, for_chunks: str, normaliser: str | None, original: bytes | None, remembered: int = REMEMBERED
+    ) -> None:
         from tokenizers import Tokenizer
 
+        self.remembered = remembered
         self.parts = Tokenizer.from_str(for_chunks)
         self.normaliser = None if normaliser is None else Tokenizer.from_str(normaliser).normalizer
         self.original = None
@@ -130,7 +134,9 @@ class Codec:
         # What ids spell piece by piece; bytes, which mean something only together, what no chunk has.
         vocabulary = sorted(self.parts.get_vocab().items(), key=lambda item: item[1])
         self.spelt = ["\n\n" if re.fullmatch("<0x[0-9A-F]{2}>", piece) else piece for piece, _ in vocabulary]
+        # Chunks met lately, and those met before them: what is met again moves back to the first.
         self.known: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}
         # Chunks whose ids differ from the original's, and whose ids do not decode to them.
         self.apart: set[str] = set()
         self.lost: set[str] = set()
@@ -162,12 +168,16 @@ class Codec:
         cut = [chunks(self.marked(text or "")) for text in texts]
         wanted = set().union(*cut)
         new = wanted - self.known.keys()
-        if len(self.known) + len(new) > REMEMBERED:
-            for remembered in (self.known, self.apart, self.lost):
-                remembered.clear()
+        if len(self.known) + len(new) > self.remembered:
+            self.earlier, self.known = self.known, {}
+            self.apart &= self.earlier.keys()
+            self.lost &= self.earlier.keys()
             new = wanted
-        if new:
-            self.learn(list(new))
+        again = new & self.earlier.keys()
+        self.known.update([(c, self.earlier[c]) for c in again])
+        new = list(new - again)
+        for at in range(0, len(new), BATCH):
+            self.learn(new[at : at + BATCH])
         ids_of = self.known.__getitem__
         for parts in cut:
             yield b"".join(map(ids_of, parts)), self.apart.isdisjoint(parts), self.lost.isdisjoint(parts)
@@ -198,22 +208,25 @@ def _threads(n: int = THREADS) -> None:
     os.environ["RAYON_NUM_THREADS"] = str(n)
 
 
-def _portions(batch: pa.RecordBatch, place: int) -> Iterator[pa.RecordBatch]:
-    """A batch in slices of about ``PORTION`` characters, however long its texts are."""
+def _portions(batch: pa.RecordBatch, place: int, portion: int = PORTION) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about ``portion`` bytes of text, however long its texts are."""
     lengths = pc.fill_null(pc.binary_length(batch.column(place).cast(pa.string())), 0).to_numpy(zero_copy_only=False)
-    number = np.cumsum(lengths + 1) // PORTION
+    number = np.cumsum(lengths + 1) // portion
     edges = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), batch.num_rows]
     for begin, end in zip(edges, edges[1:]):
         if end > begin:
             yield batch.slice(begin, end - begin)
 
 
-def encode(documents: DataFrame, model_path: str, verify: bool = True) -> DataFrame:
+def encode(
+    documents: DataFrame, model_path: str, verify: bool = True, remembered: int = REMEMBERED, portion: int = PORTION
+) -> DataFrame:
     """``documents`` with ``ids`` (array of int), ``parity`` and ``round_trip``.
 
     The model file is read on the driver and broadcast. NULL and empty texts have no ids, and are
     in parity. ``round_trip``: the ids decode to the normalised text. Columns of these names in
-    ``documents`` are replaced.
+    ``documents`` are replaced. Smaller ``remembered`` and ``portion`` (bytes of text cut together)
+    need less memory in a task and more time; ids are the same.
     """
     added = [
         T.StructField("ids", T.ArrayType(T.IntegerType(), False)),
@@ -227,7 +240,7 @@ def encode(documents: DataFrame, model_path: str, verify: bool = True) -> DataFr
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _threads()
-        codec = Codec(*parts.value)
+        codec = Codec(*parts.value, remembered)
         gc.disable()  # nothing here makes cycles, and collections would walk all remembered chunks
         try:
             yield from encoded(codec, batches)
@@ -236,7 +249,7 @@ def encode(documents: DataFrame, model_path: str, verify: bool = True) -> DataFr
 
     def encoded(codec: Codec, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in _portions(whole, place):
+            for batch in _portions(whole, place, portion):
                 packed, same, back = zip(*codec.encode(batch.column(place).cast(pa.string()).to_pylist()))
                 offsets = np.concatenate(([0], np.cumsum([len(p) // 4 for p in packed]))).astype(np.int32)
                 ids = pa.ListArray.from_arrays(

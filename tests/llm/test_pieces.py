@@ -47,6 +47,9 @@ def test_ids_of_whole_texts_match_the_original_library(kind, tmp_path):
     texts = tricky_texts() + [t or "" for _, t, *_ in awkward() if t is None or len(t) < 20_000]
     codec, theirs = Codec(*_codec_parts(path, True)), original(path)
     whole = rebuild(read_model(path))
+    forgetful = Codec(*_codec_parts(path, True), remembered=20)
+    halves = [*forgetful.encode(texts[:200]), *forgetful.encode(texts[200:])]
+    assert halves == list(codec.encode(texts))
     for text, (packed, same, back) in zip(texts, codec.encode(texts)):
         want = theirs.encode(text)
         assert list(memoryview(packed).cast("i")) == want and same
