@@ -54,8 +54,11 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 @stage
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row with its subword ids, checked by decoding and against the original library."""
-    return pieces.encode(docs, f"{TOKENIZERS}/piece_bpe_32k.model")
+    """Every row with its subword ids, checked by decoding and against the original library.
+
+    It runs in executors that the stages before have filled: less is remembered than by default.
+    """
+    return pieces.encode(docs, f"{TOKENIZERS}/piece_bpe_32k.model", remembered=40_000, portion=1 << 18)
 
 
 STAGES = [

@@ -18,7 +18,7 @@ def bounded(spark: SparkSession) -> SparkSession:
 
     By default they hold up to 64 MB, several times over in a Python task and its executor.
     """
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
     return spark
 
 
