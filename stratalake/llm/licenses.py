@@ -1,7 +1,7 @@
 """License scans: sparse TF-IDF cosine of lines and licence files to templates, then inheritance.
 
 Every line of a file is compared with templates of licence notices; so is the whole text of a
-licence file. Weights use document frequencies of the templates' terms over the whole corpus. A
+licence file. Weights use document frequencies of all terms over the whole corpus. A
 cosine of ``threshold`` needs shared terms that carry ``threshold ** 2`` of a template's squared
 norm, so a line without any of its heaviest terms (its anchors) can be left out without loss. A
 file without a notice inherits from the nearest directory above it that has a licence file.
@@ -9,12 +9,10 @@ file without a notice inherits from the nearest directory above it that has a li
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import saved
+from stratalake.llm.common import saved, small
 
 THRESHOLD = 0.8
 TERM = r"[a-z0-9]+"
@@ -91,23 +89,28 @@ def _template_terms(files: DataFrame, given: list[tuple[str, str]]) -> DataFrame
     )
 
 
-def _weighted(files: DataFrame, given: list[tuple[str, str]]) -> tuple[DataFrame, float]:
-    """``template, license, term, unit`` (weight in a vector of length 1) and ``idf``; and the idf of other terms."""
+def _frequencies(files: DataFrame) -> DataFrame:
+    """``term, df``: the number of files that have a term, for every term; that of all files with the empty one."""
+    held = F.array_distinct(F.concat(F.array(F.lit("")), terms_of(F.col("text"))))
+    return saved(files.select(F.explode(held).alias("term")).groupBy("term").agg(F.count("*").alias("df")))
+
+
+def _idf(n: int) -> Column:
+    return F.log((1.0 + n) / (1.0 + F.coalesce(F.col("df"), F.lit(0)))) + 1.0
+
+
+def _weighted(files: DataFrame, given: list[tuple[str, str]], frequencies: DataFrame, n: int) -> DataFrame:
+    """``template, license, term, unit`` (weight in a vector of length 1) and ``idf``."""
     own = _template_terms(files, given)
-    vocabulary = [r.term for r in own.select("term").distinct().orderBy("term").collect()]
-    known = F.array(*[F.lit(t) for t in vocabulary])
-    held = files.select(F.array_intersect(terms_of(F.col("text")), known).alias("terms"))
-    counts = held.select(F.explode(F.concat(F.array(F.lit("")), "terms")).alias("term")).groupBy("term").count()
-    found = {r.term: r["count"] for r in counts.collect()}  # one row per template term, and the number of files
-    n = found.get("", 0)
-    idf = F.log((1.0 + n) / (1.0 + F.coalesce(F.col("df"), F.lit(0)))) + 1.0
-    frequency = F.create_map(*[F.lit(v) for t in vocabulary for v in (t, found.get(t, 0))])
-    weighted = own.withColumn("df", frequency[F.col("term")]).withColumn("idf", idf)
+    weighted = F.broadcast(own).join(frequencies, "term")
+    unseen = own.join(weighted.select("term").distinct(), "term", "left_anti").withColumn("df", F.lit(0))
+    weighted = saved(weighted.unionByName(unseen).withColumn("idf", _idf(n)))
     norms = weighted.groupBy("template").agg(F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), 2))).alias("norm"))
-    unit = weighted.join(F.broadcast(norms), "template").select(
-        "template", "license", "term", "idf", (F.col("tf") * F.col("idf") / F.col("norm")).alias("unit")
+    return saved(
+        weighted.join(F.broadcast(norms), "template").select(
+            "template", "license", "term", "idf", (F.col("tf") * F.col("idf") / F.col("norm")).alias("unit")
+        )
     )
-    return saved(unit), math.log(1.0 + n) + 1.0
 
 
 def _anchors(unit: DataFrame, threshold: float) -> list[str]:
@@ -132,37 +135,59 @@ def notices(files: DataFrame, threshold: float = THRESHOLD, given: list[tuple[st
     Ties go to the licence that comes first by name. Paths that occur more than once are one file.
     """
     given = templates() if given is None else given
-    unit, other_idf = _weighted(files, given)
+    frequencies = _frequencies(files)
+    n = sum(r.df for r in frequencies.where("term = ''").collect())
+    unit = _weighted(files, given, frequencies, n)
     anchors = F.array(*[F.lit(t) for t in _anchors(unit, threshold)])
     near = files.select("path", "text", terms_of(F.col("text")).alias("terms")).where(F.arrays_overlap("terms", anchors))
     whole = F.when(F.col("path").rlike(LICENSE_FILE), F.array("text")).otherwise(F.expr("CAST(array() AS ARRAY<STRING>)"))
     candidates = saved(
         near.select("path", F.explode(F.array_distinct(F.concat(F.split("text", "\n"), whole))).alias("candidate"))
-        .select("path", F.xxhash64("candidate").alias("candidate"), terms_of(F.col("candidate")).alias("terms"))
+        .select("path", terms_of(F.col("candidate")).alias("terms"))
         .where(F.arrays_overlap("terms", anchors))
+        .select("path", F.sha2(F.array_join("terms", " "), 256).alias("bag"), "terms")
     )
-    tf = (
-        candidates.select("path", "candidate", F.explode("terms").alias("term"))
-        .groupBy("path", "candidate", "term")
-        .agg(F.count("*").alias("tf"))
+    best = saved(_best(candidates.select("bag", "terms").distinct(), unit, frequencies, n, threshold))
+    return (
+        candidates.join(small(best, best.count(), 500_000), "bag")
+        .groupBy("path")
+        .agg(F.min("best").alias("best"))
+        .select("path", "best.license", (-F.col("best.s")).alias("score"))
     )
+
+
+def _best(bags: DataFrame, unit: DataFrame, frequencies: DataFrame, n: int, threshold: float) -> DataFrame:
+    """``bag, best`` (negative score, licence) of those ``bag, terms`` that reach the threshold with some template.
+
+    Terms that no template has weigh 1 at least: what can't reach the threshold even so is left out
+    before the frequencies of the rest are looked up.
+    """
+    tf = bags.select("bag", F.explode("terms").alias("term")).groupBy("bag", "term").agg(F.count("*").alias("tf"))
     idf = unit.select("term", "idf").distinct()
-    weighted = tf.join(F.broadcast(idf), "term", "left").select(
-        "path", "candidate", "term", (F.col("tf") * F.coalesce("idf", F.lit(other_idf))).alias("w")
-    )
-    norms = weighted.groupBy("path", "candidate").agg(F.sqrt(F.sum(F.pow("w", 2))).alias("norm"))
+    tf = saved(tf.join(F.broadcast(idf), "term", "left"))
+    least = tf.groupBy("bag").agg(F.sum(F.pow(F.col("tf") * F.coalesce("idf", F.lit(1.0)), 2)).alias("least"))
     dots = (
-        weighted.join(F.broadcast(unit.select("template", "license", "term", "unit")), "term")
-        .groupBy("path", "candidate", "template", "license")
-        .agg(F.sum(F.col("w") * F.col("unit")).alias("dot"))
+        tf.join(F.broadcast(unit.select("template", "license", "term", "unit")), "term")
+        .groupBy("bag", "template", "license")
+        .agg(F.sum(F.col("tf") * F.col("idf") * F.col("unit")).alias("dot"))
+        .join(least, "bag")
+        .where(F.col("dot") >= (threshold - 1e-6) * F.sqrt("least"))
+    )
+    dots = saved(dots)
+    others = tf.where("idf IS NULL").drop("idf").join(dots.select("bag").distinct(), "bag", "left_semi")
+    # A term outside the templates has weighed 1 in ``least``; now comes what it weighs more.
+    more = (
+        others.join(frequencies, "term")
+        .groupBy("bag")
+        .agg(F.sum(F.pow(F.col("tf") * _idf(n), 2) - F.pow("tf", 2)).alias("more"))
     )
+    norm = F.sqrt(F.col("least") + F.coalesce("more", F.lit(0.0)))
     return (
-        dots.join(norms, ["path", "candidate"])
-        .select("path", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score"))
+        dots.join(more, "bag", "left")
+        .select("bag", "license", F.round(F.col("dot") / norm, 6).alias("score"))
         .where(F.col("score") >= threshold)
-        .groupBy("path")
+        .groupBy("bag")
         .agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("best"))
-        .select("path", "best.license", (-F.col("best.s")).alias("score"))
     )
 
 

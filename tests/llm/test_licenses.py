@@ -107,3 +107,16 @@ def test_query_paths(spark):
 
     rows = {r.doc_id: r.path for r in with_paths(documents(spark, [(64, "x"), (72, "x"), (77, None)])).collect()}
     assert rows == {64: "src0/1/LICENSE", 72: "src1/1/1/LICENSE.txt", 77: "src2/1/1/77.txt"}
+
+
+def test_common_words_beside_a_notice(spark):
+    """Weights are by document frequency also for words that no template has."""
+    notice, common, rare = "Released under the MIT License", "en and more of that here", "zyzzyva quagga okapi axolotl"
+    rows = [("a", f"{notice}, {common}."), ("b", f"{notice}, {rare}.")]
+    rows += [(f"f/{k}", f"{common} word{k}") for k in range(3000)]
+    df = Counter(t for _, text in rows for t in set(terms(text)))
+    square = lambda text: sum((math.log((1 + len(rows)) / (1 + df[t])) + 1) ** 2 for t in terms(text))
+    want = math.sqrt(square(notice) / (square(notice) + square(common)))
+    assert want > 0.95 and square(notice) / (square(notice) + square(rare)) < 0.64
+    got = {r.path: (r.license, r.score) for r in scan(files(spark, rows)).collect() if r.license}
+    assert got == {"a": ("MIT", pytest.approx(want, abs=2e-6))}
