@@ -1,20 +1,27 @@
-"""License scans: sparse TF-IDF cosine of lines and licence files to templates, then inheritance.
+"""License scans: sparse TF-IDF cosine of lines, blocks and licence files to templates, then inheritance.
 
-Every line of a file is compared with templates of licence notices; so is the whole text of a
-licence file. Weights use document frequencies of all terms over the whole corpus. A
+Every line of a file, every block of up to ``BLOCK`` consecutive lines with words, and the whole text
+of a licence file are compared with templates: notices of one sentence, headers of several lines and
+whole licence texts. Weights use document frequencies of all terms over the whole corpus. A
 cosine of ``threshold`` needs shared terms that carry ``threshold ** 2`` of a template's squared
-norm, so a line without any of its heaviest terms (its anchors) can be left out without loss. A
-file without a notice inherits from the nearest directory above it that has a licence file.
+norm. So a text without any of a template's anchors (terms with the rest) can be left out without
+loss, and so can a file whose terms carry less of every template. A block that begins or ends with a
+line without terms of a template is never nearer to it than the block without that line. A file without a
+notice inherits from the nearest directory above it that has a licence file.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pathlib import Path
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.llm.common import saved, small
 
 THRESHOLD = 0.8
+#: Lines with words of a block, at most: the longest header or short licence wrapped at some 60 characters.
+BLOCK = 32
 TERM = r"[a-z0-9]+"
 LICENSE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicense)([.-][^/]*)?$"
 
@@ -63,12 +70,63 @@ OPENINGS = [
 ]
 
 
+# The standard headers of files under licences that have one.
+GNU = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0}General"
+    " Public License as published by the Free Software Foundation, either version {1} of the License, or (at your"
+    " option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY"
+    " WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU"
+    " {0}General Public License for more details. You should have received a copy of the GNU {0}General Public License"
+    " along with this program. If not, see <https://www.gnu.org/licenses/>."
+)
+COMMONS = (
+    "This work is licensed under the Creative Commons {0} 4.0 International License. To view a copy of this license,"
+    " visit https://creativecommons.org/licenses/{1}/4.0/ or send a letter to Creative Commons, PO Box 1866, Mountain"
+    " View, CA 94042, USA."
+)
+HEADERS = [
+    ("AGPL-3.0", GNU.format("Affero ", 3)),
+    (
+        "Apache-2.0",
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance'
+        " with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless"
+        " required by applicable law or agreed to in writing, software distributed under the License is distributed on"
+        ' an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License'
+        " for the specific language governing permissions and limitations under the License.",
+    ),
+    ("CC-BY-4.0", COMMONS.format("Attribution", "by")),
+    ("CC-BY-NC-4.0", COMMONS.format("Attribution-NonCommercial", "by-nc")),
+    ("CC-BY-SA-4.0", COMMONS.format("Attribution-ShareAlike", "by-sa")),
+    (
+        "CC0-1.0",
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights"
+        " to this software to the public domain worldwide. This software is distributed without any warranty. You should"
+        " have received a copy of the CC0 Public Domain Dedication along with this software. If not, see"
+        " <http://creativecommons.org/publicdomain/zero/1.0/>.",
+    ),
+    ("GPL-2.0", GNU.format("", 2)),
+    ("GPL-3.0", GNU.format("", 3)),
+    ("LGPL-3.0", GNU.format("Lesser ", 3)),
+    (
+        "MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was"
+        " not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    ),
+]
+
+
 def templates() -> list[tuple[str, str]]:
-    """``license, text`` of every template."""
+    """``license, text`` of every template of one sentence."""
     notices = [(spdx, notice.format(name)) for spdx, name in NAMES for notice in NOTICES]
     return notices + [(spdx, f"SPDX-License-Identifier: {spdx}") for spdx, _ in NAMES] + OPENINGS
 
 
+def long_templates() -> list[tuple[str, str]]:
+    """``license, text`` of headers of several lines and of whole licence texts."""
+    texts = sorted((Path(__file__).parent / "license_texts").glob("*.txt"))
+    return HEADERS + [(path.stem, path.read_text(encoding="utf-8")) for path in texts]
+
+
 def terms_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TERM), F.lit(0))
 
@@ -114,14 +172,14 @@ def _weighted(files: DataFrame, given: list[tuple[str, str]], frequencies: DataF
 
 
 def _anchors(unit: DataFrame, threshold: float) -> list[str]:
-    """Terms of which every text that reaches the threshold with some template has one."""
+    """Terms of which every text that reaches the threshold with some template has one, rare ones first."""
     by_template: dict[int, list] = {}
     for r in unit.collect():
-        by_template.setdefault(r.template, []).append((-r.unit, r.term))
+        by_template.setdefault(r.template, []).append((-r.idf, -r.unit, r.term, r.unit))
     anchors: set[str] = set()
     for terms in by_template.values():
         left = 1.0
-        for weight, term in sorted(terms):
+        for *_, term, weight in sorted(terms):
             if left < threshold**2 - 1e-9:
                 break
             anchors.add(term)
@@ -129,23 +187,74 @@ def _anchors(unit: DataFrame, threshold: float) -> list[str]:
     return sorted(anchors)
 
 
+def _covered(texts: DataFrame, unit: DataFrame, threshold: float) -> DataFrame:
+    """``id, template`` where the text's terms carry enough of the template's squared norm."""
+    held = texts.select("id", F.explode(F.array_distinct(terms_of(F.col("text")))).alias("term"))
+    return (
+        held.join(F.broadcast(unit.select("template", "term", "unit")), "term")
+        .groupBy("id", "template")
+        .agg(F.sum(F.pow("unit", 2)).alias("share"))
+        .where(F.col("share") >= threshold**2 - 1e-9)
+        .select("id", "template")
+    )
+
+
+def _blocks(texts: DataFrame, unit: DataFrame, frequencies: DataFrame, n: int, threshold: float) -> DataFrame:
+    """``id, terms`` of the lines and blocks of different ``id, text`` that may reach the threshold.
+
+    Vectors of lines add up to that of a block: products with a template do, and squared norms are
+    at least their sum. Both are running sums, so a block costs one row, whatever its length.
+    """
+    lines = saved(
+        texts.select("id", F.filter(F.transform(F.split("text", "\n"), terms_of), lambda t: F.size(t) > 0).alias("lines"))
+    )
+    tf = (
+        lines.select("id", F.posexplode("lines").alias("at", "terms"))
+        .select("id", "at", F.explode("terms").alias("term"))
+        .groupBy("id", "at", "term")
+        .agg(F.count("*").alias("tf"))
+    )
+    w = saved(tf.join(frequencies, "term").select("id", "at", "term", (F.col("tf") * _idf(n)).alias("w")))
+    squares = w.groupBy("id", "at").agg(F.sum(F.pow("w", 2)).alias("square"))
+    squares = squares.withColumn("squares", F.sum("square").over(Window.partitionBy("id").orderBy("at")))
+    dots = (
+        w.join(F.broadcast(unit.select("template", "term", "unit")), "term")
+        .join(_covered(texts, unit, threshold), ["id", "template"], "left_semi")
+        .groupBy("id", "template", "at")
+        .agg(F.sum(F.col("w") * F.col("unit")).alias("dot"))
+    )
+    dots = dots.withColumn("dots", F.sum("dot").over(Window.partitionBy("id", "template").orderBy("at")))
+    ends = saved(dots.join(squares, ["id", "at"]))
+    before = [(F.col("dots") - F.col("dot")).alias("d"), (F.col("squares") - F.col("square")).alias("q")]
+    first = ends.select("id", "template", F.col("at").alias("start"), *before)
+    found = (
+        ends.join(first, ["id", "template"])
+        .where(F.col("at").between(F.col("start"), F.col("start") + BLOCK - 1))
+        .where(F.col("dots") - F.col("d") >= (threshold - 1e-6) * F.sqrt(F.col("squares") - F.col("q")))
+        .select("id", "start", "at")
+        .distinct()
+    )
+    cut = F.flatten(F.slice("lines", F.col("start") + 1, F.col("at") - F.col("start") + 1))
+    return found.join(lines, "id").select("id", cut.alias("terms"))
+
+
 def notices(files: DataFrame, threshold: float = THRESHOLD, given: list[tuple[str, str]] | None = None) -> DataFrame:
     """``path, license, score``: the most similar template of every file that reaches the threshold.
 
     Ties go to the licence that comes first by name. Paths that occur more than once are one file.
     """
-    given = templates() if given is None else given
+    given = templates() + long_templates() if given is None else given
     frequencies = _frequencies(files)
     n = sum(r.df for r in frequencies.where("term = ''").collect())
     unit = _weighted(files, given, frequencies, n)
     anchors = F.array(*[F.lit(t) for t in _anchors(unit, threshold)])
     near = files.select("path", "text", terms_of(F.col("text")).alias("terms")).where(F.arrays_overlap("terms", anchors))
-    whole = F.when(F.col("path").rlike(LICENSE_FILE), F.array("text")).otherwise(F.expr("CAST(array() AS ARRAY<STRING>)"))
+    near = saved(near.select("path", "text", F.sha2("text", 256).alias("id")))
+    texts = near.select("id", "text").distinct()
+    blocks = _blocks(texts, unit, frequencies, n, threshold).join(near.select("path", "id").distinct(), "id").drop("id")
+    whole = near.where(F.col("path").rlike(LICENSE_FILE)).select("path", terms_of(F.col("text")).alias("terms"))
     candidates = saved(
-        near.select("path", F.explode(F.array_distinct(F.concat(F.split("text", "\n"), whole))).alias("candidate"))
-        .select("path", terms_of(F.col("candidate")).alias("terms"))
-        .where(F.arrays_overlap("terms", anchors))
-        .select("path", F.sha2(F.array_join("terms", " "), 256).alias("bag"), "terms")
+        blocks.unionByName(whole).select("path", F.sha2(F.array_join("terms", " "), 256).alias("bag"), "terms")
     )
     best = saved(_best(candidates.select("bag", "terms").distinct(), unit, frequencies, n, threshold))
     return (

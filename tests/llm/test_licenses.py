@@ -1,11 +1,12 @@
 import math
 import re
+import textwrap
 from collections import Counter
 
 import pytest
 from texts import awkward, documents
 
-from stratalake.llm.licenses import LICENSE_FILE, NAMES, scan, templates
+from stratalake.llm.licenses import HEADERS, LICENSE_FILE, NAMES, long_templates, scan, templates
 
 
 def files(spark, rows):
@@ -120,3 +121,27 @@ def test_common_words_beside_a_notice(spark):
     assert want > 0.95 and square(notice) / (square(notice) + square(rare)) < 0.64
     got = {r.path: (r.license, r.score) for r in scan(files(spark, rows)).collect() if r.license}
     assert got == {"a": ("MIT", pytest.approx(want, abs=2e-6))}
+
+
+def wrapped(text, mark="# ", width=72):
+    return "\n".join(f"{mark}{line}" for line in textwrap.wrap(text, width))
+
+
+def test_wrapped_headers_and_whole_texts(spark):
+    """Headers wrapped in comments, and licence files with a title and a copyright line, are found."""
+    rows, want = [(f"f/{k}", f"some more words of file number w{k} here") for k in range(500)], {}
+    for k, (name, text) in enumerate(long_templates()):
+        for width in (60, 79):
+            path = f"h{k}_{width}/code.py"
+            if (name, text) in HEADERS:
+                rows.append((path, f"# Copyright 2020 Foo\n#\n{wrapped(text, width=width)}\n\nimport os\nprint(w1)"))
+                want[path] = name
+        if (name, text) not in HEADERS:
+            title = f"Title\n\nCopyright (c) 2020 Foo Bar\n\n{text}"
+            rows += [(f"t{k}/LICENSE", title), (f"t{k}/below.py", "words of a file")]
+            want |= {f"t{k}/LICENSE": name, f"t{k}/below.py": name}
+    rows.append(("split/a", "words here\n// Released under\n//\n// the MIT License.\nand words"))
+    want["split/a"] = "MIT"
+    got = {r.path: r.license for r in scan(files(spark, rows)).collect() if r.license}
+    assert got == want
+    assert {name for name, _ in long_templates()} == {name for name, _ in NAMES}
