@@ -1,7 +1,7 @@
 import hashlib
 import random
 
-from texts import awkward, documents, item_words, words
+from llm_texts import awkward, documents, item_words, words
 
 from stratalake.llm.decontamination import contamination, keep_clean
 

@@ -3,7 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from texts import awkward, documents, space_words, words
+from llm_texts import awkward, documents, space_words, words
 
 from stratalake.llm.importance import BUCKETS, ENVELOPE, TEMPERED, buckets_of, classify, keep_good, kth_largest, trusted_ids
 from stratalake.llm.ngrams import BLOCK, WordHashes

@@ -3,7 +3,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
-from texts import awkward, crc, documents
+from llm_texts import awkward, crc, documents
 
 from stratalake.llm.language import UNKNOWN, features, fit, identify, keep_identified, separate, winner
 

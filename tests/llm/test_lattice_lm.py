@@ -5,7 +5,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
-from texts import awkward, crc, documents, lower, space_words, words
+from llm_texts import awkward, crc, documents, lower, space_words, words
 
 from stratalake.llm.lattice_lm import END, build_lattice, expected_pieces, fit, log_marginals, score
 from stratalake.llm.piece_model import BPE, BYTE, NORMAL, UNIGRAM, PieceModel, read_model

@@ -4,7 +4,7 @@ import textwrap
 from collections import Counter
 
 import pytest
-from texts import awkward, documents
+from llm_texts import awkward, documents
 
 from stratalake.llm.licenses import HEADERS, LICENSE_FILE, NAMES, long_templates, scan, templates
 

@@ -2,7 +2,7 @@ import random
 from pathlib import Path
 
 import pytest
-from texts import awkward, documents
+from llm_texts import awkward, documents
 
 from stratalake.llm.piece_model import BYTE, CONTROL, NORMAL, UNKNOWN, read_model
 from stratalake.llm.pieces import Codec, _codec_parts, chunks, decode, encode, rebuild

@@ -8,7 +8,7 @@ import xxhash
 from test_decontamination import brute as brute_contamination
 from test_importance import plain_weights
 from test_simhash import brute_fingerprint, groups
-from texts import awkward, documents
+from llm_texts import awkward, documents
 
 import corpus_pipeline
 from stratalake.llm.importance import ENVELOPE, SEED, trusted_ids

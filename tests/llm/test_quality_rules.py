@@ -5,7 +5,7 @@ from collections import Counter
 
 import pytest
 from test_importance import corpus, labels
-from texts import awkward, documents, space_words, words
+from llm_texts import awkward, documents, space_words, words
 
 from stratalake.llm.quality_rules import BUCKETS, THRESHOLD, _bucket, judge
 

@@ -2,7 +2,7 @@ import hashlib
 from collections import Counter
 
 import pytest
-from texts import awkward, documents
+from llm_texts import awkward, documents
 
 from stratalake.llm.sharding import SLOTS, fill, place, shard_names, slot_of, write_shards
 

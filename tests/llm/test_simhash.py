@@ -2,7 +2,7 @@ import random
 
 import xxhash
 from pyspark.sql import functions as F
-from texts import awkward, documents, lower, space_words, words
+from llm_texts import awkward, documents, lower, space_words, words
 
 from stratalake.llm.components import components
 from stratalake.llm.simhash import BKTree, fingerprint, hex_fingerprint, keep_one, links_within, near_duplicates, shard_links
