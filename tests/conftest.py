@@ -1,6 +1,5 @@
 import sys
 import uuid
-from datetime import datetime
 from pathlib import Path
 
 import pytest
@@ -31,11 +30,3 @@ def spark(tmp_path_factory):
 @pytest.fixture
 def warehouse(spark):
     return Warehouse(spark, namespace=f"t{uuid.uuid4().hex[:8]}_")
-
-
-def ts(text):
-    return None if text is None else datetime.fromisoformat(text)
-
-
-def rows(frame):
-    return sorted((tuple(r) for r in frame.collect()), key=str)

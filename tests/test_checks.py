@@ -1,7 +1,7 @@
 from datetime import timedelta
 
 import pytest
-from conftest import rows, ts
+from core_helpers import rows, ts
 from pyspark.sql import functions as F
 
 from stratalake.operators import checks

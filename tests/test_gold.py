@@ -1,7 +1,7 @@
 from decimal import Decimal
 
 import pytest
-from conftest import ts
+from core_helpers import ts
 from pyspark.sql import functions as F
 
 from stratalake.operators.unit_tests import UnitTest, UnitTestFailed, differences, require, run

@@ -2,7 +2,7 @@ import uuid
 from datetime import date
 
 import pytest
-from conftest import rows, ts
+from core_helpers import rows, ts
 from pyspark.sql import functions as F
 
 from stratalake import shared_root

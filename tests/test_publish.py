@@ -1,7 +1,7 @@
 from datetime import date
 
 import pytest
-from conftest import rows
+from core_helpers import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 

@@ -4,7 +4,7 @@ import random
 from datetime import datetime, timedelta
 from decimal import ROUND_HALF_UP, Decimal
 
-from conftest import rows
+from core_helpers import rows
 from pyspark.sql import functions as F
 
 from stratalake.functions import cents_to_money, half_up_ratio, percent_of

@@ -1,7 +1,7 @@
 from decimal import Decimal
 
 import pytest
-from conftest import ts
+from core_helpers import ts
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F

@@ -1,6 +1,6 @@
 import uuid
 
-from conftest import rows, ts
+from core_helpers import rows, ts
 from pyspark.sql import functions as F
 
 from stratalake import shared_root
