@@ -1,6 +1,8 @@
 """DuckDB SQL, written separately, for the queries that SQL can express."""
 
 from stratalake.llm.licenses import templates
+from stratalake.llm.queries import HOST_RULES
+from stratalake.llm.url_filters import BINARIES, UNSAFE_WORDS
 
 ORACLES: dict[str, str] = {}
 
@@ -75,3 +77,26 @@ FROM f LEFT JOIN own USING (path)
 LEFT JOIN granted a ON a.above = regexp_replace(f.path, '/[^/]*$', '')
 LEFT JOIN granted b ON b.above = regexp_replace(regexp_replace(f.path, '/[^/]*$', ''), '/[^/]*$', '')
 """
+
+_HOST_RULES = ", ".join(f"('{r.host}', '{r.path}', '{r.verdict}')" for r in HOST_RULES)
+
+ORACLES["op11_url_filters"] = rf"""
+WITH rest AS (
+  SELECT row_number() OVER () AS r, page_id,
+         CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (
+  SELECT r, page_id,
+         translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM rest),
+rules(rule_host, rule_path, rule_verdict) AS (VALUES {_HOST_RULES}),
+fitting AS (
+  SELECT r, rule_host || rule_path AS rule, rule_verdict,
+         row_number() OVER (PARTITION BY r ORDER BY length(rule_host || rule_path) DESC) AS place
+  FROM parts JOIN rules ON suffix('.' || host, '.' || rule_host) AND starts_with(path, rule_path))
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IS NOT NULL THEN rule_verdict
+            WHEN regexp_matches('.' || host, '[.-]({"|".join(UNSAFE_WORDS)})[.-]')
+              OR regexp_matches(path, '[.]({"|".join(BINARIES)})$') THEN 'block' ELSE 'allow' END AS verdict
+FROM parts LEFT JOIN (SELECT * FROM fitting WHERE place = 1) USING (r)
+"""

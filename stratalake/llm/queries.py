@@ -11,17 +11,20 @@ from pyspark.sql import functions as F
 from stratalake import configure
 from stratalake.llm import (
     chat,
+    conversation_repair,
     decontamination,
     importance,
     language,
     lattice_lm,
     licenses,
+    periodic_runs,
     pieces,
     quality_rules,
     sharding,
     simhash,
+    url_filters,
 )
-from stratalake.llm.common import bounded, table
+from stratalake.llm.common import bounded, space_words, table
 from stratalake.llm.piece_model import read_model
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,3 +140,63 @@ def with_paths(documents: DataFrame) -> DataFrame:
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = with_paths(table(spark, sf_dir, "documents")).select("doc_id", "path", "text")
     return licenses.scan(files).select("doc_id", "path", "license", "score", "inherited_from")
+
+
+#: The rules that fit a host and its subdomains, the longest first heard.
+HOST_RULES = [
+    url_filters.HostRule("org", "/", url_filters.ALLOW),
+    url_filters.HostRule("example.org", "/es/", url_filters.BLOCK),
+    url_filters.HostRule("example.org", "/en/1", url_filters.BLOCK),
+    url_filters.HostRule("com", "/fr/", url_filters.ALLOW),
+    url_filters.HostRule("com", "/de/", url_filters.BLOCK),
+]
+
+
+@query
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filters.judge(table(spark, sf_dir, "pages"), HOST_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    repaired = conversation_repair.repair(conversation_repair.damaged(conversations), conversations)
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return repaired.select("conv_id", *counts, "audit", "repaired_sha256", "n_rows", "n_repaired")
+
+
+def with_loops(documents: DataFrame) -> DataFrame:
+    """Documents of which a tenth, by a hash of the id, repeats some of its words from a place on."""
+    words = space_words(F.col("text"))
+    h = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(1).cast("long"))
+    looped = F.when(h % 10 == 0, words).otherwise(F.array().cast("array<string>"))
+    drawn = documents.select("doc_id", "text", F.floor(h / 10).cast("long").alias("g"), looped.alias("w"))
+    n = F.size("w").cast("long")
+    a = F.expr("IF(size(w) > 0, g % size(w), 0)")
+    drawn = drawn.withColumns({"a": a.cast("int"), "p": (1 + F.floor((n - a) / (3 + F.col("g") % 8))).cast("int")})
+    again = F.transform(F.sequence(F.lit(0), F.size("w") - F.col("a") - 1), lambda j: F.get("w", F.col("a") + j % F.col("p")))
+    text = F.concat_ws(" ", F.slice("w", F.lit(1), F.col("a")), again)
+    return drawn.select("doc_id", F.when(F.size("w") > 0, text).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find(with_loops(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    # Runs are by start and period: the first of the greatest length / period stays.
+    best = F.reduce(
+        "runs",
+        F.get("runs", F.lit(0)),
+        lambda a, r: F.when(r["length"] * a["period"] > a["length"] * r["period"], r).otherwise(a),
+    )
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = found.withColumn("best", best)
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")],
+        F.expr("best.length * 1000 DIV best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+        "n_words",
+    )
