@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.functions import zero_if_null
+from stratalake.operators.aggregate_state import ROWS, Measures
 
 MONEY = "decimal(12,2)"
 
@@ -61,7 +62,29 @@ def dim_users_from_fact(users: DataFrame, priced: DataFrame) -> DataFrame:
     The fact carries each purchase's price, so purchases are not joined with products, and
     possibly shuffled for it, a second time.
     """
-    return users.join(user_activity(priced), "user_id", "left").select(
+    return dim_users_from_activity(users, user_activity(priced))
+
+
+#: What :func:`user_activity` computes, as aggregates that follow changes of the purchases.
+ACTIVITY = Measures(
+    counts=("returned_at",), sums=("product_price",), least=("purchased_at",), greatest=("purchased_at",)
+)
+
+
+def maintained_activity(aggregates: DataFrame) -> DataFrame:
+    """The columns of :func:`user_activity` from maintained aggregates."""
+    return aggregates.select(
+        "user_id",
+        F.col(ROWS).alias("purchases"),
+        F.col("sum_product_price").alias("spent"),
+        F.col("count_returned_at").alias("returns"),
+        F.col("min_purchased_at").alias("first_purchase_at"),
+        F.col("max_purchased_at").alias("last_purchase_at"),
+    )
+
+
+def dim_users_from_activity(users: DataFrame, activity: DataFrame) -> DataFrame:
+    return users.join(activity, "user_id", "left").select(
         "user_id",
         "full_name",
         "email",

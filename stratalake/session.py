@@ -73,3 +73,11 @@ def shared_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     return root.rstrip("/") if root else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
+
+
+def materialized(frame: DataFrame) -> DataFrame:
+    """The frame computed once and kept under the shared folder, its lineage cut."""
+    context = frame.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_root(frame.sparkSession))
+    return frame.checkpoint()

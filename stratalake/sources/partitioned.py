@@ -42,6 +42,10 @@ class PartitionedTable:
         # Every manifest has one row without a load, so that an empty table has a version too.
         return version, {r.part: r.load for r in rows.where(F.col("version") == version).collect() if r.load}
 
+    def loads(self) -> dict[str | None, str]:
+        """The load that each partition's rows are in, by the partition's text."""
+        return self._manifest()[1]
+
     def read(self, schema: T.StructType) -> DataFrame:
         """The rows of the newest manifest; none before the first load."""
         loads: dict[str, list] = {}

@@ -708,6 +708,15 @@ ORACLES["incr_upsert"] = """
 SELECT user_id, event_id, ts, event_type FROM events
 QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
 ORACLES["incr_upsert_late"] = f"SELECT *, CAST(ts AS DATE) AS event_day FROM ({ORACLES['incr_upsert']})"
+ORACLES["incr_upsert_pruned"] = ORACLES["incr_upsert_late"]
+CHANGED_PURCHASES = """
+changed AS (
+  SELECT * REPLACE (CASE WHEN purchase_id % 8 = 1 THEN purchased_at ELSE returned_at END AS returned_at)
+  FROM stg_purchases WHERE purchase_id % 5 <> 0
+)"""
+ORACLES["incr_dim_users"] = sql(
+    [*STAGING, CHANGED_PURCHASES, DIM_USERS.replace("stg_purchases", "changed")], "SELECT * FROM dim_users"
+)
 ORACLES["incr_delete_insert"] = sql(
     [DELTA], "SELECT * FROM states WHERE user_id NOT IN (SELECT user_id FROM later) UNION ALL SELECT * FROM later"
 )
@@ -846,3 +855,14 @@ SELECT user_id, {key('user_id', 'gender')} AS user_key,
        CASE WHEN user_id % 2 = 0 THEN {key("'x|=y'", "'z'")} ELSE {key("'x'", "'y|=z'")} END AS text_key FROM stg_users""",
 )
 ORACLES["stream_dedup"] = sql([STG_PURCHASES], "SELECT *, CAST(added_to_cart_at AS DATE) AS event_day FROM stg_purchases")
+
+ORACLES["scd2_changelog"] = f"""
+WITH last AS (
+  SELECT user_id, ts, CASE WHEN event_type <> 'signup' THEN event_type END AS event_type FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id DESC) AS r FROM events) WHERE r = 1),
+steps AS (
+  SELECT * FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts) AS was FROM last)
+  WHERE event_type IS DISTINCT FROM was),
+periods AS (SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS until FROM steps)
+SELECT user_id, event_type, ts AS valid_from, until AS valid_to, {key("user_id", "ts")} AS scd_id
+FROM periods WHERE event_type IS NOT NULL"""

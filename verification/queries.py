@@ -15,7 +15,9 @@ from pyspark.sql import types as T
 from stratalake import configure, shared_root
 from stratalake.functions import cents_to_money, surrogate_key
 from stratalake.operators import anomaly, checks, compare, contracts, incremental, snapshots
+from stratalake.operators.aggregate_state import MaintainedAggregates
 from stratalake.operators.dedup import latest_per_key
+from stratalake.operators.key_summary import SummarizedTable
 from stratalake.operators.publish import REPORT, GateClosed, write_audit_publish
 from stratalake.plans import analytics, build, gold, lineage, marts, observability, staging
 from stratalake.plans.spec import CHECKS, CONTRACTS, LAYERS
@@ -748,6 +750,37 @@ def incr_upsert_late(spark, sf_dir):
     return incremental.read_partitions(spark, path, "event_day", rows.schema)
 
 
+@query
+def incr_upsert_pruned(spark, sf_dir):
+    """The same loads as in ``incr_upsert_late``; each reads only days whose key summary may hold its users."""
+    events = Sample(spark, sf_dir).table("events").select("user_id", "event_id", "ts", "event_type")
+    rows = events.withColumn("event_day", F.to_date("ts"))
+    newest = [F.col("ts").desc(), F.col("event_id").desc()]
+    loaded = SummarizedTable(spark, trial_folder(spark), ["user_id"], "event_day", rows.schema)
+    for part in (2, 0, 1):
+        loaded.upsert(latest_per_key(rows.where(f"event_id % 3 = {part}"), ["user_id"], newest), newest)
+    return loaded.read()
+
+
+@query
+def incr_dim_users(spark, sf_dir):
+    """The user dimension over aggregates that follow three loads of new, corrected and deleted purchases."""
+    sample = Sample(spark, sf_dir)
+    prices = sample.products().select("product_id", F.col("price").alias("product_price"))
+    priced = sample.purchases().join(prices, "product_id", "left")
+    rows = priced.select("purchase_id", "user_id", "product_price", "purchased_at", "returned_at")
+    users = MaintainedAggregates(spark, trial_folder(spark), rows.schema, ["purchase_id"], ["user_id"], marts.ACTIVITY)
+    corrected = rows.where("purchase_id % 8 = 1").withColumn("returned_at", F.col("purchased_at"))
+    loads = [
+        rows.where("purchase_id % 4 <> 0").withColumn("deleted", F.lit(False)),
+        rows.where("purchase_id % 4 = 0").unionByName(corrected).withColumn("deleted", F.lit(False)),
+        rows.where("purchase_id % 5 = 0").withColumn("deleted", F.lit(True)),
+    ]
+    for changes in loads:
+        users.load(changes, [F.col("purchase_id")])
+    return marts.dim_users_from_activity(sample.users(), marts.maintained_activity(users.read()))
+
+
 @query
 def incr_delete_insert(spark, sf_dir):
     target, delta, _ = _event_delta(spark, sf_dir)
@@ -860,6 +893,20 @@ def scd2_snapshot_check(spark, sf_dir):
     return result.select("user_id", "city", "valid_from", "valid_to", "scd_id")
 
 
+@query
+def scd2_changelog(spark, sf_dir):
+    """What a user does last as a history, a sign-up ending it; told by a log that comes in three mixed parts."""
+    events = Sample(spark, sf_dir).table("events").select("user_id", "event_type", "ts", "event_id")
+    gone = F.col("event_type") == "signup"
+    parts = [events.where(f"event_id % 3 = {part}") for part in (2, 0, 1)]
+    options = {"keys": ["user_id"], "changed_at": "ts", "deleted": gone, "sequence": ["event_id"], "slice_by": "week"}
+    log, history = parts[0], snapshots.from_changes(parts[0], **options)
+    for batch in parts[1:]:
+        history = snapshots.merge_changes(history, log, batch, **options)
+        log = log.unionByName(batch)
+    return history
+
+
 @query
 def compare_relations(spark, sf_dir):
     before, after = _user_states(spark, sf_dir)
