@@ -31,10 +31,15 @@ class DerivedTable:
     def __init__(self, base: PartitionedTable, path: str, derive: Callable[[DataFrame], DataFrame]):
         self.base, self.derive = base, derive
         self.table = PartitionedTable(base.spark, path, PART)
+        self._known: dict[str, T.StructType] = {}
 
-    def _schema(self, rows: DataFrame) -> T.StructType:
-        derived = self.derive(rows.withColumn(PART, F.lit("")))
-        return T.StructType([f for f in derived.schema if f.name != PART]).add(OF_LOAD, "string").add(PART, "string")
+    def _schema(self, of_base: T.StructType) -> T.StructType:
+        if (name := of_base.json()) not in self._known:
+            rows = self.base.spark.createDataFrame([], of_base)
+            derived = self.derive(rows.withColumn(PART, F.lit("")))
+            fields = [f for f in derived.schema if f.name != PART]
+            self._known[name] = T.StructType(fields).add(OF_LOAD, "string").add(PART, "string")
+        return self._known[name]
 
     def current(self, schema: T.StructType) -> tuple[DataFrame, list[str | None]]:
         """The rows that still count, and the base's partitions without any.
@@ -42,7 +47,7 @@ class DerivedTable:
         ``schema`` is that of the base; one row per partition comes to the driver.
         """
         loads = self.base.loads()
-        rows = self.table.read(self._schema(self.base.spark.createDataFrame([], schema)))
+        rows = self.table.read(self._schema(schema))
         known = {tuple(r) for r in rows.select(PART, OF_LOAD).distinct().collect()}
         stale = [part for part, load in loads.items() if (part, load) not in known]
         by_load: dict[str, list] = {}
@@ -65,5 +70,5 @@ class DerivedTable:
         of = F.lit(None).cast("string")
         for part in here:
             of = F.when(F.col(PART).eqNullSafe(F.lit(part)), loads[part]).otherwise(of)
-        columns = [f.name for f in self._schema(self.base.spark.createDataFrame([], schema))]
+        columns = [f.name for f in self._schema(schema)]
         self.table.replace(rows.withColumn(OF_LOAD, of).select(*columns), parts)

@@ -11,7 +11,6 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,19 +27,22 @@ class PartitionedTable:
     def __init__(self, spark: SparkSession, path: str, partition: str):
         self.spark, self.path, self.partition = spark, path.rstrip("/"), partition
 
+    def _listed(self, folder: str) -> list[str]:
+        """Names in a folder of the table; none where there is no such folder."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return [s.getPath().getName() for s in files.listStatus(path)] if files.exists(path) else []
+
     def _manifest(self) -> tuple[int, dict[str | None, str]]:
         """The newest version and the load of each partition: a row per partition comes to the driver."""
-        try:
-            rows = self.spark.read.schema(f"{_MANIFEST}, version int").parquet(f"{self.path}/manifest")
-            version = rows.agg(F.max("version")).first()[0]
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return 0, {}
-        if version is None:
-            return 0, {}
-        # Every manifest has one row without a load, so that an empty table has a version too.
-        return version, {r.part: r.load for r in rows.where(F.col("version") == version).collect() if r.load}
+        versions = [int(f.split("=")[1]) for f in self._listed("manifest") if f.startswith("version=")]
+        for version in sorted(versions, reverse=True):
+            # A job that died while writing has left a folder without a file.
+            if any(f.startswith("part-") for f in self._listed(f"manifest/version={version}")):
+                rows = self.spark.read.schema(_MANIFEST).parquet(f"{self.path}/manifest/version={version}")
+                # Every manifest has one row without a load, so that an empty table has a version too.
+                return version, {r.part: r.load for r in rows.collect() if r.load}
+        return 0, {}
 
     def loads(self) -> dict[str | None, str]:
         """The load that each partition's rows are in, by the partition's text."""
@@ -87,10 +89,16 @@ class PartitionedTable:
         manifest.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/manifest/version={version}")
 
     def drop_superseded(self) -> int:
-        """Delete loads that no partition uses any more; returns how many. Run it when nobody reads."""
-        used = set(self._manifest()[1].values())
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/data")
-        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        folders = [s.getPath() for s in files.listStatus(path)] if files.exists(path) else []
-        old = [f for f in folders if f.getName().startswith(f"{_LOAD}=") and f.getName().split("=", 1)[1] not in used]
-        return sum(bool(files.delete(folder, True)) for folder in old)
+        """Delete loads that no partition uses any more, and all manifests but the newest.
+
+        Returns how many loads. Run it when nobody reads.
+        """
+        version, current = self._manifest()
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        used = {f"{_LOAD}={load}" for load in current.values()}
+        loads = [f"data/{f}" for f in self._listed("data") if f.startswith(f"{_LOAD}=") and f not in used]
+        manifests = [f for f in self._listed("manifest") if f.startswith("version=") and int(f.split("=")[1]) < version]
+        files = hadoop.Path(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for folder in [f"manifest/{f}" for f in manifests] if version else []:
+            files.delete(hadoop.Path(f"{self.path}/{folder}"), True)
+        return sum(bool(files.delete(hadoop.Path(f"{self.path}/{folder}"), True)) for folder in loads)

@@ -769,7 +769,8 @@ def incr_dim_users(spark, sf_dir):
     prices = sample.products().select("product_id", F.col("price").alias("product_price"))
     priced = sample.purchases().join(prices, "product_id", "left")
     rows = priced.select("purchase_id", "user_id", "product_price", "purchased_at", "returned_at")
-    users = MaintainedAggregates(spark, trial_folder(spark), rows.schema, ["purchase_id"], ["user_id"], marts.ACTIVITY)
+    by_user = (["purchase_id"], ["user_id"], marts.ACTIVITY)
+    users = MaintainedAggregates(spark, trial_folder(spark), rows.schema, *by_user, buckets=8)
     corrected = rows.where("purchase_id % 8 = 1").withColumn("returned_at", F.col("purchased_at"))
     loads = [
         rows.where("purchase_id % 4 <> 0").withColumn("deleted", F.lit(False)),
