@@ -199,14 +199,18 @@ def _covered(texts: DataFrame, unit: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-def _blocks(texts: DataFrame, unit: DataFrame, frequencies: DataFrame, n: int, threshold: float) -> DataFrame:
+def _blocks(
+    texts: DataFrame, covered: DataFrame, unit: DataFrame, frequencies: DataFrame, n: int, threshold: float, block: int
+) -> DataFrame:
     """``id, terms`` of the lines and blocks of different ``id, text`` that may reach the threshold.
 
     Vectors of lines add up to that of a block: products with a template do, and squared norms are
-    at least their sum. Both are running sums, so a block costs one row, whatever its length.
+    at least their sum. Both are running sums, so a line meets at most ``block`` others, whatever the
+    length of the text. Texts come divided by ``id``, so their terms are counted where they are; only
+    terms that no template has are shuffled, to look up their frequency.
     """
-    lines = saved(
-        texts.select("id", F.filter(F.transform(F.split("text", "\n"), terms_of), lambda t: F.size(t) > 0).alias("lines"))
+    lines = texts.join(covered.select("id").distinct(), "id", "left_semi").select(
+        "id", F.filter(F.transform(F.split("text", "\n"), terms_of), lambda t: F.size(t) > 0).alias("lines")
     )
     tf = (
         lines.select("id", F.posexplode("lines").alias("at", "terms"))
@@ -214,33 +218,47 @@ def _blocks(texts: DataFrame, unit: DataFrame, frequencies: DataFrame, n: int, t
         .groupBy("id", "at", "term")
         .agg(F.count("*").alias("tf"))
     )
-    w = saved(tf.join(frequencies, "term").select("id", "at", "term", (F.col("tf") * _idf(n)).alias("w")))
-    squares = w.groupBy("id", "at").agg(F.sum(F.pow("w", 2)).alias("square"))
+    known = F.broadcast(unit.select("term", "idf").distinct())
+    others = tf.join(known, "term", "left_anti").join(frequencies, "term").withColumn("idf", _idf(n))
+    square = F.sum(F.pow(F.col("tf") * F.col("idf"), 2)).alias("square")
+    squares = tf.join(known, "term").groupBy("id", "at").agg(square).unionByName(others.groupBy("id", "at").agg(square))
+    squares = squares.groupBy("id", "at").agg(F.sum("square").alias("square"))
     squares = squares.withColumn("squares", F.sum("square").over(Window.partitionBy("id").orderBy("at")))
     dots = (
-        w.join(F.broadcast(unit.select("template", "term", "unit")), "term")
-        .join(_covered(texts, unit, threshold), ["id", "template"], "left_semi")
+        tf.join(F.broadcast(unit.select("template", "term", "idf", "unit")), "term")
+        .join(covered, ["id", "template"], "left_semi")
         .groupBy("id", "template", "at")
-        .agg(F.sum(F.col("w") * F.col("unit")).alias("dot"))
+        .agg(F.sum(F.col("tf") * F.col("idf") * F.col("unit")).alias("dot"))
+    )
+    of_template = Window.partitionBy("id", "template").orderBy("at")
+    ends = dots.withColumn("dots", F.sum("dot").over(of_template)).join(squares, ["id", "at"])
+    before = F.struct(
+        F.col("at").alias("start"), (F.col("dots") - F.col("dot")).alias("d"), (F.col("squares") - F.col("square")).alias("q")
     )
-    dots = dots.withColumn("dots", F.sum("dot").over(Window.partitionBy("id", "template").orderBy("at")))
-    ends = saved(dots.join(squares, ["id", "at"]))
-    before = [(F.col("dots") - F.col("dot")).alias("d"), (F.col("squares") - F.col("square")).alias("q")]
-    first = ends.select("id", "template", F.col("at").alias("start"), *before)
+    starts = F.collect_list(before).over(of_template.rangeBetween(1 - block, 0))
     found = (
-        ends.join(first, ["id", "template"])
-        .where(F.col("at").between(F.col("start"), F.col("start") + BLOCK - 1))
-        .where(F.col("dots") - F.col("d") >= (threshold - 1e-6) * F.sqrt(F.col("squares") - F.col("q")))
-        .select("id", "start", "at")
+        ends.withColumn("starts", starts)
+        .withColumn(
+            "starts",
+            F.filter(
+                "starts",
+                lambda s: F.col("dots") - s["d"] >= (threshold - 1e-6) * F.sqrt(F.col("squares") - s["q"]),
+            ),
+        )
+        .select("id", "at", F.explode("starts.start").alias("start"))
         .distinct()
     )
     cut = F.flatten(F.slice("lines", F.col("start") + 1, F.col("at") - F.col("start") + 1))
     return found.join(lines, "id").select("id", cut.alias("terms"))
 
 
-def notices(files: DataFrame, threshold: float = THRESHOLD, given: list[tuple[str, str]] | None = None) -> DataFrame:
+def notices(
+    files: DataFrame, threshold: float = THRESHOLD, given: list[tuple[str, str]] | None = None, block: int = BLOCK
+) -> DataFrame:
     """``path, license, score``: the most similar template of every file that reaches the threshold.
 
+    ``block`` is the most lines with words that are compared together in a file that is no licence
+    file; a longer text of a licence inside another file is found as far as such parts of it allow.
     Ties go to the licence that comes first by name. Paths that occur more than once are one file.
     """
     given = templates() + long_templates() if given is None else given
@@ -249,9 +267,13 @@ def notices(files: DataFrame, threshold: float = THRESHOLD, given: list[tuple[st
     unit = _weighted(files, given, frequencies, n)
     anchors = F.array(*[F.lit(t) for t in _anchors(unit, threshold)])
     near = files.select("path", "text", terms_of(F.col("text")).alias("terms")).where(F.arrays_overlap("terms", anchors))
-    near = saved(near.select("path", "text", F.sha2("text", 256).alias("id")))
-    texts = near.select("id", "text").distinct()
-    blocks = _blocks(texts, unit, frequencies, n, threshold).join(near.select("path", "id").distinct(), "id").drop("id")
+    same = F.substring(F.unhex(F.sha2("text", 256)), 1, 16)
+    near = saved(near.select("path", "text", same.alias("id")))
+    # One of equal texts, divided by id: what follows counts terms without a shuffle.
+    texts = near.groupBy("id").agg(F.any_value("text").alias("text"))
+    covered = saved(_covered(texts, unit, threshold))
+    blocks = _blocks(texts, covered, unit, frequencies, n, threshold, block)
+    blocks = blocks.join(near.select("path", "id").distinct(), "id").drop("id")
     whole = near.where(F.col("path").rlike(LICENSE_FILE)).select("path", terms_of(F.col("text")).alias("terms"))
     candidates = saved(
         blocks.unionByName(whole).select("path", F.sha2(F.array_join("terms", " "), 256).alias("bag"), "terms")
@@ -304,7 +326,9 @@ def _folder(path: Column) -> Column:
     return F.regexp_replace(path, r"/?[^/]*$", "")
 
 
-def scan(files: DataFrame, threshold: float = THRESHOLD, given: list[tuple[str, str]] | None = None) -> DataFrame:
+def scan(
+    files: DataFrame, threshold: float = THRESHOLD, given: list[tuple[str, str]] | None = None, block: int = BLOCK
+) -> DataFrame:
     """Every row of ``files`` (``path, text`` and any others) with its licence, without ``text``.
 
     Added: ``license``, ``score`` (of its own notice), ``inherited_from`` (the folder whose licence
@@ -313,7 +337,7 @@ def scan(files: DataFrame, threshold: float = THRESHOLD, given: list[tuple[str,
     of the path join.
     """
     keyed = files.withColumn("path", F.coalesce("path", F.lit("")))
-    own = saved(notices(keyed, threshold, given))
+    own = saved(notices(keyed, threshold, given, block))
     granted = (
         own.where(F.col("path").rlike(LICENSE_FILE))
         .groupBy(_folder(F.col("path")).alias("above"))
