@@ -3,9 +3,10 @@
 The model's protobuf is parsed and rebuilt: normaliser, space mark, merges or unigram scores, byte
 fallback. No piece has the space mark behind another character, and none a line feed (checked), so
 a text's pieces are those of its chunks, cut before runs of space marks and around line feeds. Tasks
-therefore encode every different chunk once, in multithreaded batches, decode it, compare the text, and
-compare the ids with the original library's; a row is in parity if all its chunks are. Left over:
-under a unigram model a text that spells out a byte piece, such as ``<0x41>``, is not in parity.
+therefore encode every different chunk once, in multithreaded batches, and compare its ids with the
+original library's; a row is in parity if all its chunks are. Texts are cut, and ids put together, by
+Arrow kernels. Whole lists of ids are then decoded, by a table of what every id spells, and compared
+with the text; ``decode`` does it with the rebuilt tokenizer. Left over: under a unigram model a text that spells out a byte piece, such as ``<0x41>``, is not in parity.
 """
 
 from __future__ import annotations
@@ -99,20 +100,24 @@ def rebuild(model: PieceModel):
     return tokenizer
 
 
-def chunks(marked: str) -> list[str]:
-    """A marked text cut before every run of space marks, and before and after every line feed."""
-    cut: list[str] = []
-    for number, line in enumerate(marked.split("\n")):
-        if number:
-            cut.append("\n")
-        parts = line.split(SPACE)
-        if "" in parts[1:]:
-            cut += re.findall(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+", line)
-        else:
-            if parts[0]:
-                cut.append(parts[0])
-            cut += [SPACE + part for part in parts[1:]]
-    return cut
+#: What may stand between chunks while a portion is cut: one that none of its texts has.
+SEPARATORS = ("\x1f", "\x1e", "\x1d", "\x1c", *map(chr, range(0xFDD0, 0xFDF0)))
+
+
+def chunks(spaced: str) -> list[str]:
+    """A text with spaces for space marks, cut before every run of spaces, and around every line feed."""
+    return re.findall(" +[^ \n]*|[^ \n]+|\n", spaced)
+
+
+def cut(spaced: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Chunks of all texts, some of them empty, and where those of each begin."""
+    separator = next((c for c in SEPARATORS if not pc.any(pc.match_substring(spaced, c)).as_py()), None)
+    if separator is None:
+        parts = [chunks(text) for text in spaced.to_pylist()]
+        return np.cumsum([0, *map(len, parts)]), pa.array([c for part in parts for c in part], pa.string())
+    parts = pc.replace_substring_regex(spaced, "( +)", separator + "\\1")
+    parts = pc.split_pattern(pc.replace_substring(parts, "\n", f"{separator}\n{separator}"), separator)
+    return parts.offsets.to_numpy(), parts.values
 
 
 class Codec:
@@ -131,20 +136,22 @@ class Codec:
             import sentencepiece
 
             self.original = sentencepiece.SentencePieceProcessor(model_proto=original)
-        # What ids spell piece by piece; bytes, which mean something only together, what no chunk has.
         vocabulary = sorted(self.parts.get_vocab().items(), key=lambda item: item[1])
-        self.spelt = ["\n\n" if re.fullmatch("<0x[0-9A-F]{2}>", piece) else piece for piece, _ in vocabulary]
+        self.spelt = pa.array([_bytes_of(piece) for piece, _ in vocabulary], pa.large_binary())
         # Chunks met lately, and those met before them: what is met again moves back to the first.
         self.known: dict[str, bytes] = {}
         self.earlier: dict[str, bytes] = {}
-        # Chunks whose ids differ from the original's, and whose ids do not decode to them.
+        # Chunks whose ids differ from the original's.
         self.apart: set[str] = set()
-        self.lost: set[str] = set()
 
-    def marked(self, text: str) -> str:
+    def spaced(self, texts: pa.Array) -> pa.Array:
+        """Normalised texts, with a space for every space mark."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
         if self.normaliser is None:
-            return (SPACE + text.replace(" ", SPACE)) if text else ""
-        return self.normaliser.normalize_str(text) if text else ""
+            marked = pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(" ", texts, ""))
+        else:
+            marked = pa.array([t and self.normaliser.normalize_str(t) for t in texts.to_pylist()], pa.string())
+        return pc.replace_substring(marked, SPACE, " ")
 
     def _original_ids(self, new: list[str]) -> list[list[int]]:
         """The original puts a space mark before what it gets; chunks without one go behind a line feed."""
@@ -154,33 +161,74 @@ class Codec:
         return [mark if c == SPACE else i if c[0] == SPACE else i[2:] for c, i in zip(new, ids)]
 
     def learn(self, new: list[str]) -> None:
-        ids = [e.ids for e in self.parts.encode_batch_fast(new, add_special_tokens=False)]
+        marked = [c.replace(" ", SPACE) for c in new]
+        ids = [e.ids for e in self.parts.encode_batch_fast(marked, add_special_tokens=False)]
         self.known.update(zip(new, [array("i", i).tobytes() for i in ids]))
-        spelt = self.spelt
-        bytewise = [k for k, (c, own) in enumerate(zip(new, ids)) if "".join([spelt[i] for i in own]) != c]
-        back = self.parts.decode_batch([ids[k] for k in bytewise], skip_special_tokens=False)
-        self.lost.update([new[k] for k, text in zip(bytewise, back) if text != new[k].replace(SPACE, " ")])
         if self.original is not None:
-            self.apart.update([c for c, own, other in zip(new, ids, self._original_ids(new)) if own != other])
+            self.apart.update([c for c, own, other in zip(new, ids, self._original_ids(marked)) if own != other])
 
-    def encode(self, texts: list[str | None]) -> Iterator[tuple[bytes, bool, bool]]:
-        """Ids as 32-bit integers, whether they match the original's, whether they decode to the text."""
-        cut = [chunks(self.marked(text or "")) for text in texts]
-        wanted = set().union(*cut)
-        new = wanted - self.known.keys()
+    def _remember(self, wanted: list[str]) -> None:
+        new = [c for c in wanted if c not in self.known]
         if len(self.known) + len(new) > self.remembered:
             self.earlier, self.known = self.known, {}
             self.apart &= self.earlier.keys()
-            self.lost &= self.earlier.keys()
             new = wanted
-        again = new & self.earlier.keys()
+        again = [c for c in new if c in self.earlier]
         self.known.update([(c, self.earlier[c]) for c in again])
-        new = list(new - again)
+        new = [c for c in new if c not in self.known]
         for at in range(0, len(new), BATCH):
             self.learn(new[at : at + BATCH])
-        ids_of = self.known.__getitem__
-        for parts in cut:
-            yield b"".join(map(ids_of, parts)), self.apart.isdisjoint(parts), self.lost.isdisjoint(parts)
+
+    def encode_array(self, texts: pa.Array) -> tuple[pa.ListArray, np.ndarray, np.ndarray]:
+        """Ids of every text, whether they match the original's, whether they decode to the text."""
+        spaced = self.spaced(texts)
+        begins, parts = cut(spaced)
+        coded = parts.dictionary_encode()
+        different = coded.dictionary.to_pylist()
+        wanted = [c for c in different if c]
+        self._remember(wanted)
+        packed = [self.known[c] if c else b"" for c in different]
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        ids_of = pa.ListArray.from_arrays(
+            pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()),
+            pa.array(np.frombuffer(b"".join(packed), np.int32), pa.int32()),
+        )
+        flat = ids_of.take(coded.indices).flatten()
+        places = coded.indices.to_numpy(zero_copy_only=False)
+        offsets = np.concatenate(([0], np.cumsum(sizes[places])))[begins]
+        bad = np.fromiter((c in self.apart for c in different), bool, len(different)) if self.apart else None
+        apart = np.zeros(len(places) + 1, np.int64)
+        if bad is not None:
+            apart[1:] = np.cumsum(bad[places])
+        same = apart[begins[1:]] == apart[begins[:-1]]
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat), same, self._decodes(flat, offsets, spaced)
+
+    def _decodes(self, ids: pa.Array, offsets: np.ndarray, spaced: pa.Array) -> np.ndarray:
+        """Whether each list of ids, decoded as a whole, is the text."""
+        spelt = self.spelt.take(ids)
+        # All that the ids spell stands in one buffer, one id after another.
+        begins = np.frombuffer(spelt.buffers()[1], np.int64)[: len(spelt) + 1][offsets] if len(spelt) else offsets * 0
+        decoded = memoryview(spelt.buffers()[2] or b"").cast("B")
+        texts = memoryview(b"".join([t.encode() for t in spaced.to_pylist()]))
+        ends = np.cumsum(pc.binary_length(spaced).to_numpy(zero_copy_only=False))
+        if len(ends) and begins[-1] == ends[-1] and decoded[: ends[-1]] == texts and (begins[1:] == ends).all():
+            return np.ones(len(ends), bool)
+        starts = [0, *ends.tolist()]
+        return np.array(
+            [decoded[a:b] == texts[c:d] for a, b, c, d in zip(begins, begins[1:], starts, starts[1:])], bool
+        )
+
+    def encode(self, texts: list[str | None]) -> Iterator[tuple[bytes, bool, bool]]:
+        """``encode_array`` text by text, ids as 32-bit integers."""
+        ids, same, back = self.encode_array(pa.array(texts, pa.string()))
+        for own, a, b in zip(ids, same.tolist(), back.tolist()):
+            yield own.values.to_numpy().astype(np.int32).tobytes(), a, b
+
+
+def _bytes_of(piece: str) -> bytes:
+    """What a piece spells: its text with spaces for space marks, or its byte."""
+    byte = re.fullmatch("<0x([0-9A-F]{2})>", piece)
+    return bytes.fromhex(byte[1]) if byte else piece.replace(SPACE, " ").encode()
 
 
 def _codec_parts(model_path: str, verify: bool) -> tuple[str, str | None, bytes | None]:
@@ -250,11 +298,7 @@ def encode(
     def encoded(codec: Codec, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in _portions(whole, place, portion):
-                packed, same, back = zip(*codec.encode(batch.column(place).cast(pa.string()).to_pylist()))
-                offsets = np.concatenate(([0], np.cumsum([len(p) // 4 for p in packed]))).astype(np.int32)
-                ids = pa.ListArray.from_arrays(
-                    pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), np.int32), pa.int32())
-                )
+                ids, same, back = codec.encode_array(batch.column(place))
                 yield pa.RecordBatch.from_arrays([*batch.columns, ids, pa.array(same), pa.array(back)], schema.names)
 
     return documents.mapInArrow(of_batches, schema)

@@ -1,11 +1,13 @@
 import random
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from llm_texts import awkward, documents
 
 from stratalake.llm.piece_model import BYTE, CONTROL, NORMAL, UNKNOWN, read_model
-from stratalake.llm.pieces import Codec, _codec_parts, chunks, decode, encode, rebuild
+from stratalake.llm.pieces import SEPARATORS, Codec, _codec_parts, chunks, cut, decode, encode, rebuild
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 pytestmark = pytest.mark.skipif(not Path(MODEL).exists(), reason="no vocabulary here")
@@ -59,10 +61,36 @@ def test_ids_of_whole_texts_match_the_original_library(kind, tmp_path):
 
 def test_chunks_join_to_the_text():
     for text in tricky_texts():
-        marked = "▁" + text.replace(" ", "▁")
-        cut = chunks(marked)
-        assert "".join(cut) == marked and all("▁" not in c.lstrip("▁") for c in cut)
-        assert all(c == "\n" or "\n" not in c for c in cut)
+        spaced = " " + text.replace("▁", " ")
+        parts = chunks(spaced)
+        assert "".join(parts) == spaced and all(" " not in c.lstrip(" ") for c in parts)
+        assert all(c == "\n" or "\n" not in c for c in parts)
+
+
+def test_cutting_by_kernels():
+    texts = [" " + t.replace("▁", " ") for t in tricky_texts()] + ["", "\x1f a\x1eb"]
+    for given in (texts, [*texts, " x".join(SEPARATORS)]):
+        begins, parts = cut(pa.array(given))
+        parts = parts.to_pylist()
+        assert [[c for c in parts[a:b] if c] for a, b in zip(begins, begins[1:])] == [chunks(t) for t in given]
+
+
+def test_whole_lists_are_decoded():
+    """The table of what ids spell says what the tokenizer's decoder says; wrong ids do not decode to the text."""
+    codec, whole = Codec(*_codec_parts(MODEL, False)), rebuild(read_model(MODEL))
+    texts = tricky_texts()
+    spaced = codec.spaced(pa.array(texts))
+    lists = [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    offsets = np.cumsum([0, *map(len, lists)])
+    flat = [i for ids in lists for i in ids]
+    assert codec._decodes(pa.array(flat, pa.int32()), offsets, spaced).all()
+    wrong = [k for k, ids in enumerate(lists) if ids][::7]
+    for k in wrong:
+        flat[offsets[k]] = (flat[offsets[k]] + 400) % 30_000
+    back = codec._decodes(pa.array(flat, pa.int32()), offsets, spaced)
+    for k, ids in enumerate(np.split(np.array(flat), offsets[1:-1])):
+        assert back[k] == (whole.decode(ids.tolist(), skip_special_tokens=False) == texts[k].replace("▁", " "))
+    assert not back[wrong].any()
 
 
 def test_frames(spark):
