@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,10 +79,19 @@ def row_key(documents: DataFrame) -> Column:
 KEY = "__row_key"
 
 
+def free_name(name: str, taken: Iterable[str]) -> str:
+    """The name, with as many underscores behind it as tell it from the names that are taken."""
+    taken = {t.lower() for t in taken}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def with_marks(documents: DataFrame, marks: DataFrame, bound: int = 500_000) -> DataFrame:
     """``documents`` with the other columns of ``marks`` (one row per ``KEY``), NULL where there are none.
 
     ``marks`` are counted first: up to ``bound`` they are broadcast, beyond it both sides are shuffled.
     """
-    marks = saved(marks)
-    return documents.withColumn(KEY, row_key(documents)).join(small(marks, marks.count(), bound), KEY, "left").drop(KEY)
+    key = free_name(KEY, documents.columns)
+    marks = saved(marks.withColumnRenamed(KEY, key))
+    return documents.withColumn(key, row_key(documents)).join(small(marks, marks.count(), bound), key, "left").drop(key)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import KEY, ascii_lower, row_key, saved, small, with_marks
+from stratalake.llm.common import KEY, ascii_lower, free_name, row_key, saved, small, with_marks
 
 #: Words of items and documents after lower-casing A-Z: digits, a-z and everything beyond ASCII.
 ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -80,7 +80,8 @@ def find_windows(
         tokens = tokens.unionByName(part)
     tokens = saved(tokens)
     known = tokens.select("shingle").distinct().withColumn("known", F.lit(True))
-    n_known = known.count()
+    # What may be broadcast is counted: shingles, windows, and shingles of windows.
+    n_known, n_windows, n_tokens = known.count(), texts.count(), tokens.count()
     widths = sorted({shingle} | {r.n for r in texts.where(F.col("n") < shingle).select("n").distinct().collect()})
 
     # One pass over the texts: a header row per document, and a row per shingle that some item has.
@@ -114,13 +115,13 @@ def find_windows(
     )
     prefix = ordered.where("p.rarity > 0").select("window", "n", "n_tokens", "p.shingle", "p.offset")
     candidates = (
-        hits.join(small(prefix, n_known, BROADCAST_SHINGLES), "shingle")
+        hits.join(small(prefix, n_windows, BROADCAST_SHINGLES), "shingle")
         .withColumn("start", F.col("pos") - F.col("offset"))
         .where("start >= 0 AND start + n <= n_words")
         .select("row", "start", "n", "window", "n_tokens")
     )
     wanted = candidates.join(
-        small(tokens.select("window", "offset", "shingle"), n_known, BROADCAST_SHINGLES), "window"
+        small(tokens.select("window", "offset", "shingle"), n_tokens, BROADCAST_SHINGLES), "window"
     ).select("row", (F.col("start") + F.col("offset")).alias("pos"), "shingle", "start", "n", "window", "n_tokens")
     verified = (
         wanted.join(hits.select("row", "pos", "shingle"), ["row", "pos", "shingle"])
@@ -177,5 +178,6 @@ def keep_clean(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW)
     """The rows of ``documents`` in which no benchmark window occurs, with all their columns."""
     keyed = documents.select(row_key(documents).alias("doc_id"), "text")
     found = contamination(keyed, benchmark, window).where("n_hit > 0")
-    marks = found.select(F.col("doc_id").alias(KEY)).distinct().withColumn("__found", F.lit(True))
-    return with_marks(documents, marks).where("__found IS NULL").drop("__found")
+    mark = free_name("__found", documents.columns)
+    marks = found.select(F.col("doc_id").alias(KEY)).distinct().withColumn(mark, F.lit(True))
+    return with_marks(documents, marks).where(f"{mark} IS NULL").drop(mark)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalake.llm.common import TRUSTED, saved, trusted_ids
+from stratalake.llm.common import TRUSTED, free_name, saved, trusted_ids
 from stratalake.llm.ngrams import WordHashes, mixed
 
 BUCKETS = 1 << 13
@@ -65,9 +65,10 @@ def _own_counts(hashes: WordHashes, text: bytes | None) -> np.ndarray:
 
 def _flagged(documents: DataFrame, trusted: DataFrame, most: int) -> DataFrame:
     """``documents`` with whether they are trusted; ``trusted`` has at most ``most`` ids, which bounds its broadcast."""
-    ids = F.broadcast(trusted.limit(most).withColumn(_TRUSTED, F.lit(True)))
+    flag = free_name(_TRUSTED, documents.columns)
+    ids = F.broadcast(trusted.limit(most).withColumn(flag, F.lit(True)))
     flagged = documents.join(ids, "doc_id", "left")
-    return flagged.select(*[F.col(f"`{c}`") for c in documents.columns], F.coalesce(_TRUSTED, F.lit(False)).alias(_TRUSTED))
+    return flagged.select(*[F.col(f"`{c}`") for c in documents.columns], F.coalesce(flag, F.lit(False)).alias(flag))
 
 
 def models(documents: DataFrame, trusted: DataFrame, most: int = TRUSTED) -> dict[str, np.ndarray]:

@@ -98,27 +98,27 @@ def family_of(families: dict[str, list[str]], lang: str) -> str:
 def fit(documents: DataFrame, training: str, families: dict = FAMILIES, most: int = TRAINING_ROWS) -> dict | None:
     """A model from ``text`` and non-null ``lang`` of rows that meet ``training``; None without any.
 
-    Rows are drawn by a hash of their text; a language with few rows gives all of them.
+    Different texts are drawn by their hash, so copies count once and the same texts are drawn
+    however rows are divided; a language with few texts gives all of them.
     """
     rows = documents.where(F.expr(f"({training}) AND lang IS NOT NULL AND text IS NOT NULL"))
-    sizes = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
+    rows = rows.select("lang", F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("h"))
+    sizes = {r.lang: r["count"] for r in rows.select("lang", "h").distinct().groupBy("lang").count().collect()}
     if not sizes:
         return None
     share = max(1, most * 4 // 5 // len(sizes))  # a fifth spared, since a share is drawn by chance
     chance = F.create_map(*[F.lit(v) for lang, n in sizes.items() for v in (lang, min(1.0, share / n))])
-    drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < chance[F.col("lang")] * (1 << 20)
+    drawn = F.pmod(F.col("h"), F.lit(1 << 20)) < chance[F.col("lang")] * (1 << 20)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, packed = [], []
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                if has_letter(text):
-                    langs.append(lang)
-                    packed.append(features(text.encode()).astype(np.float32).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(packed, pa.binary())], ["lang", "x"])
-
-    sample = rows.where(drawn).select("lang", F.col("text").cast("string").alias("text"))
-    found = sample.mapInArrow(of_batches, "lang string, x binary").limit(most).collect()
+            batch = batch.filter(pa.array([has_letter(t) for t in batch.column("text").to_pylist()], pa.bool_()))
+            packed = [features(t.encode()).astype(np.float32).tobytes() for t in batch.column("text").to_pylist()]
+            columns = [batch.column("lang"), batch.column("h"), pa.array(packed, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "h", "x"])
+
+    sample = rows.where(drawn).dropDuplicates(["lang", "h"]).mapInArrow(of_batches, "lang string, h long, x binary")
+    found = sample.orderBy("h", "lang").limit(most).select("lang", "x").collect()
     if not found:
         return None
     found.sort()

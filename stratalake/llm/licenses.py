@@ -17,7 +17,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import saved, small
+from stratalake.llm.common import free_name, saved, small
 
 THRESHOLD = 0.8
 #: Lines with words of a block, at most: the longest header or short licence wrapped at some 60 characters.
@@ -336,6 +336,7 @@ def scan(
     Folders are resolved once each, not per file, so a folder with a third of all files is one row
     of the path join.
     """
+    folder, mine, nearest_above = (free_name(name, files.columns) for name in ("__folder", "__own", "__nearest"))
     keyed = files.withColumn("path", F.coalesce("path", F.lit("")))
     own = saved(notices(keyed, threshold, given, block))
     granted = (
@@ -355,19 +356,19 @@ def scan(
         .select("folder", "a.depth", "a.above")
         .join(granted, "above")
         .groupBy("folder")
-        .agg(F.max_by(F.struct("above", "granted"), "depth").alias("__nearest"))
-        .withColumnRenamed("folder", "__folder")
+        .agg(F.max_by(F.struct("above", "granted"), "depth").alias(nearest_above))
+        .withColumnRenamed("folder", folder)
     )
     rest = [F.col(f"`{c}`") for c in files.columns if c not in ("path", "text", "license", "score", "inherited_from")]
     return (
-        keyed.select("path", *rest, _folder(F.col("path")).alias("__folder"))
-        .join(own.select("path", F.struct("license", "score").alias("__own")), "path", "left")
-        .join(nearest, "__folder", "left")
+        keyed.select("path", *rest, _folder(F.col("path")).alias(folder))
+        .join(own.select("path", F.struct("license", "score").alias(mine)), "path", "left")
+        .join(nearest, folder, "left")
         .select(
             "path",
             *rest,
-            F.coalesce("__own.license", "__nearest.granted").alias("license"),
-            F.col("__own.score").alias("score"),
-            F.when(F.col("__own").isNull(), F.col("__nearest.above")).alias("inherited_from"),
+            F.coalesce(f"{mine}.license", f"{nearest_above}.granted").alias("license"),
+            F.col(f"{mine}.score").alias("score"),
+            F.when(F.col(mine).isNull(), F.col(f"{nearest_above}.above")).alias("inherited_from"),
         )
     )

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalake.llm.common import KEY, row_key, saved, with_marks
+from stratalake.llm.common import KEY, free_name, row_key, saved, with_marks
 from stratalake.llm.components import components
 
 SHINGLE = 3
@@ -203,16 +203,17 @@ def keep_one(documents: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS)
     text) one stays.
     """
     keyed = documents.select(row_key(documents).alias("doc_id"), "text")
+    stays, key = (free_name(name, documents.columns) for name in ("__stays", KEY))
     found = near_duplicates(keyed, shingle, radius)
     marks = saved(
         found.groupBy(F.col("doc_id").alias(KEY))
-        .agg(F.max(F.col("doc_id") == F.col("component_id")).alias("__stays"), F.count("*").alias("n"))
-        .where("NOT __stays OR n > 1")
-        .select(KEY, "__stays")
+        .agg(F.max(F.col("doc_id") == F.col("component_id")).alias(stays), F.count("*").alias("n"))
+        .where(f"NOT {stays} OR n > 1")
+        .select(KEY, stays)
     )
     marked = with_marks(documents, marks)
-    kept = marked.where("__stays IS NULL").drop("__stays")
-    if marks.where("__stays").isEmpty():
+    kept = marked.where(f"{stays} IS NULL").drop(stays)
+    if marks.where(stays).isEmpty():
         return kept
-    repeated = marked.where("__stays").drop("__stays").withColumn(KEY, row_key(documents))
-    return kept.unionByName(repeated.dropDuplicates([KEY]).drop(KEY))
+    repeated = marked.where(stays).drop(stays).withColumn(key, row_key(documents))
+    return kept.unionByName(repeated.dropDuplicates([key]).drop(key))

@@ -70,3 +70,15 @@ def test_held_out_accuracy(spark):
     truth = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "lang")
     rows = found.join(truth, "doc_id").collect()
     assert np.mean([r.lang == r.lang_pred for r in rows]) > 0.98
+
+
+def test_copies_count_once_and_any_division_gives_one_model(spark):
+    """A third of the rows are copies of one text: they neither crowd out other texts nor make the sample a matter of luck."""
+    rows = labelled(60)
+    rows += [(10_000 + k, "the of the of and to", "en") for k in range(len(rows) // 2)]
+    docs = documents(spark, rows)
+    models = [fit(docs.repartition(n), "true", most=50) for n in (1, 3, 7)]
+    for level in ("family", "within"):
+        assert str(models[0][level]) == str(models[1][level]) == str(models[2][level])
+    got = {r.doc_id: r.lang_pred for r in identify(docs, models[0]).collect()}
+    assert np.mean([got[d] == lang for d, _, lang in rows]) > 0.95
