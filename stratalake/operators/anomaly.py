@@ -1,7 +1,8 @@
-"""Anomalies in daily metrics, by distance from the recent mean."""
+"""Anomalies in daily metrics, by distance from the recent mean; shifts of whole distributions."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -71,3 +72,80 @@ def anomalies(
         .withColumn("is_anomaly", F.coalesce(F.abs("z_score") > sigmas, F.lit(False)))
         .orderBy(*by, "day")
     )
+
+
+#: Size of a sketch; ranks read from it are off by at most 0.7 % in 99 of 100 cases.
+SKETCH_K = 400
+#: Steps of the quantiles that stand for a distribution.
+GRID = 128
+#: How often a day of the reference's own distribution may look like a shift by chance.
+FALSE_ALARMS = 1e-6
+
+
+def rank_error(k: int = SKETCH_K) -> float:
+    """How far a rank read from a sketch is off at most, in 99 of 100 cases."""
+    return 2.296 / k**0.9723
+
+
+def sketch(value: Column, k: int = SKETCH_K) -> Column:
+    """An aggregate for ``daily_metrics``: the distribution of a value in some kilobytes, however many rows.
+
+    Sketches are made beside the rows and merged, so no value is shuffled. NULLs are not in it.
+    """
+    return F.kll_sketch_agg_double(value.cast("double"), k)
+
+
+def _median(values: Column) -> Column:
+    ordered, n = F.array_sort(values), F.size(values)
+    middle = (F.get(ordered, F.floor((n - 1) / 2).cast("int")) + F.get(ordered, F.floor(n / 2).cast("int"))) / 2
+    return F.when(n > 0, middle)
+
+
+def distribution_shifts(
+    daily: DataFrame, by: Sequence[str] = (), days: int = 14, min_days: int = 7, deviations: float = 6.0, k: int = SKETCH_K
+) -> DataFrame:
+    """Days whose values are distributed otherwise than those of the ``days`` days before.
+
+    ``daily`` has a row per day (and per ``by``) with a ``sketch`` of its values, NULL for silent days.
+    ``n`` is the number of values, ``distance`` the largest difference between the distribution
+    functions of the day and of all days before it together (Kolmogorov and Smirnov's), which a change
+    of shape moves also where the mean stays. Read from quantiles of sketches it is at most
+    ``2 * rank_error + 1 / GRID`` too large and ``2 * rank_error + 2 / GRID`` too small (each rank in 99
+    of 100 cases).
+
+    A day is a shift if its distance, less that error, is above what chance gives samples of these
+    sizes, and ``deviations`` robust deviations above the median of the distances of the days before.
+    Median and median deviation take no notice of a few strange days, so one does not hide the next.
+    With fewer than ``min_days`` days of values before it no day is a shift.
+    """
+    size = F.coalesce(F.kll_sketch_get_n_double("sketch"), F.lit(0))
+    kept = daily.select(*by, "day", size.alias("n"), F.when(size > 0, F.col("sketch")).alias("_own"))
+    history = Window.partitionBy(*by).orderBy("day").rowsBetween(-days, -1)
+    before = F.collect_list("_own").over(history)
+    merged = F.reduce(
+        F.slice("_before", 2, days), F.get("_before", F.lit(0)), lambda a, b: F.kll_sketch_merge_double(a, b)
+    )
+    grid = F.array(*[F.lit(step / GRID) for step in range(GRID + 1)])
+    both = kept.withColumn("_before", before).withColumn("_days", F.size("_before")).withColumn("_ref", merged).drop("_before")
+    known = F.col("_own").isNotNull() & F.col("_ref").isNotNull()
+    both = both.withColumns(
+        {f"_q{side}": F.when(known, F.kll_sketch_get_quantile_double(side, grid)) for side in ("_own", "_ref")}
+    )
+
+    def rank(of: str, x: Column) -> Column:
+        return F.size(F.filter(of, lambda q: q <= x)) / F.lit(GRID)
+
+    points = F.array_distinct(F.concat("_q_own", "_q_ref"))
+    apart = F.array_max(F.transform(points, lambda x: F.abs(rank("_q_own", x) - rank("_q_ref", x))))
+    m = F.kll_sketch_get_n_double("_ref")
+    chance = math.sqrt(-math.log(FALSE_ALARMS / 2) / 2) * F.sqrt((F.col("n") + m) / (F.col("n") * m))
+    measured = both.select(
+        *by, "day", "n", "_days", apart.alias("distance"), F.when(known, chance).alias("_chance")
+    )
+    earlier = measured.withColumn("_earlier", F.collect_list("distance").over(history))
+    center = earlier.withColumn("_median", _median(F.col("_earlier")))
+    spread = _median(F.transform("_earlier", lambda x: F.abs(x - F.col("_median"))))
+    least = F.col("_median") + deviations * 1.4826 * spread
+    sure = F.col("distance") - 2 * rank_error(k) - 1 / GRID
+    shift = (F.col("_days") >= min_days) & (sure > F.col("_chance")) & (sure > F.coalesce(least, F.lit(0.0)))
+    return center.select(*by, "day", "n", "distance", F.coalesce(shift, F.lit(False)).alias("is_shift"))

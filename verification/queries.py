@@ -956,6 +956,15 @@ def distribution_anomaly(spark, sf_dir):
     return anomaly.anomalies(daily, "large_values", by=["event_type"], sigmas=2.0)
 
 
+@query
+def distribution_shift(spark, sf_dir):
+    """Days whose values are distributed otherwise than before: on three days, the mean as ever, all are nearer to it."""
+    events = Sample(spark, sf_dir).table("events")
+    value = F.when(F.dayofmonth("ts").isin(18, 19, 25), 50.0 + (F.col("value") - 50.0) * 0.1).otherwise(F.col("value"))
+    daily = anomaly.daily_metrics(events, "ts", {"sketch": anomaly.sketch(value)})
+    return anomaly.distribution_shifts(daily).select("day", "n", "is_shift")
+
+
 @query
 def freshness_anomaly(spark, sf_dir):
     """Seconds from each day's last event to midnight against the 14 days before."""
