@@ -102,7 +102,13 @@ def _median(values: Column) -> Column:
 
 
 def distribution_shifts(
-    daily: DataFrame, by: Sequence[str] = (), days: int = 14, min_days: int = 7, deviations: float = 6.0, k: int = SKETCH_K
+    daily: DataFrame,
+    by: Sequence[str] = (),
+    days: int = 14,
+    min_days: int = 7,
+    deviations: float = 6.0,
+    least: float = 0.1,
+    k: int = SKETCH_K,
 ) -> DataFrame:
     """Days whose values are distributed otherwise than those of the ``days`` days before.
 
@@ -113,20 +119,32 @@ def distribution_shifts(
     ``2 * rank_error + 1 / GRID`` too large and ``2 * rank_error + 2 / GRID`` too small (each rank in 99
     of 100 cases).
 
-    A day is a shift if its distance, less that error, is above what chance gives samples of these
-    sizes, and ``deviations`` robust deviations above the median of the distances of the days before.
-    Median and median deviation take no notice of a few strange days, so one does not hide the next.
-    With fewer than ``min_days`` days of values before it no day is a shift.
+    A day is a shift if its distance, less that error, is above ``least``, above what chance gives
+    samples of these sizes, and ``deviations`` robust deviations above the median of the distances of
+    the days before. Days that look like shifts at first are then left out of what later days are
+    compared with, and all days are judged again: a strange day neither hides the next nor makes
+    ordinary days after it look strange. With fewer than ``min_days`` days of values before it no day
+    is a shift.
     """
     size = F.coalesce(F.kll_sketch_get_n_double("sketch"), F.lit(0))
     kept = daily.select(*by, "day", size.alias("n"), F.when(size > 0, F.col("sketch")).alias("_own"))
+    options = (by, days, min_days, deviations, least, k)
+    first = _judged(kept.withColumn("_part", F.col("_own")), *options)
+    usual = first.withColumn("_part", F.when(~F.col("is_shift"), F.col("_own"))).drop("distance", "is_shift")
+    return _judged(usual, *options).drop("_own", "_part")
+
+
+def _judged(
+    kept: DataFrame, by: Sequence[str], days: int, min_days: int, deviations: float, least: float, k: int
+) -> DataFrame:
+    """Days with ``distance`` and ``is_shift``, against the sketches in ``_part`` of the days before."""
     history = Window.partitionBy(*by).orderBy("day").rowsBetween(-days, -1)
-    before = F.collect_list("_own").over(history)
     merged = F.reduce(
         F.slice("_before", 2, days), F.get("_before", F.lit(0)), lambda a, b: F.kll_sketch_merge_double(a, b)
     )
     grid = F.array(*[F.lit(step / GRID) for step in range(GRID + 1)])
-    both = kept.withColumn("_before", before).withColumn("_days", F.size("_before")).withColumn("_ref", merged).drop("_before")
+    both = kept.withColumns({"_before": F.collect_list("_part").over(history), "_days": F.count("_own").over(history)})
+    both = both.withColumn("_ref", merged).drop("_before")
     known = F.col("_own").isNotNull() & F.col("_ref").isNotNull()
     both = both.withColumns(
         {f"_q{side}": F.when(known, F.kll_sketch_get_quantile_double(side, grid)) for side in ("_own", "_ref")}
@@ -140,12 +158,12 @@ def distribution_shifts(
     m = F.kll_sketch_get_n_double("_ref")
     chance = math.sqrt(-math.log(FALSE_ALARMS / 2) / 2) * F.sqrt((F.col("n") + m) / (F.col("n") * m))
     measured = both.select(
-        *by, "day", "n", "_days", apart.alias("distance"), F.when(known, chance).alias("_chance")
+        *kept.columns, "_days", apart.alias("distance"), F.when(known, chance).alias("_chance")
     )
     earlier = measured.withColumn("_earlier", F.collect_list("distance").over(history))
     center = earlier.withColumn("_median", _median(F.col("_earlier")))
     spread = _median(F.transform("_earlier", lambda x: F.abs(x - F.col("_median"))))
-    least = F.col("_median") + deviations * 1.4826 * spread
+    usual = F.coalesce(F.col("_median") + deviations * 1.4826 * spread, F.lit(0.0))
     sure = F.col("distance") - 2 * rank_error(k) - 1 / GRID
-    shift = (F.col("_days") >= min_days) & (sure > F.col("_chance")) & (sure > F.coalesce(least, F.lit(0.0)))
-    return center.select(*by, "day", "n", "distance", F.coalesce(shift, F.lit(False)).alias("is_shift"))
+    shift = (F.col("_days") >= min_days) & (sure > F.greatest(F.col("_chance"), F.lit(least), usual))
+    return center.withColumn("is_shift", F.coalesce(shift, F.lit(False))).select(*kept.columns, "distance", "is_shift")

@@ -868,29 +868,36 @@ SELECT user_id, event_type, ts AS valid_from, until AS valid_to, {key("user_id",
 FROM periods WHERE event_type IS NOT NULL"""
 
 # Distances are exact here; what a sketch may be off decides nothing, since shifts stand far above the rest.
-ORACLES["distribution_shift"] = """
+def _shift_pass(name: str, part: str) -> str:
+    """One round of judging, against days for which ``part`` holds."""
+    return f"""
+{name}_pairs AS (SELECT d.day, d.n, r.day AS ref, r.n AS m FROM days d JOIN days r ON r.k BETWEEN d.k - 14 AND d.k - 1 AND {part}),
+{name}_sizes AS (SELECT day, n, sum(m) AS m FROM {name}_pairs GROUP BY day, n),
+{name}_steps AS (
+  SELECT day, sum(own) OVER w AS a, sum(1 - own) OVER w AS b
+  FROM (SELECT day, x, 1 AS own FROM v UNION ALL SELECT p.day, v.x, 0 FROM {name}_pairs p JOIN v ON v.day = p.ref)
+  WINDOW w AS (PARTITION BY day ORDER BY x RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+{name}_distances AS (
+  SELECT day, max(abs(a / n - b / m)) AS distance,
+         greatest(0.1, sqrt(-ln(0.000001 / 2) / 2) * sqrt((n + m) / (n * m))) AS chance
+  FROM {name}_steps JOIN {name}_sizes USING (day) GROUP BY day, n, m),
+{name}_earlier AS (
+  SELECT *, list(distance) OVER (ORDER BY day ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING) AS before
+  FROM days LEFT JOIN {name}_distances USING (day)),
+{name}_centers AS (SELECT *, list_median(list_filter(before, lambda d: d IS NOT NULL)) AS center FROM {name}_earlier),
+{name} AS (
+  SELECT day, coalesce(k > 7 AND distance > chance AND distance > coalesce(
+           center + 6 * 1.4826 * list_median(list_transform(list_filter(before, lambda d: d IS NOT NULL), lambda d: abs(d - center))), 0),
+         false) AS is_shift
+  FROM {name}_centers)"""
+
+
+ORACLES["distribution_shift"] = f"""
 WITH v AS (
   SELECT CAST(ts AS DATE) AS day,
-         CASE WHEN day(ts) IN (18, 19, 25) THEN 50.0 + (value - 50.0) * 0.1 ELSE value END AS x
-  FROM events WHERE value IS NOT NULL),
+         CASE WHEN day(ts) NOT IN (18, 19, 25) THEN value WHEN event_id % 10 = 0 THEN 500.0 ELSE 0.0 END AS x
+  FROM events),
 days AS (SELECT day, count(*) AS n, row_number() OVER (ORDER BY day) AS k FROM v GROUP BY day),
-pairs AS (SELECT d.day, d.n, r.day AS ref, r.n AS m FROM days d JOIN days r ON r.k BETWEEN d.k - 14 AND d.k - 1),
-sizes AS (SELECT day, n, sum(m) AS m, count(*) AS days FROM pairs GROUP BY day, n),
-points AS (
-  SELECT day, x, 1 AS own FROM v UNION ALL SELECT p.day, v.x, 0 FROM pairs p JOIN v ON v.day = p.ref),
-steps AS (
-  SELECT day, sum(own) OVER w AS a, sum(1 - own) OVER w AS b FROM points
-  WINDOW w AS (PARTITION BY day ORDER BY x RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
-distances AS (
-  SELECT day, n, m, days, max(abs(a / n - b / m)) AS distance,
-         sqrt(-ln(0.000001 / 2) / 2) * sqrt((n + m) / (n * m)) AS chance
-  FROM steps JOIN sizes USING (day) GROUP BY ALL),
-earlier AS (
-  SELECT *, list(distance) OVER (ORDER BY day ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING) AS before FROM distances),
-judged AS (
-  SELECT *, list_median(before) AS center,
-         list_median(list_transform(before, lambda d: abs(d - list_median(before)))) AS spread
-  FROM earlier)
-SELECT d.day, d.n,
-       coalesce(days >= 7 AND distance > chance AND distance > coalesce(center + 6 * 1.4826 * spread, 0), false) AS is_shift
-FROM days d LEFT JOIN judged USING (day)"""
+{_shift_pass("one", "true")},
+{_shift_pass("two", "r.day NOT IN (SELECT day FROM one WHERE is_shift)")}
+SELECT day, n, is_shift FROM days JOIN two USING (day)"""
