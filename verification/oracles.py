@@ -901,3 +901,16 @@ days AS (SELECT day, count(*) AS n, row_number() OVER (ORDER BY day) AS k FROM v
 {_shift_pass("one", "true")},
 {_shift_pass("two", "r.day NOT IN (SELECT day FROM one WHERE is_shift)")}
 SELECT day, n, is_shift FROM days JOIN two USING (day)"""
+
+
+def _repeated(table: str, columns: str) -> str:
+    present = " AND ".join(f"{c} IS NOT NULL" for c in columns.split(","))
+    return f"""
+SELECT '{table}' AS table_name, '{columns}' AS columns, count(*) AS failures, CAST(coalesce(sum(n), 0) AS BIGINT) AS row_count
+FROM (SELECT count(*) AS n FROM {table} WHERE {present} GROUP BY {columns} HAVING count(*) > 1)"""
+
+
+ORACLES["check_unique_two_pass"] = " UNION ALL ".join(
+    _repeated(t, c)
+    for t, c in [("orders", "o_orderkey"), ("lineitem", "l_orderkey,l_linenumber"), ("events", "user_id"), ("customer", "c_name")]
+)

@@ -18,6 +18,7 @@ from stratalake.operators import anomaly, checks, compare, contracts, incrementa
 from stratalake.operators.aggregate_state import MaintainedAggregates
 from stratalake.operators.dedup import latest_per_key
 from stratalake.operators.key_summary import SummarizedTable
+from stratalake.operators.uniqueness import repeated_keys
 from stratalake.operators.publish import REPORT, GateClosed, write_audit_publish
 from stratalake.plans import analytics, build, gold, lineage, marts, observability, staging
 from stratalake.plans.spec import CHECKS, CONTRACTS, LAYERS
@@ -476,6 +477,23 @@ def check_unique(spark, sf_dir):
     return _checked(spark, sf_dir, lambda c: c.test_type == "unique")
 
 
+@query
+def check_unique_two_pass(spark, sf_dir):
+    """Repeated keys of clean, composite, repeating and text columns: how many there are, and in how many rows."""
+    sample = Sample(spark, sf_dir)
+    keys = {"orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_linenumber"], "events": ["user_id"], "customer": ["c_name"]}
+    parts = [
+        repeated_keys(sample.table(name), columns).agg(
+            F.lit(name).alias("table_name"),
+            F.lit(",".join(columns)).alias("columns"),
+            F.count("*").alias("failures"),
+            F.coalesce(F.sum("n"), F.lit(0).cast("bigint")).alias("row_count"),
+        )
+        for name, columns in keys.items()
+    ]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 @query
 def check_accepted_values(spark, sf_dir):
     """The declared values, and a list too short for the data."""
