@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratalake.functions.names import free_name
 from stratalake.operators.dedup import latest_per_key
+from stratalake.session import materialized
 from stratalake.sources.partitioned import PartitionedTable
 
 
@@ -29,6 +31,56 @@ def rows_after_high_water(source: DataFrame, target: DataFrame, cursor: str) ->
     return source if mark is None else source.where(F.col(cursor) > F.lit(mark))
 
 
+class CursorTable:
+    """A table that a source with a cursor is copied to, by days; what is there says how far it came.
+
+    The mark is the greatest cursor of the newest day, so rows and mark appear together. A load reads
+    the source from ``lookback`` before the mark on, and the rows without a cursor, and adds what the
+    table does not have: rows are compared as a whole and counted, so rows at the mark, late rows
+    within the lookback, rows without a cursor and repeated rows arrive once each, however the source
+    grows between loads. Rows that come later than the lookback are not seen.
+    """
+
+    def __init__(
+        self, spark: SparkSession, path: str, schema: T.StructType, cursor: str, lookback: timedelta, day: str = "load_day"
+    ):
+        self.cursor, self.lookback, self.day = cursor, lookback, day
+        self.columns = schema.names
+        self.stored = T.StructType([*schema.fields, T.StructField(day, T.DateType())])
+        self.table = PartitionedTable(spark, path, day)
+
+    def read(self) -> DataFrame:
+        return self.table.read(self.stored).drop(self.day)
+
+    def mark(self):
+        """The greatest cursor so far: only the newest day is read."""
+        days = [d for d in self.table.loads() if d is not None]
+        if not days:
+            return None
+        newest = self.table.read(self.stored).where(F.col(self.day) == F.lit(max(days)).cast("date"))
+        return newest.agg(F.max(self.cursor)).first()[0]
+
+    def load(self, source: DataFrame) -> int:
+        """Add what is new in the source; returns the number of rows."""
+        mark, existing = self.mark(), self.table.read(self.stored)
+        candidates, known = source.select(*self.columns), existing
+        if mark is not None:
+            since = mark - self.lookback
+            candidates = candidates.where(F.col(self.cursor).isNull() | (F.col(self.cursor) >= F.lit(since)))
+            known = existing.where(F.col(self.day).isNull() | (F.col(self.day) >= F.lit(since.date())))
+        # Equal rows are counted on both sides; as many are added as the source has more.
+        n = free_name("_n", self.columns)
+        both = candidates.withColumn(n, F.lit(1)).unionByName(known.drop(self.day).withColumn(n, F.lit(-1)))
+        names = [F.col(f"`{c}`") for c in self.columns]
+        more = both.groupBy(*names).agg(F.sum(n).alias(n)).where(F.col(n) > 0)
+        fresh = more.select(*names, F.explode(F.sequence(F.lit(1), F.col(n))).alias(n)).drop(n)
+        fresh = materialized(fresh.withColumn(self.day, F.to_date(self.cursor)).select(*self.stored.names))
+        touched = [r[0] for r in fresh.select(self.day).distinct().collect()]
+        if touched:
+            self.table.replace(existing.where(_one_of(self.day, touched)).unionByName(fresh), touched)
+        return fresh.count()
+
+
 def upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str], newest_first: Sequence[Column]) -> DataFrame:
     """The newest row per key of target and delta together.
 

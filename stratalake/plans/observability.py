@@ -6,6 +6,8 @@ of different shape meet only after that. A NULL status is neither passed nor fai
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,96 +29,129 @@ def _per_invocation(results: DataFrame) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Report:
+    """A report over one history table: what its columns are, once for DataFrames and catalog views.
+
+    ``keys`` are grouped by where there are ``measures`` or where it is ``distinct``, else just shown.
+    """
+
+    of: str
+    keys: dict[str, str]
+    measures: dict[str, str] = field(default_factory=dict)
+    where: str = "true"
+    distinct: bool = False
+
+    def rows(self, table: DataFrame) -> DataFrame:
+        columns, measures = ([F.expr(e).alias(c) for c, e in part.items()] for part in (self.keys, self.measures))
+        found = table.where(self.where)
+        if not measures:
+            found = found.select(*columns)
+            return found.distinct() if self.distinct else found
+        return found.groupBy(*columns).agg(*measures)
+
+    def sql(self, table: str) -> str:
+        columns = ", ".join(f"{e} AS {c}" for c, e in {**self.keys, **self.measures}.items())
+        grouped = " GROUP BY ALL" if self.measures else ""
+        return f"SELECT {'DISTINCT ' * self.distinct}{columns} FROM {table} WHERE {self.where}{grouped}"
+
+
+def _same(*columns: str) -> dict[str, str]:
+    return {c: c for c in columns}
+
+
+def _passed(ok: str) -> dict[str, str]:
+    return {"passed": f"count_if({ok})", "failed": f"count_if(NOT ({ok}))"}
+
+
+_IS_PASS = "status = 'pass'"
+_DAY = {"run_date": "to_date(detected_at)"}
+
+PASS_RATES = Report(
+    "quality_results",
+    {**_DAY, **_same("invocation_id")},
+    {
+        "total_tests": "count(*)",
+        **_passed(_IS_PASS),
+        "pass_rate_pct": f"CAST(round(CAST(count_if({_IS_PASS}) AS DECIMAL(20,0)) * 100 / CAST(count(*) AS DECIMAL(20,0)), 1)"
+        f" AS {PERCENT})",
+    },
+)
+BY_MODEL = Report(
+    "quality_results",
+    {"layer": "schema_name", "model": "table_name", **_same("test_type", "status"), **_DAY, **_same("invocation_id")},
+    {"test_count": "count(*)"},
+)
+MODEL_TIMES = Report(
+    "run_results",
+    {
+        "model_name": "name",
+        **_same("materialization", "execution_time", "status", "rows_affected", "execute_started_at", "invocation_id"),
+    },
+    where="resource_type = 'model'",
+)
+INVOCATIONS = Report(
+    "run_results",
+    _same("invocation_id", "resource_type"),
+    {
+        "total": "count(*)",
+        **_passed(f"status IN {RUN_OK}"),
+        "avg_execution_time_s": "CAST(round(CAST(avg(execution_time) AS DECIMAL(18,6)), 2) AS DECIMAL(14,2))",
+        "started_at": "min(execute_started_at)",
+        "completed_at": "max(execute_completed_at)",
+    },
+)
+FAILURES = Report(
+    "quality_results",
+    _same(
+        "test_name",
+        "table_name",
+        "column_name",
+        "test_type",
+        "status",
+        "severity",
+        "failures",
+        "test_results_description",
+        "detected_at",
+    ),
+    where="status <> 'pass'",
+)
+#: What was ever tested, whose size depends on the declared tests and not on how often they ran.
+TESTED = Report("quality_results", _same("model_unique_id", "test_unique_id", "column_name"), distinct=True)
+#: Over models beside their ``TESTED`` rows; untested models count zero.
+COVERAGE = Report(
+    "models",
+    {"model_name": "name", "layer": "schema_name"},
+    {"test_count": "count(DISTINCT test_unique_id)", "columns_tested": "count(DISTINCT column_name)"},
+)
+
+
 def pass_rate_trend(results: DataFrame) -> DataFrame:
-    return (
-        _per_invocation(results)
-        .drop("last_detected_at")
-        .withColumn("pass_rate_pct", percent_of(F.col("passed"), F.col("total_tests"), 1).cast(PERCENT))
-        .orderBy(F.col("run_date").desc(), "invocation_id")
-    )
+    return PASS_RATES.rows(results).orderBy(F.col("run_date").desc(), "invocation_id")
 
 
 def results_by_model(results: DataFrame) -> DataFrame:
-    return (
-        results.groupBy(
-            F.col("schema_name").alias("layer"),
-            F.col("table_name").alias("model"),
-            "test_type",
-            "status",
-            F.to_date("detected_at").alias("run_date"),
-            "invocation_id",
-        )
-        .agg(F.count("*").alias("test_count"))
-        .orderBy("layer", "model", "run_date", "invocation_id", "test_type", "status")
-    )
+    return BY_MODEL.rows(results).orderBy("layer", "model", "run_date", "invocation_id", "test_type", "status")
 
 
 def execution_times(runs: DataFrame) -> DataFrame:
-    return (
-        runs.where(F.col("resource_type") == "model")
-        .select(
-            F.col("name").alias("model_name"),
-            "materialization",
-            "execution_time",
-            "status",
-            "rows_affected",
-            "execute_started_at",
-            "invocation_id",
-        )
-        .orderBy(F.col("execute_started_at").desc(), "model_name", "invocation_id")
-    )
+    return MODEL_TIMES.rows(runs).orderBy(F.col("execute_started_at").desc(), "model_name", "invocation_id")
 
 
 def invocation_history(runs: DataFrame) -> DataFrame:
-    ok = F.col("status").isin(*RUN_OK)
-    mean = F.avg("execution_time").cast("decimal(18,6)")
-    return (
-        runs.groupBy("invocation_id", "resource_type")
-        .agg(
-            F.count("*").alias("total"),
-            *_counts(ok),
-            F.round(mean, 2).cast("decimal(14,2)").alias("avg_execution_time_s"),
-            F.min("execute_started_at").alias("started_at"),
-            F.max("execute_completed_at").alias("completed_at"),
-        )
-        .orderBy(F.col("started_at").desc(), "invocation_id", "resource_type")
-    )
-
-
-_FAILURE_COLUMNS = [
-    "test_name",
-    "table_name",
-    "column_name",
-    "test_type",
-    "status",
-    "severity",
-    "failures",
-    "test_results_description",
-    "detected_at",
-]
+    return INVOCATIONS.rows(runs).orderBy(F.col("started_at").desc(), "invocation_id", "resource_type")
 
 
 def latest_failures(results: DataFrame) -> DataFrame:
     newest = [F.col("detected_at").desc_nulls_first(), F.col("test_name"), F.col("table_name"), F.col("column_name")]
-    return results.where(F.col("status") != "pass").select(*_FAILURE_COLUMNS).orderBy(*newest)
+    return FAILURES.rows(results).orderBy(*newest)
 
 
 def test_coverage(models: DataFrame, results: DataFrame) -> DataFrame:
-    """Distinct tests and tested columns per model; untested models count zero.
-
-    The history is first reduced to its distinct (model, test, column) triples, whose
-    number depends on the declared tests and not on how often they ran.
-    """
-    tested = results.select("model_unique_id", "test_unique_id", "column_name").distinct()
-    return (
-        models.join(tested, models.unique_id == tested.model_unique_id, "left")
-        .groupBy(F.col("name").alias("model_name"), F.col("schema_name").alias("layer"))
-        .agg(
-            F.count_distinct("test_unique_id").alias("test_count"),
-            F.count_distinct("column_name").alias("columns_tested"),
-        )
-        .orderBy(F.col("test_count").desc(), "model_name", "layer")
-    )
+    """Distinct tests and tested columns per model; untested models count zero."""
+    tested = TESTED.rows(results)
+    beside = models.join(tested, models.unique_id == tested.model_unique_id, "left")
+    return COVERAGE.rows(beside).orderBy(F.col("test_count").desc(), "model_name", "layer")
 
 
 def latest_invocation(results: DataFrame) -> DataFrame:
@@ -157,13 +192,8 @@ def results_of_latest_run(results: DataFrame) -> DataFrame:
 
 
 def recent_failures(results: DataFrame, k: int = 50) -> DataFrame:
-    newest = [F.col("detected_at").desc_nulls_first(), F.col("test_name"), F.col("table_name"), F.col("column_name")]
-    return (
-        results.where(F.col("status") != "pass")
-        .orderBy(*newest)
-        .limit(k)
-        .select("test_name", "table_name", "column_name", "test_type", "severity", "failures", "detected_at")
-    )
+    shown = ["test_name", "table_name", "column_name", "test_type", "severity", "failures", "detected_at"]
+    return latest_failures(results).limit(k).select(*shown)
 
 
 def slowest_models(runs: DataFrame, k: int = 10, slow_above_s: float = 60) -> DataFrame:

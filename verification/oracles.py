@@ -914,3 +914,27 @@ ORACLES["check_unique_two_pass"] = " UNION ALL ".join(
     _repeated(t, c)
     for t, c in [("orders", "o_orderkey"), ("lineitem", "l_orderkey,l_linenumber"), ("events", "user_id"), ("customer", "c_name")]
 )
+
+_VIEWS = [
+    ("v_test_pass_rate_trend", "obs_pass_rate_trend", "passed"),
+    ("v_test_results_by_model", "obs_results_by_model", "test_count"),
+    ("v_model_execution_times", "obs_execution_times", "rows_affected"),
+    ("v_invocation_history", "obs_invocation_history", "failed"),
+    ("v_latest_test_failures", "obs_latest_failures", "failures"),
+    ("v_test_coverage_by_model", "obs_test_coverage", "columns_tested"),
+]
+ORACLES["view_totals"] = " UNION ALL ".join(
+    f"SELECT '{view}' AS view, count(*) AS row_count, CAST(sum({column}) AS BIGINT) AS total FROM ({ORACLES[report]})"
+    for view, report, column in _VIEWS
+)
+ORACLES["unused_models_transitive"] = """
+WITH RECURSIVE edges AS (
+  SELECT DISTINCT user_id % 50 AS up, (user_id % 50 * 3 + 1) % 50 AS down FROM events WHERE event_type = 'click'),
+used AS (
+  SELECT DISTINCT event_id % 5 AS no FROM events WHERE event_type = 'view'
+  UNION SELECT up FROM edges JOIN used ON down = no)
+SELECT DISTINCT 'model_' || CAST(user_id % 50 AS VARCHAR) AS name FROM events WHERE user_id % 50 NOT IN (SELECT no FROM used)"""
+ORACLES["incr_cursor_lookback"] = """
+SELECT event_id, user_id, event_type, CASE WHEN event_id % 53 <> 0 THEN ts END AS ts
+FROM events, range(1, 3) AS copies(c) WHERE c = 1 OR event_id % 10 = 0"""
+ORACLES["stream_late_rows"] = ORACLES["stream_dedup"]

@@ -6,7 +6,7 @@ import contextlib
 import functools
 import uuid
 from collections.abc import Callable, Iterator
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,13 +22,13 @@ from stratalake.operators.uniqueness import repeated_keys
 from stratalake.operators.publish import REPORT, GateClosed, write_audit_publish
 from stratalake.plans import analytics, build, gold, lineage, marts, observability, staging
 from stratalake.plans.spec import CHECKS, CONTRACTS, LAYERS
-from stratalake.plans.views import register_observability
+from stratalake.plans.views import VIEWS, register_observability
 from stratalake.sources import sample_tables, synthetic
 from stratalake.sources.envelope import discover_schema, to_envelope
 from stratalake.sources.seed import seed_if_empty as seed_table
 from stratalake.sources.small import small_table
 from stratalake.sources.warehouse import Warehouse
-from stratalake.streaming import deduplicate, raw_stream, upsert_stream
+from stratalake.streaming import LateRowsTable, deduplicate, raw_stream, upsert_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -705,6 +705,29 @@ def view_reports(spark, sf_dir):
     return spark.sql(f"SELECT * FROM `{history}`.v_test_pass_rate_trend")
 
 
+@query
+def view_totals(spark, sf_dir):
+    """All six catalog views: how many rows each has, and the total of one of its columns."""
+    sample, warehouse = Sample(spark, sf_dir), trial_warehouse(spark)
+    warehouse.overwrite(sample.models(), "observability", "models")
+    warehouse.overwrite(sample.runs(), "observability", "run_results")
+    warehouse.overwrite(sample.results(), "observability", "quality_results")
+    totals = {
+        "v_test_pass_rate_trend": "sum(passed)",
+        "v_test_results_by_model": "sum(test_count)",
+        "v_model_execution_times": "sum(rows_affected)",
+        "v_invocation_history": "sum(failed)",
+        "v_latest_test_failures": "sum(failures)",
+        "v_test_coverage_by_model": "sum(columns_tested)",
+    }
+    names = dict(zip(VIEWS, register_observability(warehouse)))
+    parts = [
+        spark.sql(f"SELECT '{view}' AS view, count(*) AS row_count, CAST({total} AS BIGINT) AS total FROM {names[view]}")
+        for view, total in totals.items()
+    ]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 @query
 def slowest_models(spark, sf_dir):
     return observability.slowest_models(Sample(spark, sf_dir).runs())
@@ -720,9 +743,39 @@ def unused_models(spark, sf_dir):
     return lineage.unused_models(models, edges, consumers)
 
 
+@query
+def unused_models_transitive(spark, sf_dir):
+    """Models from which no consumer can be reached; edges of the run history, cycles among them."""
+    events = Sample(spark, sf_dir).table("events")
+    models = events.selectExpr("concat('model_', user_id % 50) AS name").distinct()
+    edges = events.where("event_type = 'click'").selectExpr(
+        "concat('model_', user_id % 50) AS upstream", "concat('model_', (user_id % 50 * 3 + 1) % 50) AS downstream"
+    )
+    consumers = events.where("event_type = 'view'").selectExpr("concat('model_', event_id % 5) AS model")
+    return lineage.unreached_models(models, edges, consumers)
+
+
 # --- incremental loads, history, comparison --------------------------------------------
 
 
+@query
+def incr_cursor_lookback(spark, sf_dir):
+    """Events copied in three loads: some have no time, some come late, some twice."""
+    events = Sample(spark, sf_dir).table("events").select("event_id", "user_id", "event_type", "ts")
+    source = events.withColumn("ts", F.when(F.col("event_id") % 53 != 0, F.col("ts")))
+    source = source.unionByName(source.where("event_id % 10 = 0"))
+    late = F.coalesce((F.col("event_id") % 7 == 0) & (F.col("ts") >= "2024-01-10"), F.lit(False))
+    seen = [
+        source.where(~late & F.expr("ts < TIMESTAMP_NTZ '2024-01-15 00:00:00'")),
+        source.where(~late),
+        source,
+    ]
+    copied = incremental.CursorTable(spark, trial_folder(spark), source.schema, "ts", timedelta(days=25))
+    for state in seen:
+        copied.load(state)
+    return copied.read()
+
+
 @query
 def dedup_latest(spark, sf_dir):
     """The newest event of each user; the event id breaks ties."""
@@ -1016,6 +1069,23 @@ def surrogate_keys(spark, sf_dir):
     )
 
 
+@query
+def stream_late_rows(spark, sf_dir):
+    """Purchases as a stream in four batches of mixed age: late ones are on record and in their day."""
+    folder = trial_folder(spark)
+    raw = Sample(spark, sf_dir).raw("raw_purchases")
+    for part in (3, 0, 2, 1):
+        raw.where(f"pmod(xxhash64(record_id), 4) = {part}").coalesce(1).write.mode("append").parquet(f"{folder}/arrivals")
+    staged = staging.stg_purchases(raw_stream(spark, f"{folder}/arrivals", max_files_per_trigger=1))
+    staged = staged.withColumn("event_day", F.to_date("added_to_cart_at"))
+    newest = [F.col("loaded_at").desc()]
+    table = LateRowsTable(
+        spark, folder, staged.schema, ["purchase_id"], newest, "event_day", "added_to_cart_at", timedelta(hours=1)
+    )
+    table.start(staged).awaitTermination()
+    return table.read()
+
+
 @query
 def stream_dedup(spark, sf_dir):
     """Purchases delivered twice as a stream of files, in four batches: deduplicated, staged and upserted by day."""
