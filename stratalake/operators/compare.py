@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratalake.session import materialized
+
 
 def _hash(column: str, salt: int) -> Column:
     """64 bits of a value; NULL hashes unlike any value."""
@@ -85,3 +87,65 @@ def row_differences(a: DataFrame, b: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.greatest(F.col("_surplus"), zero)), zero).alias("only_in_a"),
         F.coalesce(F.sum(F.greatest(-F.col("_surplus"), zero)), zero).alias("only_in_b"),
     )
+
+
+#: Bits of a key's hash that name its bucket, by default.
+BUCKET_BITS = 14
+#: Differing buckets that are opened by a list of literals; more are joined.
+LISTED_BUCKETS = 1000
+
+
+def _bucket(keys: Sequence[str], bits: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(1 << bits))
+
+
+def digests(rows: DataFrame, keys: Sequence[str], bits: int = BUCKET_BITS) -> DataFrame:
+    """``bucket, n, d1, d2``: per bucket of keys its rows, and sums of their hashes, which no order changes.
+
+    Summed beside the rows, so a row per task and bucket is shuffled. May be written, to compare a
+    relation later without reading it again.
+    """
+    hashes = [F.xxhash64(F.lit(salt), *[_hash(c, salt) for c in rows.columns]).cast("decimal(20,0)") for salt in (1, 2)]
+    hashed = rows.select(_bucket(keys, bits).alias("bucket"), hashes[0].alias("h1"), hashes[1].alias("h2"))
+    return hashed.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("h1").alias("d1"), F.sum("h2").alias("d2"))
+
+
+def differing_buckets(a: DataFrame, b: DataFrame, bits: int = BUCKET_BITS) -> DataFrame:
+    """Buckets whose digests differ, from the root down: only below differing inner nodes are leaves compared."""
+    half = bits // 2
+
+    def apart(x: DataFrame, y: DataFrame, node: Column) -> DataFrame:
+        signed = x.withColumn("_sign", F.lit(1)).unionByName(y.withColumn("_sign", F.lit(-1)))
+        sums = signed.groupBy(node.alias("node")).agg(*[F.sum(F.col(c) * F.col("_sign")).alias(c) for c in ("n", "d1", "d2")])
+        return sums.where("n <> 0 OR d1 <> 0 OR d2 <> 0").select("node")
+
+    inner = apart(a, b, F.shiftright("bucket", half))
+    below = [x.join(inner, F.shiftright("bucket", half) == F.col("node"), "left_semi") for x in (a, b)]
+    return apart(*below, F.col("bucket")).withColumnRenamed("node", "bucket")
+
+
+def differences(a: DataFrame, b: DataFrame, keys: Sequence[str], bits: int = BUCKET_BITS) -> DataFrame:
+    """``keys, status, columns``: every key that is not the same on both sides.
+
+    ``status`` is ``only_in_a``, ``only_in_b``, ``changed`` (with the names of the columns that differ) or
+    ``duplicate_key`` (a repeated key whose rows differ as a whole). First digests of buckets are
+    compared; then only rows of differing buckets are read again and shuffled, so equal relations
+    shuffle a row per task and bucket. NULL keys and values are equal to themselves.
+    """
+    apart = materialized(differing_buckets(digests(a, keys, bits), digests(b.select(a.columns), keys, bits), bits))
+    n = apart.count()
+    if n <= LISTED_BUCKETS:
+        listed = [r[0] for r in apart.collect()]
+        opened = [x.where(_bucket(keys, bits).isin(listed)) for x in (a, b)]
+    else:
+        opened = [x.join(apart, _bucket(keys, bits) == F.col("bucket"), "left_semi") for x in (a, b)]
+    columns = _others(a, keys)
+    groups = {"row": columns} | {f"c{k}": [c] for k, c in enumerate(columns)}
+    per_key = _per_key(*opened, keys, groups)
+    names = F.array_compact(
+        F.array(F.lit(None).cast("string"), *[F.when(~F.col(f"c{k}_agrees"), F.lit(c)) for k, c in enumerate(columns)])
+    )
+    changed = F.when(F.col("status") == "both", names).otherwise(F.array().cast("array<string>"))
+    status = F.when(F.col("status") == "both", "changed").otherwise(F.col("status"))
+    found = per_key.where(~F.col("row_agrees") | (F.col("n_a") != F.col("n_b")))
+    return found.select(*[F.col(f"`{k}`") for k in keys], status.alias("status"), changed.alias("columns"))

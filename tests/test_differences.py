@@ -1,0 +1,64 @@
+import random
+
+import pytest
+from core_helpers import rows
+
+from stratalake.operators import compare
+from stratalake.operators.compare import differences, differing_buckets, digests
+
+SCHEMA = "id long, part string, city string, n int"
+KEYS = ["id", "part"]
+
+
+def frame(spark, data):
+    return spark.createDataFrame(data, SCHEMA).repartition(3)
+
+
+def plain(a, b):
+    sides = [{}, {}]
+    for side, data in zip(sides, (a, b)):
+        for row in data:
+            side.setdefault(row[:2], []).append(row[2:])
+    out = []
+    for key in {*sides[0], *sides[1]}:
+        x, y = (sorted(side.get(key, []), key=str) for side in sides)
+        if x == y:
+            continue
+        if len(x) > 1 or len(y) > 1:
+            out.append((*key, "duplicate_key", []))
+        elif not x or not y:
+            out.append((*key, "only_in_b" if not x else "only_in_a", []))
+        else:
+            out.append((*key, "changed", [c for c, u, v in zip(("city", "n"), x[0], y[0]) if u != v]))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("bits", [1, 4, 14])
+def test_every_difference_is_named(spark, bits, monkeypatch):
+    monkeypatch.setattr(compare, "LISTED_BUCKETS", 10)
+    rng = random.Random(bits)
+    key = lambda: (rng.choice([None, *range(60)]), rng.choice(["a", "b", None]))
+    value = lambda: (rng.choice(["Bonn", "Oslo", None]), rng.choice([1, 2, None]))
+    a = [(*key(), *value()) for _ in range(90)]
+    b = [r if rng.random() < 0.8 else (*r[:2], *value()) for r in a if rng.random() < 0.9] + [(*key(), *value()) for _ in range(9)]
+    assert rows(differences(frame(spark, a), frame(spark, b), KEYS, bits)) == plain(a, b)
+
+
+def test_equal_relations_open_no_bucket(spark):
+    data = [(k, "a", "Bonn", k % 5) for k in range(5000)] + [(1, "a", "Oslo", 1)] * 3
+    a, b = frame(spark, data), frame(spark, data[::-1])
+    assert differing_buckets(digests(a, KEYS), digests(b, KEYS)).count() == 0
+    assert rows(differences(a, b, KEYS)) == []
+    one = [r if r[0] != 4321 else (*r[:2], "Rome", r[3]) for r in data]
+    assert differing_buckets(digests(a, KEYS), digests(frame(spark, one), KEYS)).count() == 1
+    assert rows(differences(a, frame(spark, one), KEYS)) == [(4321, "a", "changed", ["city"])]
+
+
+def test_written_digests_and_empty_relations(spark, tmp_path):
+    data = [(k, "a", None, k) for k in range(50)]
+    digests(frame(spark, data), KEYS).write.parquet(f"{tmp_path}/digests")
+    old = spark.read.parquet(f"{tmp_path}/digests")
+    assert differing_buckets(old, digests(frame(spark, data), KEYS)).count() == 0
+    assert differing_buckets(old, digests(frame(spark, data[1:]), KEYS)).count() == 1
+    assert rows(differences(frame(spark, []), frame(spark, []), KEYS)) == []
+    assert len(rows(differences(frame(spark, []), frame(spark, data), KEYS))) == 50

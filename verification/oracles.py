@@ -938,3 +938,17 @@ ORACLES["incr_cursor_lookback"] = """
 SELECT event_id, user_id, event_type, CASE WHEN event_id % 53 <> 0 THEN ts END AS ts
 FROM events, range(1, 3) AS copies(c) WHERE c = 1 OR event_id % 10 = 0"""
 ORACLES["stream_late_rows"] = ORACLES["stream_dedup"]
+ORACLES["compare_differences"] = sql(
+    [STG_USERS, USER_STATES],
+    """
+SELECT * FROM (
+  SELECT coalesce(a.user_id, b.user_id) AS user_id,
+         CASE WHEN b.user_id IS NULL THEN 'only_in_b' WHEN a.user_id IS NULL THEN 'only_in_a' ELSE 'changed' END AS status,
+         CASE WHEN a.user_id IS NULL OR b.user_id IS NULL THEN '' ELSE concat_ws(',',
+           CASE WHEN a.occupation IS DISTINCT FROM b.occupation THEN 'occupation' END,
+           CASE WHEN a.city IS DISTINCT FROM b.city THEN 'city' END,
+           CASE WHEN a.created_at IS DISTINCT FROM b.created_at THEN 'created_at' END,
+           CASE WHEN a.updated_at IS DISTINCT FROM b.updated_at THEN 'updated_at' END) END AS columns
+  FROM before b FULL JOIN after a ON a.user_id = b.user_id)
+WHERE status <> 'changed' OR columns <> ''""",
+)

@@ -985,6 +985,14 @@ def compare_relations(spark, sf_dir):
     return compare.compare_relations(before, after, ["user_id"])
 
 
+@query
+def compare_differences(spark, sf_dir):
+    """Every user that is not the same before and after, and in which columns."""
+    before, after = _user_states(spark, sf_dir)
+    found = compare.differences(before, after, ["user_id"])
+    return found.select("user_id", "status", F.array_join("columns", ",").alias("columns"))
+
+
 @query
 def compare_columns(spark, sf_dir):
     before, after = _user_states(spark, sf_dir)
