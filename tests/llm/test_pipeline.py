@@ -74,4 +74,4 @@ def test_stages_give_the_columns_they_get(spark):
 def test_every_operator_is_registered_once():
     from stratalake.llm.queries import QUERIES
 
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
