@@ -154,6 +154,17 @@ def test_coverage(models: DataFrame, results: DataFrame) -> DataFrame:
     return COVERAGE.rows(beside).orderBy(F.col("test_count").desc(), "model_name", "layer")
 
 
+def sketched_coverage(models: DataFrame, counts: DataFrame) -> DataFrame:
+    """As :func:`test_coverage`, from counts per ``model_unique_id`` that daily sketches give."""
+    found = {"test_count": "distinct_test_unique_id", "columns_tested": "distinct_column_name"}
+    beside = models.join(counts, models.unique_id == counts.model_unique_id, "left")
+    return beside.select(
+        F.col("name").alias("model_name"),
+        F.col("schema_name").alias("layer"),
+        *[F.coalesce(F.col(c), F.lit(0)).alias(name) for name, c in found.items()],
+    ).orderBy(F.col("test_count").desc(), "model_name", "layer")
+
+
 def latest_invocation(results: DataFrame) -> DataFrame:
     """One row for the newest run; runs of one day are told apart by their last result."""
     newest = [F.col(c).desc() for c in ("run_date", "last_detected_at", "invocation_id")]

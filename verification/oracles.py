@@ -659,6 +659,23 @@ SELECT m.name AS model_name, m.schema_name AS layer, COUNT(DISTINCT r.test_uniqu
        COUNT(DISTINCT r.column_name) AS columns_tested
 FROM models m LEFT JOIN results r ON r.model_unique_id = m.unique_id GROUP BY ALL""",
 )
+ORACLES["obs_test_coverage_sketched"] = ORACLES["obs_test_coverage"]
+ORACLES["distinct_rolling"] = sql(
+    [RESULTS, "ends AS (SELECT DISTINCT CAST(detected_at AS DATE) AS day FROM results)", """
+near AS (
+  SELECT e.day, r.schema_name, r.test_results_description AS d, r.test_unique_id AS t,
+         e.day - CAST(r.detected_at AS DATE) < 7 AS now
+  FROM ends e JOIN results r ON e.day - CAST(r.detected_at AS DATE) BETWEEN 0 AND 13),
+ds AS (SELECT day, schema_name, d, bool_or(now) AND bool_or(NOT now) AS kept FROM near GROUP BY ALL),
+ts AS (SELECT day, schema_name, t, bool_or(now) AND bool_or(NOT now) AS kept FROM near GROUP BY ALL),
+counted AS (
+  SELECT day, schema_name, count(*) AS row_count, count(DISTINCT d) AS distinct_test_results_description,
+         count(DISTINCT t) AS distinct_test_unique_id FROM near WHERE now GROUP BY ALL),
+kd AS (SELECT day, schema_name, count(*) FILTER (kept) AS kept_test_results_description FROM ds GROUP BY ALL),
+kt AS (SELECT day, schema_name, count(*) FILTER (kept) AS kept_test_unique_id FROM ts GROUP BY ALL)"""],
+    """
+SELECT * FROM counted JOIN kd USING (day, schema_name) JOIN kt USING (day, schema_name)""",
+)
 ORACLES["dash_kpis"] = sql(
     [RESULTS, TREND, RUNS, MODELS],
     """

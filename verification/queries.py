@@ -17,6 +17,7 @@ from stratalake.functions import cents_to_money, surrogate_key
 from stratalake.operators import anomaly, checks, compare, contracts, incremental, snapshots
 from stratalake.operators.aggregate_state import MaintainedAggregates
 from stratalake.operators.dedup import latest_per_key
+from stratalake.operators.distinct_counts import DistinctCounts
 from stratalake.operators.key_summary import SummarizedTable
 from stratalake.operators.uniqueness import repeated_keys
 from stratalake.operators.publish import REPORT, GateClosed, write_audit_publish
@@ -25,6 +26,7 @@ from stratalake.plans.spec import CHECKS, CONTRACTS, LAYERS
 from stratalake.plans.views import VIEWS, register_observability
 from stratalake.sources import sample_tables, synthetic
 from stratalake.sources.envelope import discover_schema, to_envelope
+from stratalake.sources.partitioned import PartitionedTable
 from stratalake.sources.seed import seed_if_empty as seed_table
 from stratalake.sources.small import small_table
 from stratalake.sources.warehouse import Warehouse
@@ -665,6 +667,34 @@ def obs_test_coverage(spark, sf_dir):
     return observability.test_coverage(sample.models(), sample.results())
 
 
+def _counted_results(spark, sf_dir, columns, by) -> DistinctCounts:
+    """The history of results by day with sketches beside it: two loads, the second of which replaces a day of the first."""
+    results = Sample(spark, sf_dir).results().withColumn("run_day", F.to_date("detected_at"))
+    rows = results.select(*dict.fromkeys([*by, *columns]), "run_day")
+    table = PartitionedTable(spark, f"{trial_folder(spark)}/results", "run_day")
+    counts = DistinctCounts(table, f"{trial_folder(spark)}/sketches", rows.schema, columns, by)
+    unnamed = F.when(F.col("run_day") < F.lit("2024-01-20").cast("date"), F.col(columns[0]))
+    table.replace(rows.where("run_day <= DATE '2024-01-20'").withColumn(columns[0], unnamed))
+    counts.refresh()
+    table.replace(rows.where("run_day >= DATE '2024-01-20'"))
+    counts.refresh()
+    return counts
+
+
+@query
+def obs_test_coverage_sketched(spark, sf_dir):
+    """Tests and tested columns per model over all days, from daily sketches."""
+    counts = _counted_results(spark, sf_dir, ["test_unique_id", "column_name"], ["model_unique_id"])
+    return observability.sketched_coverage(Sample(spark, sf_dir).models(), counts.between())
+
+
+@query
+def distinct_rolling(spark, sf_dir):
+    """Different results and tests of seven days per layer, and how many were there in the seven days before."""
+    columns = ["test_results_description", "test_unique_id"]
+    return _counted_results(spark, sf_dir, columns, ["schema_name"]).rolling(7)
+
+
 @query
 def dash_kpis(spark, sf_dir):
     sample = Sample(spark, sf_dir)
