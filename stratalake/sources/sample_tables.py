@@ -98,8 +98,18 @@ def purchase_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _records(events, PURCHASES)
 
 
-#: Lines that one (order, line number) may have in the key.
-LINES_PER_NUMBER = 1024
+def order_line_key(order: Column, number: Column, nth: Column) -> Column:
+    """One bigint for an order, a line number (any, also NULL or negative) and the ``nth`` such line from 1 on.
+
+    Number and place become one integer by Cantor's pairing, which stands below the order with its length in bits
+    (six more) at the end. So no two lines share a key, whatever their number; a key beyond a bigint raises.
+    """
+    signed = F.when(number >= 0, number * 2 + 1).otherwise(number * -2)
+    a, b = F.coalesce(signed, F.lit(0)).cast("bigint"), (nth - 1).cast("bigint")
+    diagonal = (a + b) * (a + b + 1)
+    place = F.call_function("div", diagonal, F.lit(2)) + b
+    length = F.length(F.bin(place))
+    return (order.cast("bigint") * F.call_function("shiftleft", F.lit(1).cast("bigint"), length) + place) * 64 + length
 
 
 def order_line_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,10 +123,8 @@ def order_line_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     rest = [c for c in lines.columns if c not in ("l_orderkey", "l_linenumber")]
     nth = F.row_number().over(Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*rest))
     numbered = lines.repartition("l_orderkey").withColumn("nth", nth)
-    key = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * LINES_PER_NUMBER + F.col("nth")
-    too_many = F.raise_error(F.lit(f"more than {LINES_PER_NUMBER} lines of one number in an order")).cast("bigint")
     return numbered.join(orders, numbered.l_orderkey == orders.o_orderkey).select(
-        F.when(F.col("nth") <= LINES_PER_NUMBER, key).otherwise(too_many).alias("purchase_id"),
+        order_line_key(F.col("l_orderkey"), F.col("l_linenumber"), F.col("nth")).alias("purchase_id"),
         F.col("o_custkey").alias("user_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("o_orderdate").cast("timestamp").alias("purchased_at"),

@@ -2,6 +2,8 @@
 
 from datetime import datetime
 
+import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from stratalake.sources import sample_tables, synthetic
@@ -41,3 +43,16 @@ def test_order_lines_keep_their_keys_apart(spark, tmp_path):
     found = sample_tables.order_line_purchases(spark, str(tmp_path)).collect()
     assert len(found) == len({r.purchase_id for r in found}) == len(lines)
     assert sum(r.returned_at is not None for r in found) == 1
+
+
+def test_order_line_keys_have_no_bounds(spark):
+    """Large, negative and missing line numbers, and thousands of lines of one number, have keys of their own."""
+    numbers = [None, -9, -1, 0, 1, 7, 8, 9, 15, 16, 1000, 10**6]
+    lines = [(o, n, k) for o in (0, 1, 2, 3) for n in numbers for k in (1, 2, 3, 1024, 1025)]
+    lines += [(10**11, n, k) for n in numbers[:9] for k in (1, 2, 3, 1024, 1025)] + [(5, 1, k) for k in range(1, 20_001)]
+    key = sample_tables.order_line_key(F.col("o"), F.col("n"), F.col("k")).alias("key")
+    keys = [r.key for r in spark.createDataFrame(lines, "o bigint, n int, k int").select(key).collect()]
+    assert None not in keys and len(set(keys)) == len(lines) and min(keys) >= 0
+    assert all(k >> 6 >> (k & 63) == order for (order, *_), k in zip(lines, keys))
+    with pytest.raises(PySparkException, match="OVERFLOW"):  # 37 + 42 + 6 bits
+        spark.createDataFrame([(10**11, 10**6, 1)], "o bigint, n int, k int").select(key).collect()

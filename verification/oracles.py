@@ -49,14 +49,20 @@ stg_purchases AS (
 )"""
 
 ORDER_LINE_PURCHASES = f"""
-stg_purchases AS (
-  SELECT (l_orderkey * 8 + l_linenumber) * 1024 + row_number() OVER (
+numbered AS (
+  SELECT *, CASE WHEN l_linenumber IS NULL THEN 0 WHEN l_linenumber >= 0 THEN l_linenumber * 2 + 1 ELSE l_linenumber * -2 END AS a,
+         row_number() OVER (
            PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount,
-           l_tax, l_returnflag, l_linestatus, l_shipdate) AS purchase_id,
+           l_tax, l_returnflag, l_linestatus, l_shipdate) - 1 AS b
+  FROM lineitem
+),
+placed AS (SELECT *, CAST((a + b) * (a + b + 1) // 2 + b AS BIGINT) AS place FROM numbered),
+stg_purchases AS (
+  SELECT (CAST(l_orderkey AS BIGINT) * (CAST(1 AS BIGINT) << length(bin(place))) + place) * 64 + length(bin(place)) AS purchase_id,
          o_custkey AS user_id, l_partkey AS product_id, o_orderdate AS purchased_at,
          o_orderdate AS added_to_cart_at,
          CASE WHEN l_returnflag = 'R' THEN l_shipdate END AS returned_at, {AS_OF} AS loaded_at
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  FROM placed JOIN orders ON l_orderkey = o_orderkey
 )"""
 
 DIM_PRODUCTS = """
