@@ -134,6 +134,7 @@ def write_audit_publish(
     to the driver is one row per check. ``parents`` may be a function: it is called once
     the rows are written, when the tables they refer to may just have been published.
     Without a ``history`` the results are recorded at once as an invocation of their own.
+    With ``store_failures`` each check's table in ``check_failures`` has what it rejected in this run.
     """
     own_history = history is None
     history = history or History(warehouse)
@@ -152,7 +153,7 @@ def write_audit_publish(
         row_count, results = audit(written, layer, name, checks, parents)
         history.add_results(results)
         if store_failures:
-            _store_failures(warehouse, written, name, checks, parents, results)
+            _store_failures(warehouse, written, layer, name, checks, parents, results, history.invocation_id)
         if any(r.status == "fail" for r in results):
             raise GateClosed(PublishReport(name, "blocked", row_count, results))
         warehouse.publish(generation, layer, name, version, latest_version)
@@ -164,16 +165,26 @@ def write_audit_publish(
     return PublishReport(name, "published", row_count, results)
 
 
+def failures_table(layer: str, name: str, check: Check) -> str:
+    """Where a check of a table keeps the rows it rejects, in the layer ``check_failures``."""
+    return f"{layer}_{check.name(name)}"
+
+
 def _store_failures(
     warehouse: Warehouse,
     written: DataFrame,
+    layer: str,
     name: str,
     checks: Sequence[Check],
     parents: Mapping[str, DataFrame] | None,
     results: Sequence[Row],
+    invocation_id: str,
 ) -> None:
+    """Keep the rows that each check rejects in this run; a check that passes has none, also where it had some."""
     by_name = {r.check_name: r for r in results}
     for check in checks:
-        if by_name[check.name(name)].failures:
-            rejected = failing_rows(written, check, parents).withColumn("failed_check", F.lit(check.name(name)))
-            warehouse.overwrite(rejected, "check_failures", check.name(name))
+        rejected = failing_rows(written, check, parents) if by_name[check.name(name)].failures else written.limit(0)
+        stamped = rejected.withColumn("failed_check", F.lit(check.name(name)))
+        warehouse.overwrite(
+            stamped.withColumn("invocation_id", F.lit(invocation_id)), "check_failures", failures_table(layer, name, check)
+        )

@@ -64,7 +64,7 @@ def test_blocked_rows_never_reach_the_public_name(spark, warehouse):
     with pytest.raises(GateClosed, match="unique_t_id"):
         write_audit_publish(warehouse, bad, "marts", "t", 1, CONTRACT, gate, store_failures=True)
     assert {r.id for r in warehouse.ref("marts", "t").collect()} == {1, 2}
-    assert warehouse.ref("check_failures", "unique_t_id").count() == 2
+    assert warehouse.ref("check_failures", "marts_unique_t_id").count() == 2
 
     with pytest.raises(ContractViolation):
         write_audit_publish(warehouse, bad.drop("amount"), "marts", "t", 1, CONTRACT, gate)
@@ -75,6 +75,21 @@ def test_blocked_rows_never_reach_the_public_name(spark, warehouse):
     assert warehouse.ref(HISTORY_LAYER, "quality_results").where("status = 'fail'").count() == 1
 
 
+def test_rejected_rows_are_those_of_the_last_run_in_the_layer(spark, warehouse):
+    gate = [checks.unique("id"), checks.not_null("amount", severity="warn")]
+    stored = lambda layer, name: warehouse.ref("check_failures", f"{layer}_{name}").collect()
+    bad = numbers(spark, (3, money("1.0")), (3, None))
+    for layer in ("marts", "gold"):
+        with pytest.raises(GateClosed):
+            write_audit_publish(warehouse, bad, layer, "t", 1, CONTRACT, gate, store_failures=True)
+    good = numbers(spark, (3, money("1.0")), (4, money("2.0")))
+    write_audit_publish(warehouse, good, "marts", "t", 1, CONTRACT, gate, store_failures=True)
+    nulls = next(c for c in gate if c.test_type == "not_null").name("t")
+    assert stored("marts", "unique_t_id") == stored("marts", nulls) == []
+    kept = stored("gold", "unique_t_id") + stored("gold", nulls)
+    assert [r.id for r in kept] == [3, 3, 3] and len({r.invocation_id for r in kept}) == 1
+
+
 def test_closed_gate_stops_the_build(spark, warehouse):
     raw = seed_records(spark)
     raw["raw_users"] = raw["raw_users"].where("get_json_object(data, '$.id') <> '4'")
