@@ -1,6 +1,6 @@
 """DuckDB SQL, written separately, for the queries that SQL can express."""
 
-from stratalake.llm.licenses import templates
+from stratalake.llm.licenses import long_templates, templates
 from stratalake.llm.queries import HOST_RULES
 from stratalake.llm.url_filters import BINARIES, UNSAFE_WORDS
 
@@ -31,46 +31,58 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_it
 FROM d LEFT JOIN pos USING (r) LEFT JOIN its USING (r)
 """
 
-_TEMPLATES = ", ".join(f"({k}, '{a}', '{t}')" for k, (a, t) in enumerate(templates()))
+_TEMPLATES = ", ".join(
+    "({}, '{}', '{}')".format(k, name, text.replace("'", "''"))
+    for k, (name, text) in enumerate(templates() + long_templates())
+)
 
+# Files whose terms carry less than 0.64 of every template's squared norm cannot reach 0.8. In the others every
+# run of up to 32 lines with words is weighed whole against every template, and licence files as a whole too.
 ORACLES["op6_licenses"] = rf"""
 WITH f AS (
-  SELECT doc_id, text,
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
          coalesce(source, 'none') || '/' || (doc_id // 64) || CASE
            WHEN doc_id % 64 = 0 THEN '/LICENSE'
            WHEN doc_id % 8 = 0 THEN '/' || (doc_id // 8 % 8) || '/LICENSE.txt'
            ELSE '/' || (doc_id // 8 % 8) || '/' || doc_id || '.txt' END AS path
   FROM documents),
+t(k, lic, txt) AS (VALUES {_TEMPLATES}),
 tt AS (
   SELECT k, lic, term, count(*) AS tf
-  FROM (SELECT k, lic, unnest(regexp_extract_all(lower(t), '[a-z0-9]+')) AS term FROM (VALUES {_TEMPLATES}) v(k, lic, t))
-  GROUP BY ALL),
+  FROM (SELECT k, lic, unnest(regexp_extract_all(lower(txt), '[a-z0-9]+')) AS term FROM t) GROUP BY ALL),
 n AS (SELECT count(*) AS n FROM f),
-seen AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM f),
+seen AS (SELECT DISTINCT r, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM f),
 df AS (SELECT term, count(*) AS df FROM seen GROUP BY term),
-idf AS (SELECT term, ln((1.0 + n) / (1.0 + coalesce(df, 0))) + 1.0 AS idf
-        FROM (SELECT DISTINCT term FROM tt) LEFT JOIN df USING (term), n),
-tu AS (SELECT k, lic, term, tf * idf AS w FROM tt JOIN idf USING (term)),
-tn AS (SELECT k, sqrt(sum(w * w)) AS norm FROM tu GROUP BY k),
-cand AS (
-  SELECT DISTINCT path, c FROM (
-    SELECT path, unnest(string_split(text, chr(10))) AS c FROM f
-    UNION ALL SELECT path, text FROM f WHERE doc_id % 8 = 0)),
-ct AS (SELECT path, c, term, count(*) AS tf
-       FROM (SELECT path, c, unnest(regexp_extract_all(lower(c), '[a-z0-9]+')) AS term FROM cand) GROUP BY ALL),
-cw AS (SELECT path, c, term, tf * coalesce(idf, ln(1.0 + n) + 1.0) AS w FROM ct LEFT JOIN idf USING (term), n),
-cn AS (SELECT path, c, sqrt(sum(w * w)) AS norm FROM cw GROUP BY ALL),
-dots AS (SELECT path, c, k, lic, sum(cw.w * tu.w) AS dot FROM cw JOIN tu USING (term) GROUP BY ALL),
-scored AS (SELECT path, lic, round(dot / (cn.norm * tn.norm), 6) AS score FROM dots JOIN cn USING (path, c) JOIN tn USING (k)),
+tw AS (SELECT k, lic, term, tf * (ln((1.0 + n) / (1.0 + coalesce(df, 0))) + 1.0) AS w FROM tt LEFT JOIN df USING (term), n),
+unit AS (SELECT k, lic, term, w / sqrt(sum(w * w) OVER (PARTITION BY k)) AS u FROM tw),
+near AS (
+  SELECT DISTINCT r FROM (
+    SELECT r, k FROM seen JOIN unit USING (term) GROUP BY r, k HAVING sum(u * u) >= 0.64 - 1e-9)),
+cut AS (SELECT r, string_split(lower(text), chr(10)) AS l FROM f WHERE r IN (SELECT r FROM near)),
+placed AS (SELECT r, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS pos FROM cut),
+lines AS (
+  SELECT r, row_number() OVER (PARTITION BY r ORDER BY pos) AS pos, terms
+  FROM (SELECT r, pos, regexp_extract_all(line, '[a-z0-9]+') AS terms FROM placed) WHERE len(terms) > 0),
+final AS (SELECT r, max(pos) AS e FROM lines GROUP BY r),
+spans AS (
+  SELECT r, s, e FROM (SELECT r, pos AS s, unnest(range(pos, least(pos + 31, e) + 1)) AS e FROM lines JOIN final USING (r))
+  UNION SELECT r, 1, e FROM final JOIN f USING (r) WHERE doc_id % 8 = 0),
+ct AS (
+  SELECT r, s, e, term, count(*) AS tf
+  FROM spans JOIN (SELECT r, pos, unnest(terms) AS term FROM lines) USING (r) WHERE pos BETWEEN s AND e GROUP BY ALL),
+cw AS (SELECT r, s, e, term, tf * (ln((1.0 + n) / (1.0 + df)) + 1.0) AS w FROM ct JOIN df USING (term), n),
+cn AS (SELECT r, s, e, sqrt(sum(w * w)) AS norm FROM cw GROUP BY ALL),
+dots AS (SELECT r, s, e, k, lic, sum(w * u) AS dot FROM cw JOIN unit USING (term) GROUP BY ALL),
+scored AS (SELECT path, lic, round(dot / norm, 6) AS score FROM dots JOIN cn USING (r, s, e) JOIN f USING (r)),
 own AS (
   SELECT path, lic, score FROM (
-    SELECT *, row_number() OVER (PARTITION BY path ORDER BY score DESC, lic) AS r FROM scored WHERE score >= 0.8)
-  WHERE r = 1),
+    SELECT *, row_number() OVER (PARTITION BY path ORDER BY score DESC, lic) AS place FROM scored WHERE score >= 0.8)
+  WHERE place = 1),
 granted AS (
   SELECT above, lic FROM (
-    SELECT *, row_number() OVER (PARTITION BY above ORDER BY score DESC, lic) AS r FROM (
+    SELECT *, row_number() OVER (PARTITION BY above ORDER BY score DESC, lic) AS place FROM (
       SELECT regexp_replace(path, '/[^/]*$', '') AS above, lic, score FROM own WHERE path LIKE '%/LICENSE%'))
-  WHERE r = 1)
+  WHERE place = 1)
 SELECT f.doc_id, f.path, coalesce(own.lic, a.lic, b.lic) AS license, own.score AS score,
        CASE WHEN own.lic IS NULL THEN coalesce(a.above, b.above) END AS inherited_from
 FROM f LEFT JOIN own USING (path)

@@ -1,12 +1,14 @@
 import math
+import random
 import re
 import textwrap
 from collections import Counter
 
+import duckdb
 import pytest
 from llm_texts import awkward, documents
 
-from stratalake.llm.licenses import HEADERS, LICENSE_FILE, NAMES, long_templates, scan, templates
+from stratalake.llm.licenses import BLOCK, HEADERS, LICENSE_FILE, NAMES, long_templates, scan, templates
 
 
 def files(spark, rows):
@@ -17,11 +19,9 @@ def terms(text):
     return re.findall("[a-z0-9]+", (text or "").lower())
 
 
-def brute(rows, threshold=0.8):
-    """Every line against every template, then the folders above."""
-    given = templates()
-    vocabulary = {t for _, x in given for t in terms(x)}
-    df = Counter(t for _, text in rows for t in set(terms(text)) & vocabulary)
+def brute(rows, threshold=0.8, block=BLOCK):
+    """Every run of lines with words, and licence files whole, against every template; then the folders above."""
+    df = Counter(t for _, text in rows for t in set(terms(text)))
     idf = lambda t: math.log((1 + len(rows)) / (1 + df[t])) + 1
 
     def vector(text):
@@ -31,11 +31,13 @@ def brute(rows, threshold=0.8):
         norm = math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
         return round(sum(x * b.get(t, 0) for t, x in a.items()) / norm, 6) if norm else 0.0
 
-    vectors = [(name, vector(x)) for name, x in given]
+    vectors = [(name, vector(x)) for name, x in templates() + long_templates()]
     own = {}
     for path, text in rows:
         path = path or ""
-        for candidate in [*(text or "").split("\n"), *([text or ""] if re.search(LICENSE_FILE, path) else [])]:
+        lines = [x for x in (text or "").split("\n") if terms(x)]
+        runs = {"\n".join(lines[s : e + 1]) for s in range(len(lines)) for e in range(s, min(s + block, len(lines)))}
+        for candidate in runs | ({"\n".join(lines)} if re.search(LICENSE_FILE, path) else set()):
             v = vector(candidate)
             for name, u in vectors:
                 s = cosine(v, u)
@@ -96,6 +98,41 @@ def test_awkward_and_empty(spark):
     assert scan(files(spark, [("a", None)])).count() == 1
 
 
+def test_headers_and_texts_against_all_blocks(spark):
+    """Wrapped headers and short licence texts between other lines, some with words too many."""
+    rng = random.Random(4)
+    common = "and the of to in for a with that is on by this".split()
+    rows = [(f"f/{k}", " ".join(rng.choices(common, k=8)) + f" word{k}") for k in range(40)]
+    for k, (_, text) in enumerate(long_templates()):
+        if len(text) < 1300:
+            lines = textwrap.wrap(text, rng.choice([50, 72, 200]))
+            lines.insert(rng.randrange(len(lines)), " ".join(rng.choices(common, k=rng.choice([1, 3, 12]))))
+            before = [" ".join(rng.choices(common, k=5)) for _ in range(rng.randrange(4))]
+            name = "LICENSE" if k % 3 == 0 else "x.py"
+            rows.append((f"h/{k}/{name}", "\n".join([*before, "", *lines, "# rare" + str(k), *before])))
+    compare(spark, rows)
+
+
+def test_registered_sql_agrees_on_planted_headers(spark, tmp_path):
+    """The samples have single notices only; these documents have headers, whole texts and noise as well."""
+    from stratalake.llm.oracles import ORACLES
+    from stratalake.llm.queries import QUERIES
+
+    texts = [text for _, text in long_templates() if len(text) < 8000]
+    planted = {64 * k + (0, 8, 13)[k % 3]: f"Some title\n\n{textwrap.fill(t, 70)}\n\nmore" for k, t in enumerate(texts)}
+    planted |= {5: None, 6: "", 7: "// Released under\n//\n// the MIT License.", 9: "It's MIT"}
+    data = [(d, planted.get(d, f"the words of file w{d} are\nand so on")) for d in range(64 * len(texts) + 70)]
+    documents(spark, data).write.parquet(f"{tmp_path}/documents.parquet")
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    order = ["doc_id", "path", "license", "score", "inherited_from"]
+    want = connection.execute(f"SELECT {', '.join(order)} FROM ({ORACLES['op6_licenses']}) ORDER BY doc_id").fetchall()
+    got = [tuple(r) for r in QUERIES["op6_licenses"](spark, str(tmp_path)).select(*order).orderBy("doc_id").collect()]
+    assert [g[:3] + g[4:] for g in got] == [w[:3] + w[4:] for w in want]
+    assert all(g[3] == w[3] or g[3] == pytest.approx(w[3], abs=2e-6) for g, w in zip(got, want))
+    assert len({g[2] for g in got}) > 10
+
+
 def test_every_notice_is_its_own_licence(spark):
     rows = [(f"f/{k}", text) for k, (_, text) in enumerate(templates())]
     got = {r.path: r.license for r in scan(files(spark, rows)).collect()}
