@@ -3,8 +3,10 @@
 All checks of a table become one DataFrame with a row per check, from two passes over the
 table: one aggregate for the row count and all row-level checks, and one shuffle of the
 values, with counts, of every column whose values are compared: unique ones, foreign keys
-and those with accepted values. A value that holds a third of the rows is one
-partial-aggregate row per task by the time it is shuffled.
+and those with accepted values. In a large table each of these columns has a pass and a shuffle
+of its own: a pass reads one column, its values need no number beside them, and only foreign
+keys meet the parents. A value that holds a third of the rows is one partial-aggregate row per
+task by the time it is shuffled.
 
 NULL conventions: NULLs break only ``not_null``. ``unique`` counts repeated values,
 ``accepted_values`` offending values, all others offending rows.
@@ -21,6 +23,10 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from stratalake.functions import literal
+from stratalake.session import estimated_bytes
+
+#: Bytes (of rows, by the optimizer) up to which all compared columns share a pass.
+SHARED_PASS = 128 << 20
 
 RESULT = (
     "check_name string, schema_name string, table_name string, column_name string, "
@@ -175,6 +181,33 @@ def _value_counts(
     return _rows_from_columns(counted, [(i, failures(i, c)) for i, c in checks])
 
 
+def _column_counts(
+    rows: DataFrame, column: str, checks: Sequence[tuple[int, Check]], parents: Mapping[str, DataFrame]
+) -> DataFrame:
+    """The checks of :func:`_value_counts` that look at one column, with a pass and a shuffle for it alone.
+
+    Nothing but foreign keys meets a parent, and each check meets the distinct keys of its own.
+    """
+    kind = rows.schema[column].dataType.simpleString()
+    counted = (
+        rows.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+    )
+    for i, check in checks:
+        if check.test_type == "relationships":
+            keys = parents[check.parent].select(F.col(check.parent_column).try_cast(kind).alias(f"p{i}"))
+            known = keys.where(F.col(f"p{i}").isNotNull()).distinct()
+            counted = counted.join(known, F.col("value") == F.col(f"p{i}"), "left")
+
+    def failures(i: int, check: Check) -> Column:
+        if check.test_type == "unique":
+            return F.count_if(F.col("n") > 1)
+        if check.test_type == "accepted_values":
+            return F.count_if(~F.col("value").isin(*check.values))
+        return F.coalesce(F.sum(F.when(F.col(f"p{i}").isNull(), F.col("n"))), F.lit(0).cast("bigint"))
+
+    return _rows_from_columns(counted, [(i, failures(i, c)) for i, c in checks])
+
+
 def orphans(rows: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Foreign-key values without a parent and the number of rows carrying each.
 
@@ -186,16 +219,27 @@ def orphans(rows: DataFrame, column: str, parent: DataFrame, parent_column: str)
 
 
 def failure_counts(
-    rows: DataFrame, checks: Sequence[Check], parents: Mapping[str, DataFrame], with_total: bool = False
+    rows: DataFrame,
+    checks: Sequence[Check],
+    parents: Mapping[str, DataFrame],
+    with_total: bool = False,
+    shared_pass: int = SHARED_PASS,
 ) -> DataFrame:
-    """``(no, failures)`` with one row per check, ``no`` being its position; ``TOTAL`` for the row count."""
+    """``(no, failures)`` with one row per check, ``no`` being its position; ``TOTAL`` for the row count.
+
+    Beyond ``shared_pass`` bytes of rows every compared column has a pass of its own.
+    """
     numbered = list(enumerate(checks))
     row_level = [(i, c) for i, c in numbered if c.test_type in ROW_LEVEL]
     by_value = [(i, c) for i, c in numbered if c.test_type not in ROW_LEVEL]
     parts = []
     if row_level or with_total:
         parts.append(_row_level_counts(rows, row_level, with_total))
-    if by_value:
+    columns = dict.fromkeys(c.column for _, c in by_value)
+    if columns and estimated_bytes(rows) > shared_pass:
+        for column in columns:
+            parts.append(_column_counts(rows, column, [(i, c) for i, c in by_value if c.column == column], parents))
+    elif by_value:
         parts.append(_value_counts(rows, by_value, parents))
     return reduce(DataFrame.unionByName, parts)
 

@@ -55,13 +55,48 @@ def _texts(raw: DataFrame, fields: Sequence[Field], document: Column) -> DataFra
     return parsed.select("data", "doc", "loaded_at", json_texts("doc", [path for _, path, _ in fields]).alias("text"))
 
 
+# What the strict reader takes is JSON as ``parse_json`` knows it.
+_STRICT_JSON = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+
+
 def stage(raw: DataFrame, fields: Sequence[Field]) -> DataFrame:
-    """Typed columns of the payload plus ``loaded_at``; a bad payload or value raises."""
+    """Typed columns of the payload plus ``loaded_at``; a bad payload or value raises.
+
+    Where all fields are bigints and timestamps of the payload itself, a payload is read once by a
+    strict reader; one that this does not take whole (a number given as a string, say) is read like all others.
+    """
+    if all("." not in path and dtype in ("bigint", "timestamp") for _, path, dtype in fields):
+        return _stage_plain(raw, fields)
     return _texts(raw, fields, F.parse_json("data")).selectExpr(
         *[f"CAST(text.{path} AS {dtype}) AS `{name}`" for name, path, dtype in fields], "loaded_at"
     )
 
 
+def _stage_plain(raw: DataFrame, fields: Sequence[Field]) -> DataFrame:
+    """:func:`stage` of bigints and timestamps at the top of the payload.
+
+    The strict reader takes bigints from integers only, and times as text, of which a cast makes the
+    value or nothing. So what it gives is what the text of the field gives, or the row is read as text.
+    """
+    schema = ", ".join(f"`{path}` {'bigint' if dtype == 'bigint' else 'string'}" for _, path, dtype in fields)
+    read = raw.select(
+        "data", F.col("emitted_at").alias("loaded_at"), F.from_json("data", f"{schema}, _bad string", _STRICT_JSON).alias("read")
+    )
+    times = [path for _, path, dtype in fields if dtype == "timestamp"]
+    cast = read.selectExpr("*", *[f"try_cast(read.`{path}` AS timestamp) AS `time_{path}`" for path in times])
+    taken = ["startswith(data, '{')", "read IS NOT NULL", "read._bad IS NULL"]
+    taken += [f"(read.`{path}` IS NULL OR `time_{path}` IS NOT NULL)" for path in times]
+    texts = json_texts(F.parse_json("data"), [path for _, path, _ in fields])
+    either = cast.withColumn("taken", F.expr(f"coalesce({' AND '.join(taken)}, false)")).withColumn(
+        "text", F.when(~F.col("taken"), texts)
+    )
+    values = [(name, path, dtype, f"`time_{path}`" if dtype == "timestamp" else f"read.`{path}`") for name, path, dtype in fields]
+    return either.selectExpr(
+        *[f"CASE WHEN taken THEN {value} ELSE CAST(text.`{path}` AS {dtype}) END AS `{name}`" for name, path, dtype, value in values],
+        "loaded_at",
+    )
+
+
 def stage_with_errors(raw: DataFrame, fields: Sequence[Field]) -> DataFrame:
     """Like :func:`stage`, but bad values become NULL and are named in ``errors``.
 

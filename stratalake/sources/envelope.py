@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 ENVELOPE = "record_id string, data string, emitted_at timestamp"
 
+#: How a payload writes a time; microseconds survive.
+TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+
 _JSON_OPTIONS = {
-    # Microseconds survive, and absent values are written as explicit nulls.
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'",
+    # Absent values are written as explicit nulls.
+    "timestampFormat": TIME_FORMAT,
     "ignoreNullFields": "false",
 }
 

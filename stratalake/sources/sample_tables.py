@@ -6,9 +6,13 @@ rules inject them: every rule is a plain expression over the row, applied to all
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from stratalake.sources.envelope import TIME_FORMAT
+
 EMITTED_AT = "2024-02-01 00:00:00"
 
 USERS = """
@@ -112,14 +116,14 @@ def order_line_key(order: Column, number: Column, nth: Column) -> Column:
     return (order.cast("bigint") * F.call_function("shiftleft", F.lit(1).cast("bigint"), length) + place) * 64 + length
 
 
-def order_line_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The larger purchase fact: one purchase per order line.
+def _order_lines(spark: SparkSession, sf_dir: str, time: Callable[[str], Column]) -> DataFrame:
+    """One purchase per order line; ``time`` gives a column's time, an order's before the order meets its lines.
 
     Line numbers repeat within an order, so each line is numbered among its likes, by all
     columns. Lines are dealt by order, which serves both the numbering and the join.
     """
     lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", time("o_orderdate").alias("ordered_at"))
     rest = [c for c in lines.columns if c not in ("l_orderkey", "l_linenumber")]
     nth = F.row_number().over(Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*rest))
     numbered = lines.repartition("l_orderkey").withColumn("nth", nth)
@@ -127,13 +131,27 @@ def order_line_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
         order_line_key(F.col("l_orderkey"), F.col("l_linenumber"), F.col("nth")).alias("purchase_id"),
         F.col("o_custkey").alias("user_id"),
         F.col("l_partkey").alias("product_id"),
-        F.col("o_orderdate").cast("timestamp").alias("purchased_at"),
-        F.col("o_orderdate").cast("timestamp").alias("added_to_cart_at"),
-        F.when(F.col("l_returnflag") == "R", F.col("l_shipdate").cast("timestamp")).alias("returned_at"),
-        emitted_at().alias("loaded_at"),
+        F.col("ordered_at").alias("purchased_at"),
+        F.col("ordered_at").alias("added_to_cart_at"),
+        F.when(F.col("l_returnflag") == "R", time("l_shipdate")).alias("returned_at"),
     )
 
 
+def order_line_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The larger purchase fact: one purchase per order line."""
+    rows = _order_lines(spark, sf_dir, lambda column: F.col(column).cast("timestamp"))
+    return rows.withColumn("loaded_at", emitted_at())
+
+
+def order_line_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same purchases as records for an envelope, their times written as a payload has them.
+
+    An order's time is written once, not for each of its lines and columns.
+    """
+    rows = _order_lines(spark, sf_dir, lambda column: F.date_format(F.col(column).cast("timestamp"), TIME_FORMAT))
+    return rows.withColumnRenamed("purchase_id", "id")
+
+
 def emitted_at() -> Column:
     return F.lit(EMITTED_AT).cast("timestamp")
 

@@ -334,7 +334,7 @@ def gold_order_lines(spark, sf_dir):
 def full_build(spark, sf_dir):
     """Raw JSON to gold with every contract, check and gate on the way; the published gold table."""
     sample = Sample(spark, sf_dir)
-    lines = sample.order_lines().drop("loaded_at").withColumnRenamed("purchase_id", "id")
+    lines = sample_tables.order_line_records(spark, sf_dir)
     warehouse = trial_warehouse(spark)
     raw = build.write_together(warehouse, {**sample.raw_tables(), "raw_purchases": to_envelope(lines, as_of())})
     build.build(warehouse, raw, as_of())
